@@ -297,7 +297,7 @@ SELECT * FROM (VALUES
   ('o_orderdate', 'string', 'timestamp', 0),
   ('o_totalprice', 'string', 'double', 0),
   ('priority', 'string', 'bigint', 0),
-  ('finished', 'int', 'boolean', 0)) AS v(column, from_type, to_type, nulled)
+  ('finished', 'int', 'boolean', 0)) AS v("column", from_type, to_type, nulled)
 UNION ALL
 SELECT 'o_orderpriority', 'string', 'bigint', count(*) FROM orders""")
 def q_conform_report(spark, sf):
@@ -334,3 +334,451 @@ SELECT p_partkey,
 FROM part""")
 def q_unique_suffix(spark, sf):
     return C.unique_suffix(table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", ["p_partkey"])
+
+
+# ============================================================ joins
+def _join_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Customers × nations on nation key. Customers of nation 24 carry an unknown
+    (null) key; nation 0 is listed under an unknown (null) key. So nation-0
+    customers find no nation, unknown-key customers match the unknown nation
+    (null = null), nation 24 finds no customer, and ``name`` clashes."""
+    left = table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_name").alias("name"),
+        F.nullif("c_nationkey", F.lit(24)).alias("nationkey"), "c_acctbal")
+    right = table(spark, sf, "nation").select(
+        F.nullif("n_nationkey", F.lit(0)).alias("nationkey"), F.col("n_name").alias("name"), "n_regionkey")
+    return left, right
+
+
+JOIN_SQL = """
+WITH l AS (SELECT c_custkey, c_name AS name, nullif(c_nationkey, 24) AS nationkey, c_acctbal FROM customer),
+r AS (SELECT nullif(n_nationkey, 0) AS nationkey, n_name AS name, n_regionkey FROM nation)
+SELECT {key} AS nationkey, l.c_custkey, l.name AS name_x, l.c_acctbal, r.name AS name_y, r.n_regionkey
+FROM l {how} JOIN r ON l.nationkey IS NOT DISTINCT FROM r.nationkey"""
+
+
+@query("join_inner", JOIN_SQL.format(key="l.nationkey", how="INNER"))
+def q_join_inner(spark, sf):
+    return R.join_tables("nationkey", "INNER", *_join_sides(spark, sf))
+
+
+@query("join_left", JOIN_SQL.format(key="l.nationkey", how="LEFT"))
+def q_join_left(spark, sf):
+    return R.join_tables("nationkey", "LEFT", *_join_sides(spark, sf))
+
+
+@query("join_full", JOIN_SQL.format(key="coalesce(l.nationkey, r.nationkey)", how="FULL"))
+def q_join_full(spark, sf):
+    return R.join_tables("nationkey", "FULL", *_join_sides(spark, sf))
+
+
+# ============================================================ aggregation
+@query("group_by_all", """
+WITH o AS (SELECT o_custkey, o_totalprice, o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS o_year,
+                  o_orderkey AS key_avg,
+                  CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END AS urgent_price FROM orders)
+SELECT o_custkey, round(coalesce(sum(o_totalprice), 0), 2) AS o_totalprice, max(o_orderkey) AS o_orderkey,
+       min(o_year) AS o_year, round(avg(key_avg), 4) AS key_avg,
+       round(coalesce(sum(urgent_price), 0), 2) AS urgent_price
+FROM o GROUP BY o_custkey""")
+def q_group_by_all(spark, sf):
+    o = table(spark, sf, "orders").select(
+        "o_custkey", "o_totalprice", "o_orderkey", F.year("o_orderdate").cast("long").alias("o_year"),
+        F.col("o_orderkey").alias("key_avg"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).alias("urgent_price"))
+    g = R.group_by(o, "o_custkey", {"o_totalprice": "SUM", "o_orderkey": "MAX", "o_year": "MIN",
+                                    "key_avg": "AVG", "urgent_price": "sum"})
+    return g.select("o_custkey", *[F.round(c, 2).alias(c) for c in ("o_totalprice", "urgent_price")],
+                    F.round("key_avg", 4).alias("key_avg"), "o_orderkey", "o_year")
+
+
+@query("group_by_first_last", """
+WITH o AS (SELECT o_custkey, o_orderkey,
+                  CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderstatus END AS s FROM orders)
+SELECT o_custkey, arg_min(s, o_orderkey) FILTER (WHERE s IS NOT NULL) AS first_status,
+       arg_max(s, o_orderkey) FILTER (WHERE s IS NOT NULL) AS last_status
+FROM o GROUP BY o_custkey""")
+def q_group_by_first_last(spark, sf):
+    s = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderstatus"))
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", s.alias("first_status"),
+                                          s.alias("last_status"))
+    return R.group_by(o, "o_custkey", {"first_status": "FIRST", "last_status": "LAST"}, order_by=["o_orderkey"])
+
+
+def _holiday_entries(spark, sf) -> DataFrame:
+    """Events read as holiday entries: the day, the event type as the name, the
+    user as the region; a large error is national; signups carry a comment."""
+    e = table(spark, sf, "events")
+    return e.select(
+        F.date_format("ts", "dd-MM-yyyy").alias("Day"),
+        F.col("event_type").alias("Name"),
+        F.when((F.col("event_type") == "error") & (F.col("value") >= 300), F.lit("Nacional"))
+        .otherwise(F.lit("Regional")).alias("Type"),
+        F.col("user_id").cast("string").alias("Region"),
+        F.when(F.col("event_type") == "signup", F.concat(F.lit("k"), F.get_json_object("props", "$.k")))
+        .otherwise(F.lit("")).alias("Comments"),
+        "ts", "event_id")
+
+
+HOLIDAY_SQL = """
+WITH e AS (
+  SELECT strftime(ts, '%d-%m-%Y') AS d, event_type AS n,
+         CASE WHEN event_type = 'error' AND value >= 300 THEN 'Nacional' ELSE 'Regional' END AS t,
+         CAST(user_id AS VARCHAR) AS r,
+         CASE WHEN event_type = 'signup' THEN 'k' || CAST(json_extract(props, '$.k') AS VARCHAR) ELSE '' END AS c,
+         row_number() OVER (ORDER BY ts, event_id) AS o
+  FROM events),
+names AS (SELECT d, n, min(o) AS o FROM e WHERE n <> '' GROUP BY d, n),
+coms AS (SELECT d, c, min(o) AS o FROM e WHERE c <> '' GROUP BY d, c),
+days AS (SELECT d, bool_or(t = 'Nacional') AS national, list_sort(list(DISTINCT r)) AS regions FROM e GROUP BY d),
+nl AS (SELECT d, list(n ORDER BY o) AS names FROM names GROUP BY d),
+cl AS (SELECT d, list(c ORDER BY o) AS coms FROM coms GROUP BY d),
+merged AS (
+SELECT days.d AS "Day", coalesce(nl.names[1], '') AS "Name",
+  CASE WHEN national THEN 'Nacional' ELSE 'Regional' END AS "Type",
+  CASE WHEN national THEN 'Todas' ELSE array_to_string(regions, ' , ') END AS "Region",
+  CASE WHEN national THEN array_to_string(coalesce(cl.coms, []), '; ')
+       ELSE array_to_string(list_concat(coalesce(nl.names[2:], []), coalesce(cl.coms, [])), '; ')
+  END AS "Comments"
+FROM days LEFT JOIN nl USING (d) LEFT JOIN cl USING (d))"""
+
+
+@query("holiday_merge", HOLIDAY_SQL + "\nSELECT * FROM merged")
+def q_holiday_merge(spark, sf):
+    m = merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"])
+    return m.withColumn("Region", F.array_join("Region", LIST_SEPARATOR))
+
+
+@query("holiday_json_roundtrip", HOLIDAY_SQL + "\nSELECT * FROM merged")
+def q_holiday_json_roundtrip(spark, sf):
+    path = fresh_path(spark, "holidays")
+    write_json(merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"]), path)
+    return extract_json(spark, path, {"Day": "str", "Name": "str", "Type": "str", "Region": "str",
+                                      "Comments": "str"}, multi_line=False)
+
+
+# ============================================================ sorting
+SORT_SQL = """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderdate END AS o_orderdate
+           FROM orders)
+SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate {dir} NULLS LAST, o_orderkey) AS position
+FROM o"""
+
+
+def _sort_input(spark, sf) -> DataFrame:
+    return table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate")).alias("o_orderdate"))
+
+
+@query("sort_dates_asc", SORT_SQL.format(dir="ASC"))
+def q_sort_dates_asc(spark, sf):
+    return S.with_position(_sort_input(spark, sf), "o_orderdate", "ASC", then_by=["o_orderkey"])
+
+
+@query("sort_dates_desc", SORT_SQL.format(dir="DESC"))
+def q_sort_dates_desc(spark, sf):
+    return S.with_position(_sort_input(spark, sf), "o_orderdate", "DES", then_by=["o_orderkey"])
+
+
+# ============================================================ quality reports
+_NR_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "o_orderkey", "o_custkey",
+            "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("null_report", """
+WITH j AS (SELECT * FROM customer c LEFT JOIN
+           (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') o
+           ON c.c_custkey = o.o_custkey),
+u AS (""" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM j" for c in _NR_COLS) + """)
+SELECT * FROM u WHERE nulls > 0""")
+def q_null_report(spark, sf):
+    c = table(spark, sf, "customer")
+    o = table(spark, sf, "orders").where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    return Q.null_report(c.join(o, c["c_custkey"] == o["o_custkey"], "left"))
+
+
+@query("duplicate_report", """
+SELECT p_name AS value, count(*) AS copies FROM part WHERE p_name IS NOT NULL
+GROUP BY p_name HAVING count(*) > 1""")
+def q_duplicate_report(spark, sf):
+    return Q.duplicate_report(table(spark, sf, "part"), "p_name")
+
+
+# ============================================================ keyed upsert
+def _upsert_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Target: customers outside the AUTOMOBILE segment. Source: AUTOMOBILE
+    (new) and BUILDING customers, the latter with +100 balance below nation 12."""
+    c = table(spark, sf, "customer")
+    target = c.where(F.col("c_mktsegment") != "AUTOMOBILE")
+    source = c.where(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")).withColumn(
+        "c_acctbal", F.when((F.col("c_mktsegment") == "BUILDING") & (F.col("c_nationkey") < 12),
+                            F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal")))
+    return target, source
+
+
+UPSERT_CLASS_SQL = """
+WITH k AS (SELECT c_custkey,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'inserted'
+       WHEN c_mktsegment = 'BUILDING' AND c_nationkey < 12 THEN 'updated'
+       WHEN c_mktsegment = 'BUILDING' THEN 'ignored' ELSE 'retained' END AS change FROM customer)"""
+
+
+@query("upsert_rows", """
+SELECT c_custkey, c_name, c_nationkey,
+       CASE WHEN c_mktsegment = 'BUILDING' AND c_nationkey < 12 THEN c_acctbal + 100 ELSE c_acctbal END
+         AS c_acctbal, c_mktsegment
+FROM customer""")
+def q_upsert_rows(spark, sf):
+    target, source = _upsert_sides(spark, sf)
+    name = f"{fresh_database(spark)}.customer"
+    UP.upsert(target, name, "c_custkey")
+    UP.upsert(source, name, "c_custkey")
+    return spark.table(name)
+
+
+@query("upsert_report", UPSERT_CLASS_SQL + """
+SELECT count(*) FILTER (WHERE change = 'inserted') AS inserted, count(*) FILTER (WHERE change = 'updated') AS updated,
+       count(*) FILTER (WHERE change = 'ignored') AS ignored, count(*) FILTER (WHERE change = 'retained') AS retained
+FROM k""")
+def q_upsert_report(spark, sf):
+    return UP.change_counts(UP.merge_plan(*_upsert_sides(spark, sf), "c_custkey"))
+
+
+@query("changed_keys", UPSERT_CLASS_SQL + "\nSELECT c_custkey FROM k WHERE change = 'updated'")
+def q_changed_keys(spark, sf):
+    plan = UP.merge_plan(*_upsert_sides(spark, sf), "c_custkey")
+    return plan.where(F.col(UP.CHANGE) == "updated").select("c_custkey")
+
+
+@query("new_keys", UPSERT_CLASS_SQL + "\nSELECT c_custkey FROM k WHERE change = 'inserted'")
+def q_new_keys(spark, sf):
+    plan = UP.merge_plan(*_upsert_sides(spark, sf), "c_custkey")
+    return plan.where(F.col(UP.CHANGE) == "inserted").select("c_custkey")
+
+
+@query("upsert_dup_keys", """
+SELECT l_orderkey, count(*) AS copies FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1""")
+def q_upsert_dup_keys(spark, sf):
+    return UP.duplicate_keys(table(spark, sf, "lineitem"), "l_orderkey")
+
+
+@query("upsert_first_load", "SELECT * FROM part")
+def q_upsert_first_load(spark, sf):
+    name = f"{fresh_database(spark)}.part"
+    UP.upsert(table(spark, sf, "part"), name, "p_partkey")
+    return spark.table(name)
+
+
+@query("upsert_partitioned", """
+SELECT o_orderkey, o_custkey,
+       CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN 'F' ELSE o_orderstatus END
+         AS o_orderstatus,
+       o_totalprice, o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS o_month
+FROM orders""")
+def q_upsert_partitioned(spark, sf):
+    """Facts partitioned by month: the second load touches only the months of
+    the orders it carries (urgent open orders, now finished)."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                          "o_orderpriority", F.trunc("o_orderdate", "month").alias("o_month"))
+    name = f"{fresh_database(spark)}.orders_by_month"
+    UP.upsert(o, name, "o_orderkey", partition_by=["o_month"])
+    changes = (o.where((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT"))
+               .withColumn("o_orderstatus", F.lit("F")))
+    UP.upsert(changes, name, "o_orderkey", partition_by=["o_month"])
+    return spark.table(name)
+
+
+# ============================================================ tables and metadata
+@query("create_table", "SELECT * FROM customer")
+def q_create_table(spark, sf):
+    name = f"{fresh_database(spark)}.customer"
+    TB.create_table(table(spark, sf, "customer"), name)
+    return spark.table(name)
+
+
+@query("replace_table", "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'")
+def q_replace_table(spark, sf):
+    name = f"{fresh_database(spark)}.customer"
+    c = table(spark, sf, "customer")
+    TB.create_table(c, name)
+    return TB.replace_table(spark.table(name).where(F.col("c_mktsegment") == "BUILDING"), name)
+
+
+# The driver tables described by the metadata queries, their ids and column counts.
+META_TABLES = [("region", 1, 2), ("nation", 2, 3), ("customer", 3, 5), ("supplier", 4, 4),
+               ("part", 5, 6), ("orders", 6, 6), ("lineitem", 7, 11)]
+FLOW_TIME = dt.datetime(2025, 6, 30, 12, 0, 0)
+
+
+def _register_driver_tables(spark, sf) -> str:
+    db = fresh_database(spark)
+    for name, _, _ in META_TABLES:
+        spark.catalog.createTable(f"{db}.{name}", path=f"{sf}/{name}.parquet", source="parquet")
+    return db
+
+
+@query("summary_tables", "\nUNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS table_id, '{n}' AS table_name, count(*) AS rows, "
+    f"CAST({k} AS INTEGER) AS columns, DATE '{AS_OF.isoformat()}' AS last_updated FROM {n}"
+    for n, i, k in META_TABLES))
+def q_summary_tables(spark, sf):
+    db = _register_driver_tables(spark, sf)
+    control = f"{db}.summary_tables"
+    for name, tid, _ in META_TABLES:
+        SM.record_table_summary(spark, control, tid, f"{db}.{name}", AS_OF)
+    return spark.table(control)
+
+
+@query("tables_summary", "\nUNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS table_id, '{n}' AS table_name, count(*) AS rows, "
+    f"'{n}_flow' AS flow_name, TIMESTAMP '{FLOW_TIME.isoformat(sep=' ')}' AS last_update FROM {n}"
+    for n, i, _ in META_TABLES))
+def q_tables_summary(spark, sf):
+    db = _register_driver_tables(spark, sf)
+    control = f"{db}.tables_summary"
+    for name, tid, _ in META_TABLES:
+        SM.record_flow(spark, control, tid, f"{db}.{name}", f"{name}_flow", FLOW_TIME)
+    return spark.table(control)
+
+
+@query("summary_loads", UPSERT_CLASS_SQL + f"""
+SELECT '{AS_OF:%Y%m%d}-1' AS load_id, CAST(3 AS INTEGER) AS table_id,
+       count(*) FILTER (WHERE change <> 'inserted') AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+       CAST(0 AS BIGINT) AS rows_ignored, DATE '{AS_OF.isoformat()}' AS updated_at FROM k
+UNION ALL
+SELECT '{AS_OF:%Y%m%d}-2', 3, count(*) FILTER (WHERE change = 'inserted'), count(*) FILTER (WHERE change = 'updated'),
+       count(*) FILTER (WHERE change = 'ignored'), DATE '{AS_OF.isoformat()}' FROM k""")
+def q_summary_loads(spark, sf):
+    target, source = _upsert_sides(spark, sf)
+    db = fresh_database(spark)
+    for batch in (target, source):
+        rep = UP.upsert(batch, f"{db}.customer", "c_custkey")
+        SM.record_load(spark, f"{db}.summary_loads", 3, rep, AS_OF)
+    return spark.table(f"{db}.summary_loads")
+
+
+VIEW_SQL = ("SELECT o_orderstatus, count(*) AS orders, round(sum(o_totalprice), 2) AS total "
+            "FROM {src} GROUP BY o_orderstatus")
+
+
+@query("create_views", VIEW_SQL.format(src="orders"))
+def q_create_views(spark, sf):
+    name = f"v_order_totals_{uuid.uuid4().hex[:12]}"
+    create_views(spark, {name: VIEW_SQL.format(src=f"parquet.`{sf}/orders.parquet`")})
+    return spark.table(name)
+
+
+# ============================================================ flows
+# Balance bands used as outlet sizes and their codes.
+SIZE_CODES = {"<0": 1, "0-5000": 2, ">5000": 3}
+OUTLET_TYPES = {"Affiliated_Code": "str", "Affiliated_Name": "str", "Location": "str", "Location_num": "int",
+                "Tam_m2": "str", "Tam_m2_num": "int", "cp": "str", "poblacion": "str",
+                "provinciaid": "int", "provincia": "str"}
+
+
+def outlets_flow(spark, sf) -> DataFrame:
+    c = table(spark, sf, "customer")
+    band = (F.when(F.col("c_acctbal") < 0, F.lit("<0")).when(F.col("c_acctbal") < 5000, F.lit("0-5000"))
+            .otherwise(F.lit(">5000")))
+    outlets = c.select(F.col("c_custkey").alias("Affiliated_Code"), F.col("c_name").alias("Affiliated_NAME"),
+                       F.col("c_nationkey").alias("POSTALCODE"), F.col("c_mktsegment").alias("Location"),
+                       band.alias("Tam_m2"))
+    s = table(spark, sf, "supplier")
+    postcodes = s.select(F.col("s_nationkey").alias("cp"),
+                         F.when(F.col("s_acctbal") >= 0, F.col("s_name")).alias("poblacion"),
+                         F.col("s_suppkey").alias("provinciaid"),
+                         F.concat(F.lit("P"), F.col("s_nationkey").cast("string")).alias("provincia"))
+    return flows.outlets_dimension(
+        outlets, postcodes, rename={"Affiliated_NAME": "Affiliated_Name", "POSTALCODE": "cp"},
+        postcode_key="cp", postcode_aggs={"poblacion": "FIRST", "provinciaid": "FIRST", "provincia": "FIRST"},
+        outlet_order=["Affiliated_Code"], postcode_order=["provinciaid"], location_col="Location",
+        size_col="Tam_m2", size_codes=SIZE_CODES, key="Affiliated_Code", expected_types=OUTLET_TYPES)
+
+
+@query("flow_outlets", """
+WITH o AS (SELECT c_custkey, c_name, c_nationkey AS cp, c_mktsegment AS "Location",
+                  CASE WHEN c_acctbal < 0 THEN '<0' WHEN c_acctbal < 5000 THEN '0-5000' ELSE '>5000' END AS "Tam_m2"
+           FROM customer),
+pc AS (SELECT s_nationkey AS cp,
+              arg_min(s_name, s_suppkey) FILTER (WHERE s_acctbal >= 0) AS poblacion,
+              min(s_suppkey) AS provinciaid,
+              arg_min('P' || CAST(s_nationkey AS VARCHAR), s_suppkey) AS provincia
+       FROM supplier GROUP BY s_nationkey),
+loc AS (SELECT "Location", row_number() OVER (ORDER BY min(c_custkey)) AS code FROM o GROUP BY "Location")
+SELECT CAST(o.c_custkey AS VARCHAR) AS "Affiliated_Code", o.c_name AS "Affiliated_Name", o."Location",
+       CAST(loc.code AS BIGINT) AS "Location_num", o."Tam_m2",
+       CAST(CASE o."Tam_m2" WHEN '<0' THEN 1 WHEN '0-5000' THEN 2 ELSE 3 END AS BIGINT) AS "Tam_m2_num",
+       CAST(o.cp AS VARCHAR) AS cp, pc.poblacion, CAST(pc.provinciaid AS BIGINT) AS provinciaid, pc.provincia
+FROM o LEFT JOIN pc ON o.cp = pc.cp JOIN loc USING ("Location")""")
+def q_flow_outlets(spark, sf):
+    return outlets_flow(spark, sf)
+
+
+@query("flow_products", """
+SELECT CASE WHEN row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1 THEN p_name
+            ELSE p_name || ' - ' || CAST(row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS VARCHAR)
+       END AS "Product_Code",
+       CAST(p_size AS BIGINT) AS "SIZE", p_brand AS "Format", p_partkey
+FROM part""")
+def q_flow_products(spark, sf):
+    p = table(spark, sf, "part").select(F.col("p_name").alias("Product_Code"), F.col("p_size").alias("SIZE"),
+                                        F.col("p_brand").alias("Format"), "p_partkey")
+    return flows.products_dimension(p, key="Product_Code", order_by=["p_partkey"],
+                                    expected_types={"Product_Code": "str", "SIZE": "int", "Format": "str",
+                                                    "p_partkey": "int"})
+
+
+FACT_SQL = """
+SELECT strftime({ts}, '%Y%m%d')
+         || CAST(row_number() OVER (PARTITION BY CAST({ts} AS DATE) ORDER BY {order}) - 1 AS VARCHAR) AS "{key}",
+       CAST({ts} AS DATE) AS "{day}", {cols}
+FROM {src}"""
+
+
+@query("flow_sales", FACT_SQL.format(ts="o_orderdate", order="o_orderkey", key="sales_ID", day="Sales_DAY",
+                                     cols="o_orderkey, o_custkey, o_totalprice", src="orders"))
+def q_flow_sales(spark, sf):
+    o = table(spark, sf, "orders").select(ymd("o_orderdate").cast("long").alias("Sales_DAY"),
+                                          "o_orderkey", "o_custkey", "o_totalprice")
+    return flows.daily_facts(o, day_col="Sales_DAY", key="sales_ID", order_by=["o_orderkey"])
+
+
+_LI_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@query("flow_deliveries", FACT_SQL.format(ts="l_shipdate", order=", ".join(_LI_ORDER), key="delivery_ID",
+                                          day="Delivery_DAY", cols=", ".join(_LI_ORDER), src="lineitem"))
+def q_flow_deliveries(spark, sf):
+    li = table(spark, sf, "lineitem").select(ymd("l_shipdate").cast("long").alias("Delivery_DAY"), *_LI_ORDER)
+    return flows.daily_facts(li, day_col="Delivery_DAY", key="delivery_ID", order_by=_LI_ORDER)
+
+
+@query("flow_out_of_stock", FACT_SQL.format(ts="ts", order="event_id", key="oos_ID", day="OoS_DAY",
+                                            cols="event_id, user_id, event_type", src="events"))
+def q_flow_out_of_stock(spark, sf):
+    e = table(spark, sf, "events").select(ymd("ts").cast("long").alias("OoS_DAY"),
+                                          "event_id", "user_id", "event_type")
+    return flows.daily_facts(e, day_col="OoS_DAY", key="oos_ID", order_by=["event_id"])
+
+
+CALENDAR_TYPES = {"Day": "datetime", "Week_day": "int", "Week_day_name": "str", "Month": "int",
+                  "Month_name": "str", "Year": "int", "Name": "str", "Type": "str", "Region": "str",
+                  "Comments": "str"}
+HOLIDAY_JSON_TYPES = {"Day": "date", "Name": "str", "Type": "str", "Region": "str", "Comments": "str"}
+
+
+@query("flow_calendar", HOLIDAY_SQL + ",\ncal AS (" + CALENDAR_SQL.format(
+    lo="make_date(CAST(min(year(ts)) AS INTEGER), 1, 1)", hi="make_date(CAST(max(year(ts)) AS INTEGER), 12, 31)",
+    src="events") + """)
+SELECT CAST(coalesce(cal."Day", strptime(m."Day", '%d-%m-%Y')) AS TIMESTAMP) AS "Day",
+       cal."Week_day", cal."Week_day_name", cal."Month", cal."Month_name", cal."Year",
+       m."Name", m."Type", m."Region", m."Comments"
+FROM cal FULL JOIN merged m ON cal."Day" = CAST(strptime(m."Day", '%d-%m-%Y') AS DATE)""")
+def q_flow_calendar(spark, sf):
+    path = fresh_path(spark, "holidays")
+    write_json(merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"]), path)
+    holidays = extract_json(spark, path, HOLIDAY_JSON_TYPES, multi_line=False)
+    years = table(spark, sf, "events").agg(F.min(F.year("ts")).alias("a"), F.max(F.year("ts")).alias("b")).first()
+    return flows.calendar_dimension(holidays, start=f"01-01-{years['a']}", end=f"31-12-{years['b']}",
+                                    expected_types=CALENDAR_TYPES)

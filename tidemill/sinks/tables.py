@@ -45,6 +45,8 @@ def create_table(df: DataFrame, table: str, partition_by: list[str] | None = Non
     spark = df.sparkSession
     check_name(table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if partition_by:
+        df = df.repartitionByRange(*[F.col(p) for p in partition_by])
     w = df.write.format("parquet").option("path", version_path(spark, table))
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -46,6 +46,16 @@ class UpsertReport:
         return (self.table, self.inserted, self.updated, self.ignored, self.retained)
 
 
+def cluster_for_partitions(df: DataFrame, parts: list[str], key: str) -> DataFrame:
+    """Range-cluster rows on (partition columns, key) before a partitioned write.
+
+    Each task then holds a contiguous run of partition values, so a partition
+    gets one file (or a few, when it is large enough to be split by key)
+    instead of one per task; a hot partition value is split on the key.
+    """
+    return df.repartitionByRange(*[F.col(p) for p in parts], F.col(key))
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """``(key, copies)`` for keys present more than once; null keys count as equal."""
     require_columns(df, [key], "duplicate_keys")
@@ -111,8 +121,10 @@ def upsert(df: DataFrame, table: str, key: str | None = None,
     check_source(df, key)
     if not table_exists(spark, table):
         obs = Observation(f"first_{table}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.format("parquet") \
-            .option("path", version_path(spark, table))
+        first = df.observe(obs, F.count(F.lit(1)).alias("n"))
+        if partition_by:
+            first = cluster_for_partitions(first, partition_by, key)
+        w = first.write.format("parquet").option("path", version_path(spark, table))
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.saveAsTable(table)
@@ -135,7 +147,8 @@ def _upsert_partitions(spark: SparkSession, df: DataFrame, target: DataFrame, ta
     scoped = target.join(touched, [target[p].eqNullSafe(touched[p]) for p in parts], "left_semi")
     plan, obs = _observed(merge_plan(scoped, source, key), f"upsert_{table}")
     stage = f"{work_dir(spark)}/stage/{table}/{version_path(spark, table).rsplit('/', 1)[-1]}"
-    plan.drop(CHANGE).write.mode("error").partitionBy(*parts).parquet(stage)
+    cluster_for_partitions(plan.drop(CHANGE), parts, key).write.mode("error") \
+        .partitionBy(*parts).parquet(stage)
     m = obs.get
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
