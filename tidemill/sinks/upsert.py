@@ -121,9 +121,9 @@ def upsert(df: DataFrame, table: str, key: str | None = None,
     check_source(df, key)
     if not table_exists(spark, table):
         obs = Observation(f"first_{table}")
-        first = df.observe(obs, F.count(F.lit(1)).alias("n"))
-        if partition_by:
-            first = cluster_for_partitions(first, partition_by, key)
+        # observe above the range exchange: its sampling job must not be counted
+        first = cluster_for_partitions(df, partition_by, key) if partition_by else df
+        first = first.observe(obs, F.count(F.lit(1)).alias("n"))
         w = first.write.format("parquet").option("path", version_path(spark, table))
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -145,10 +145,10 @@ def _upsert_partitions(spark: SparkSession, df: DataFrame, target: DataFrame, ta
     source = align(df, target)
     touched = source.select(*parts).distinct()
     scoped = target.join(touched, [target[p].eqNullSafe(touched[p]) for p in parts], "left_semi")
-    plan, obs = _observed(merge_plan(scoped, source, key), f"upsert_{table}")
+    clustered = cluster_for_partitions(merge_plan(scoped, source, key), parts, key)
+    plan, obs = _observed(clustered, f"upsert_{table}")
     stage = f"{work_dir(spark)}/stage/{table}/{version_path(spark, table).rsplit('/', 1)[-1]}"
-    cluster_for_partitions(plan.drop(CHANGE), parts, key).write.mode("error") \
-        .partitionBy(*parts).parquet(stage)
+    plan.drop(CHANGE).write.mode("error").partitionBy(*parts).parquet(stage)
     m = obs.get
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

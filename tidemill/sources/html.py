@@ -38,16 +38,17 @@ def holiday_rows(pages: DataFrame, region: str = "region", year: str = "year",
     body = F.coalesce(F.nullif(F.regexp_extract(table, _TBODY, 1), F.lit("")), table)
     rows = pages.select(F.col(region).alias("Region"), F.col(year).alias("_year"),
                         F.posexplode(F.regexp_extract_all(body, F.lit(_ROW), 1)).alias("row_pos", "_tr"))
-    cells = rows.withColumn("_td", F.transform(F.regexp_extract_all("_tr", F.lit(_CELL), 1), strip_tags))
-    kept = cells.where((F.size("_td") >= 4) & F.col("_td")[3].isin(list(HOLIDAY_TYPES)))
+    cells = rows.withColumn("_td", F.regexp_extract_all("_tr", F.lit(_CELL), 1))
+    cell = lambda i: strip_tags(F.col("_td")[i])  # noqa: E731 - only the cells used are cleaned
+    kept = cells.where((F.size("_td") >= 4) & cell(3).isin(list(HOLIDAY_TYPES)))
     mapping = F.create_map(*[x for k, v in HOLIDAY_TYPES.items() for x in (F.lit(k), F.lit(v))])
-    day = F.try_to_timestamp(F.concat_ws(" ", F.col("_td")[1], F.col("_year").cast("string")),
+    day = F.try_to_timestamp(F.concat_ws(" ", cell(1), F.col("_year").cast("string")),
                              F.lit("MMM d yyyy"))
     return kept.select(
         F.date_format(day, "dd-MM-yyyy").alias("Day"),
-        F.col("_td")[2].alias("Name"),
-        mapping[F.col("_td")[3]].alias("Type"),
+        cell(2).alias("Name"),
+        mapping[cell(3)].alias("Type"),
         F.col("Region"),
-        F.when(F.size("_td") > 4, F.col("_td")[4]).otherwise(F.lit("")).alias("Comments"),
+        F.when(F.size("_td") > 4, cell(4)).otherwise(F.lit("")).alias("Comments"),
         F.col("row_pos"),
     )
