@@ -17,7 +17,7 @@ TYPE_NAMES = {
     "int": T.LongType(), "integer": T.LongType(),
     "float": T.DoubleType(), "number": T.DoubleType(),
     "bool": T.BooleanType(), "boolean": T.BooleanType(),
-    "datetime": T.TimestampType(),
+    "datetime": T.TimestampNTZType(),  # naive, like pandas datetime64: no session time zone involved
 }
 
 
@@ -69,11 +69,11 @@ def _convert(df: DataFrame, col: str, target: T.DataType):
             return F.when(c.isNotNull(), c != 0), c.isNotNull() & ~c.isin(0, 1)
         # only real booleans convert; any text value is an error
         return F.lit(None).cast("boolean"), c.isNotNull()
-    if isinstance(target, T.TimestampType):
-        if isinstance(src, (T.DateType, T.TimestampNTZType)):
-            return c.cast("timestamp"), None
+    if isinstance(target, T.TimestampNTZType):
+        if isinstance(src, (T.DateType, T.TimestampType)):
+            return c.cast("timestamp_ntz"), None
         if isinstance(src, T.StringType):
-            return c.try_cast("timestamp"), None
+            return c.try_cast("timestamp_ntz"), None
     raise SchemaError(9, f"conform_types: cannot convert '{col}' from {src.simpleString()} "
                          f"to {target.simpleString()}")
 

@@ -294,7 +294,7 @@ def q_conform_types(spark, sf):
 SELECT * FROM (VALUES
   ('o_orderkey', 'string', 'bigint', 0),
   ('o_custkey', 'int', 'bigint', 0),
-  ('o_orderdate', 'string', 'timestamp', 0),
+  ('o_orderdate', 'string', 'timestamp_ntz', 0),
   ('o_totalprice', 'string', 'double', 0),
   ('priority', 'string', 'bigint', 0),
   ('finished', 'int', 'boolean', 0)) AS v("column", from_type, to_type, nulled)

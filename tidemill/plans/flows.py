@@ -37,12 +37,14 @@ def outlets_dimension(outlets: DataFrame, postcodes: DataFrame, *, rename: Mappi
                       outlet_order: Sequence[str | Column], postcode_order: Sequence[str | Column],
                       location_col: str, size_col: str, size_codes: Mapping[str, int],
                       key: str, expected_types: Mapping[str, str] | None = None,
-                      checks: bool = False) -> DataFrame:
+                      checks: bool = False, postcode_broadcast_rows: int = 1_000_000) -> DataFrame:
     """rename → postcodes FIRST per key → LEFT join → auto codes → fixed codes
     → (null / duplicate reports) → conform types."""
     df = rename_columns(outlets, rename)
     pc = group_by(postcodes, postcode_key, postcode_aggs, order_by=postcode_order)
-    df = join_tables(postcode_key, "LEFT", df, pc)
+    # one row per postcode after the FIRST aggregate: broadcast it when a
+    # bounded count proves it small, else a shuffle join
+    df = join_tables(postcode_key, "LEFT", df, pc, broadcast_right_rows=postcode_broadcast_rows)
     df = category_codes(df, location_col, order_by=outlet_order)
     df = category_codes(df, size_col, cat_map=size_codes)
     _report(null_report(df), "nulls", checks)

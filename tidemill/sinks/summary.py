@@ -18,7 +18,7 @@ from tidemill.sinks.upsert import UpsertReport
 SUMMARY_TABLES = ("table_id int, table_name string, rows long, columns int, last_updated date")
 SUMMARY_LOADS = ("load_id string, table_id int, rows_inserted long, rows_updated long, "
                  "rows_ignored long, updated_at date")
-TABLES_SUMMARY = ("table_id int, table_name string, rows long, flow_name string, last_update timestamp")
+TABLES_SUMMARY = ("table_id int, table_name string, rows long, flow_name string, last_update timestamp_ntz")
 
 
 def _ensure(spark: SparkSession, table: str, schema: str) -> DataFrame:
