@@ -160,3 +160,26 @@ def test_reports(spark):
     df = spark.createDataFrame([(1, None), (1, "a"), (None, "a")], "k int, s string")
     assert {tuple(r) for r in Q.null_report(df).collect()} == {("k", 1), ("s", 1)}
     assert [tuple(r) for r in Q.duplicate_report(df, "k").collect()] == [(1, 2)]
+
+
+def test_bucketed_upsert_shuffles_only_the_source(spark, db):
+    name = f"{db}.b"
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    UP.upsert(c.where("c_mktsegment <> 'AUTOMOBILE'"), name, "c_custkey", buckets=4)
+    assert UP.bucket_spec(spark, name) == (4, ["c_custkey"])
+    src = c.where("c_mktsegment IN ('AUTOMOBILE', 'BUILDING')")
+    plan = UP.merge_plan(spark.table(name), src, "c_custkey")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1  # the source side only
+    rep = UP.upsert(src, name, "c_custkey")
+    assert rep.inserted == c.where("c_mktsegment = 'AUTOMOBILE'").count()
+    assert UP.bucket_spec(spark, name) == (4, ["c_custkey"])
+    assert spark.table(name).count() == c.count()
+
+
+def test_null_key_row_is_matched(spark, db):
+    name = f"{db}.n"
+    UP.upsert(spark.createDataFrame([(None, "a"), (1, "b")], "k long, v string"), name)
+    rep = UP.upsert(spark.createDataFrame([(None, "z")], "k long, v string"), name)
+    assert (rep.updated, rep.retained) == (1, 1)
+    assert {tuple(r) for r in spark.table(name).collect()} == {(None, "z"), (1, "b")}

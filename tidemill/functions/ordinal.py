@@ -57,12 +57,17 @@ def _ranged_numbering(df: DataFrame, order: list[Column], name: str, n: int) ->
 
 def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Sequence[str | Column],
                       name: str, partitions: int | None = None,
-                      hot_rows: int | None = None) -> DataFrame:
+                      hot_rows: int | None = None, cluster: bool = False) -> DataFrame:
     """Add ``name`` = 1-based position of the row among rows with equal ``by``.
 
     ``order_by`` must be a total order within each group (add a unique
     tie-break). Null ``by`` values form one group of their own. With ``by``
     empty, ``name`` is the global position.
+
+    ``cluster=True`` range-partitions the rows on ``by`` instead of hashing
+    them; the numbering window accepts that partitioning, so the output comes
+    out in contiguous key ranges, sorted by ``(by, order_by)`` inside each
+    partition — the layout a date-clustered write wants, from the same shuffle.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -76,10 +81,14 @@ def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Seque
            .where(F.col(_CNT) > limit).select(_KEY).limit(MAX_HOT).collect())
     plain = Window.partitionBy(_KEY).orderBy(*order)
     if not hot:
+        if cluster:
+            keyed = keyed.repartitionByRange(n, F.col(_KEY))
         return keyed.withColumn(name, F.row_number().over(plain).cast("long")).drop(_KEY)
     hot_df = F.broadcast(spark.createDataFrame(hot, keyed.select(_KEY).schema))
     cold = keyed.join(hot_df, _KEY, "left_anti")
     warm = keyed.join(hot_df, _KEY, "left_semi")
+    if cluster:
+        cold = cold.repartitionByRange(n, F.col(_KEY))
     cold_n = cold.withColumn(name, F.row_number().over(plain).cast("long"))
     hot_n = _ranged_numbering(warm, order, name, n)
     return cold_n.unionByName(hot_n.select(*cold_n.columns)).drop(_KEY)

@@ -195,11 +195,13 @@ def key_violations(df: DataFrame, col: str) -> DataFrame:
 
 
 def surrogate_key(df: DataFrame, col: str, order_by: Sequence[str | Column], name: str = "Index",
-                  separator: str = "", validate: bool = True) -> DataFrame:
+                  separator: str = "", validate: bool = True, cluster: bool = False) -> DataFrame:
     """New first column ``name`` = value + 0-based occurrence counter in row order.
 
     ``123, 123, 124, 123 → 1230, 1231, 1240, 1232``. Values must be digits or
     digits with hyphens (code 3). ``order_by`` is the row order (total).
+    ``cluster=True`` leaves the rows range-partitioned by ``col`` (see
+    :func:`occurrence_number`).
     """
     require_frame(df, "surrogate_key")
     require_columns(df, [col], "surrogate_key")
@@ -208,7 +210,7 @@ def surrogate_key(df: DataFrame, col: str, order_by: Sequence[str | Column], nam
         if bad:
             raise KeyFormatError(3, f"surrogate_key: invalid value in '{col}': '{bad[0]['value']}'")
     s = F.col(col).cast("string")
-    out = occurrence_number(df, [s], order_by, "_tm_occ")
+    out = occurrence_number(df, [s], order_by, "_tm_occ", cluster=cluster)
     out = out.withColumn(name, F.concat(s, F.lit(separator), (F.col("_tm_occ") - 1).cast("string")))
     return key_first(out.drop("_tm_occ"), name)
 

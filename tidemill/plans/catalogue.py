@@ -532,7 +532,8 @@ FROM customer""")
 def q_upsert_rows(spark, sf):
     target, source = _upsert_sides(spark, sf)
     name = f"{fresh_database(spark)}.customer"
-    UP.upsert(target, name, "c_custkey")
+    # bucketed by the key: the second load shuffles only the incoming rows
+    UP.upsert(target, name, "c_custkey", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     UP.upsert(source, name, "c_custkey")
     return spark.table(name)
 

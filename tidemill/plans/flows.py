@@ -17,7 +17,6 @@ from tidemill.operators.columns import (category_codes, parse_date, rename_colum
                                         surrogate_key, unique_suffix)
 from tidemill.operators.quality import conform_types, duplicate_report, null_report
 from tidemill.operators.relational import group_by, join_tables
-from tidemill.operators.sort import sort_dates_within
 from tidemill.sinks.summary import record_load, record_table_summary
 from tidemill.sinks.upsert import UpsertReport, upsert
 from tidemill.sources.calendar import create_calendar
@@ -66,12 +65,16 @@ def products_dimension(products: DataFrame, *, key: str, order_by: Sequence[str
 def daily_facts(facts: DataFrame, *, day_col: str, key: str, order_by: Sequence[str | Column],
                 date_format: str = "YYYYMMDD", checks: bool = False) -> DataFrame:
     """(null report) → surrogate key from the day + occurrence → parse the day
-    → cluster by day (range partitions sorted by day, the layout a date-pruned
-    fact table wants) → (duplicate report)."""
+    → sorted by day (range partitions in day order, sorted inside: the layout a
+    date-pruned fact table wants) → (duplicate report).
+
+    The key is numbered on rows range-partitioned by day, so the one shuffle
+    serves both the numbering and the day-ordered layout.
+    """
     _report(null_report(facts), "nulls", checks)
-    df = surrogate_key(facts, day_col, order_by, name=key)
+    df = surrogate_key(facts, day_col, order_by, name=key, cluster=True)
     df = parse_date(df, day_col, date_format)
-    df = sort_dates_within(df, day_col, "ASC", then_by=[key])
+    df = df.sortWithinPartitions(F.col(day_col).asc_nulls_last(), *order_by)
     _report(duplicate_report(df, key), "duplicate keys", checks)
     return df
 

@@ -20,6 +20,7 @@ no hot key; AQE picks broadcast or sort-merge from the runtime sizes.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,17 +79,24 @@ def align(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def merge_plan(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Rows of the merged table plus a ``change`` column (one of ``CLASSES``)."""
+    """Rows of the merged table plus a ``change`` column (one of ``CLASSES``).
+
+    Non-null keys meet in a plain equi-join, so a target bucketed (or already
+    partitioned) by the key is not shuffled; the null key — at most one row per
+    side, since keys are unique — is matched separately.
+    """
     source = align(source, target)
     cols = target.columns
-    rest = [c for c in cols if c != key]
+    ki = cols.index(key)
+    rest = [i for i, c in enumerate(cols) if c != key]
     t = target.select(*[F.col(c).alias(f"t_{i}") for i, c in enumerate(cols)], F.lit(True).alias("t_hit"))
     s = source.select(*[F.col(c).alias(f"s_{i}") for i, c in enumerate(cols)], F.lit(True).alias("s_hit"))
-    ki = cols.index(key)
-    j = t.join(s, F.col(f"t_{ki}").eqNullSafe(F.col(f"s_{ki}")), "full")
-    ri = [cols.index(c) for c in rest]
-    t_vals = F.struct(*[F.col(f"t_{i}") for i in ri]) if ri else F.lit(0)
-    s_vals = F.struct(*[F.col(f"s_{i}") for i in ri]) if ri else F.lit(0)
+    tk, sk = F.col(f"t_{ki}"), F.col(f"s_{ki}")
+    keyed = t.where(tk.isNotNull()).join(s.where(sk.isNotNull()), tk == sk, "full")
+    null_key = t.where(tk.isNull()).join(s.where(sk.isNull()), F.lit(True), "full")
+    j = keyed.unionByName(null_key)
+    t_vals = F.struct(*[F.col(f"t_{i}") for i in rest]) if rest else F.lit(0)
+    s_vals = F.struct(*[F.col(f"s_{i}") for i in rest]) if rest else F.lit(0)
     in_t, in_s = F.col("t_hit").isNotNull(), F.col("s_hit").isNotNull()
     change = (F.when(in_s & ~in_t, F.lit("inserted"))
               .when(in_s & in_t & ~t_vals.eqNullSafe(s_vals), F.lit("updated"))
@@ -108,16 +116,52 @@ def _observed(plan: DataFrame, name: str):
     return plan.observe(obs, *[F.count_if(F.col(CHANGE) == c).alias(c) for c in CLASSES]), obs
 
 
+def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """``(buckets, columns)`` of a bucketed table, else None."""
+    cols = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
+    if not cols:
+        return None
+    info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return int(info["Num Buckets"]), cols
+
+
+def _write_version(df: DataFrame, table: str, buckets: tuple[int, list[str]] | None,
+                   partition_by: list[str] | None = None) -> str:
+    """Write ``df`` to a new version folder (bucketed when asked); return its path."""
+    spark = df.sparkSession
+    path = version_path(spark, table)
+    if not buckets:
+        w = df.write.mode("error").format("parquet")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(path)
+        return path
+    # bucketed files can only be written through the catalog: write them as a
+    # scratch external table, then forget the table and keep the files
+    scratch = f"{table}__v{uuid.uuid4().hex[:8]}"
+    w = df.write.format("parquet").option("path", path).bucketBy(buckets[0], *buckets[1]).sortBy(*buckets[1])
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(scratch)
+    spark.sql(f"DROP TABLE {scratch}")
+    return path
+
+
 def upsert(df: DataFrame, table: str, key: str | None = None,
-           partition_by: list[str] | None = None) -> UpsertReport:
+           partition_by: list[str] | None = None, buckets: int | None = None) -> UpsertReport:
     """Insert new keys, replace changed rows, keep the rest; report the counts.
 
-    ``key`` defaults to the first column. Creates the table on first load.
+    ``key`` defaults to the first column. Creates the table on first load;
+    ``buckets`` (first load only) buckets it by the key, so later loads shuffle
+    only the incoming rows. ``partition_by`` rewrites only the partitions the
+    source touches.
     """
     spark = df.sparkSession
     check_name(table)
     key = key or df.columns[0]
     require_columns(df, [key], "upsert")
+    if buckets and partition_by:
+        raise InputError(1, "upsert: choose buckets or partition_by, not both")
     check_source(df, key)
     if not table_exists(spark, table):
         obs = Observation(f"first_{table}")
@@ -127,13 +171,14 @@ def upsert(df: DataFrame, table: str, key: str | None = None,
         w = first.write.format("parquet").option("path", version_path(spark, table))
         if partition_by:
             w = w.partitionBy(*partition_by)
+        if buckets:
+            w = w.bucketBy(buckets, key).sortBy(key)
         w.saveAsTable(table)
         return UpsertReport(table, int(obs.get["n"]), 0, 0, 0)
     target = spark.table(table)
     if not partition_by:
         plan, obs = _observed(merge_plan(target, df, key), f"upsert_{table}")
-        path = version_path(spark, table)
-        plan.drop(CHANGE).write.mode("error").parquet(path)
+        path = _write_version(plan.drop(CHANGE), table, bucket_spec(spark, table))
         switch_location(spark, table, path)
         m = obs.get
         return UpsertReport(table, m["inserted"], m["updated"], m["ignored"], m["retained"])
