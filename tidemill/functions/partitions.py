@@ -1,0 +1,18 @@
+"""Parallelism helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
+    input partitions than there are cores (e.g. one large row group).
+
+    Meant for CPU-heavy per-row work such as parsing pages; the check only
+    plans the input, and wide inputs are returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

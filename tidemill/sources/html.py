@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.partitions import spread
 from tidemill.functions.text import strip_tags
 from tidemill.operators._checks import require_columns
 from tidemill.operators.holidays import NATIONAL, REGIONAL
@@ -18,7 +19,7 @@ from tidemill.operators.holidays import NATIONAL, REGIONAL
 HOLIDAY_TYPES = {"Public Holiday": NATIONAL, "Regional Holiday": REGIONAL}
 TABLE_CLASS = "country-table"
 
-_TABLE = r'(?is)<table[^>]*class\s*=\s*"[^"]*\b' + TABLE_CLASS + r'\b[^"]*"[^>]*>(.*?)</table>'
+_TABLE = r"(?is)<table\b[^>]*\b" + TABLE_CLASS + r"\b[^>]*>(.*?)</table>"
 _TBODY = r"(?is)<tbody[^>]*>(.*?)</tbody>"
 _ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
 _CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
@@ -36,7 +37,7 @@ def holiday_rows(pages: DataFrame, region: str = "region", year: str = "year",
     require_columns(pages, [region, year, html], "holiday_rows")
     table = F.regexp_extract(F.col(html), _TABLE, 1)
     body = F.coalesce(F.nullif(F.regexp_extract(table, _TBODY, 1), F.lit("")), table)
-    rows = pages.select(F.col(region).alias("Region"), F.col(year).alias("_year"),
+    rows = spread(pages).select(F.col(region).alias("Region"), F.col(year).alias("_year"),
                         F.posexplode(F.regexp_extract_all(body, F.lit(_ROW), 1)).alias("row_pos", "_tr"))
     cells = rows.withColumn("_td", F.regexp_extract_all("_tr", F.lit(_CELL), 1))
     cell = lambda i: strip_tags(F.col("_td")[i])  # noqa: E731 - only the cells used are cleaned
