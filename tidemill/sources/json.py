@@ -81,6 +81,8 @@ def extract_json(spark: SparkSession, path: str, types: Mapping[str, str],
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             raise SourceError(1, f"extract_json: path not found: {path}") from e
         raise SourceError(2, f"extract_json: invalid JSON in {path}: {e}") from e
+    except Exception as e:  # noqa: BLE001 - malformed input surfaces as a job failure during inference
+        raise SourceError(2, f"extract_json: invalid JSON in {path}: {str(e)[:300]}") from e
     if "_corrupt_record" in raw.columns:
         raise SourceError(2, f"extract_json: invalid JSON in {path}")
     return convert(flatten(raw), types)
