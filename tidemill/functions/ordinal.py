@@ -35,6 +35,10 @@ DEFAULT_HOT_ROWS = 2_000_000
 MAX_HOT = 10_000
 
 
+def hot_threshold(spark, hot_rows: int | None = None) -> int:
+    return hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+
+
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -57,7 +61,8 @@ def _ranged_numbering(df: DataFrame, order: list[Column], name: str, n: int) ->
 
 def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Sequence[str | Column],
                       name: str, partitions: int | None = None,
-                      hot_rows: int | None = None, cluster: bool = False) -> DataFrame:
+                      hot_rows: int | None = None, cluster: bool = False,
+                      hot_values: list[tuple] | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of the row among rows with equal ``by``.
 
     ``order_by`` must be a total order within each group (add a unique
@@ -68,6 +73,9 @@ def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Seque
     them; the numbering window accepts that partitioning, so the output comes
     out in contiguous key ranges, sorted by ``(by, order_by)`` inside each
     partition — the layout a date-clustered write wants, from the same shuffle.
+
+    ``hot_values`` (tuples of ``by`` values) skips the hot-key detection job when
+    the caller already found them in an aggregate it runs anyway.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -75,10 +83,12 @@ def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Seque
     if not keys:
         keyed = df.withColumn(_KEY, F.lit(0))
         return _ranged_numbering(keyed, order, name, n).drop(_KEY)
-    limit = hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
     keyed = df.withColumn(_KEY, F.struct(*keys))
-    hot = (keyed.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_CNT))
-           .where(F.col(_CNT) > limit).select(_KEY).limit(MAX_HOT).collect())
+    if hot_values is not None:
+        hot = [(tuple(v),) for v in hot_values[:MAX_HOT]]
+    else:
+        hot = (keyed.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_CNT))
+               .where(F.col(_CNT) > hot_threshold(spark, hot_rows)).select(_KEY).limit(MAX_HOT).collect())
     plain = Window.partitionBy(_KEY).orderBy(*order)
     if not hot:
         if cluster:

@@ -139,6 +139,15 @@ def _raw_text(col: str) -> Column:
     return F.trim(F.col(col).cast("string"))
 
 
+def date_flags(raw: Column, fmt: str) -> tuple[Column, Column, Column]:
+    """Exclusive violation flags in check order: bad length (code 3), non-digit
+    (code 4, only for patterns without literal separators), not a date (9)."""
+    bad_len = raw.isNull() | (F.length(raw) != len(fmt))
+    non_digit = F.lit(False) if dates.has_literals(fmt) else raw.rlike(r"\D")
+    bad_parse = dates.parse_with_pattern(raw, fmt).isNull()
+    return bad_len, ~bad_len & non_digit, ~bad_len & ~non_digit & bad_parse
+
+
 def date_violation_counts(df: DataFrame, col: str, fmt: str = "YYYYMMDD") -> DataFrame:
     """One row: counts and one sample of each violation, in the order checked.
 
@@ -147,12 +156,7 @@ def date_violation_counts(df: DataFrame, col: str, fmt: str = "YYYYMMDD") -> Dat
     """
     require_columns(df, [col], "date_violations")
     raw = _raw_text(col)
-    bad_len = raw.isNull() | (F.length(raw) != len(fmt))
-    non_digit = F.lit(False) if dates.has_literals(fmt) else raw.rlike(r"\D")
-    bad_parse = dates.parse_with_pattern(raw, fmt).isNull()
-    n_len = bad_len
-    n_dig = ~bad_len & non_digit
-    n_parse = ~bad_len & ~non_digit & bad_parse
+    n_len, n_dig, n_parse = date_flags(raw, fmt)
     return df.agg(
         F.count_if(n_len).alias("bad_length"),
         F.min(F.when(n_len, F.coalesce(raw, F.lit("<null>")))).alias("bad_length_sample"),
@@ -163,6 +167,14 @@ def date_violation_counts(df: DataFrame, col: str, fmt: str = "YYYYMMDD") -> Dat
     )
 
 
+def raise_date_violations(counts, col: str, fmt: str) -> None:
+    """Raise for the first violation kind present in a :func:`date_violation_counts` row."""
+    for code, name in ((3, "bad_length"), (4, "non_digit"), (9, "unparseable")):
+        if counts[name]:
+            raise DateFormatError(code, f"parse_date: {counts[name]} values of '{col}' fail "
+                                        f"{name} for {fmt}, e.g. '{counts[name + '_sample']}'")
+
+
 def parse_date(df: DataFrame, col: str, fmt: str = "YYYYMMDD", on_error: str = "raise",
                as_timestamp: bool = False) -> DataFrame:
     """Replace text ``col`` by the date it spells in ``fmt`` (``YYYY YY MM DD`` + literals).
@@ -176,11 +188,7 @@ def parse_date(df: DataFrame, col: str, fmt: str = "YYYYMMDD", on_error: str = "
     if on_error not in ("raise", "null"):
         raise InputError(1, "parse_date: on_error must be 'raise' or 'null'")
     if on_error == "raise":
-        v = date_violation_counts(df, col, fmt).first()
-        for code, name in ((3, "bad_length"), (4, "non_digit"), (9, "unparseable")):
-            if v[name]:
-                raise DateFormatError(code, f"parse_date: {v[name]} values of '{col}' fail "
-                                            f"{name} for {fmt}, e.g. '{v[name + '_sample']}'")
+        raise_date_violations(date_violation_counts(df, col, fmt).first(), col, fmt)
     parsed = dates.parse_with_pattern(_raw_text(col), fmt)
     return df.withColumn(col, parsed if as_timestamp else parsed.cast("date"))
 
@@ -195,13 +203,14 @@ def key_violations(df: DataFrame, col: str) -> DataFrame:
 
 
 def surrogate_key(df: DataFrame, col: str, order_by: Sequence[str | Column], name: str = "Index",
-                  separator: str = "", validate: bool = True, cluster: bool = False) -> DataFrame:
+                  separator: str = "", validate: bool = True, cluster: bool = False,
+                  hot_values: list[tuple] | None = None) -> DataFrame:
     """New first column ``name`` = value + 0-based occurrence counter in row order.
 
     ``123, 123, 124, 123 → 1230, 1231, 1240, 1232``. Values must be digits or
     digits with hyphens (code 3). ``order_by`` is the row order (total).
-    ``cluster=True`` leaves the rows range-partitioned by ``col`` (see
-    :func:`occurrence_number`).
+    ``cluster=True`` leaves the rows range-partitioned by ``col``;
+    ``hot_values`` passes hot keys already known (see :func:`occurrence_number`).
     """
     require_frame(df, "surrogate_key")
     require_columns(df, [col], "surrogate_key")
@@ -210,7 +219,7 @@ def surrogate_key(df: DataFrame, col: str, order_by: Sequence[str | Column], nam
         if bad:
             raise KeyFormatError(3, f"surrogate_key: invalid value in '{col}': '{bad[0]['value']}'")
     s = F.col(col).cast("string")
-    out = occurrence_number(df, [s], order_by, "_tm_occ", cluster=cluster)
+    out = occurrence_number(df, [s], order_by, "_tm_occ", cluster=cluster, hot_values=hot_values)
     out = out.withColumn(name, F.concat(s, F.lit(separator), (F.col("_tm_occ") - 1).cast("string")))
     return key_first(out.drop("_tm_occ"), name)
 
