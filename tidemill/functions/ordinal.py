@@ -43,10 +43,16 @@ def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def _ranged_numbering(df: DataFrame, order: list[Column], name: str, n: int) -> DataFrame:
+def _by_range(df: DataFrame, n: int | None, *cols: Column) -> DataFrame:
+    """Range-partition; without an explicit count AQE may merge small adjacent
+    partitions (ranges stay contiguous and ordered)."""
+    return df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
+
+
+def _ranged_numbering(df: DataFrame, order: list[Column], name: str, n: int | None) -> DataFrame:
     """Number rows within ``_tm_key`` through range partitions (see module doc)."""
     work_dir(df.sparkSession)  # make sure a shared checkpoint folder is set
-    ranged = (df.repartitionByRange(n, F.col(_KEY), *order)
+    ranged = (_by_range(df, n, F.col(_KEY), *order)
               .withColumn(_PID, F.spark_partition_id())
               .checkpoint(eager=True))
     piece = Window.partitionBy(_PID, _KEY).orderBy(*order)
@@ -78,7 +84,7 @@ def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Seque
     the caller already found them in an aggregate it runs anyway.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions
     keys, order = _as_cols(by), _as_cols(order_by)
     if not keys:
         keyed = df.withColumn(_KEY, F.lit(0))
@@ -92,13 +98,13 @@ def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Seque
     plain = Window.partitionBy(_KEY).orderBy(*order)
     if not hot:
         if cluster:
-            keyed = keyed.repartitionByRange(n, F.col(_KEY))
+            keyed = _by_range(keyed, n, F.col(_KEY))
         return keyed.withColumn(name, F.row_number().over(plain).cast("long")).drop(_KEY)
     hot_df = F.broadcast(spark.createDataFrame(hot, keyed.select(_KEY).schema))
     cold = keyed.join(hot_df, _KEY, "left_anti")
     warm = keyed.join(hot_df, _KEY, "left_semi")
     if cluster:
-        cold = cold.repartitionByRange(n, F.col(_KEY))
+        cold = _by_range(cold, n, F.col(_KEY))
     cold_n = cold.withColumn(name, F.row_number().over(plain).cast("long"))
     hot_n = _ranged_numbering(warm, order, name, n)
     return cold_n.unionByName(hot_n.select(*cold_n.columns)).drop(_KEY)
