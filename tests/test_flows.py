@@ -45,3 +45,40 @@ def test_daily_facts_hot_day_path(spark):
     ref = df.withColumn("n", F.row_number().over(Window.partitionBy("day").orderBy("id")) - 1)
     exp = {(r["id"], f"{r['day']}{r['n']}") for r in ref.collect()}
     assert got == exp
+
+
+def test_load_records_metadata(spark, db):
+    import datetime as dt2
+    df = flows.daily_facts(_facts(spark, [20150102, 20150102, 20150101]), day_col="day", key="sales_ID",
+                           order_by=["id"])
+    rep = flows.load(df.select("sales_ID", "day", "id"), f"{db}.sales_day", 3, "sales_ID",
+                     summary_table=f"{db}.summary_tables", loads_table=f"{db}.summary_loads",
+                     as_of=dt2.date(2025, 1, 1))
+    assert rep.inserted == 3
+    s = spark.table(f"{db}.summary_tables").first()
+    assert (s["table_id"], s["table_name"], s["rows"], s["columns"]) == (3, "sales_day", 3, 3)
+    rep2 = flows.load(df.select("sales_ID", "day", "id"), f"{db}.sales_day", 3, "sales_ID",
+                      summary_table=f"{db}.summary_tables", loads_table=f"{db}.summary_loads",
+                      as_of=dt2.date(2025, 1, 1))
+    assert rep2.ignored == 3
+    ids = sorted(r["load_id"] for r in spark.table(f"{db}.summary_loads").collect())
+    assert ids == ["20250101-1", "20250101-2"]
+    assert spark.table(f"{db}.summary_tables").count() == 1
+
+
+def test_settings_file(tmp_path):
+    import json
+    from tidemill.plans.settings import CalendarSettings, FactSettings, load_settings
+    p = tmp_path / "settings.json"
+    p.write_text(json.dumps({"flows": {
+        "sales": {"table_name": "sales_day", "table_id": 3, "key": "sales_ID", "day_col": "Sales_DAY"},
+        "calendar": {"start": "01-01-2015", "end": "31-12-2015"}}}))
+    got = load_settings(str(p))
+    assert got["sales"] == FactSettings("sales_day", 3, "sales_ID", "Sales_DAY")
+    assert isinstance(got["calendar"], CalendarSettings) and got["calendar"].end == "31-12-2015"
+
+
+def test_failure_context(spark):
+    from tidemill.errors import failure_context
+    text = failure_context(spark.range(100))
+    assert "id:bigint" in text and text.count("'id'") == 5

@@ -62,3 +62,12 @@ class SourceError(PipelineError):
 
 class TableError(PipelineError):
     """Target table missing or in an unexpected state."""
+
+
+def failure_context(df, rows: int = 5) -> str:
+    """What to log next to a failure: the schema and the first ``rows`` rows.
+
+    Only ``rows`` rows reach the driver (a ``limit``), whatever the frame's size.
+    """
+    head = [r.asDict() for r in df.limit(rows).collect()]
+    return f"schema: {df.schema.simpleString()}\nfirst {rows} rows: {head}"

@@ -59,3 +59,8 @@ def merge_holidays(entries: DataFrame, order_by: Sequence[str | Column],
         F.when(F.col("national"), F.array_join("comments", COMMENT_SEPARATOR))
         .otherwise(F.array_join(F.concat(others, F.col("comments")), COMMENT_SEPARATOR)).alias(comments),
     )
+
+
+def in_day_order(merged: DataFrame, day: str = "Day") -> DataFrame:
+    """Sort merged holidays by their ``DD-MM-YYYY`` day as a date (for the JSON file)."""
+    return merged.orderBy(F.to_date(F.col(day), "dd-MM-yyyy"))

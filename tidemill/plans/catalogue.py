@@ -18,7 +18,7 @@ from tidemill.operators import columns as C
 from tidemill.operators import quality as Q
 from tidemill.operators import relational as R
 from tidemill.operators import sort as S
-from tidemill.operators.holidays import merge_holidays
+from tidemill.operators.holidays import in_day_order, merge_holidays
 from tidemill.plans import flows
 from tidemill.session import fresh_path, work_dir
 from tidemill.sinks import summary as SM
@@ -452,7 +452,7 @@ def q_holiday_merge(spark, sf):
 @query("holiday_json_roundtrip", HOLIDAY_SQL + "\nSELECT * FROM merged")
 def q_holiday_json_roundtrip(spark, sf):
     path = fresh_path(spark, "holidays")
-    write_json(merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"]), path)
+    write_json(in_day_order(merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"])), path)
     return extract_json(spark, path, {"Day": "str", "Name": "str", "Type": "str", "Region": "str",
                                       "Comments": "str"}, multi_line=False)
 
@@ -778,7 +778,7 @@ SELECT CAST(coalesce(cal."Day", strptime(m."Day", '%d-%m-%Y')) AS TIMESTAMP) AS
 FROM cal FULL JOIN merged m ON cal."Day" = CAST(strptime(m."Day", '%d-%m-%Y') AS DATE)""")
 def q_flow_calendar(spark, sf):
     path = fresh_path(spark, "holidays")
-    write_json(merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"]), path)
+    write_json(in_day_order(merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"])), path)
     holidays = extract_json(spark, path, HOLIDAY_JSON_TYPES, multi_line=False)
     years = table(spark, sf, "events").agg(F.min(F.year("ts")).alias("a"), F.max(F.year("ts")).alias("b")).first()
     return flows.calendar_dimension(holidays, start=f"01-01-{years['a']}", end=f"31-12-{years['b']}",
