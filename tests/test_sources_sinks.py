@@ -183,3 +183,17 @@ def test_null_key_row_is_matched(spark, db):
     rep = UP.upsert(spark.createDataFrame([(None, "z")], "k long, v string"), name)
     assert (rep.updated, rep.retained) == (1, 1)
     assert {tuple(r) for r in spark.table(name).collect()} == {(None, "z"), (1, "b")}
+
+
+def test_json_conversion_failure_is_code_9(spark):
+    path = _write_text(spark, '[{"n": "12"}, {"n": "x"}]')
+    with pytest.raises(SourceError) as e:
+        extract_json(spark, path, {"n": "int"})
+    assert e.value.code == 9
+    assert [r["n"] for r in extract_json(spark, path, {"n": "int"}, strict=False).collect()] == [12, None]
+
+
+def test_create_table_rejects_empty(spark, db):
+    from tidemill.errors import InputError
+    with pytest.raises(InputError):
+        TB.create_table(spark.createDataFrame([], "k long"), f"{db}.empty")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.errors import InputError
-from tidemill.sinks.tables import check_name, create_table, replace_table, table_exists
+from tidemill.sinks.tables import check_name, replace_table, table_exists, version_path
 from tidemill.sinks.upsert import UpsertReport
 
 SUMMARY_TABLES = ("table_id int, table_name string, rows long, columns int, last_updated date")
@@ -23,7 +23,8 @@ TABLES_SUMMARY = ("table_id int, table_name string, rows long, flow_name string,
 
 def _ensure(spark: SparkSession, table: str, schema: str) -> DataFrame:
     if not table_exists(spark, table):
-        create_table(spark.createDataFrame([], schema), table)
+        spark.createDataFrame([], schema).write.format("parquet") \
+            .option("path", version_path(spark, table)).saveAsTable(table)
     return spark.table(table)
 
 

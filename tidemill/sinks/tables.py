@@ -44,6 +44,8 @@ def create_table(df: DataFrame, table: str, partition_by: list[str] | None = Non
     """Drop, create and load ``table`` from ``df``; return the first rows as a preview."""
     spark = df.sparkSession
     check_name(table)
+    if df.isEmpty():
+        raise InputError(1, f"create_table: nothing to load into {table}")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     if partition_by:
         df = df.repartitionByRange(*[F.col(p) for p in partition_by])

@@ -64,11 +64,16 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def check_source(df: DataFrame, key: str, sample: int = 20) -> None:
-    if df.isEmpty():
+    """Non-empty and unique by key — one aggregate job (per-key counts, partially
+    aggregated, then summed); a bounded sample of duplicates only on failure."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+    stats = per_key.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
+                        F.count_if(F.col("copies") > 1).alias("dup_keys")).first()
+    if not stats["rows"]:
         raise InputError(1, "upsert: source frame is empty")
-    dups = duplicate_keys(df, key).limit(sample).collect()
-    if dups:
-        raise DuplicateKeyError(2, f"upsert: duplicate keys in source, e.g. {[r[0] for r in dups]}")
+    if stats["dup_keys"]:
+        dups = [r[0] for r in per_key.where(F.col("copies") > 1).limit(sample).collect()]
+        raise DuplicateKeyError(2, f"upsert: {stats['dup_keys']} duplicate keys in source, e.g. {dups}")
 
 
 def align(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.errors import AnalysisException
 from tidemill.errors import SourceError
 from tidemill.functions.text import digits_only, json_text
 
+log = logging.getLogger(__name__)
+
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested struct fields → top-level columns named ``a.b.c`` (all depths)."""
@@ -29,44 +32,57 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*cols)
 
 
-def convert(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+def convert(df: DataFrame, types: Mapping[str, str], strict: bool = True) -> DataFrame:
     """Select ``types`` keys in order and convert each column.
 
     str/string/object: text, lists joined by ``" , "``; date: digits only,
-    empty → null; int/integer, float/double: strict cast (ANSI raises on bad
-    text); bool/boolean: JSON booleans, 0/1; anything else kept as is.
+    empty → null (a warning: use ``parse_date`` for real dates); int/integer,
+    float/double: numbers; bool/boolean: JSON booleans, 0/1; anything else
+    kept as is. ``strict`` checks every value can convert with one aggregate
+    and raises code 9 naming the columns that cannot.
     """
     missing = [c for c in types if c not in df.columns]
     if missing:
         raise SourceError(3, f"extract_json: columns not found: {missing}")
-    out = []
+    out, bad = [], {}
     for c, t in types.items():
         col, dt, tl = F.col(f"`{c}`"), df.schema[c].dataType, str(t).lower()
         if tl in ("str", "string", "object"):
             e = json_text(col, isinstance(dt, T.ArrayType))
         elif tl == "date":
+            log.warning("extract_json: '%s' kept as digits only; parse it with parse_date", c)
             e = digits_only(json_text(col, isinstance(dt, T.ArrayType)))
-        elif tl in ("int", "integer"):
-            e = col.cast("long")
-        elif tl in ("float", "double"):
-            e = col.cast("double")
+        elif tl in ("int", "integer", "float", "double"):
+            target = "long" if tl in ("int", "integer") else "double"
+            e = col.try_cast(target)
+            bad[c] = col.isNotNull() & e.isNull()
+            if target == "long" and isinstance(dt, (T.DoubleType, T.FloatType)):
+                e = F.when(col == F.floor(col), col.cast("long"))
+                bad[c] = col.isNotNull() & e.isNull()
         elif tl in ("bool", "boolean"):
             if isinstance(dt, T.BooleanType):
                 e = col
             elif isinstance(dt, (T.LongType, T.IntegerType, T.DoubleType)):
-                e = F.when(col.isNull() | col.isin(0, 1), col != 0) \
-                    .otherwise(F.raise_error(F.lit(f"extract_json: '{c}' is not 0/1")))
+                e = F.when(col.isin(0, 1), col != 0)
+                bad[c] = col.isNotNull() & e.isNull()
             else:
-                e = F.when(col.isNull(), F.lit(None).cast("boolean")) \
-                    .otherwise(F.raise_error(F.lit(f"extract_json: '{c}' holds text, not booleans")))
+                e = F.lit(None).cast("boolean")
+                bad[c] = col.isNotNull()
         else:
+            log.warning("extract_json: unknown type %r for '%s'; kept as is", t, c)
             e = col
         out.append(e.alias(c))
+    if strict and bad:
+        row = df.agg(*[F.count_if(b).alias(c) for c, b in bad.items()]).first()
+        failed = {c: row[c] for c in bad if row[c]}
+        if failed:
+            raise SourceError(9, f"extract_json: values that cannot convert: {failed}")
     return df.select(*out)
 
 
 def extract_json(spark: SparkSession, path: str, types: Mapping[str, str],
-                 multi_line: bool = True, schema: T.StructType | str | None = None) -> DataFrame:
+                 multi_line: bool = True, schema: T.StructType | str | None = None,
+                 strict: bool = True) -> DataFrame:
     """Read JSON, flatten nested objects to dotted names, select and convert.
 
     ``multi_line=True`` reads whole-file JSON (an array of objects; one task per
@@ -85,4 +101,4 @@ def extract_json(spark: SparkSession, path: str, types: Mapping[str, str],
         raise SourceError(2, f"extract_json: invalid JSON in {path}: {str(e)[:300]}") from e
     if "_corrupt_record" in raw.columns:
         raise SourceError(2, f"extract_json: invalid JSON in {path}")
-    return convert(flatten(raw), types)
+    return convert(flatten(raw), types, strict=strict)
