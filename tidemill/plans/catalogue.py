@@ -407,14 +407,16 @@ def q_group_by_first_last(spark, sf):
 
 def _holiday_entries(spark, sf) -> DataFrame:
     """Events read as holiday entries: the day, the event type as the name, the
-    user as the region; a large error is national; signups carry a comment."""
+    event's ``k`` property as the region; a large error is national; signups
+    carry a comment. Names (5), regions and comments (100 each) come from small
+    domains, so each merged day stays small at any scale."""
     e = table(spark, sf, "events")
     return e.select(
         F.date_format("ts", "dd-MM-yyyy").alias("Day"),
         F.col("event_type").alias("Name"),
         F.when((F.col("event_type") == "error") & (F.col("value") >= 300), F.lit("Nacional"))
         .otherwise(F.lit("Regional")).alias("Type"),
-        F.col("user_id").cast("string").alias("Region"),
+        F.concat(F.lit("R"), F.get_json_object("props", "$.k")).alias("Region"),
         F.when(F.col("event_type") == "signup", F.concat(F.lit("k"), F.get_json_object("props", "$.k")))
         .otherwise(F.lit("")).alias("Comments"),
         "ts", "event_id")
@@ -424,7 +426,7 @@ HOLIDAY_SQL = """
 WITH e AS (
   SELECT strftime(ts, '%d-%m-%Y') AS d, event_type AS n,
          CASE WHEN event_type = 'error' AND value >= 300 THEN 'Nacional' ELSE 'Regional' END AS t,
-         CAST(user_id AS VARCHAR) AS r,
+         'R' || CAST(json_extract(props, '$.k') AS VARCHAR) AS r,
          CASE WHEN event_type = 'signup' THEN 'k' || CAST(json_extract(props, '$.k') AS VARCHAR) ELSE '' END AS c,
          row_number() OVER (ORDER BY ts, event_id) AS o
   FROM events),
