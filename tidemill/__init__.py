@@ -3,11 +3,11 @@
 Every operator is ``DataFrame -> DataFrame`` (usable with ``df.transform``) and is
 expressed with built-in Spark SQL functions, so Catalyst can push filters and
 prune columns into the scans and whole-stage codegen can fuse the expressions.
-Failures raise :class:`tidemill.errors.PipelineError` subclasses carrying the
+Failures raise :class:`tidemill.errors.StepError` subclasses carrying the
 numeric code of the original step.
 """
 
-from tidemill.errors import PipelineError  # noqa: F401
+from tidemill.errors import StepError  # noqa: F401
 from tidemill.session import get_spark, work_dir  # noqa: F401
 
-__all__ = ["PipelineError", "get_spark", "work_dir"]
+__all__ = ["StepError", "get_spark", "work_dir"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-class PipelineError(Exception):
+class StepError(Exception):
     """Base error: ``code`` is the step's documented failure code."""
 
     def __init__(self, code: int, message: str):
@@ -12,55 +12,55 @@ class PipelineError(Exception):
         self.message = message
 
 
-class InputError(PipelineError):
+class InputError(StepError):
     """Bad arguments or empty input (code 1)."""
 
 
-class MissingColumnError(PipelineError):
+class MissingColumnError(StepError):
     """Referenced columns do not exist (code 2 unless stated)."""
 
 
-class SchemaError(PipelineError):
+class SchemaError(StepError):
     """Column set or type does not match what was declared."""
 
 
-class DateFormatError(PipelineError):
+class DateFormatError(StepError):
     """Text that does not parse as a date with the given pattern (3, 4, 9)."""
 
 
-class KeyFormatError(PipelineError):
+class KeyFormatError(StepError):
     """Values that cannot form a surrogate key (code 3)."""
 
 
-class CategoryError(PipelineError):
+class CategoryError(StepError):
     """Category map mismatch (4) or too many categories (5)."""
 
 
-class DuplicateKeyError(PipelineError):
+class DuplicateKeyError(StepError):
     """Duplicate keys in a frame that must be unique by key."""
 
 
-class ViewError(PipelineError):
+class ViewError(StepError):
     """View creation failed: bad name (5), syntax (3), other (4)."""
 
 
-class AggregationError(PipelineError):
+class AggregationError(StepError):
     """Unknown aggregate (3) or numeric aggregate on a non-numeric column (4)."""
 
 
-class JoinError(PipelineError):
+class JoinError(StepError):
     """Missing key (1), bad join type (2), key types differ (4)."""
 
 
-class SortError(PipelineError):
+class SortError(StepError):
     """Bad order (3) or non-date column (4)."""
 
 
-class SourceError(PipelineError):
+class SourceError(StepError):
     """Missing path (1), unreadable/empty (2), missing columns (3), other (9)."""
 
 
-class TableError(PipelineError):
+class TableError(StepError):
     """Target table missing or in an unexpected state."""
 
 

@@ -47,14 +47,15 @@ class UpsertReport:
         return (self.table, self.inserted, self.updated, self.ignored, self.retained)
 
 
-def cluster_for_partitions(df: DataFrame, parts: list[str], key: str) -> DataFrame:
-    """Range-cluster rows on (partition columns, key) before a partitioned write.
+def cluster_for_partitions(df: DataFrame, parts: list[str], key: str | None = None) -> DataFrame:
+    """Group rows by partition value before a partitioned write.
 
-    Each task then holds a contiguous run of partition values, so a partition
-    gets one file (or a few, when it is large enough to be split by key)
-    instead of one per task; a hot partition value is split on the key.
+    The ``rebalance`` hint hash-partitions on the partition columns and lets
+    AQE split a hot partition value over several tasks and merge small ones —
+    about one file per partition instead of one per task, no task holding a
+    whole hot day, and no extra sampling pass over the (merge) plan.
     """
-    return df.repartitionByRange(*[F.col(p) for p in parts], F.col(key))
+    return df.hint("rebalance", *parts)
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
