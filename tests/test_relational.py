@@ -68,3 +68,14 @@ def test_occurrence_number_hot_path_matches_window(spark):
     got = occurrence_number(df, ["k"], ["id"], "n", hot_rows=100)
     assert got.join(ref, ["id", "k"]).where("n != m").count() == 0
     assert got.count() == 3000
+
+
+def test_hot_key_is_spread_over_several_tasks(spark):
+    """A key holding a third of the rows: range bounds sampled on (key, order)
+    place its rows in several partitions, which the hot path relies on."""
+    from pyspark.sql import functions as F
+    df = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                  .otherwise(F.col("id").cast("string")).alias("k"))
+    ranged = df.repartitionByRange(8, F.struct("k"), "id").withColumn("pid", F.spark_partition_id())
+    spread = ranged.where(F.col("k") == "hot").select("pid").distinct().count()
+    assert spread >= 3

@@ -197,3 +197,14 @@ def test_create_table_rejects_empty(spark, db):
     from tidemill.errors import InputError
     with pytest.raises(InputError):
         TB.create_table(spark.createDataFrame([], "k long"), f"{db}.empty")
+
+
+def test_file_row_order_drives_order_dependent_operators(spark):
+    from tidemill.operators import columns as C
+    from tidemill.sources.csv import with_row_order
+    base = fresh_path(spark, "csvorder")
+    for part, text in (("a", "v;n\nb;1\nnull;2\na;3"), ("b", "v;n\nb;4\nc;5")):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{base}/{part}")
+    df = with_row_order(extract_csv(spark, f"{base}/*"))
+    codes = {r["n"]: r["v_num"] for r in C.category_codes(df, "v", order_by=["_row"]).collect()}
+    assert codes == {1: 1, 2: 0, 3: 2, 4: 1, 5: 3}  # b, a, c by first appearance; null → 0

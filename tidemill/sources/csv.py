@@ -70,3 +70,18 @@ def extract_csv(spark: SparkSession, path: str, delimiter: str = ";",
 
 def write_csv(df: DataFrame, path: str, delimiter: str = ";") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", delimiter).csv(path)
+
+
+def with_row_order(df: DataFrame, name: str = "_row") -> DataFrame:
+    """Add ``name``, a total order equal to the order rows appear in the files.
+
+    Apply directly after a file scan, before anything shuffles: the value is
+    (file path, start of the file split, position inside the split), so it
+    follows the text order of every file. Operators that depend on row order
+    (FIRST/LAST, automatic category codes, surrogate counters, duplicate
+    suffixes) take it as ``order_by=[name]``.
+    """
+    return df.withColumn(name, F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos")))
