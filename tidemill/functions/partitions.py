@@ -12,7 +12,9 @@ def spread(df: DataFrame) -> DataFrame:
     Meant for CPU-heavy per-row work such as parsing pages; the check only
     plans the input, and wide inputs are returned unchanged.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the input as it is
+        return df
+    return df.repartition(cores) if narrow else df

@@ -49,7 +49,13 @@ def work_dir(spark: SparkSession) -> str:
     fresh one only where none is configured.
     """
     with _lock:
-        sc = spark.sparkContext
+        try:
+            sc = spark.sparkContext
+        except Exception:  # noqa: BLE001 - Spark Connect sessions expose no context
+            d = spark.conf.get("spark.checkpoint.dir", None)
+            if not d:
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+            return d.rstrip("/")
         d = sc.getCheckpointDir()
         if not d:
             d = sc.getConf().get("spark.checkpoint.dir", None)
