@@ -27,9 +27,10 @@ from tidemill.sinks import upsert as UP
 from tidemill.sinks.json import write_json
 from tidemill.sinks.views import create_views
 from tidemill.sources.calendar import create_calendar
-from tidemill.sources.csv import extract_csv, write_csv
+from tidemill.sources.csv import extract_csv, with_row_order, write_csv
 from tidemill.sources.html import holiday_rows
 from tidemill.sources.json import extract_json
+from tidemill.streaming import latest_per_key
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -107,6 +108,32 @@ def q_json_digits_date(spark, sf):
     return extract_json(spark, path, {"o_orderkey": "int", "day": "date"}, multi_line=False)
 
 
+@query("csv_declared_schema", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, nullif(c_mktsegment, 'HOUSEHOLD') AS c_mktsegment
+FROM customer""")
+def q_csv_declared_schema(spark, sf):
+    """Declared schema (no inference pass); a missing-value token becomes null."""
+    path = fresh_path(spark, "csv")
+    c = table(spark, sf, "customer")
+    write_csv(c.withColumn("c_mktsegment", F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("NA"))
+                           .otherwise(F.col("c_mktsegment"))), path)
+    return extract_csv(spark, path, ";", schema=c.schema)
+
+
+@query("cat_to_num_file_order", """
+WITH f AS (SELECT c_mktsegment, min(c_custkey) AS k FROM customer GROUP BY c_mktsegment),
+r AS (SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY k) AS BIGINT) AS code FROM f)
+SELECT c.c_custkey, c.c_mktsegment, r.code AS c_mktsegment_num
+FROM customer c JOIN r USING (c_mktsegment)""")
+def q_cat_to_num_file_order(spark, sf):
+    """Codes by first appearance in file order: the file is written in key
+    order and read back with the file row order attached after the scan."""
+    path = fresh_path(spark, "csv")
+    write_csv(table(spark, sf, "customer").select("c_custkey", "c_mktsegment").orderBy("c_custkey"), path)
+    df = with_row_order(extract_csv(spark, path, ";"))
+    return C.category_codes(df, "c_mktsegment", order_by=["_row"]).drop("_row")
+
+
 def _order_pages(spark, sf) -> DataFrame:
     """One stored page per order: a holiday table built from the order's fields.
 
@@ -189,6 +216,13 @@ def q_cat_to_num_auto(spark, sf):
     return C.category_codes(p, "p_type", order_by=["p_partkey"])
 
 
+@query("category_mapping", """
+WITH f AS (SELECT p_type, min(p_partkey) AS k FROM part GROUP BY p_type)
+SELECT p_type AS value, CAST(row_number() OVER (ORDER BY k) AS BIGINT) AS code FROM f""")
+def q_category_mapping(spark, sf):
+    return C.category_mapping(table(spark, sf, "part"), "p_type", ["p_partkey"])
+
+
 PRIORITY_CODES = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "5-LOW": 5}
 
 
@@ -218,6 +252,13 @@ def q_fill_nulls(spark, sf):
     return C.fill_nulls(c, "c_acctbal")
 
 
+@query("fill_count", """
+SELECT count(*) FILTER (WHERE c_mktsegment IS NULL OR c_mktsegment IN ('BUILDING', 'MACHINERY')) AS replaced
+FROM customer""")
+def q_fill_count(spark, sf):
+    return C.fill_count(table(spark, sf, "customer"), "c_mktsegment", ["BUILDING", "MACHINERY"])
+
+
 @query("parse_date", """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders""")
 def q_parse_date(spark, sf):
@@ -785,3 +826,13 @@ def q_flow_calendar(spark, sf):
     years = table(spark, sf, "events").agg(F.min(F.year("ts")).alias("a"), F.max(F.year("ts")).alias("b")).first()
     return flows.calendar_dimension(holidays, start=f"01-01-{years['a']}", end=f"31-12-{years['b']}",
                                     expected_types=CALENDAR_TYPES)
+
+
+
+@query("latest_per_key", """
+SELECT user_id, arg_max(event_id, ts) AS event_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type
+FROM events GROUP BY user_id""")
+def q_latest_per_key(spark, sf):
+    """The micro-batch reduction of the streaming upsert: latest event per user."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
+    return latest_per_key(e, "user_id", ["ts", "event_id"])
