@@ -121,3 +121,11 @@ def test_rename(spark):
     with pytest.raises(InputError) as e:
         C.rename_columns(df, {"a": " "})
     assert e.value.code == 3
+
+
+def test_category_codes_on_long_column(spark):
+    df = spark.createDataFrame([(0, 5_000_000_000), (1, 7), (2, None)], "ord int, v long")
+    out = C.category_codes(df, "v", order_by=["ord"]).orderBy("ord")
+    assert [r["v_num"] for r in out.collect()] == [1, 2, 0]
+    fixed = C.category_codes(df, "v", cat_map={5_000_000_000: 9, 7: 3}).orderBy("ord")
+    assert [r["v_num"] for r in fixed.collect()] == [9, 3, 0]

@@ -208,3 +208,11 @@ def test_file_row_order_drives_order_dependent_operators(spark):
     df = with_row_order(extract_csv(spark, f"{base}/*"))
     codes = {r["n"]: r["v_num"] for r in C.category_codes(df, "v", order_by=["_row"]).collect()}
     assert codes == {1: 1, 2: 0, 3: 2, 4: 1, 5: 3}  # b, a, c by first appearance; null → 0
+
+
+def test_reports_on_dotted_names(spark):
+    path = _write_text(spark, '[{"o": {"k": 1}}, {"o": {"k": null}}, {"o": {"k": 1}}]')
+    df = extract_json(spark, path, {"o.k": "int"})
+    assert [tuple(r) for r in Q.null_report(df).collect()] == [("o.k", 1)]
+    assert [tuple(r) for r in Q.duplicate_report(df, "o.k").collect()] == [(1, 2)]
+    assert Q.conform_types(df, {"o.k": "float"}).columns == ["o.k"]

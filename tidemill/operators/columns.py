@@ -62,7 +62,8 @@ def category_mapping(df: DataFrame, col: str, order_by: Sequence[str | Column])
     rows = firsts.limit(MAX_CATEGORIES + 1).collect()
     if len(rows) > MAX_CATEGORIES:
         raise CategoryError(5, f"category_codes: more than {MAX_CATEGORIES} distinct values in '{col}'")
-    rows.sort(key=lambda r: tuple(r["_first"]))
+    # nulls first, as Spark orders them (at most 99 rows, sorted on the driver)
+    rows.sort(key=lambda r: tuple((v is not None, v) for v in r["_first"]))
     schema = T.StructType([T.StructField("value", df.schema[col].dataType),
                            T.StructField("code", T.LongType(), False)])
     return df.sparkSession.createDataFrame([(r["value"], i + 1) for i, r in enumerate(rows)], schema)
@@ -107,7 +108,9 @@ def category_codes(df: DataFrame, col: str, cat_map: Mapping[Any, int] | None =
             raise CategoryError(5, f"category_codes: stored mapping has more than {MAX_CATEGORIES} entries")
     if not pairs:
         return df.withColumn(f"{col}_num", F.lit(0).cast("long"))
-    lookup = F.create_map(*[x for k, v in pairs for x in (F.lit(k), F.lit(int(v)).cast("long"))])
+    key_type = df.schema[col].dataType
+    lookup = F.create_map(*[x for k, v in pairs
+                            for x in (F.lit(k).cast(key_type), F.lit(int(v)).cast("long"))])
     return df.withColumn(f"{col}_num", F.coalesce(lookup[F.col(col)], F.lit(0).cast("long")))
 
 

@@ -21,18 +21,24 @@ TYPE_NAMES = {
 }
 
 
+def _col(name: str):
+    """A column by exact name (names from flattened JSON contain dots)."""
+    return F.col(f"`{name}`")
+
+
 def null_report(df: DataFrame) -> DataFrame:
     """``(column, nulls)`` for every column holding nulls — one aggregate pass."""
     require_frame(df, "null_report")
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    long_form = counts.unpivot([], df.columns, "column", "nulls")
+    counts = df.agg(*[F.count_if(_col(c).isNull()).alias(c) for c in df.columns])
+    pairs = [F.struct(F.lit(c).alias("column"), _col(c).alias("nulls")) for c in df.columns]
+    long_form = counts.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
     return long_form.where(F.col("nulls") > 0)
 
 
 def duplicate_report(df: DataFrame, col: str) -> DataFrame:
     """``(value, copies)`` for non-null values present more than once."""
     require_columns(df, [col], "duplicate_report")
-    return (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value"))
+    return (df.where(_col(col).isNotNull()).groupBy(_col(col).alias("value"))
             .agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1))
 
 
@@ -46,7 +52,7 @@ def _target(name: str) -> T.DataType:
 def _convert(df: DataFrame, col: str, target: T.DataType):
     """Return (expression, error_condition or None) converting ``col`` to ``target``."""
     src = df.schema[col].dataType
-    c = F.col(col)
+    c = _col(col)
     if src == target:
         return c, None
     if isinstance(target, T.StringType):
@@ -56,6 +62,7 @@ def _convert(df: DataFrame, col: str, target: T.DataType):
             return c.cast("long"), None
         if isinstance(src, NUMERIC) or isinstance(src, T.StringType):
             d = (c.cast("string") if isinstance(src, T.StringType) else c).try_cast("double")
+            d = F.when(~F.isnan(d), d)  # NaN is missing, as in pandas
             # pandas refuses to turn a fractional number into an integer
             bad = d.isNotNull() & (d != F.floor(d))
             return F.when(d.isNotNull() & (d == F.floor(d)), d.cast("long")), bad
@@ -117,8 +124,8 @@ def conform_report(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     schema = "column string, from_type string, to_type string, nulled long"
     if not changed:
         return df.sparkSession.createDataFrame([], schema)
-    counts = df.agg(*[F.count_if(F.col(c).isNotNull() & e.isNull()).alias(c) for c, _, e in changed])
+    counts = df.agg(*[F.count_if(_col(c).isNotNull() & e.isNull()).alias(c) for c, _, e in changed])
     rows = [F.struct(F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("from_type"),
-                     F.lit(t.simpleString()).alias("to_type"), F.col(c).cast("long").alias("nulled"))
+                     F.lit(t.simpleString()).alias("to_type"), _col(c).cast("long").alias("nulled"))
             for c, t, _ in changed]
     return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
