@@ -79,3 +79,13 @@ def test_hot_key_is_spread_over_several_tasks(spark):
     ranged = df.repartitionByRange(8, F.struct("k"), "id").withColumn("pid", F.spark_partition_id())
     spread = ranged.where(F.col("k") == "hot").select("pid").distinct().count()
     assert spread >= 3
+
+
+def test_dotted_column_names(spark):
+    from tidemill.operators import columns as C
+    df = spark.createDataFrame([(0, 1, "x"), (1, 1, None), (2, 2, "y")], "`o.id` int, `k.v` int, `s.t` string")
+    g = R.group_by(df, "k.v", {"s.t": "FIRST"}, order_by=["o.id"])
+    assert {tuple(r) for r in g.collect()} == {(1, "x"), (2, "y")}
+    j = R.join_tables("k.v", "FULL", df, g)
+    assert j.columns == ["k.v", "o.id", "s.t_x", "s.t_y"]
+    assert C.unique_suffix(df, "k.v", ["o.id"]).where("`k.v` = '1 - 2'").count() == 1

@@ -40,7 +40,7 @@ def hot_threshold(spark, hot_rows: int | None = None) -> int:
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+    return [F.col(f"`{c}`") if isinstance(c, str) else c for c in cols]
 
 
 def _by_range(df: DataFrame, n: int | None, *cols: Column) -> DataFrame:

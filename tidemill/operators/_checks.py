@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.errors import InputError, MissingColumnError
@@ -35,3 +36,12 @@ def is_numeric(df: DataFrame, col: str) -> bool:
 
 def is_datelike(df: DataFrame, col: str) -> bool:
     return isinstance(dtype(df, col), (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def ref(name: str) -> Column:
+    """Column by exact name: a dot in the name is part of it, not a field access."""
+    return F.col(f"`{name}`")
+
+
+def refs(cols) -> list[Column]:
+    return [ref(c) if isinstance(c, str) else c for c in cols]

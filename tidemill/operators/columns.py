@@ -14,7 +14,7 @@ from tidemill.errors import (CategoryError, DateFormatError, InputError, KeyForm
                              MissingColumnError)
 from tidemill.functions import dates
 from tidemill.functions.ordinal import occurrence_number
-from tidemill.operators._checks import is_numeric, require_columns, require_frame
+from tidemill.operators._checks import ref, refs, is_numeric, require_columns, require_frame
 
 MAX_CATEGORIES = 99  # fixed value: more distinct values than this is an error (code 5)
 KEY_PATTERN = r"^[0-9-]*[0-9][0-9-]*$"  # digits, optionally with hyphens, at least one digit
@@ -35,13 +35,13 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 # ---------------------------------------------------------------- P3 key first
 def key_first(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key, *[c for c in df.columns if c != key])
+    return df.select(ref(key), *[ref(c) for c in df.columns if c != key])
 
 
 # ---------------------------------------------------------------- P4 categories
 def _distinct_values(df: DataFrame, col: str) -> list[Any]:
     """Distinct non-null values, at most ``MAX_CATEGORIES + 1`` collected."""
-    rows = (df.where(F.col(col).isNotNull()).select(col).distinct()
+    rows = (df.where(ref(col).isNotNull()).select(col).distinct()
             .limit(MAX_CATEGORIES + 1).collect())
     vals = [r[0] for r in rows]
     if len(vals) > MAX_CATEGORIES:
@@ -56,9 +56,9 @@ def category_mapping(df: DataFrame, col: str, order_by: Sequence[str | Column])
     aggregate per value, then a rank over at most ``MAX_CATEGORIES`` rows.
     """
     require_columns(df, [col], "category_mapping")
-    order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_by])
-    firsts = (df.where(F.col(col).isNotNull())
-              .groupBy(F.col(col).alias("value")).agg(F.min(order).alias("_first")))
+    order = F.struct(*refs(order_by))
+    firsts = (df.where(ref(col).isNotNull())
+              .groupBy(ref(col).alias("value")).agg(F.min(order).alias("_first")))
     rows = firsts.limit(MAX_CATEGORIES + 1).collect()
     if len(rows) > MAX_CATEGORIES:
         raise CategoryError(5, f"category_codes: more than {MAX_CATEGORIES} distinct values in '{col}'")
@@ -111,16 +111,16 @@ def category_codes(df: DataFrame, col: str, cat_map: Mapping[Any, int] | None =
     key_type = df.schema[col].dataType
     lookup = F.create_map(*[x for k, v in pairs
                             for x in (F.lit(k).cast(key_type), F.lit(int(v)).cast("long"))])
-    return df.withColumn(f"{col}_num", F.coalesce(lookup[F.col(col)], F.lit(0).cast("long")))
+    return df.withColumn(f"{col}_num", F.coalesce(lookup[ref(col)], F.lit(0).cast("long")))
 
 
 # ---------------------------------------------------------------- P5 nulls
 def fill_nulls(df: DataFrame, col: str, null_values: Sequence[Any] | None = None) -> DataFrame:
     """Treat ``null_values`` as null, then fill: 0 for numeric columns, ``""`` otherwise."""
     require_columns(df, [col], "fill_nulls")
-    c = F.col(col)
+    c = ref(col)
     if null_values:
-        c = F.when(~F.col(col).isin(list(null_values)), F.col(col))
+        c = F.when(~ref(col).isin(list(null_values)), ref(col))
     if is_numeric(df, col):
         filled = F.coalesce(c, F.lit(0)).cast(df.schema[col].dataType)
     else:
@@ -131,15 +131,15 @@ def fill_nulls(df: DataFrame, col: str, null_values: Sequence[Any] | None = None
 def fill_count(df: DataFrame, col: str, null_values: Sequence[Any] | None = None) -> DataFrame:
     """One-row report: how many values :func:`fill_nulls` replaces."""
     require_columns(df, [col], "fill_count")
-    cond = F.col(col).isNull()
+    cond = ref(col).isNull()
     if null_values:
-        cond = cond | F.col(col).isin(list(null_values))
+        cond = cond | ref(col).isin(list(null_values))
     return df.agg(F.count_if(cond).alias("replaced"))
 
 
 # ---------------------------------------------------------------- P6 dates
 def _raw_text(col: str) -> Column:
-    return F.trim(F.col(col).cast("string"))
+    return F.trim(ref(col).cast("string"))
 
 
 def date_flags(raw: Column, fmt: str) -> tuple[Column, Column, Column]:
@@ -200,7 +200,7 @@ def parse_date(df: DataFrame, col: str, fmt: str = "YYYYMMDD", on_error: str = "
 def key_violations(df: DataFrame, col: str) -> DataFrame:
     """Values that cannot form a surrogate key, with their counts (null included)."""
     require_columns(df, [col], "key_violations")
-    s = F.col(col).cast("string")
+    s = ref(col).cast("string")
     return (df.where(s.isNull() | ~s.rlike(KEY_PATTERN))
             .groupBy(s.alias("value")).agg(F.count(F.lit(1)).alias("rows")))
 
@@ -221,7 +221,7 @@ def surrogate_key(df: DataFrame, col: str, order_by: Sequence[str | Column], nam
         bad = key_violations(df, col).limit(1).collect()
         if bad:
             raise KeyFormatError(3, f"surrogate_key: invalid value in '{col}': '{bad[0]['value']}'")
-    s = F.col(col).cast("string")
+    s = ref(col).cast("string")
     out = occurrence_number(df, [s], order_by, "_tm_occ", cluster=cluster, hot_values=hot_values)
     out = out.withColumn(name, F.concat(s, F.lit(separator), (F.col("_tm_occ") - 1).cast("string")))
     return key_first(out.drop("_tm_occ"), name)
@@ -231,7 +231,7 @@ def surrogate_key(df: DataFrame, col: str, order_by: Sequence[str | Column], nam
 def unique_suffix(df: DataFrame, col: str, order_by: Sequence[str | Column]) -> DataFrame:
     """Make ``col`` unique: null → ``""``; 2nd, 3rd… copy → ``A - 2``, ``A - 3``."""
     require_columns(df, [col], "unique_suffix")
-    v = F.coalesce(F.col(col).cast("string"), F.lit(""))
+    v = F.coalesce(ref(col).cast("string"), F.lit(""))
     out = occurrence_number(df, [v], order_by, "_tm_occ")
     return out.withColumn(
         col, F.when(F.col("_tm_occ") == 1, v)

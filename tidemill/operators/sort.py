@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemill.errors import InputError, SortError
 from tidemill.functions.ordinal import occurrence_number
-from tidemill.operators._checks import is_datelike, require_columns, require_frame
+from tidemill.operators._checks import ref, refs, is_datelike, require_columns, require_frame
 
 
 def _order(col: str, order: str, then_by: Sequence[str | Column]) -> list[Column]:
     if not isinstance(order, str) or order.upper() not in ("ASC", "DES"):
         raise SortError(3, "sort_dates: order must be 'ASC' or 'DES'")
-    first = F.col(col).asc_nulls_last() if order.upper() == "ASC" else F.col(col).desc_nulls_last()
-    return [first, *[F.col(c) if isinstance(c, str) else c for c in then_by]]
+    first = ref(col).asc_nulls_last() if order.upper() == "ASC" else ref(col).desc_nulls_last()
+    return [first, *refs(then_by)]
 
 
 def _check(df: DataFrame, col: str) -> None:
