@@ -216,3 +216,18 @@ def test_reports_on_dotted_names(spark):
     assert [tuple(r) for r in Q.null_report(df).collect()] == [("o.k", 1)]
     assert [tuple(r) for r in Q.duplicate_report(df, "o.k").collect()] == [(1, 2)]
     assert Q.conform_types(df, {"o.k": "float"}).columns == ["o.k"]
+
+
+def test_touched_partitions_prune_the_target_scan(spark, db):
+    name = f"{db}.pp"
+    base = spark.createDataFrame([(1, "a", "m1"), (2, "b", "m2"), (3, "c", None)], "k long, v string, m string")
+    UP.upsert(base, name, "k", partition_by=["m"])
+    src = spark.createDataFrame([(1, "z", "m1"), (4, "d", None)], "k long, v string, m string")
+    scoped = UP._touched_partitions(spark.table(name), src, ["m"])
+    plan = scoped._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert {r["k"] for r in scoped.collect()} == {1, 3}
+    rep = UP.upsert(src, name, "k", partition_by=["m"])
+    assert (rep.inserted, rep.updated, rep.retained) == (1, 1, 1)
+    assert {tuple(r) for r in spark.table(name).collect()} == {(1, "z", "m1"), (2, "b", "m2"), (3, "c", None),
+                                                               (4, "d", None)}

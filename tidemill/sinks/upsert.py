@@ -13,9 +13,9 @@ no hot key; AQE picks broadcast or sort-merge from the runtime sizes.
 * unpartitioned table: all rows go to a new version folder, then the table is
   switched to it;
 * table partitioned by ``partition_by``: only partitions present in the source
-  are read from the target (partition pruning through a semi join), merged,
-  staged, and written back with dynamic partition overwrite; every other
-  partition is left untouched. The partition column must not change for a key.
+  are read from the target (partition pruning), merged, and written back in
+  one write with dynamic partition overwrite; every other partition is left
+  untouched. The partition column must not change for a key.
 """
 
 from __future__ import annotations
@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from tidemill.errors import DuplicateKeyError, InputError, SchemaError
 from tidemill.operators._checks import require_columns
+from tidemill.operators.relational import broadcast_if_small
 from tidemill.sinks.tables import check_name, switch_location, table_exists, version_path
-from tidemill.session import work_dir
 
 CHANGE = "change"
+MAX_TOUCHED_PARTITIONS = 100_000  # broadcast bound for the list of partitions one load touches
+MAX_LITERAL_PARTITIONS = 10_000   # up to this many touched values are inlined as a literal filter
 CLASSES = ("inserted", "updated", "ignored", "retained")
 
 
@@ -191,22 +193,55 @@ def upsert(df: DataFrame, table: str, key: str | None = None,
     return _upsert_partitions(spark, df, target, table, key, partition_by)
 
 
+def _touched_partitions(target: DataFrame, source: DataFrame, parts: list[str]) -> DataFrame:
+    """Target rows in the partitions the source touches.
+
+    One partition column and at most ``MAX_LITERAL_PARTITIONS`` touched values
+    (a bounded collect): a literal ``isin`` filter, so the scan is pruned when
+    the query is planned. Otherwise a plain-equality semi join against the
+    touched values (broadcast when a bounded count proves them small), which
+    dynamic partition pruning applies to; null partition values are matched
+    in a separate, statically pruned branch.
+    """
+    touched = source.select(*parts).distinct()
+    if len(parts) == 1:
+        vals = [r[0] for r in touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
+        if len(vals) <= MAX_LITERAL_PARTITIONS:
+            p = F.col(parts[0])
+            cond = p.isin([v for v in vals if v is not None])
+            if any(v is None for v in vals):
+                cond = cond | p.isNull()
+            return target.where(cond)
+    small = broadcast_if_small(touched, MAX_TOUCHED_PARTITIONS)
+    keyed = target.join(small, [target[p] == small[p] for p in parts], "left_semi")
+    any_null = F.lit(False)
+    for p in parts:
+        any_null = any_null | F.col(p).isNull()
+    nulls = target.where(any_null).join(touched.where(any_null),
+                                        [target[p].eqNullSafe(touched[p]) for p in parts], "left_semi")
+    return keyed.unionByName(nulls)
+
+
 def _upsert_partitions(spark: SparkSession, df: DataFrame, target: DataFrame, table: str,
                        key: str, parts: list[str]) -> UpsertReport:
+    """Merge only the partitions the source touches and overwrite just those.
+
+    The target is pruned to the touched partitions (see
+    :func:`_touched_partitions`). With dynamic partition overwrite the new files
+    are staged and swapped in per partition at commit, so the merge may read
+    the partitions it replaces: one write, and a failed job leaves every
+    partition as it was.
+    """
     source = align(df, target)
-    touched = source.select(*parts).distinct()
-    scoped = target.join(touched, [target[p].eqNullSafe(touched[p]) for p in parts], "left_semi")
+    scoped = _touched_partitions(target, source, parts)
     clustered = cluster_for_partitions(merge_plan(scoped, source, key), parts, key)
     plan, obs = _observed(clustered, f"upsert_{table}")
-    stage = f"{work_dir(spark)}/stage/{table}/{version_path(spark, table).rsplit('/', 1)[-1]}"
-    plan.drop(CHANGE).write.mode("error").partitionBy(*parts).parquet(stage)
-    m = obs.get
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        staged = spark.read.parquet(stage)
-        staged.select(*target.columns).write.insertInto(table, overwrite=True)
+        plan.drop(CHANGE).select(*target.columns).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     spark.sql(f"REFRESH TABLE {table}")
+    m = obs.get
     return UpsertReport(table, m["inserted"], m["updated"], m["ignored"], m["retained"])
