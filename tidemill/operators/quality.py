@@ -50,42 +50,51 @@ def _target(name: str) -> T.DataType:
 
 
 def _convert(df: DataFrame, col: str, target: T.DataType):
-    """Return (expression, error_condition or None) converting ``col`` to ``target``."""
+    """How to convert ``col``: ``(pre, final, bad)``.
+
+    ``pre`` is an expression computed once into a helper column (or None);
+    ``final(h)`` and ``bad(h)`` build the converted value and the "cannot
+    convert" flag from that helper (``h`` is the column itself when there is
+    no helper). Parsing text once matters: an expression repeated inside
+    conditional branches is evaluated again for every reference.
+    """
     src = df.schema[col].dataType
     c = _col(col)
+    keep = (None, lambda h: h, None)
     if src == target:
-        return c, None
+        return keep
     if isinstance(target, T.StringType):
-        return c.cast("string"), None
+        return None, lambda h: h.cast("string"), None
     if isinstance(target, T.LongType):
         if isinstance(src, INTEGRAL) or isinstance(src, T.BooleanType):
-            return c.cast("long"), None
+            return None, lambda h: h.cast("long"), None
         if isinstance(src, NUMERIC) or isinstance(src, T.StringType):
-            d = (c.cast("string") if isinstance(src, T.StringType) else c).try_cast("double")
-            d = F.when(~F.isnan(d), d)  # NaN is missing, as in pandas
+            number = (c.cast("string") if isinstance(src, T.StringType) else c).try_cast("double")
+            pre = F.nanvl(number, F.lit(None).cast("double"))  # NaN is missing, as in pandas
             # pandas refuses to turn a fractional number into an integer
-            bad = d.isNotNull() & (d != F.floor(d))
-            return F.when(d.isNotNull() & (d == F.floor(d)), d.cast("long")), bad
+            return (pre, lambda h: F.when(h == F.floor(h), h.cast("long")),
+                    lambda h: h.isNotNull() & (h != F.floor(h)))
     if isinstance(target, T.DoubleType):
         if isinstance(src, NUMERIC):
-            return c.cast("double"), None
+            return None, lambda h: h.cast("double"), None
         if isinstance(src, T.StringType):
-            return c.try_cast("double"), None
+            return None, lambda h: h.try_cast("double"), None
     if isinstance(target, T.BooleanType):
         if isinstance(src, NUMERIC):
-            return F.when(c.isNotNull(), c != 0), c.isNotNull() & ~c.isin(0, 1)
+            return None, lambda h: F.when(h.isNotNull(), h != 0), lambda h: h.isNotNull() & ~h.isin(0, 1)
         # only real booleans convert; any text value is an error
-        return F.lit(None).cast("boolean"), c.isNotNull()
+        return None, lambda h: F.lit(None).cast("boolean"), lambda h: h.isNotNull()
     if isinstance(target, T.TimestampNTZType):
         if isinstance(src, (T.DateType, T.TimestampType)):
-            return c.cast("timestamp_ntz"), None
+            return None, lambda h: h.cast("timestamp_ntz"), None
         if isinstance(src, T.StringType):
-            return c.try_cast("timestamp_ntz"), None
+            return None, lambda h: h.try_cast("timestamp_ntz"), None
     raise SchemaError(9, f"conform_types: cannot convert '{col}' from {src.simpleString()} "
                          f"to {target.simpleString()}")
 
 
 def _plan(df: DataFrame, expected: Mapping[str, str]):
+    """``(staged frame, {column: (target, value, bad)})`` with helpers computed once."""
     require_frame(df, "conform_types")
     if not isinstance(expected, Mapping) or not expected:
         raise InputError(1, "conform_types: expected must be a non-empty mapping")
@@ -93,7 +102,17 @@ def _plan(df: DataFrame, expected: Mapping[str, str]):
     extra = [c for c in df.columns if c not in expected]
     if missing or extra:
         raise SchemaError(2, f"conform_types: missing columns {missing}, unexpected columns {extra}")
-    return {c: (_target(t), *_convert(df, c, _target(t))) for c, t in expected.items()}
+    helpers, out = [], {}
+    for i, (c, t) in enumerate(expected.items()):
+        target = _target(t)
+        pre, final, bad = _convert(df, c, target)
+        h = _col(c)
+        if pre is not None:
+            helpers.append(pre.alias(f"_tm_h{i}"))
+            h = F.col(f"_tm_h{i}")
+        out[c] = (target, final(h), bad(h) if bad else None)
+    staged = df.select(*[_col(c) for c in df.columns], *helpers) if helpers else df
+    return staged, out
 
 
 def conform_types(df: DataFrame, expected: Mapping[str, str], strict: bool = True) -> DataFrame:
@@ -104,14 +123,14 @@ def conform_types(df: DataFrame, expected: Mapping[str, str], strict: bool = Tru
     unparseable → null; str: text, null stays null. ``strict`` runs one
     aggregate to find values that cannot convert and raises code 9.
     """
-    plan = _plan(df, expected)
+    staged, plan = _plan(df, expected)
     checks = {c: err for c, (_, _, err) in plan.items() if err is not None}
     if strict and checks:
-        row = df.agg(*[F.count_if(e).alias(c) for c, e in checks.items()]).first()
+        row = staged.agg(*[F.count_if(e).alias(c) for c, e in checks.items()]).first()
         bad = {c: row[c] for c in checks if row[c]}
         if bad:
             raise SchemaError(9, f"conform_types: values that cannot convert: {bad}")
-    return df.select(*[expr.alias(c) for c, (_, expr, _) in plan.items()])
+    return staged.select(*[expr.alias(c) for c, (_, expr, _) in plan.items()])
 
 
 def conform_report(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
@@ -119,12 +138,12 @@ def conform_report(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
 
     ``nulled`` counts values that were present and become null.
     """
-    plan = _plan(df, expected)
+    staged, plan = _plan(df, expected)
     changed = [(c, t, e) for c, (t, e, _) in plan.items() if df.schema[c].dataType != t]
     schema = "column string, from_type string, to_type string, nulled long"
     if not changed:
         return df.sparkSession.createDataFrame([], schema)
-    counts = df.agg(*[F.count_if(_col(c).isNotNull() & e.isNull()).alias(c) for c, _, e in changed])
+    counts = staged.agg(*[F.count_if(_col(c).isNotNull() & e.isNull()).alias(c) for c, _, e in changed])
     rows = [F.struct(F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("from_type"),
                      F.lit(t.simpleString()).alias("to_type"), _col(c).cast("long").alias("nulled"))
             for c, t, _ in changed]
