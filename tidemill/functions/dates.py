@@ -53,7 +53,9 @@ def parse_with_pattern(text: Column, fmt: str) -> Column:
     """
     ts = F.try_to_timestamp(text, F.lit(spark_pattern(fmt)))
     if has_two_digit_year(fmt):
-        ts = F.when(F.year(ts) >= 2069, F.add_months(ts, -1200).cast("timestamp")).otherwise(ts)
+        # ts only in always-evaluated positions, so it is parsed once per row
+        back = F.when(F.year(ts) >= 2069, F.lit(-1200)).otherwise(F.lit(0))
+        ts = F.add_months(ts, back).cast("timestamp")
     return ts
 
 
