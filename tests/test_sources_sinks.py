@@ -231,3 +231,15 @@ def test_touched_partitions_prune_the_target_scan(spark, db):
     assert (rep.inserted, rep.updated, rep.retained) == (1, 1, 1)
     assert {tuple(r) for r in spark.table(name).collect()} == {(1, "z", "m1"), (2, "b", "m2"), (3, "c", None),
                                                                (4, "d", None)}
+
+
+def test_json_array_sink_roundtrip(spark):
+    from tidemill.errors import InputError
+    from tidemill.sinks.json import write_json_array
+    df = spark.createDataFrame([(2, "b", ["y", "x"]), (1, "a", [])], "n int, s string, l array<string>")
+    path = fresh_path(spark, "arr")
+    write_json_array(df, path, order_by=["n"])
+    back = extract_json(spark, path, {"n": "int", "s": "str", "l": "str"}, multi_line=True)
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "a", ""), (2, "b", "y , x")]
+    with pytest.raises(InputError):
+        write_json_array(df, fresh_path(spark, "arr"), max_rows=1)

@@ -24,7 +24,7 @@ from tidemill.session import fresh_path, work_dir
 from tidemill.sinks import summary as SM
 from tidemill.sinks import tables as TB
 from tidemill.sinks import upsert as UP
-from tidemill.sinks.json import write_json
+from tidemill.sinks.json import write_json, write_json_array
 from tidemill.sinks.views import create_views
 from tidemill.sources.calendar import create_calendar
 from tidemill.sources.csv import extract_csv, with_row_order, write_csv
@@ -740,7 +740,7 @@ def outlets_flow(spark, sf) -> DataFrame:
         size_col="Tam_m2", size_codes=SIZE_CODES, key="Affiliated_Code", expected_types=OUTLET_TYPES)
 
 
-@query("flow_outlets", """
+ORACLE_OUTLETS = """
 WITH o AS (SELECT c_custkey, c_name, c_nationkey AS cp, c_mktsegment AS "Location",
                   CASE WHEN c_acctbal < 0 THEN '<0' WHEN c_acctbal < 5000 THEN '0-5000' ELSE '>5000' END AS "Tam_m2"
            FROM customer),
@@ -754,7 +754,10 @@ SELECT CAST(o.c_custkey AS VARCHAR) AS "Affiliated_Code", o.c_name AS "Affiliate
        CAST(loc.code AS BIGINT) AS "Location_num", o."Tam_m2",
        CAST(CASE o."Tam_m2" WHEN '<0' THEN 1 WHEN '0-5000' THEN 2 ELSE 3 END AS BIGINT) AS "Tam_m2_num",
        CAST(o.cp AS VARCHAR) AS cp, pc.poblacion, CAST(pc.provinciaid AS BIGINT) AS provinciaid, pc.provincia
-FROM o LEFT JOIN pc ON o.cp = pc.cp JOIN loc USING ("Location")""")
+FROM o LEFT JOIN pc ON o.cp = pc.cp JOIN loc USING ("Location")"""
+
+
+@query("flow_outlets", ORACLE_OUTLETS)
 def q_flow_outlets(spark, sf):
     return outlets_flow(spark, sf)
 
@@ -821,8 +824,10 @@ SELECT CAST(coalesce(cal."Day", strptime(m."Day", '%d-%m-%Y')) AS TIMESTAMP) AS
 FROM cal FULL JOIN merged m ON cal."Day" = CAST(strptime(m."Day", '%d-%m-%Y') AS DATE)""")
 def q_flow_calendar(spark, sf):
     path = fresh_path(spark, "holidays")
-    write_json(in_day_order(merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"])), path)
-    holidays = extract_json(spark, path, HOLIDAY_JSON_TYPES, multi_line=False)
+    merged = merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"])
+    # the holiday file is one JSON array, one object per day, in day order
+    write_json_array(merged, path, order_by=[F.to_date("Day", "dd-MM-yyyy")])
+    holidays = extract_json(spark, path, HOLIDAY_JSON_TYPES, multi_line=True)
     years = table(spark, sf, "events").agg(F.min(F.year("ts")).alias("a"), F.max(F.year("ts")).alias("b")).first()
     return flows.calendar_dimension(holidays, start=f"01-01-{years['a']}", end=f"31-12-{years['b']}",
                                     expected_types=CALENDAR_TYPES)
@@ -836,3 +841,46 @@ def q_latest_per_key(spark, sf):
     """The micro-batch reduction of the streaming upsert: latest event per user."""
     e = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
     return latest_per_key(e, "user_id", ["ts", "event_id"])
+
+
+
+# ============================================================ flows from files
+@query("flow_sales_csv", FACT_SQL.format(ts="o_orderdate", order="o_orderkey", key="sales_ID", day="Sales_DAY",
+                                         cols="o_orderkey, o_custkey, o_totalprice", src="orders"))
+def q_flow_sales_csv(spark, sf):
+    """The sales flow as it runs on a daily export: a ``;`` CSV whose rows are in
+    order-key order; the occurrence counter follows the file's row order."""
+    path = fresh_path(spark, "csv")
+    o = table(spark, sf, "orders").select(ymd("o_orderdate").cast("long").alias("Sales_DAY"),
+                                          "o_orderkey", "o_custkey", "o_totalprice")
+    write_csv(o.orderBy("o_orderkey"), path)
+    facts = with_row_order(extract_csv(spark, path, ";"))
+    return flows.daily_facts(facts, day_col="Sales_DAY", key="sales_ID", order_by=["_row"]).drop("_row")
+
+
+@query("flow_outlets_csv", ORACLE_OUTLETS)
+def q_flow_outlets_csv(spark, sf):
+    """The outlets flow from two ``;`` CSV exports (outlets in customer-key
+    order, postcodes in supplier-key order); first appearance and FIRST follow
+    the files' row order."""
+    out_path, pc_path = fresh_path(spark, "csv"), fresh_path(spark, "csv")
+    c = table(spark, sf, "customer")
+    band = (F.when(F.col("c_acctbal") < 0, F.lit("<0")).when(F.col("c_acctbal") < 5000, F.lit("0-5000"))
+            .otherwise(F.lit(">5000")))
+    write_csv(c.select(F.col("c_custkey").alias("Affiliated_Code"), F.col("c_name").alias("Affiliated_NAME"),
+                       F.col("c_nationkey").alias("POSTALCODE"), F.col("c_mktsegment").alias("Location"),
+                       band.alias("Tam_m2")).orderBy("Affiliated_Code"), out_path)
+    s = table(spark, sf, "supplier")
+    write_csv(s.select(F.col("s_nationkey").alias("cp"),
+                       F.when(F.col("s_acctbal") >= 0, F.col("s_name")).alias("poblacion"),
+                       F.col("s_suppkey").alias("provinciaid"),
+                       F.concat(F.lit("P"), F.col("s_nationkey").cast("string")).alias("provincia"))
+              .orderBy("provinciaid"), pc_path)
+    outlets = with_row_order(extract_csv(spark, out_path, ";"), "_row")
+    postcodes = with_row_order(extract_csv(spark, pc_path, ";"), "_pc_row")
+    df = flows.outlets_dimension(
+        outlets, postcodes, rename={"Affiliated_NAME": "Affiliated_Name", "POSTALCODE": "cp"},
+        postcode_key="cp", postcode_aggs={"poblacion": "FIRST", "provinciaid": "FIRST", "provincia": "FIRST"},
+        outlet_order=["_row"], postcode_order=["_pc_row"], location_col="Location",
+        size_col="Tam_m2", size_codes=SIZE_CODES, key="Affiliated_Code")
+    return Q.conform_types(df.drop("_row"), OUTLET_TYPES)
