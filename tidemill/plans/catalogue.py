@@ -762,12 +762,15 @@ def q_flow_outlets(spark, sf):
     return outlets_flow(spark, sf)
 
 
-@query("flow_products", """
+ORACLE_PRODUCTS = """
 SELECT CASE WHEN row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1 THEN p_name
             ELSE p_name || ' - ' || CAST(row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS VARCHAR)
        END AS "Product_Code",
        CAST(p_size AS BIGINT) AS "SIZE", p_brand AS "Format", p_partkey
-FROM part""")
+FROM part"""
+
+
+@query("flow_products", ORACLE_PRODUCTS)
 def q_flow_products(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_name").alias("Product_Code"), F.col("p_size").alias("SIZE"),
                                         F.col("p_brand").alias("Format"), "p_partkey")
@@ -884,3 +887,18 @@ def q_flow_outlets_csv(spark, sf):
         outlet_order=["_row"], postcode_order=["_pc_row"], location_col="Location",
         size_col="Tam_m2", size_codes=SIZE_CODES, key="Affiliated_Code")
     return Q.conform_types(df.drop("_row"), OUTLET_TYPES)
+
+
+
+@query("flow_products_csv", ORACLE_PRODUCTS)
+def q_flow_products_csv(spark, sf):
+    """The products flow from a ``;`` CSV export in part-key order; duplicate
+    codes get their suffix in the file's row order."""
+    path = fresh_path(spark, "csv")
+    p = table(spark, sf, "part").select(F.col("p_name").alias("Product_Code"), F.col("p_size").alias("SIZE"),
+                                        F.col("p_brand").alias("Format"), "p_partkey")
+    write_csv(p.orderBy("p_partkey"), path)
+    products = with_row_order(extract_csv(spark, path, ";"))
+    df = flows.products_dimension(products, key="Product_Code", order_by=["_row"])
+    return Q.conform_types(df.drop("_row"), {"Product_Code": "str", "SIZE": "int", "Format": "str",
+                                             "p_partkey": "int"})
