@@ -89,3 +89,35 @@ def test_dotted_column_names(spark):
     j = R.join_tables("k.v", "FULL", df, g)
     assert j.columns == ["k.v", "o.id", "s.t_x", "s.t_y"]
     assert C.unique_suffix(df, "k.v", ["o.id"]).where("`k.v` = '1 - 2'").count() == 1
+
+
+def test_hot_join_key_is_split_by_aqe(spark):
+    """A key holding a third of the left rows: AQE splits its partition for
+    LEFT joins, and FULL runs as LEFT + anti join so it is split there too."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k"), "id")
+        right = spark.range(1000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("v"))
+        for how in ("LEFT", "FULL"):
+            out = R.join_tables("k", how, left, right)
+            rows = out.collect()  # runs this Dataset's own adaptive plan to its final form
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "isSkewJoin=true" in plan or "skew=true" in plan.lower(), (how, plan[:3000])
+            assert len(rows) >= 30000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
