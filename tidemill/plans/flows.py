@@ -40,15 +40,20 @@ def outlets_dimension(outlets: DataFrame, postcodes: DataFrame, *, rename: Mappi
                       location_col: str, size_col: str, size_codes: Mapping[str, int],
                       key: str, expected_types: Mapping[str, str] | None = None,
                       checks: bool = False, postcode_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """rename → postcodes FIRST per key → LEFT join → auto codes → fixed codes
-    → (null / duplicate reports) → conform types."""
+    """rename → auto codes → fixed codes → postcodes FIRST per key → LEFT join
+    → (null / duplicate reports) → conform types.
+
+    The postcodes are aggregated to one row per key, so the LEFT join keeps
+    the outlet rows one to one; the category codes are therefore computed on
+    the outlets alone, and their data checks scan only the outlet source.
+    """
     df = rename_columns(outlets, rename)
+    df = category_codes(df, location_col, order_by=outlet_order)
+    df = category_codes(df, size_col, cat_map=size_codes)
     pc = group_by(postcodes, postcode_key, postcode_aggs, order_by=postcode_order)
     # one row per postcode after the FIRST aggregate: broadcast it when a
     # bounded count proves it small, else a shuffle join
     df = join_tables(postcode_key, "LEFT", df, pc, broadcast_right_rows=postcode_broadcast_rows)
-    df = category_codes(df, location_col, order_by=outlet_order)
-    df = category_codes(df, size_col, cat_map=size_codes)
     _report(null_report(df), "nulls", checks)
     _report(duplicate_report(df, key), "duplicate keys", checks)
     return conform_types(df, expected_types) if expected_types else df

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.errors import InputError
+from tidemill.session import work_dir
 
 MAX_ARRAY_ROWS = 1_000_000  # a JSON array file is one document, written by one task
 
@@ -23,6 +24,10 @@ def write_json_array(df: DataFrame, path: str, order_by: list | None = None,
     (a holiday list, a settings table). A bounded count checks the size first;
     larger frames must use :func:`write_json`. Objects keep ``order_by`` order.
     """
+    # stored once in the shared checkpoint folder: the size check and the write
+    # then read it instead of computing the input twice
+    work_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     if df.limit(max_rows + 1).count() > max_rows:
         raise InputError(1, f"write_json_array: more than {max_rows} rows; use write_json")
     order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])] or [F.lit(0)]
