@@ -82,3 +82,11 @@ def test_failure_context(spark):
     from tidemill.errors import failure_context
     text = failure_context(spark.range(100))
     assert "id:bigint" in text and text.count("'id'") == 5
+
+
+def test_stage_writes_once_and_reads_back(spark):
+    from tidemill.session import stage
+    df = spark.range(10).selectExpr("id", "id * 2 AS twice")
+    staged = stage(df, "unit")
+    assert sorted(tuple(r) for r in staged.collect()) == [(i, 2 * i) for i in range(10)]
+    assert "FileScan parquet" in staged._jdf.queryExecution().executedPlan().toString()

@@ -74,3 +74,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def fresh_name(label: str) -> str:
     """A new, unique catalog identifier."""
     return f"{label}_{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, label: str = "stage"):
+    """Write ``df`` once as Parquet under the shared work folder and read it back.
+
+    For inputs that several jobs read (checks, then the load) and that are
+    costly to re-derive — text sources above all: the text is parsed once, and
+    the later jobs scan columns with pruning and pushdown. The staged copy also
+    cuts the lineage, so a lost executor never re-parses the source.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
