@@ -243,3 +243,23 @@ def test_json_array_sink_roundtrip(spark):
     assert sorted(tuple(r) for r in back.collect()) == [(1, "a", ""), (2, "b", "y , x")]
     with pytest.raises(InputError):
         write_json_array(df, fresh_path(spark, "arr"), max_rows=1)
+
+
+def test_upsert_follows_the_tables_own_partitioning(spark, db):
+    name = f"{db}.own"
+    UP.upsert(spark.createDataFrame([(1, "a", "m1"), (2, "b", "m2")], "k long, v string, m string"), name, "k",
+              partition_by=["m"])
+    # no partition_by given: the table's partitioning is used, other partitions survive
+    rep = UP.upsert(spark.createDataFrame([(1, "z", "m1")], "k long, v string, m string"), name, "k")
+    assert rep.updated == 1
+    assert {tuple(r) for r in spark.table(name).collect()} == {(1, "z", "m1"), (2, "b", "m2")}
+    with pytest.raises(SchemaError):
+        UP.upsert(spark.createDataFrame([(1, "z", "m1")], "k long, v string, m string"), name, "k",
+                  partition_by=["v"])
+
+
+def test_replace_partitioned_table(spark, db):
+    name = f"{db}.rp"
+    TB.create_table(spark.createDataFrame([(1, "m1"), (2, "m2")], "k long, m string"), name, partition_by=["m"])
+    out = TB.replace_table(spark.table(name).where("m = 'm2'").selectExpr("k + 10 AS k", "m"), name)
+    assert {tuple(r) for r in out.collect()} == {(12, "m2")}

@@ -68,8 +68,23 @@ def replace_table(df: DataFrame, table: str) -> DataFrame:
     target = spark.table(table)
     if [f.name for f in target.schema.fields] != df.columns:
         raise TableError(2, f"replace_table: columns {df.columns} differ from {target.columns}")
+    typed = df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in target.schema.fields])
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts:
+        # partitions are tracked one by one in the catalog: stage the rows, then
+        # overwrite every partition from the stage (the stage is not the table,
+        # so df may read the table)
+        stage = f"{work_dir(spark)}/stage/{table}/{version_path(spark, table).rsplit('/', 1)[-1]}"
+        typed.write.mode("error").parquet(stage)
+        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        try:
+            spark.read.parquet(stage).select(*target.columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        spark.sql(f"REFRESH TABLE {table}")
+        return spark.table(table)
     path = version_path(spark, table)
-    df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]) \
-        .write.mode("error").parquet(path)
+    typed.write.mode("error").parquet(path)
     switch_location(spark, table, path)
     return spark.table(table)

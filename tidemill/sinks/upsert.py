@@ -184,6 +184,11 @@ def upsert(df: DataFrame, table: str, key: str | None = None,
         w.saveAsTable(table)
         return UpsertReport(table, int(obs.get["n"]), 0, 0, 0)
     target = spark.table(table)
+    # an existing table's own layout decides how it is rewritten
+    table_parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if partition_by and sorted(partition_by) != sorted(table_parts):
+        raise SchemaError(3, f"upsert: {table} is partitioned by {table_parts}, not {partition_by}")
+    partition_by = table_parts
     if not partition_by:
         plan, obs = _observed(merge_plan(target, df, key), f"upsert_{table}")
         path = _write_version(plan.drop(CHANGE), table, bucket_spec(spark, table))
