@@ -121,3 +121,19 @@ def test_hot_join_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_position_and_write_layout(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, dt.date(2020, 1, 1 + i % 5) if i % 7 else None) for i in range(40)],
+                               "id int, d date")
+    pos = S.with_position(df, "d", "ASC", then_by=["id"])
+    got = [r["id"] for r in pos.orderBy("position").collect()]
+    exp = [r["id"] for r in df.orderBy(F.col("d").asc_nulls_last(), "id").collect()]
+    assert got == exp and pos.agg(F.max("position")).first()[0] == 40
+    laid = S.sort_dates_within(df, "d", "ASC", then_by=["id"])
+    parts = laid.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
+        F.min("d").alias("lo"), F.max("d").alias("hi")).orderBy("p").collect()
+    bounds = [(r["lo"], r["hi"]) for r in parts if r["lo"] is not None]
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))  # partitions hold ordered day ranges

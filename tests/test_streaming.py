@@ -22,3 +22,22 @@ def test_upsert_stream_matches_batch(spark, db):
     q.awaitTermination(120)
     assert spark.table(f"{db}.cust").count() == c.where(F.col("c_mktsegment") != "AUTOMOBILE").count()
     assert reports and reports[0].inserted == spark.table(f"{db}.cust").count()
+
+
+def test_upsert_stream_applies_later_batches(spark, db):
+    src = fresh_path(spark, "stream-src2")
+    ckpt = fresh_path(spark, "stream-ckpt")
+    schema = "k long, v string, t int"
+    spark.createDataFrame([(1, "a", 0), (2, "b", 0)], schema).write.parquet(f"{src}/b1")
+    stream = lambda: spark.readStream.schema(schema).parquet(f"{src}/*")
+    reports = []
+    q = upsert_stream(stream(), f"{db}.s", "k", ["t"], checkpoint_location=ckpt,
+                      on_report=lambda e, r: reports.append(r), available_now=True)
+    q.awaitTermination(120)
+    # a later file: a change to key 1 (two versions, the latest wins) and a new key 3
+    spark.createDataFrame([(1, "x", 1), (1, "y", 2), (3, "c", 1)], schema).write.parquet(f"{src}/b2")
+    q = upsert_stream(stream(), f"{db}.s", "k", ["t"], checkpoint_location=ckpt,
+                      on_report=lambda e, r: reports.append(r), available_now=True)
+    q.awaitTermination(120)
+    assert {tuple(r) for r in spark.table(f"{db}.s").collect()} == {(1, "y", 2), (2, "b", 0), (3, "c", 1)}
+    assert (reports[-1].inserted, reports[-1].updated) == (1, 1)
