@@ -90,3 +90,16 @@ def test_stage_writes_once_and_reads_back(spark):
     staged = stage(df, "unit")
     assert sorted(tuple(r) for r in staged.collect()) == [(i, 2 * i) for i in range(10)]
     assert "FileScan parquet" in staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_facts_layout_is_day_ordered(spark):
+    days = [20150101 + (i * 7) % 28 for i in range(400)]
+    out = flows.daily_facts(_facts(spark, days), day_col="day", key="k", order_by=["id"])
+    rows = out.withColumn("p", F.spark_partition_id()).select("p", "day", "id").collect()
+    by_part = {}
+    for r in rows:  # collect keeps each partition's row order
+        by_part.setdefault(r["p"], []).append((r["day"], r["id"]))
+    for seq in by_part.values():
+        assert seq == sorted(seq)
+    ranges = [(min(v)[0], max(v)[0]) for _, v in sorted(by_part.items())]
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))

@@ -73,8 +73,8 @@ def products_dimension(products: DataFrame, *, key: str, order_by: Sequence[str
 def daily_facts(facts: DataFrame, *, day_col: str, key: str, order_by: Sequence[str | Column],
                 date_format: str = "YYYYMMDD", checks: bool = False) -> DataFrame:
     """(null report) → surrogate key from the day + occurrence → parse the day
-    → sorted by day (range partitions in day order, sorted inside: the layout a
-    date-pruned fact table wants) → (duplicate report).
+    → (duplicate report). Output: range partitions in day order, rows sorted by
+    (day, order) inside each — the layout a date-pruned fact table wants.
 
     The day column is both the key source and the date, so one aggregate over
     its distinct values checks key validity (code 3), date validity (3, 4, 9,
@@ -105,8 +105,9 @@ def daily_facts(facts: DataFrame, *, day_col: str, key: str, order_by: Sequence[
     raise_date_violations(summary, day_col, date_format)
     hot = [(r["v"],) for r in found if r["hot"]]
     df = surrogate_key(facts, day_col, order_by, name=key, cluster=True, validate=False, hot_values=hot)
+    # the numbering window already sorted each partition by (day text, order),
+    # and fixed-width day text sorts like the date: no second sort is needed
     df = parse_date(df, day_col, date_format, on_error="null")
-    df = df.sortWithinPartitions(F.col(day_col).asc_nulls_last(), *order_by)
     _report(duplicate_report(df, key), "duplicate keys", checks)
     return df
 
