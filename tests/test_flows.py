@@ -95,7 +95,7 @@ def test_stage_writes_once_and_reads_back(spark):
 def test_daily_facts_layout_is_day_ordered(spark):
     days = [20150101 + (i * 7) % 28 for i in range(400)]
     out = flows.daily_facts(_facts(spark, days), day_col="day", key="k", order_by=["id"])
-    rows = out.withColumn("p", F.spark_partition_id()).select("p", "day", "id").collect()
+    rows = out.withColumn("p", F.spark_partition_id()).select("p", "k", "day", "id").collect()
     by_part = {}
     for r in rows:  # collect keeps each partition's row order
         by_part.setdefault(r["p"], []).append((r["day"], r["id"]))
