@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemill.errors import DuplicateKeyError, SchemaError, SourceError, TableError, ViewError
 from tidemill.operators import quality as Q
