@@ -103,3 +103,37 @@ def test_daily_facts_layout_is_day_ordered(spark):
         assert seq == sorted(seq)
     ranges = [(min(v)[0], max(v)[0]) for _, v in sorted(by_part.items())]
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+# The eight outlet size categories and their codes.
+SIZES = {"<2m2": 1, "2-5m2": 2, "5-10m2": 3, "10-20m2": 4, "20-30m2": 5, ">20m2": 6, ">30m2": 7, "N.D.": 8}
+
+
+def test_outlets_flow_fixture_cases(spark):
+    from tidemill.errors import CategoryError
+    sizes = list(SIZES)
+    outlets = spark.createDataFrame(
+        [(i, f"A{i}", f"Name {i}", [28001, 28002, 99999][i % 3], ["Urbana", None, "Rural"][i % 3], sizes[i % 8])
+         for i in range(8)],
+        "ord int, Affiliated_Code string, Affiliated_NAME string, POSTALCODE long, Location string, Tam_m2 string")
+    postcodes = spark.createDataFrame(
+        [(0, 28001, None, 1, "Madrid"), (1, 28001, "Madrid", 1, "Madrid"),   # FIRST skips the null first row
+         (2, 28002, None, None, None),                                        # an all-null group
+         (3, None, "Lost", 9, "Nowhere")],                                    # a null key is dropped
+        "ord int, cp long, poblacion string, provinciaid long, provincia string")
+    types = {"Affiliated_Code": "str", "Affiliated_Name": "str", "Location": "str", "Location_num": "int",
+             "Tam_m2": "str", "Tam_m2_num": "int", "cp": "str", "poblacion": "str", "provinciaid": "int",
+             "provincia": "str", "ord": "int"}
+    kwargs = dict(rename={"Affiliated_NAME": "Affiliated_Name", "POSTALCODE": "cp"}, postcode_key="cp",
+                  postcode_aggs={"poblacion": "FIRST", "provinciaid": "FIRST", "provincia": "FIRST"},
+                  outlet_order=["ord"], postcode_order=["ord"], location_col="Location", size_col="Tam_m2",
+                  size_codes=SIZES, key="Affiliated_Code", expected_types=types)
+    rows = {r["Affiliated_Code"]: r for r in flows.outlets_dimension(outlets, postcodes, **kwargs).collect()}
+    assert (rows["A0"]["Location_num"], rows["A1"]["Location_num"], rows["A2"]["Location_num"]) == (1, 0, 2)
+    assert (rows["A0"]["poblacion"], rows["A0"]["provinciaid"], rows["A0"]["cp"]) == ("Madrid", 1, "28001")
+    assert rows["A1"]["poblacion"] is None and rows["A1"]["provincia"] is None      # all-null group
+    assert rows["A2"]["poblacion"] is None and rows["A2"]["cp"] == "99999"           # no postcode row
+    assert rows["A7"]["Tam_m2_num"] == 8
+    with pytest.raises(CategoryError) as e:                                           # eighth size missing
+        flows.outlets_dimension(outlets.where("Tam_m2 <> 'N.D.'"), postcodes, **kwargs)
+    assert e.value.code == 4
