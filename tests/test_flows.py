@@ -20,7 +20,7 @@ def test_daily_facts_golden_and_order(spark):
                     (2, "201501010", dt.date(2015, 1, 1))]
 
 
-def test_daily_facts_checks_in_reference_order(spark):
+def test_daily_facts_checks_in_original_order(spark):
     with pytest.raises(KeyFormatError):
         flows.daily_facts(spark.createDataFrame([(0, "2015x102")], "id long, day string"),
                           day_col="day", key="k", order_by=["id"])

@@ -28,7 +28,7 @@ log = logging.getLogger(__name__)
 
 
 def _report(df: DataFrame, what: str, checks: bool) -> None:
-    """Optional warnings (the reference only warns): bounded samples only."""
+    """Optional warnings (the original checks only warn): bounded samples only."""
     if checks:
         for r in df.limit(20).collect():
             log.warning("%s: %s", what, r.asDict())

@@ -1,6 +1,6 @@
 """Streaming entry points.
 
-The reference runs batch loads only; the one streaming form offered here is
+The original flows run batch loads only; the one streaming form offered here is
 the same keyed upsert applied to each micro-batch of a Structured Streaming
 query, so a table can be fed continuously with the load semantics unchanged.
 """
