@@ -41,3 +41,16 @@ def test_upsert_stream_applies_later_batches(spark, db):
     q.awaitTermination(120)
     assert {tuple(r) for r in spark.table(f"{db}.s").collect()} == {(1, "y", 2), (2, "b", 0), (3, "c", 1)}
     assert (reports[-1].inserted, reports[-1].updated) == (1, 1)
+
+
+def test_upsert_stream_keeps_the_latest_across_batches(spark, db):
+    src = fresh_path(spark, "stream-src3")
+    ckpt = fresh_path(spark, "stream-ckpt3")
+    schema = "k long, v string, t int"
+    spark.createDataFrame([(1, "new", 5)], schema).write.parquet(f"{src}/b1")
+    stream = lambda: spark.readStream.schema(schema).parquet(f"{src}/*")
+    upsert_stream(stream(), f"{db}.o", "k", ["t"], checkpoint_location=ckpt, available_now=True).awaitTermination(120)
+    # a late file carrying an older version of key 1: it must not win
+    spark.createDataFrame([(1, "old", 2), (2, "b", 1)], schema).write.parquet(f"{src}/b2")
+    upsert_stream(stream(), f"{db}.o", "k", ["t"], checkpoint_location=ckpt, available_now=True).awaitTermination(120)
+    assert {tuple(r) for r in spark.table(f"{db}.o").collect()} == {(1, "new", 5), (2, "b", 1)}

@@ -30,7 +30,7 @@ from tidemill.sources.calendar import create_calendar
 from tidemill.sources.csv import extract_csv, with_row_order, write_csv
 from tidemill.sources.html import holiday_rows
 from tidemill.sources.json import extract_json
-from tidemill.streaming import latest_per_key
+from tidemill.streaming import latest_per_key, upsert_stream
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -902,3 +902,23 @@ def q_flow_products_csv(spark, sf):
     df = flows.products_dimension(products, key="Product_Code", order_by=["_row"])
     return Q.conform_types(df.drop("_row"), {"Product_Code": "str", "SIZE": "int", "Format": "str",
                                              "p_partkey": "int"})
+
+
+
+@query("stream_upsert", """
+SELECT user_id, arg_max(event_id, ts) AS event_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type
+FROM events GROUP BY user_id""")
+def q_stream_upsert(spark, sf):
+    """Events arrive as day files; a streaming query upserts each micro-batch
+    into a table keyed by user (latest event wins), run until the files are
+    consumed. The table then holds each user's latest event."""
+    src = fresh_path(spark, "events-by-day")
+    e = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type",
+                                           F.to_date("ts").alias("day"))
+    e.hint("rebalance", "day").write.partitionBy("day").parquet(src)
+    name = f"{fresh_database(spark)}.latest_event"
+    stream = (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 8).parquet(src)
+              .drop("day"))
+    q = upsert_stream(stream, name, "user_id", ["ts", "event_id"], available_now=True)
+    q.awaitTermination()
+    return spark.table(name)

@@ -1,7 +1,9 @@
 """Keyed upsert as a ``foreachBatch`` sink.
 
 Each micro-batch is reduced to one row per key (the latest by ``order_by``,
-a partial aggregate, so a hot key is combined map-side), then applied with
+a partial aggregate, so a hot key is combined map-side), compared with the
+stored rows of the keys it touches (the latest wins across batches too, in
+whatever order the files arrive), then applied with
 :func:`tidemill.sinks.upsert.upsert`. The upsert is idempotent — re-applying a
 batch after a restart classifies its rows as ignored — so replays from the
 streaming checkpoint do not change the table.
@@ -38,7 +40,14 @@ def upsert_stream(stream: DataFrame, table: str, key: str, order_by: Sequence[st
     def apply(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
-        rep = upsert(latest_per_key(batch, key, order_by), table, key, partition_by=partition_by)
+        incoming = latest_per_key(batch, key, order_by)
+        if spark.catalog.tableExists(table):
+            # batches follow file discovery, not event time: compare with the
+            # stored rows of the touched keys so an older row never wins
+            stored = spark.table(table)
+            touched = stored.join(incoming.select(key), stored[key].eqNullSafe(incoming[key]), "left_semi")
+            incoming = latest_per_key(touched.unionByName(incoming), key, order_by)
+        rep = upsert(incoming, table, key, partition_by=partition_by)
         if on_report:
             on_report(epoch, rep)
 
