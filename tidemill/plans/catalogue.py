@@ -919,6 +919,7 @@ def q_stream_upsert(spark, sf):
     name = f"{fresh_database(spark)}.latest_event"
     stream = (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 8).parquet(src)
               .drop("day"))
-    q = upsert_stream(stream, name, "user_id", ["ts", "event_id"], available_now=True)
+    q = upsert_stream(stream, name, "user_id", ["ts", "event_id"], available_now=True,
+                      buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     q.awaitTermination()
     return spark.table(name)

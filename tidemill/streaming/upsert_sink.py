@@ -32,8 +32,12 @@ def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str | Column]) ->
 def upsert_stream(stream: DataFrame, table: str, key: str, order_by: Sequence[str | Column],
                   checkpoint_location: str | None = None, partition_by: list[str] | None = None,
                   on_report: Callable[[int, UpsertReport], None] | None = None,
-                  available_now: bool = False) -> StreamingQuery:
-    """Start a streaming query that upserts every micro-batch into ``table``."""
+                  available_now: bool = False, buckets: int | None = None) -> StreamingQuery:
+    """Start a streaming query that upserts every micro-batch into ``table``.
+
+    ``buckets`` buckets the table by key when the first batch creates it, so
+    every later batch shuffles only its own rows.
+    """
     spark = stream.sparkSession
     location = checkpoint_location or fresh_path(spark, f"stream-{table.replace('.', '_')}")
 
@@ -47,7 +51,8 @@ def upsert_stream(stream: DataFrame, table: str, key: str, order_by: Sequence[st
             stored = spark.table(table)
             touched = stored.join(incoming.select(key), stored[key].eqNullSafe(incoming[key]), "left_semi")
             incoming = latest_per_key(touched.unionByName(incoming), key, order_by)
-        rep = upsert(incoming, table, key, partition_by=partition_by)
+        first = not spark.catalog.tableExists(table)
+        rep = upsert(incoming, table, key, partition_by=partition_by, buckets=buckets if first else None)
         if on_report:
             on_report(epoch, rep)
 
