@@ -129,3 +129,19 @@ def test_category_codes_on_long_column(spark):
     assert [r["v_num"] for r in out.collect()] == [1, 2, 0]
     fixed = C.category_codes(df, "v", cat_map={5_000_000_000: 9, 7: 3}).orderBy("ord")
     assert [r["v_num"] for r in fixed.collect()] == [9, 3, 0]
+
+
+def test_category_codes_many_matches_one_by_one(spark):
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
+        "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("p"), "o_orderstatus",
+        F.col("o_custkey").cast("int").alias("ck"))
+    fixed = {"F": 1, "O": 2, "P": 3}
+    many = C.category_codes_many(o, {"p": None, "o_orderstatus": fixed}, order_by=["o_orderkey"])
+    one = C.category_codes(C.category_codes(o, "p", order_by=["o_orderkey"]), "o_orderstatus", cat_map=fixed)
+    assert {tuple(r) for r in many.collect()} == {tuple(r) for r in one.select(*many.columns).collect()}
+    with pytest.raises(CategoryError) as e:
+        C.category_codes_many(o, {"p": None, "ck": None}, order_by=["o_orderkey"])  # ck has > 99 values
+    assert e.value.code == 5
+    with pytest.raises(CategoryError) as e:
+        C.category_codes_many(o, {"o_orderstatus": {"F": 1, "O": 2}}, order_by=["o_orderkey"])
+    assert e.value.code == 4

@@ -14,7 +14,7 @@ from tidemill.errors import (CategoryError, DateFormatError, InputError, KeyForm
                              MissingColumnError)
 from tidemill.functions import dates
 from tidemill.functions.ordinal import occurrence_number
-from tidemill.operators._checks import ref, refs, is_numeric, require_columns, require_frame
+from tidemill.operators._checks import INTEGRAL, ref, refs, is_numeric, require_columns, require_frame
 
 MAX_CATEGORIES = 99  # fixed value: more distinct values than this is an error (code 5)
 KEY_PATTERN = r"^[0-9-]*[0-9][0-9-]*$"  # digits, optionally with hyphens, at least one digit
@@ -238,6 +238,71 @@ def unique_suffix(df: DataFrame, col: str, order_by: Sequence[str | Column]) ->
         .otherwise(F.concat(v, F.lit(" - "), F.col("_tm_occ").cast("string")))).drop("_tm_occ")
 
 
-__all__ = ["rename_columns", "key_first", "category_mapping", "category_codes", "fill_nulls",
+__all__ = ["rename_columns", "key_first", "category_mapping", "category_codes", "category_codes_many", "fill_nulls",
            "fill_count", "date_violation_counts", "parse_date", "key_violations", "surrogate_key",
            "unique_suffix", "MissingColumnError"]
+
+
+def category_codes_many(df: DataFrame, specs: Mapping[str, Mapping[Any, int] | None],
+                        order_by: Sequence[str | Column] | None = None) -> DataFrame:
+    """:func:`category_codes` for several columns from one aggregate job.
+
+    ``specs`` maps each column to a fixed ``cat_map`` or to None (automatic
+    codes by first appearance in ``order_by``). One pass collects each
+    column's distinct values with their first appearance — at most
+    ``MAX_CATEGORIES + 1`` per column are needed, so at most that many per
+    column are gathered — then the same rules as :func:`category_codes`
+    apply column by column. Columns that are not text or integers (whose
+    values do not round-trip through text) go through :func:`category_codes`.
+    """
+    require_frame(df, "category_codes")
+    require_columns(df, specs.keys(), "category_codes")
+    simple = [c for c in specs if isinstance(df.schema[c].dataType, (T.StringType, *INTEGRAL))]
+    out = df
+    for c in specs:
+        if c not in simple:
+            out = category_codes(out, c, cat_map=specs[c], order_by=order_by)
+    if not simple:
+        return out
+    if any(specs[c] is None for c in simple) and order_by is None:
+        raise InputError(1, "category_codes: automatic codes need order_by (row order)")
+    order = F.struct(*refs(order_by)) if order_by is not None else F.lit(0)
+    items = df.select(order.alias("_o"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), ref(c).cast("string").alias("v")) for c in simple])).alias("it"))
+    firsts = (items.where(F.col("it.v").isNotNull())
+              .groupBy(F.col("it.c").alias("c"), F.col("it.v").alias("v")).agg(F.min("_o").alias("_first")))
+    # a bounded collect: if all (MAX + 1) × columns slots fill up, some column
+    # has more than MAX_CATEGORIES values (pigeonhole), which is an error anyway
+    cap = (MAX_CATEGORIES + 1) * len(simple)
+    per: dict[str, list] = {c: [] for c in simple}
+    collected = firsts.limit(cap).collect()
+    for r in collected:
+        per[r["c"]].append(r)
+    if len(collected) == cap:
+        worst = max(simple, key=lambda c: len(per[c]))
+        raise CategoryError(5, f"category_codes: more than {MAX_CATEGORIES} distinct values in '{worst}'")
+    for c in simple:
+        rows = per[c]
+        if len(rows) > MAX_CATEGORIES:
+            raise CategoryError(5, f"category_codes: more than {MAX_CATEGORIES} distinct values in '{c}'")
+        spec = specs[c]
+        if spec is not None:
+            if not isinstance(spec, Mapping) or not spec:
+                raise CategoryError(3, "category_codes: cat_map must be a non-empty mapping")
+            bad = [v for v in spec.values() if not isinstance(v, int) or isinstance(v, bool)]
+            if bad:
+                raise CategoryError(3, f"category_codes: cat_map values must be int: {bad}")
+            present = {r["v"] for r in rows}
+            if present != {str(k) for k in spec}:
+                raise CategoryError(4, f"category_codes: cat_map keys {sorted(map(str, spec))} differ "
+                                       f"from values of '{c}' {sorted(present)}")
+            pairs = [(str(k), v) for k, v in spec.items()]
+        else:
+            rows.sort(key=lambda r: tuple((x is not None, x) for x in r["_first"]))
+            pairs = [(r["v"], i + 1) for i, r in enumerate(rows)]
+        key_type = df.schema[c].dataType
+        lookup = F.create_map(*[x for k, v in pairs
+                                for x in (F.lit(k).cast(key_type), F.lit(int(v)).cast("long"))])
+        out = out.withColumn(f"{c}_num", F.coalesce(lookup[ref(c)], F.lit(0).cast("long")) if pairs
+                             else F.lit(0).cast("long"))
+    return out

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemill.errors import KeyFormatError
 from tidemill.functions.ordinal import MAX_HOT, hot_threshold
-from tidemill.operators.columns import (KEY_PATTERN, category_codes, date_flags, parse_date,
+from tidemill.operators.columns import (KEY_PATTERN, category_codes_many, date_flags, parse_date,
                                         raise_date_violations, rename_columns, surrogate_key,
                                         unique_suffix)
 from tidemill.operators.quality import conform_types, duplicate_report, null_report
@@ -48,8 +48,8 @@ def outlets_dimension(outlets: DataFrame, postcodes: DataFrame, *, rename: Mappi
     the outlets alone, and their data checks scan only the outlet source.
     """
     df = rename_columns(outlets, rename)
-    df = category_codes(df, location_col, order_by=outlet_order)
-    df = category_codes(df, size_col, cat_map=size_codes)
+    # both category columns from one aggregate job over the outlets
+    df = category_codes_many(df, {location_col: None, size_col: size_codes}, order_by=outlet_order)
     pc = group_by(postcodes, postcode_key, postcode_aggs, order_by=postcode_order)
     # one row per postcode after the FIRST aggregate: broadcast it when a
     # bounded count proves it small, else a shuffle join
