@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from tidemill.llm.packing import op3_bulk_best_fit
 from tidemill.llm.repetition import op10_suffix_repetition
 from tidemill.llm.tokens import op2_heap_merge_counts
 
-QUERIES = {f.__name__: f for f in (op2_heap_merge_counts, op10_suffix_repetition)}
+QUERIES = {f.__name__: f for f in (op2_heap_merge_counts, op3_bulk_best_fit, op10_suffix_repetition)}
 
 ORACLE: dict[str, str] = {}
