@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemill.llm.decontaminate import op8_prefix_filtered_windows
+from tidemill.llm.language_model import op7_pitman_yor_scores
 from tidemill.llm.neardup import op9_bottom_k_neardup
 from tidemill.llm.packing import op3_bulk_best_fit
 from tidemill.llm.privacy import op4_information_sanitising
@@ -10,6 +11,7 @@ from tidemill.llm.repetition import op10_suffix_repetition
 from tidemill.llm.tokens import op2_heap_merge_counts
 
 QUERIES = {f.__name__: f for f in (op2_heap_merge_counts, op3_bulk_best_fit, op4_information_sanitising,
-                                   op8_prefix_filtered_windows, op9_bottom_k_neardup, op10_suffix_repetition)}
+                                   op7_pitman_yor_scores, op8_prefix_filtered_windows, op9_bottom_k_neardup,
+                                   op10_suffix_repetition)}
 
 ORACLE: dict[str, str] = {}
