@@ -18,23 +18,29 @@ from pyspark.sql import SparkSession
 _lock = threading.Lock()
 
 
+def is_local(master: str | None) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[8]``)."""
+    return bool(master) and (master == "local" or master.startswith("local["))
+
+
 def get_spark(master: str | None = None, app_name: str = "tidemill",
               shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or fetch) a session with the settings the library relies on."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
+    if shuffle_partitions or is_local(master):
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or os.cpu_count() or 8))
+    if is_local(master):  # a cluster's own settings stand
+        builder = builder.config("spark.driver.memory", "16g")
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,8 +51,8 @@ def get_spark(master: str | None = None, app_name: str = "tidemill",
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stages and table versions.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); set a
-    fresh one only where none is configured.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); a fresh one is
+    set only in local mode, and only where none is configured.
     """
     with _lock:
         try:
@@ -60,6 +66,8 @@ def work_dir(spark: SparkSession) -> str:
         if not d:
             d = sc.getConf().get("spark.checkpoint.dir", None)
             if not d:
+                if not is_local(sc.master):
+                    raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
                 d = tempfile.mkdtemp(prefix="tidemill-")
             sc.setCheckpointDir(d)
             d = sc.getCheckpointDir() or d
@@ -71,11 +79,6 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def fresh_name(label: str) -> str:
-    """A new, unique catalog identifier."""
-    return f"{label}_{uuid.uuid4().hex[:12]}"
-
-
 def stage(df, label: str = "stage"):
     """Write ``df`` once as Parquet under the shared work folder and read it back.
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.errors import InputError
-from tidemill.session import work_dir
-
-MAX_ARRAY_ROWS = 1_000_000  # a JSON array file is one document, written by one task
+from tidemill.functions.ordinal import occurrence_number
+from tidemill.session import stage
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -16,25 +14,15 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("error").option("encoding", "UTF-8").json(path)
 
 
-def write_json_array(df: DataFrame, path: str, order_by: list | None = None,
-                     max_rows: int = MAX_ARRAY_ROWS) -> None:
-    """Write ``df`` as one JSON document: an array of objects, UTF-8.
+def write_json_array(df: DataFrame, path: str, order_by: list | None = None) -> None:
+    """Write ``df`` as one JSON document: an array of objects, UTF-8, in ``order_by`` order.
 
-    A single document cannot be split, so this is for small, bounded frames
-    (a holiday list, a settings table). A bounded count checks the size first;
-    larger frames must use :func:`write_json`. Objects keep ``order_by`` order.
+    Rows are sorted and numbered in parallel; only the writing of the one file, which can't
+    be split, is a single task, and that streams. Prefer :func:`write_json` for large frames.
     """
-    # stored once in the shared checkpoint folder: the size check and the write
-    # then read it instead of computing the input twice
-    work_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise InputError(1, f"write_json_array: more than {max_rows} rows; use write_json")
     order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])] or [F.lit(0)]
-    pos = Window.orderBy(*order)  # one partition: bounded by max_rows above
-    lines = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("obj"),
-                      F.row_number().over(pos).alias("i"), F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
-    text = lines.select(
-        F.concat(F.when(F.col("i") == 1, F.lit("[")).otherwise(F.lit(",")), F.col("obj"),
-                 F.when(F.col("i") == F.col("n"), F.lit("]")).otherwise(F.lit(""))).alias("value"), "i")
-    text.orderBy("i").select("value").coalesce(1).write.mode("error").text(path)
+    objects = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("obj"), F.struct(*order).alias("o"))
+    rows = stage(occurrence_number(objects, [], ["o", "obj"], "i"), "json-array")
+    last = rows.agg(F.max("i")).first()[0]
+    text = F.concat(F.when(F.col("i") == 1, "[").otherwise(","), "obj", F.when(F.col("i") == last, "]").otherwise(""))
+    rows.sort("i").select(text.alias("value")).coalesce(1).write.mode("error").text(path)

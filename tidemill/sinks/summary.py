@@ -74,7 +74,8 @@ def record_load(spark: SparkSession, control: str, table_id: int, report: Upsert
     load_id = next_load_id(current, as_of).first()["load_id"]
     new = spark.createDataFrame([(load_id, table_id, report.inserted, report.updated,
                                   report.ignored, as_of)], SUMMARY_LOADS)
-    return replace_table(current.unionByName(new), control)
+    new.write.insertInto(control)
+    return spark.table(control)
 
 
 def record_flow(spark: SparkSession, control: str, table_id: int, table_name: str,

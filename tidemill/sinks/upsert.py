@@ -12,27 +12,26 @@ no hot key; AQE picks broadcast or sort-merge from the runtime sizes.
 
 * unpartitioned table: all rows go to a new version folder, then the table is
   switched to it;
-* table partitioned by ``partition_by``: only partitions present in the source
-  are read from the target (partition pruning), merged, and written back in
-  one write with dynamic partition overwrite; every other partition is left
-  untouched. The partition column must not change for a key.
+* partitioned table: the partitions that the source's rows belong to and those that
+  hold its keys now are merged and stored, then written back with dynamic partition
+  overwrite; a partition that a moved key leaves empty is dropped, every other one is
+  left untouched.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.errors import DuplicateKeyError, InputError, SchemaError
-from tidemill.operators._checks import require_columns
-from tidemill.operators.relational import broadcast_if_small
-from tidemill.sinks.tables import check_name, switch_location, table_exists, version_path
+from tidemill.operators._checks import ref, require_columns
+from tidemill.session import stage
+from tidemill.sinks.tables import (align, bucket_spec, check_name, overwrite_partitions, partition_columns, save_as,
+                                   switch_location, table_exists, write_version)
 
 CHANGE = "change"
-MAX_TOUCHED_PARTITIONS = 100_000  # broadcast bound for the list of partitions one load touches
 MAX_LITERAL_PARTITIONS = 10_000   # up to this many touched values are inlined as a literal filter
 CLASSES = ("inserted", "updated", "ignored", "retained")
 
@@ -49,60 +48,42 @@ class UpsertReport:
         return (self.table, self.inserted, self.updated, self.ignored, self.retained)
 
 
-def cluster_for_partitions(df: DataFrame, parts: list[str], key: str | None = None) -> DataFrame:
-    """Group rows by partition value before a partitioned write.
-
-    The ``rebalance`` hint hash-partitions on the partition columns and lets
-    AQE split a hot partition value over several tasks and merge small ones —
-    about one file per partition instead of one per task, no task holding a
-    whole hot day, and no extra sampling pass over the (merge) plan.
-    """
-    return df.hint("rebalance", *parts)
-
-
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """``(key, copies)`` for keys present more than once; null keys count as equal."""
     require_columns(df, [key], "duplicate_keys")
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    return df.groupBy(ref(key).alias(key)).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
-def check_source(df: DataFrame, key: str, sample: int = 20) -> None:
+def check_source(df: DataFrame, key: str, sample: int = 20) -> tuple[int, bool]:
     """Non-empty and unique by key — one aggregate job (per-key counts, partially
-    aggregated, then summed); a bounded sample of duplicates only on failure."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+    aggregated, then summed); a bounded sample of duplicates only on failure. Returns the number of rows, and whether one has a null key."""
+    per_key = df.groupBy(ref(key).alias("key")).agg(F.count(F.lit(1)).alias("copies"))
     stats = per_key.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-                        F.count_if(F.col("copies") > 1).alias("dup_keys")).first()
+                        F.count_if(F.col("copies") > 1).alias("dup_keys"),
+                        F.count_if(F.col("key").isNull()).alias("null_keys")).first()
     if not stats["rows"]:
         raise InputError(1, "upsert: source frame is empty")
     if stats["dup_keys"]:
         dups = [r[0] for r in per_key.where(F.col("copies") > 1).limit(sample).collect()]
         raise DuplicateKeyError(2, f"upsert: {stats['dup_keys']} duplicate keys in source, e.g. {dups}")
+    return stats["rows"], stats["null_keys"] > 0
 
 
-def align(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source columns in target order and types; a different column set is an error."""
-    if set(source.columns) != set(target.columns):
-        raise SchemaError(2, f"upsert: source columns {source.columns} differ from target {target.columns}")
-    return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
-
-
-def merge_plan(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def merge_plan(target: DataFrame, source: DataFrame, key: str, null_key: bool = True) -> DataFrame:
     """Rows of the merged table plus a ``change`` column (one of ``CLASSES``).
 
-    Non-null keys meet in a plain equi-join, so a target bucketed (or already
-    partitioned) by the key is not shuffled; the null key — at most one row per
-    side, since keys are unique — is matched separately.
+    One equi-join. ``null_key`` tells whether the source may hold a null key: only then does the
+    join also match nulls. Without, a target bucketed (or already partitioned) by the key is not
+    shuffled; its own null key has no partner and is retained.
     """
     source = align(source, target)
     cols = target.columns
     ki = cols.index(key)
     rest = [i for i, c in enumerate(cols) if c != key]
-    t = target.select(*[F.col(c).alias(f"t_{i}") for i, c in enumerate(cols)], F.lit(True).alias("t_hit"))
-    s = source.select(*[F.col(c).alias(f"s_{i}") for i, c in enumerate(cols)], F.lit(True).alias("s_hit"))
+    t = target.select(*[ref(c).alias(f"t_{i}") for i, c in enumerate(cols)], F.lit(True).alias("t_hit"))
+    s = source.select(*[ref(c).alias(f"s_{i}") for i, c in enumerate(cols)], F.lit(True).alias("s_hit"))
     tk, sk = F.col(f"t_{ki}"), F.col(f"s_{ki}")
-    keyed = t.where(tk.isNotNull()).join(s.where(sk.isNotNull()), tk == sk, "full")
-    null_key = t.where(tk.isNull()).join(s.where(sk.isNull()), F.lit(True), "full")
-    j = keyed.unionByName(null_key)
+    j = t.join(s, tk.eqNullSafe(sk) if null_key else tk == sk, "full")
     t_vals = F.struct(*[F.col(f"t_{i}") for i in rest]) if rest else F.lit(0)
     s_vals = F.struct(*[F.col(f"s_{i}") for i in rest]) if rest else F.lit(0)
     in_t, in_s = F.col("t_hit").isNotNull(), F.col("s_hit").isNotNull()
@@ -124,37 +105,6 @@ def _observed(plan: DataFrame, name: str):
     return plan.observe(obs, *[F.count_if(F.col(CHANGE) == c).alias(c) for c in CLASSES]), obs
 
 
-def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
-    """``(buckets, columns)`` of a bucketed table, else None."""
-    cols = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
-    if not cols:
-        return None
-    info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    return int(info["Num Buckets"]), cols
-
-
-def _write_version(df: DataFrame, table: str, buckets: tuple[int, list[str]] | None,
-                   partition_by: list[str] | None = None) -> str:
-    """Write ``df`` to a new version folder (bucketed when asked); return its path."""
-    spark = df.sparkSession
-    path = version_path(spark, table)
-    if not buckets:
-        w = df.write.mode("error").format("parquet")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
-        return path
-    # bucketed files can only be written through the catalog: write them as a
-    # scratch external table, then forget the table and keep the files
-    scratch = f"{table}__v{uuid.uuid4().hex[:8]}"
-    w = df.write.format("parquet").option("path", path).bucketBy(buckets[0], *buckets[1]).sortBy(*buckets[1])
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(scratch)
-    spark.sql(f"DROP TABLE {scratch}")
-    return path
-
-
 def upsert(df: DataFrame, table: str, key: str | None = None,
            partition_by: list[str] | None = None, buckets: int | None = None) -> UpsertReport:
     """Insert new keys, replace changed rows, keep the rest; report the counts.
@@ -170,83 +120,81 @@ def upsert(df: DataFrame, table: str, key: str | None = None,
     require_columns(df, [key], "upsert")
     if buckets and partition_by:
         raise InputError(1, "upsert: choose buckets or partition_by, not both")
-    check_source(df, key)
+    rows, null_key = check_source(df, key)
     if not table_exists(spark, table):
         obs = Observation(f"first_{table}")
-        # observe above the range exchange: its sampling job must not be counted
-        first = cluster_for_partitions(df, partition_by, key) if partition_by else df
-        first = first.observe(obs, F.count(F.lit(1)).alias("n"))
-        w = first.write.format("parquet").option("path", version_path(spark, table))
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        if buckets:
-            w = w.bucketBy(buckets, key).sortBy(key)
-        w.saveAsTable(table)
+        save_as(df.observe(obs, F.count(F.lit(1)).alias("n")), table, partition_by, (buckets, [key]) if buckets else None)
         return UpsertReport(table, int(obs.get["n"]), 0, 0, 0)
     target = spark.table(table)
     # an existing table's own layout decides how it is rewritten
-    table_parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if partition_by and sorted(partition_by) != sorted(table_parts):
-        raise SchemaError(3, f"upsert: {table} is partitioned by {table_parts}, not {partition_by}")
-    partition_by = table_parts
-    if not partition_by:
-        plan, obs = _observed(merge_plan(target, df, key), f"upsert_{table}")
-        path = _write_version(plan.drop(CHANGE), table, bucket_spec(spark, table))
-        switch_location(spark, table, path)
-        m = obs.get
-        return UpsertReport(table, m["inserted"], m["updated"], m["ignored"], m["retained"])
-    return _upsert_partitions(spark, df, target, table, key, partition_by)
-
-
-def _touched_partitions(target: DataFrame, source: DataFrame, parts: list[str]) -> DataFrame:
-    """Target rows in the partitions the source touches.
-
-    One partition column and at most ``MAX_LITERAL_PARTITIONS`` touched values
-    (a bounded collect): a literal ``isin`` filter, so the scan is pruned when
-    the query is planned. Otherwise a plain-equality semi join against the
-    touched values (broadcast when a bounded count proves them small), which
-    dynamic partition pruning applies to; null partition values are matched
-    in a separate, statically pruned branch.
+    parts = partition_columns(spark, table)
+    if partition_by and sorted(partition_by) != sorted(parts):
+        raise SchemaError(3, f"upsert: {table} is partitioned by {parts}, not {partition_by}")
+    if parts:
+        return _upsert_partitions(spark, align(df, target), target, table, key, parts, rows, null_key)
+    plan, obs = _observed(merge_plan(target, df, key, null_key), f"upsert_{table}")
+    path = write_version(plan.drop(CHANGE), table, bucket_spec(spark, table))
+    report = _report(table, obs.get, rows)
+    switch_location(spark, table, path)
+    return report
+
+
+def _report(table: str, counts: dict, rows: int) -> UpsertReport:
+    """The report of a merge; a source row that met several rows shows a key that the table has twice."""
+    if counts["inserted"] + counts["updated"] + counts["ignored"] != rows:
+        raise DuplicateKeyError(2, f"upsert: {table} holds keys of the source more than once")
+    return UpsertReport(table, *[counts[c] for c in CLASSES])
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    cond = F.lit(True)
+    for n in names:
+        cond = cond & left[f"`{n}`"].eqNullSafe(right[f"`{n}`"])
+    return cond
+
+
+def _touched_partitions(target: DataFrame, touched: DataFrame, parts: list[str]) -> DataFrame:
+    """Target rows in the partitions that ``touched`` lists.
+
+    A short list over one column becomes a literal filter, which prunes the scan when the query
+    is planned; a longer one a semi join, in which Spark can prune at run time.
     """
-    touched = source.select(*parts).distinct()
+    values = touched.select(*[ref(p) for p in parts]).distinct()
     if len(parts) == 1:
-        vals = [r[0] for r in touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-        if len(vals) <= MAX_LITERAL_PARTITIONS:
-            p = F.col(parts[0])
-            cond = p.isin([v for v in vals if v is not None])
-            if any(v is None for v in vals):
-                cond = cond | p.isNull()
-            return target.where(cond)
-    small = broadcast_if_small(touched, MAX_TOUCHED_PARTITIONS)
-    keyed = target.join(small, [target[p] == small[p] for p in parts], "left_semi")
-    any_null = F.lit(False)
-    for p in parts:
-        any_null = any_null | F.col(p).isNull()
-    nulls = target.where(any_null).join(touched.where(any_null),
-                                        [target[p].eqNullSafe(touched[p]) for p in parts], "left_semi")
-    return keyed.unionByName(nulls)
-
-
-def _upsert_partitions(spark: SparkSession, df: DataFrame, target: DataFrame, table: str,
-                       key: str, parts: list[str]) -> UpsertReport:
-    """Merge only the partitions the source touches and overwrite just those.
-
-    The target is pruned to the touched partitions (see
-    :func:`_touched_partitions`). With dynamic partition overwrite the new files
-    are staged and swapped in per partition at commit, so the merge may read
-    the partitions it replaces: one write, and a failed job leaves every
-    partition as it was.
+        found = [r[0] for r in values.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
+        if len(found) <= MAX_LITERAL_PARTITIONS:
+            p = ref(parts[0])
+            cond = p.isin([v for v in found if v is not None])
+            return target.where(cond | p.isNull() if None in found else cond)
+    return target.join(values, _same(target, values, parts), "left_semi")
+
+
+def _upsert_partitions(spark: SparkSession, source: DataFrame, target: DataFrame, table: str,
+                       key: str, parts: list[str], rows: int, null_key: bool) -> UpsertReport:
+    """Merge the partitions that the source's rows belong to, or that hold its keys, and overwrite just those.
+
+    Where the keys are now is found from the target's key column alone. The list of these
+    partitions joins the target on its partition columns, so the scan of the rest is pruned.
+    The merged rows are stored before any partition is replaced.
     """
-    source = align(df, target)
-    scoped = _touched_partitions(target, source, parts)
-    clustered = cluster_for_partitions(merge_plan(scoped, source, key), parts, key)
-    plan, obs = _observed(clustered, f"upsert_{table}")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        plan.drop(CHANGE).select(*target.columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    spark.sql(f"REFRESH TABLE {table}")
-    m = obs.get
-    return UpsertReport(table, m["inserted"], m["updated"], m["ignored"], m["retained"])
+    keys = source.select(ref(key))
+    now = target.select(*[ref(p) for p in parts], ref(key))
+    now = now.join(keys, _same(now, keys, [key]), "left_semi").select(*[ref(p) for p in parts]).distinct()
+    touched = stage(source.select(*[ref(p) for p in parts]).union(now).distinct(), "touched")
+    old = _touched_partitions(target, touched, parts)
+    plan, obs = _observed(merge_plan(old, source, key, null_key), f"upsert_{table}")
+    merged = stage(plan.drop(CHANGE), "merged")
+    report = _report(table, obs.get, rows)
+    overwrite_partitions(merged, table, "dynamic")
+    kept = merged.select(*[ref(p) for p in parts]).distinct()
+    for gone in touched.join(kept, _same(touched, kept, parts), "left_anti").collect():
+        spec = ", ".join(f"`{p}` = {_literal(gone[p])}" for p in parts)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    return report
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    return str(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else "'{}'".format(
+        str(value).replace("\\", "\\\\").replace("'", "\\'"))
