@@ -2,36 +2,37 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemill.errors import InputError
+
 # Spanish weekday names, Monday first (weekday index 1..7).
 DAY_NAMES = ["Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo"]
 # Spanish month names, January first (month 1..12).
 MONTH_NAMES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio",
                "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre"]
 
-_TOKENS = (("YYYY", "yyyy"), ("YY", "yy"), ("MM", "MM"), ("DD", "dd"))
+# The pattern's tokens and Spark's letters for them.
+_TOKENS = {"YYYY": "yyyy", "YY": "yy", "MM": "MM", "DD": "dd"}
+_TOKEN = re.compile("(YYYY|YY|MM|DD)")
 
 
 def spark_pattern(fmt: str) -> str:
     """Translate a ``YYYY/YY/MM/DD`` pattern to a Spark datetime pattern.
 
     Any other character is a literal and is quoted, so ``DD-MM-YYYY`` becomes
-    ``dd'-'MM'-'yyyy``.
+    ``dd'-'MM'-'yyyy``. A part given twice, and a ``Y``, ``M`` or ``D`` that is in no
+    token, are errors (code 1).
     """
-    out, i = [], 0
-    while i < len(fmt):
-        for tok, rep in _TOKENS:
-            if fmt.startswith(tok, i):
-                out.append(rep)
-                i += len(tok)
-                break
-        else:
-            ch = fmt[i]
-            out.append("''" if ch == "'" else f"'{ch}'")
-            i += 1
-    return "".join(out)
+    literals = _TOKEN.sub("", fmt)
+    parts = [t[0] for t in _TOKEN.findall(fmt)]
+    if len(parts) != len(set(parts)) or re.search("[YMD]", literals):
+        raise InputError(1, f"date pattern {fmt!r}: parts are YYYY or YY, MM and DD, each once")
+    quoted = re.sub("[^YMD]", lambda m: "\'\'" if m[0] == "\'" else f"\'{m[0]}\'", fmt)
+    return _TOKEN.sub(lambda m: _TOKENS[m[0]], quoted)
 
 
 def has_two_digit_year(fmt: str) -> bool:
@@ -39,10 +40,7 @@ def has_two_digit_year(fmt: str) -> bool:
 
 
 def has_literals(fmt: str) -> bool:
-    rest = fmt
-    for tok, _ in _TOKENS:
-        rest = rest.replace(tok, "")
-    return bool(rest)
+    return bool(_TOKEN.sub("", fmt))
 
 
 def parse_with_pattern(text: Column, fmt: str) -> Column:

@@ -1,23 +1,19 @@
-"""Skew-safe occurrence numbering.
+"""Occurrence numbering whose groups may be of any size.
 
 ``row_number() over (partition by k order by o)`` sends every row of a key to one
 task, so a key holding a third of the table would make one task do a third of
-the work. Here:
-
-1. One partial aggregate counts rows per key and collects the *hot* keys (more
-   than ``hot_rows`` rows; at most ``max_hot`` of them, a bounded list).
-2. Rows of all other keys are numbered by the plain window — every such group
-   is small by construction.
-3. Rows of hot keys (picked with a broadcast semi join against the bounded
-   hot-key list) are range-partitioned on ``(k, o)`` — the bounds are sampled
-   on the full sort key, so one hot key spans many partitions — and stored once
-   with ``checkpoint()`` so the partition a row landed in is fixed (range
-   bounds are sampled anew each time a plan runs). Each (partition, key) piece
-   is numbered locally and shifted by the row count of the same key in earlier
-   partitions; the offset table has one row per piece.
-
-With no ``by`` columns every row belongs to one group (a global position) and
-step 3 is used for all rows.
+the work. Here one plan serves all sizes:
+
+1. Rows are range-partitioned on ``(k, o)``: the bounds are sampled on the full
+   sort key, so a hot key spans many partitions. They are stored once with
+   ``checkpoint()``, because range bounds are sampled anew each time a plan runs.
+2. Rows are numbered inside each partition's piece of a key.
+3. Only a partition's first key can have begun in an earlier one, so one offset
+   for each partition (the rows of that key before it) is all that is added; this
+   table has one row per partition and is broadcast.
+
+The second exchange is by the partitions' numbers, so the output keeps the order of
+step 1: contiguous ranges of ``(k, o)``, sorted inside each partition.
 """
 
 from __future__ import annotations
@@ -29,82 +25,44 @@ from pyspark.sql import functions as F
 
 from tidemill.session import work_dir
 
-_PID, _KEY, _LOCAL, _CNT, _OFF = "_tm_pid", "_tm_key", "_tm_local", "_tm_cnt", "_tm_off"
-HOT_ROWS_CONF = "tidemill.hotKeyRows"
-DEFAULT_HOT_ROWS = 2_000_000
-MAX_HOT = 10_000
-
-
-def hot_threshold(spark, hot_rows: int | None = None) -> int:
-    return hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+_PID, _KEY = "_tm_pid", "_tm_key"
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(f"`{c}`") if isinstance(c, str) else c for c in cols]
 
 
-def _by_range(df: DataFrame, n: int | None, *cols: Column) -> DataFrame:
-    """Range-partition; without an explicit count AQE may merge small adjacent
-    partitions (ranges stay contiguous and ordered)."""
-    return df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
-
-
-def _ranged_numbering(df: DataFrame, order: list[Column], name: str, n: int | None) -> DataFrame:
-    """Number rows within ``_tm_key`` through range partitions (see module doc)."""
-    work_dir(df.sparkSession)  # make sure a shared checkpoint folder is set
-    ranged = (_by_range(df, n, F.col(_KEY), *order)
-              .withColumn(_PID, F.spark_partition_id())
-              .checkpoint(eager=True))
-    piece = Window.partitionBy(_PID, _KEY).orderBy(*order)
-    numbered = ranged.withColumn(_LOCAL, F.row_number().over(piece))
-    counts = ranged.groupBy(_PID, _KEY).agg(F.count(F.lit(1)).alias(_CNT))
-    earlier = Window.partitionBy(_KEY).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, _KEY, F.coalesce(F.sum(_CNT).over(earlier), F.lit(0)).alias(_OFF))
-    out = (numbered.join(offsets, [_PID, _KEY])
-           .withColumn(name, (F.col(_LOCAL) + F.col(_OFF)).cast("long")))
-    return out.drop(_PID, _LOCAL, _OFF)
+def _rows_before(ranged: DataFrame) -> DataFrame:
+    """``(pid, first, before)``: each partition's first key and that key's rows in earlier partitions."""
+    ends = ranged.groupBy(_PID).agg(F.min(_KEY).alias("first"), F.max(_KEY).alias("last"))
+    tails = (ranged.join(F.broadcast(ends), _PID).where(F.col(_KEY).eqNullSafe(F.col("last")))
+             .groupBy(_PID).agg(F.min("first").alias("first"), F.min("last").alias("last"),
+                                F.count(F.lit(1)).alias("n")))
+    run = F.sum("n").over(Window.partitionBy("last").orderBy(_PID))
+    ahead = F.lag(F.struct("last", run.alias("run"))).over(Window.orderBy(_PID))  # one row per partition
+    tails = tails.withColumn("ahead", ahead)
+    carried = F.when(F.col("ahead.last").eqNullSafe(F.col("first")), F.col("ahead.run")).otherwise(F.lit(0))
+    return tails.select(_PID, "first", carried.alias("before"))
 
 
 def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Sequence[str | Column],
-                      name: str, partitions: int | None = None,
-                      hot_rows: int | None = None, cluster: bool = False,
-                      hot_values: list[tuple] | None = None) -> DataFrame:
+                      name: str, partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of the row among rows with equal ``by``.
 
     ``order_by`` must be a total order within each group (add a unique
     tie-break). Null ``by`` values form one group of their own. With ``by``
-    empty, ``name`` is the global position.
-
-    ``cluster=True`` range-partitions the rows on ``by`` instead of hashing
-    them; the numbering window accepts that partitioning, so the output comes
-    out in contiguous key ranges, sorted by ``(by, order_by)`` inside each
-    partition — the layout a date-clustered write wants, from the same shuffle.
-
-    ``hot_values`` (tuples of ``by`` values) skips the hot-key detection job when
-    the caller already found them in an aggregate it runs anyway.
+    empty, ``name`` is the global position. Rows come out in ranges of
+    ``(by, order_by)``, sorted inside each partition.
     """
-    spark = df.sparkSession
-    n = partitions
+    work_dir(df.sparkSession)  # make sure a shared checkpoint folder is set
     keys, order = _as_cols(by), _as_cols(order_by)
-    if not keys:
-        keyed = df.withColumn(_KEY, F.lit(0))
-        return _ranged_numbering(keyed, order, name, n).drop(_KEY)
-    keyed = df.withColumn(_KEY, F.struct(*keys))
-    if hot_values is not None:
-        hot = [(tuple(v),) for v in hot_values[:MAX_HOT]]
-    else:
-        hot = (keyed.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_CNT))
-               .where(F.col(_CNT) > hot_threshold(spark, hot_rows)).select(_KEY).limit(MAX_HOT).collect())
-    plain = Window.partitionBy(_KEY).orderBy(*order)
-    if not hot:
-        if cluster:
-            keyed = _by_range(keyed, n, F.col(_KEY))
-        return keyed.withColumn(name, F.row_number().over(plain).cast("long")).drop(_KEY)
-    hot_df = F.broadcast(spark.createDataFrame(hot, keyed.select(_KEY).schema))
-    cold = keyed.join(hot_df, _KEY, "left_anti")
-    warm = keyed.join(hot_df, _KEY, "left_semi")
-    if cluster:
-        cold = _by_range(cold, n, F.col(_KEY))
-    cold_n = cold.withColumn(name, F.row_number().over(plain).cast("long"))
-    hot_n = _ranged_numbering(warm, order, name, n)
-    return cold_n.unionByName(hot_n.select(*cold_n.columns)).drop(_KEY)
+    keyed = df.withColumn(_KEY, F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    width = [partitions] if partitions else []
+    ranged = (keyed.repartitionByRange(*width, F.col(_KEY), *order)
+              .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))
+    piece = Window.partitionBy(_PID, _KEY).orderBy(*order)
+    local = ranged.repartitionByRange(*width, F.col(_PID)).withColumn(name, F.row_number().over(piece))
+    out = local.join(F.broadcast(_rows_before(ranged)), _PID)
+    earlier = F.when(F.col(_KEY).eqNullSafe(F.col("first")), F.col("before")).otherwise(F.lit(0))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name],
+                      (F.col(name) + earlier).cast("long").alias(name))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,10 +12,6 @@ MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
                   "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
                   "n/a", "nan", "null"]
 
-# HTML entities decoded in table cells.
-HTML_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                 ("&#39;", "'"), ("&amp;", "&")]
-
 LIST_SEPARATOR = " , "
 
 
@@ -23,11 +21,27 @@ def digits_only(c: Column) -> Column:
 
 
 def strip_tags(c: Column) -> Column:
-    """Drop markup, decode the common entities, trim (like ``get_text(strip=True)``)."""
-    out = F.regexp_replace(c, r"<[^>]*>", "")
-    for ent, rep in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(rep))
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    """Drop markup, decode all entities, trim (like ``get_text(strip=True)``)."""
+    out = decode_entities(F.regexp_replace(c, r"<[^>]*>", ""))
+    return F.trim(F.regexp_replace(out, r"[\s\u00a0]+", " "))
+
+
+def decode_entities(c: Column) -> Column:
+    """Replace named (``&eacute;``) and numeric (``&#243;``, ``&#xF3;``) entities; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for name, text in sorted(html5.items()) if name.endswith(";")
+                           for x in (name[:-1], text)])
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        code = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(
+            name.startswith("#"), F.substr(name, F.lit(2))).cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        text = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).when(
+            code.isNull() & (name != ""), F.element_at(names, name))
+        return F.coalesce(F.concat(text, F.substr(part, F.length(name) + 2)), F.concat(F.lit("&"), part))
+
+    parts = F.transform(F.split(c, "&"), lambda part, i: F.when(i == 0, part).otherwise(decoded(part)))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(parts, "")).otherwise(c)
 
 
 def json_text(c: Column, is_array: bool) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,20 @@ def is_datelike(df: DataFrame, col: str) -> bool:
     return isinstance(dtype(df, col), (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
+def is_missing(df: DataFrame, col: str) -> Column:
+    """Null, or NaN in a floating-point column."""
+    if isinstance(dtype(df, col), (T.FloatType, T.DoubleType)):
+        return ref(col).isNull() | F.isnan(ref(col))
+    return ref(col).isNull()
+
+
+def first_broken(op: str, rules: Iterable[tuple[Callable[[], bool], type[Exception], int, str]]) -> None:
+    """Raise for the first rule that doesn't hold; later rules may rely on earlier ones."""
+    for holds, error, code, text in rules:
+        if not holds():
+            raise error(code, f"{op}: {text}")
+
+
 def ref(name: str) -> Column:
     """Column by exact name: a dot in the name is part of it, not a field access."""
     return F.col(f"`{name}`")

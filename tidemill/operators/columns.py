@@ -3,7 +3,7 @@ surrogate keys and de-duplicating suffixes."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +14,8 @@ from tidemill.errors import (CategoryError, DateFormatError, InputError, KeyForm
                              MissingColumnError)
 from tidemill.functions import dates
 from tidemill.functions.ordinal import occurrence_number
-from tidemill.operators._checks import INTEGRAL, ref, refs, is_numeric, require_columns, require_frame
+from tidemill.operators._checks import (INTEGRAL, is_missing, is_numeric, ref, refs, require_columns,
+                                        require_frame)
 
 MAX_CATEGORIES = 99  # fixed value: more distinct values than this is an error (code 5)
 KEY_PATTERN = r"^[0-9-]*[0-9][0-9-]*$"  # digits, optionally with hyphens, at least one digit
@@ -69,6 +70,30 @@ def category_mapping(df: DataFrame, col: str, order_by: Sequence[str | Column])
     return df.sparkSession.createDataFrame([(r["value"], i + 1) for i, r in enumerate(rows)], schema)
 
 
+def _fixed_codes(col: str, cat_map: Mapping[Any, int], present: Callable[[], Iterable[Any]]) -> list[tuple[Any, int]]:
+    """The pairs of a fixed map: whole numbers (else code 3) for exactly the values present (else code 4)."""
+    if not isinstance(cat_map, Mapping) or not cat_map:
+        raise CategoryError(3, "category_codes: cat_map must be a non-empty mapping")
+    wrong = [v for v in cat_map.values() if isinstance(v, bool) or not isinstance(v, int)]
+    if wrong:
+        raise CategoryError(3, f"category_codes: cat_map values must be int: {wrong}")
+    found = set(present())
+    if found != set(cat_map):
+        raise CategoryError(4, f"category_codes: '{col}' has the values {sorted(map(str, found))}, "
+                               f"cat_map has {sorted(map(str, cat_map))}")
+    return list(cat_map.items())
+
+
+def _with_codes(df: DataFrame, col: str, pairs: Sequence[tuple[Any, int]]) -> DataFrame:
+    """Add ``<col>_num`` by a literal map; null and unmapped values get 0."""
+    zero = F.lit(0).cast("long")
+    if not pairs:
+        return df.withColumn(f"{col}_num", zero)
+    kind = df.schema[col].dataType
+    lookup = F.create_map(*[x for k, v in pairs for x in (F.lit(k).cast(kind), F.lit(int(v)).cast("long"))])
+    return df.withColumn(f"{col}_num", F.coalesce(lookup[ref(col)], zero))
+
+
 def category_codes(df: DataFrame, col: str, cat_map: Mapping[Any, int] | None = None,
                    order_by: Sequence[str | Column] | None = None,
                    mapping: DataFrame | None = None) -> DataFrame:
@@ -88,16 +113,7 @@ def category_codes(df: DataFrame, col: str, cat_map: Mapping[Any, int] | None =
         raise InputError(1, "category_codes: col must be a non-empty string")
     require_columns(df, [col], "category_codes")
     if cat_map is not None:
-        if not isinstance(cat_map, Mapping) or not cat_map:
-            raise CategoryError(3, "category_codes: cat_map must be a non-empty mapping")
-        bad = [v for v in cat_map.values() if not isinstance(v, int) or isinstance(v, bool)]
-        if bad:
-            raise CategoryError(3, f"category_codes: cat_map values must be int: {bad}")
-        present = set(_distinct_values(df, col))
-        if present != set(cat_map):
-            raise CategoryError(4, f"category_codes: cat_map keys {sorted(map(str, cat_map))} differ "
-                                   f"from values of '{col}' {sorted(map(str, present))}")
-        pairs = list(cat_map.items())
+        pairs = _fixed_codes(col, cat_map, lambda: _distinct_values(df, col))
     else:
         if mapping is None:
             if order_by is None:
@@ -106,35 +122,41 @@ def category_codes(df: DataFrame, col: str, cat_map: Mapping[Any, int] | None =
         pairs = [(r[0], r[1]) for r in mapping.limit(MAX_CATEGORIES + 1).collect()]
         if len(pairs) > MAX_CATEGORIES:
             raise CategoryError(5, f"category_codes: stored mapping has more than {MAX_CATEGORIES} entries")
-    if not pairs:
-        return df.withColumn(f"{col}_num", F.lit(0).cast("long"))
-    key_type = df.schema[col].dataType
-    lookup = F.create_map(*[x for k, v in pairs
-                            for x in (F.lit(k).cast(key_type), F.lit(int(v)).cast("long"))])
-    return df.withColumn(f"{col}_num", F.coalesce(lookup[ref(col)], F.lit(0).cast("long")))
+    return _with_codes(df, col, pairs)
 
 
 # ---------------------------------------------------------------- P5 nulls
+def _missing(df: DataFrame, col: str, null_values: Sequence[Any] | None) -> Column:
+    """Null, NaN, or one of ``null_values``; of these only values that the column's type can hold count."""
+    kind = df.schema[col].dataType
+    listed = [v for v in null_values or () if v is not None and v == v]
+    if isinstance(kind, T.BooleanType):
+        listed = [v for v in listed if isinstance(v, bool)]
+    elif is_numeric(df, col):
+        listed = [v for v in listed if isinstance(v, (int, float)) and not isinstance(v, bool)]
+    elif isinstance(kind, T.StringType):
+        listed = [v for v in listed if isinstance(v, str)]
+    missing = is_missing(df, col)
+    return missing | ref(col).isin(listed) if listed else missing
+
+
 def fill_nulls(df: DataFrame, col: str, null_values: Sequence[Any] | None = None) -> DataFrame:
-    """Treat ``null_values`` as null, then fill: 0 for numeric columns, ``""`` otherwise."""
+    """Treat ``null_values`` and NaN as null, then fill: 0 for numeric columns, false for booleans, ``""`` otherwise."""
     require_columns(df, [col], "fill_nulls")
-    c = ref(col)
-    if null_values:
-        c = F.when(~ref(col).isin(list(null_values)), ref(col))
-    if is_numeric(df, col):
-        filled = F.coalesce(c, F.lit(0)).cast(df.schema[col].dataType)
+    kept = F.when(~_missing(df, col, null_values), ref(col))
+    if isinstance(df.schema[col].dataType, T.BooleanType):
+        filled = F.coalesce(kept, F.lit(False))
+    elif is_numeric(df, col):
+        filled = F.coalesce(kept, F.lit(0)).cast(df.schema[col].dataType)
     else:
-        filled = F.coalesce(c.cast("string"), F.lit(""))
+        filled = F.coalesce(kept.cast("string"), F.lit(""))
     return df.withColumn(col, filled)
 
 
 def fill_count(df: DataFrame, col: str, null_values: Sequence[Any] | None = None) -> DataFrame:
     """One-row report: how many values :func:`fill_nulls` replaces."""
     require_columns(df, [col], "fill_count")
-    cond = ref(col).isNull()
-    if null_values:
-        cond = cond | ref(col).isin(list(null_values))
-    return df.agg(F.count_if(cond).alias("replaced"))
+    return df.agg(F.count_if(F.coalesce(_missing(df, col, null_values), F.lit(True))).alias("replaced"))
 
 
 # ---------------------------------------------------------------- P6 dates
@@ -206,14 +228,12 @@ def key_violations(df: DataFrame, col: str) -> DataFrame:
 
 
 def surrogate_key(df: DataFrame, col: str, order_by: Sequence[str | Column], name: str = "Index",
-                  separator: str = "", validate: bool = True, cluster: bool = False,
-                  hot_values: list[tuple] | None = None) -> DataFrame:
+                  separator: str = "", validate: bool = True) -> DataFrame:
     """New first column ``name`` = value + 0-based occurrence counter in row order.
 
     ``123, 123, 124, 123 → 1230, 1231, 1240, 1232``. Values must be digits or
     digits with hyphens (code 3). ``order_by`` is the row order (total).
-    ``cluster=True`` leaves the rows range-partitioned by ``col``;
-    ``hot_values`` passes hot keys already known (see :func:`occurrence_number`).
+    Rows come out in ranges of ``(col, order_by)`` (see :func:`occurrence_number`).
     """
     require_frame(df, "surrogate_key")
     require_columns(df, [col], "surrogate_key")
@@ -222,7 +242,7 @@ def surrogate_key(df: DataFrame, col: str, order_by: Sequence[str | Column], nam
         if bad:
             raise KeyFormatError(3, f"surrogate_key: invalid value in '{col}': '{bad[0]['value']}'")
     s = ref(col).cast("string")
-    out = occurrence_number(df, [s], order_by, "_tm_occ", cluster=cluster, hot_values=hot_values)
+    out = occurrence_number(df, [s], order_by, "_tm_occ")
     out = out.withColumn(name, F.concat(s, F.lit(separator), (F.col("_tm_occ") - 1).cast("string")))
     return key_first(out.drop("_tm_occ"), name)
 
@@ -287,22 +307,10 @@ def category_codes_many(df: DataFrame, specs: Mapping[str, Mapping[Any, int] | N
             raise CategoryError(5, f"category_codes: more than {MAX_CATEGORIES} distinct values in '{c}'")
         spec = specs[c]
         if spec is not None:
-            if not isinstance(spec, Mapping) or not spec:
-                raise CategoryError(3, "category_codes: cat_map must be a non-empty mapping")
-            bad = [v for v in spec.values() if not isinstance(v, int) or isinstance(v, bool)]
-            if bad:
-                raise CategoryError(3, f"category_codes: cat_map values must be int: {bad}")
-            present = {r["v"] for r in rows}
-            if present != {str(k) for k in spec}:
-                raise CategoryError(4, f"category_codes: cat_map keys {sorted(map(str, spec))} differ "
-                                       f"from values of '{c}' {sorted(present)}")
-            pairs = [(str(k), v) for k, v in spec.items()]
+            named = {str(k): v for k, v in spec.items()} if isinstance(spec, Mapping) else spec
+            pairs = _fixed_codes(c, named, lambda rows=rows: (r["v"] for r in rows))
         else:
             rows.sort(key=lambda r: tuple((x is not None, x) for x in r["_first"]))
             pairs = [(r["v"], i + 1) for i, r in enumerate(rows)]
-        key_type = df.schema[c].dataType
-        lookup = F.create_map(*[x for k, v in pairs
-                                for x in (F.lit(k).cast(key_type), F.lit(int(v)).cast("long"))])
-        out = out.withColumn(f"{c}_num", F.coalesce(lookup[ref(c)], F.lit(0).cast("long")) if pairs
-                             else F.lit(0).cast("long"))
+        out = _with_codes(out, c, pairs)
     return out

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.errors import InputError, SchemaError
-from tidemill.operators._checks import INTEGRAL, NUMERIC, require_columns, require_frame
+from tidemill.operators._checks import INTEGRAL, NUMERIC, is_missing, require_columns, require_frame
 
 # Accepted type names and the Spark type each one means.
 TYPE_NAMES = {
@@ -27,9 +27,9 @@ def _col(name: str):
 
 
 def null_report(df: DataFrame) -> DataFrame:
-    """``(column, nulls)`` for every column holding nulls — one aggregate pass."""
+    """``(column, nulls)`` for every column holding nulls or NaN — one aggregate pass."""
     require_frame(df, "null_report")
-    counts = df.agg(*[F.count_if(_col(c).isNull()).alias(c) for c in df.columns])
+    counts = df.agg(*[F.count_if(is_missing(df, c)).alias(c) for c in df.columns])
     pairs = [F.struct(F.lit(c).alias("column"), _col(c).alias("nulls")) for c in df.columns]
     long_form = counts.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
     return long_form.where(F.col("nulls") > 0)
@@ -49,6 +49,10 @@ def _target(name: str) -> T.DataType:
     return t
 
 
+def _no_nan(c: Column) -> Column:
+    return F.when(~F.isnan(c), c)
+
+
 def _convert(df: DataFrame, col: str, target: T.DataType):
     """How to convert ``col``: ``(pre, final, bad)``.
 
@@ -62,23 +66,34 @@ def _convert(df: DataFrame, col: str, target: T.DataType):
     c = _col(col)
     keep = (None, lambda h: h, None)
     if src == target:
-        return keep
+        return (None, _no_nan, None) if isinstance(src, T.DoubleType) else keep
     if isinstance(target, T.StringType):
         return None, lambda h: h.cast("string"), None
     if isinstance(target, T.LongType):
         if isinstance(src, INTEGRAL) or isinstance(src, T.BooleanType):
             return None, lambda h: h.cast("long"), None
         if isinstance(src, NUMERIC) or isinstance(src, T.StringType):
-            number = (c.cast("string") if isinstance(src, T.StringType) else c).try_cast("double")
-            pre = F.nanvl(number, F.lit(None).cast("double"))  # NaN is missing, as in pandas
-            # pandas refuses to turn a fractional number into an integer
-            return (pre, lambda h: F.when(h == F.floor(h), h.cast("long")),
-                    lambda h: h.isNotNull() & (h != F.floor(h)))
+            # whole numbers are read as such, so that 64 bits survive; only values with a point or an
+            # exponent go through double, and NaN is missing, as in pandas
+            if isinstance(src, T.StringType):
+                whole, number = c.try_cast("long"), _no_nan(c.try_cast("double"))
+            elif isinstance(src, T.DecimalType):
+                whole, number = F.when(c == F.floor(c), c.try_cast("long")), c.cast("double")
+            else:
+                number = _no_nan(c.cast("double"))
+                whole = F.lit(None).cast("long")
+            fits = (number == F.floor(number)) & (F.abs(number) < 2.0 ** 63)
+            if isinstance(src, T.DecimalType):
+                fits = F.lit(False)
+            pre = F.struct(F.coalesce(whole, F.when(fits, number.try_cast("long"))).alias("value"),
+                           number.isNotNull().alias("given"))
+            # a fractional number doesn't turn into an integer, nor does one beyond 64 bits
+            return pre, lambda h: h["value"], lambda h: h["given"] & h["value"].isNull()
     if isinstance(target, T.DoubleType):
         if isinstance(src, NUMERIC):
-            return None, lambda h: h.cast("double"), None
+            return None, lambda h: _no_nan(h.cast("double")), None
         if isinstance(src, T.StringType):
-            return None, lambda h: h.try_cast("double"), None
+            return None, lambda h: _no_nan(h.try_cast("double")), None
     if isinstance(target, T.BooleanType):
         if isinstance(src, NUMERIC):
             return None, lambda h: F.when(h.isNotNull(), h != 0), lambda h: h.isNotNull() & ~h.isin(0, 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -15,28 +15,33 @@ _FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(inf|Infini
 _BOOL = ["True", "False", "TRUE", "FALSE", "true", "false"]
 
 
-def _null_tokens(c: str):
-    return F.when(~F.trim(F.col(c)).isin(MISSING_TOKENS), F.col(c))
+def _null_tokens(c: str) -> Column:
+    return F.when(~_col(c).isin(MISSING_TOKENS), _col(c))
+
+
+def _col(name: str) -> Column:
+    return F.col(f"`{name}`")
 
 
 def extract_csv(spark: SparkSession, path: str, delimiter: str = ";",
-                schema: T.StructType | str | None = None) -> DataFrame:
+                schema: T.StructType | str | None = None, multi_line: bool = False) -> DataFrame:
     """Read a header CSV; the usual missing-value tokens become null.
 
-    With ``schema`` the text is read as declared (preferred at scale). Without
-    it every column is read as text and typed by one aggregate pass: a column
-    whose non-null values are all integers becomes ``bigint``, all numbers
-    ``double``, all ``True``/``False`` ``boolean``; anything else stays text.
-    Missing path → code 1; no columns → code 2.
+    Quoted values may hold the delimiter and doubled quotes; with ``multi_line`` also
+    line ends (a file is then read by one task). All text is read as such, then tokens
+    are blanked, then types are given in one aggregate pass. With ``schema`` that pass
+    checks the declared types (a value that doesn't fit is an error, code 2). Without it
+    a column whose non-null values are all integers becomes ``bigint``, all numbers
+    ``double``, all ``True``/``False`` ``boolean``; anything else, and integers beyond 64
+    bits, stays text. Missing path → code 1; no columns → code 2.
     """
-    reader = spark.read.option("header", True).option("sep", delimiter).option("mode", "FAILFAST")
+    reader = (spark.read.option("header", True).option("sep", delimiter).option("mode", "FAILFAST")
+              .option("escape", '"').option("multiLine", multi_line).option("inferSchema", False))
+    declared = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if declared is not None:
+        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in declared]))
     try:
-        if schema is not None:
-            raw = reader.schema(schema).csv(path)
-            return raw.select(*[_null_tokens(c).cast(raw.schema[c].dataType).alias(c)
-                                if isinstance(raw.schema[c].dataType, T.StringType) else F.col(c)
-                                for c in raw.columns])
-        raw = reader.option("inferSchema", False).csv(path)
+        raw = reader.csv(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             raise SourceError(1, f"extract_csv: path not found: {path}") from e
@@ -44,32 +49,52 @@ def extract_csv(spark: SparkSession, path: str, delimiter: str = ";",
     if not raw.columns:
         raise SourceError(2, f"extract_csv: {path} has no columns")
     text = raw.select(*[_null_tokens(c).alias(c) for c in raw.columns])
+    return _declared(text, declared) if declared is not None else _inferred(text)
+
+
+def _declared(text: DataFrame, schema: T.StructType) -> DataFrame:
+    typed = {f.name: _col(f.name).try_cast(f.dataType) for f in schema}
+    checked = [f.name for f in schema if not isinstance(f.dataType, T.StringType)]
+    if checked:
+        wrong = text.agg(*[F.count_if(_col(c).isNotNull() & typed[c].isNull()).alias(c) for c in checked]).first()
+        bad = {c: wrong[c] for c in checked if wrong[c]}
+        if bad:
+            raise SourceError(2, f"extract_csv: values that don't fit the declared type: {bad}")
+    return text.select(*[v.alias(c) for c, v in typed.items()])
+
+
+def _inferred(text: DataFrame) -> DataFrame:
     probes = []
-    for c in raw.columns:
-        v = F.trim(F.col(c))
-        probes += [F.bool_and(F.coalesce(v.rlike(_INT), F.lit(True))).alias(f"{c}\0i"),
-                   F.bool_and(F.coalesce(v.rlike(_FLOAT), F.lit(True))).alias(f"{c}\0f"),
-                   F.bool_and(F.coalesce(v.isin(_BOOL), F.lit(True))).alias(f"{c}\0b"),
-                   F.count(v).alias(f"{c}\0n")]
+    for i, c in enumerate(text.columns):
+        v = F.trim(_col(c))
+        whole, long = v.rlike(_INT), v.rlike(_INT) & v.try_cast("long").isNull()
+        probes += [F.bool_and(F.coalesce(whole, F.lit(True))).alias(f"int_{i}"),
+                   F.bool_or(F.coalesce(long, F.lit(False))).alias(f"long_{i}"),
+                   F.bool_and(F.coalesce(v.rlike(_FLOAT), F.lit(True))).alias(f"float_{i}"),
+                   F.bool_and(F.coalesce(v.isin(_BOOL), F.lit(True))).alias(f"bool_{i}"),
+                   F.count(v).alias(f"n_{i}")]
     kinds = text.agg(*probes).first()
     cols = []
-    for c in raw.columns:
-        v = F.trim(F.col(c))
-        if kinds[f"{c}\0n"] == 0:
-            cols.append(F.col(c).cast("double").alias(c))  # an all-missing column is float in pandas
-        elif kinds[f"{c}\0i"]:
-            cols.append(v.cast("long").alias(c))
-        elif kinds[f"{c}\0f"]:
-            cols.append(v.cast("double").alias(c))
-        elif kinds[f"{c}\0b"]:
-            cols.append(F.lower(v).cast("boolean").alias(c))
+    for i, c in enumerate(text.columns):
+        v = F.trim(_col(c))
+        if not kinds[f"n_{i}"]:
+            typed = _col(c).cast("double")  # an all-missing column is float in pandas
+        elif kinds[f"long_{i}"]:
+            typed = _col(c)
+        elif kinds[f"int_{i}"]:
+            typed = v.cast("long")
+        elif kinds[f"float_{i}"]:
+            typed = v.cast("double")
+        elif kinds[f"bool_{i}"]:
+            typed = F.lower(v).cast("boolean")
         else:
-            cols.append(F.col(c))
+            typed = _col(c)
+        cols.append(typed.alias(c))
     return text.select(*cols)
 
 
 def write_csv(df: DataFrame, path: str, delimiter: str = ";") -> None:
-    df.write.mode("overwrite").option("header", True).option("sep", delimiter).csv(path)
+    df.write.mode("overwrite").option("header", True).option("sep", delimiter).option("escape", '"').csv(path)
 
 
 def with_row_order(df: DataFrame, name: str = "_row") -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.partitions import spread
 from tidemill.functions.text import strip_tags
 from tidemill.operators._checks import require_columns
 from tidemill.operators.holidays import NATIONAL, REGIONAL
@@ -32,12 +31,12 @@ def holiday_rows(pages: DataFrame, region: str = "region", year: str = "year",
 
     Rows with fewer than four cells are skipped; only public and regional
     holidays are kept; cell 2 is the date (``Mar 19``), 3 the name, 4 the type,
-    5 an optional comment.
+    5 an optional comment. A kept row whose date can't be read stops the job.
     """
     require_columns(pages, [region, year, html], "holiday_rows")
     table = F.regexp_extract(F.col(html), _TABLE, 1)
     body = F.coalesce(F.nullif(F.regexp_extract(table, _TBODY, 1), F.lit("")), table)
-    rows = spread(pages).select(F.col(region).alias("Region"), F.col(year).alias("_year"),
+    rows = pages.hint("rebalance").select(F.col(region).alias("Region"), F.col(year).alias("_year"),
                         F.posexplode(F.regexp_extract_all(body, F.lit(_ROW), 1)).alias("row_pos", "_tr"))
     cells = rows.withColumn("_td", F.regexp_extract_all("_tr", F.lit(_CELL), 1))
     cell = lambda i: strip_tags(F.col("_td")[i])  # noqa: E731 - only the cells used are cleaned
@@ -46,7 +45,9 @@ def holiday_rows(pages: DataFrame, region: str = "region", year: str = "year",
     day = F.try_to_timestamp(F.concat_ws(" ", cell(1), F.col("_year").cast("string")),
                              F.lit("MMM d yyyy"))
     return kept.select(
-        F.date_format(day, "dd-MM-yyyy").alias("Day"),
+        F.date_format(F.coalesce(day, F.raise_error(F.concat(
+            F.lit("holiday_rows: not a date: "), cell(1), F.lit(" "), F.col("_year").cast("string"))).cast("timestamp")),
+            "dd-MM-yyyy").alias("Day"),
         cell(2).alias("Name"),
         mapping[cell(3)].alias("Type"),
         F.col("Region"),
