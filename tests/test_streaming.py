@@ -17,7 +17,7 @@ def test_upsert_stream_matches_batch(spark, db):
     c.where(F.col("c_mktsegment") != "AUTOMOBILE").write.parquet(f"{src}/part1")
     reports = []
     stream = spark.readStream.schema(c.schema).parquet(f"{src}/*")
-    q = upsert_stream(stream, f"{db}.cust", "c_custkey", ["c_acctbal"],
+    q = upsert_stream(stream, f"{db}.cust", "c_custkey", ["c_acctbal"], fresh_path(spark, "stream-ckpt0"),
                       on_report=lambda e, r: reports.append(r), available_now=True)
     q.awaitTermination(120)
     assert spark.table(f"{db}.cust").count() == c.where(F.col("c_mktsegment") != "AUTOMOBILE").count()

@@ -24,7 +24,7 @@ from tidemill.session import fresh_path, work_dir
 from tidemill.sinks import summary as SM
 from tidemill.sinks import tables as TB
 from tidemill.sinks import upsert as UP
-from tidemill.sinks.json import write_json, write_json_array
+from tidemill.sinks.json import write_json
 from tidemill.sinks.views import create_views
 from tidemill.sources.calendar import create_calendar
 from tidemill.sources.csv import extract_csv, with_row_order, write_csv
@@ -153,7 +153,7 @@ def _order_pages(spark, sf) -> DataFrame:
         F.lit("<tr><td>x</td><td>y</td><td>z</td></tr>"),
         F.lit('<tr class="row"><td>Day</td><td><time>'), F.date_format("o_orderdate", "MMM dd"),
         F.lit("</time></td><td><a href='#'>Order "), F.col("o_orderkey").cast("string"),
-        F.lit(" &amp; co</a></td><td>"), htype, F.lit("</td>"), F.coalesce(comment, F.lit("")),
+        F.lit(" &amp; Jos&eacute; &#243; D&#xED;a</a></td><td>"), htype, F.lit("</td>"), F.coalesce(comment, F.lit("")),
         F.lit("</tr></tbody></table></body></html>"))
     return o.select(F.col("o_custkey").cast("string").alias("region"),
                     F.year("o_orderdate").alias("year"), html.alias("html"))
@@ -161,7 +161,7 @@ def _order_pages(spark, sf) -> DataFrame:
 
 @query("html_holiday_rows", """
 SELECT strftime(o_orderdate, '%d-%m-%Y') AS "Day",
-       'Order ' || CAST(o_orderkey AS VARCHAR) || ' & co' AS "Name",
+       'Order ' || CAST(o_orderkey AS VARCHAR) || ' & José ó Día' AS "Name",
        CASE o_orderpriority WHEN '1-URGENT' THEN 'Nacional' ELSE 'Regional' END AS "Type",
        CAST(o_custkey AS VARCHAR) AS "Region",
        CASE WHEN o_orderstatus = 'F' THEN 'Status ' || o_orderstatus ELSE '' END AS "Comments",
@@ -651,7 +651,9 @@ def q_replace_table(spark, sf):
 
 # The driver tables described by the metadata queries, their ids and column counts.
 META_TABLES = [("region", 1, 2), ("nation", 2, 3), ("customer", 3, 5), ("supplier", 4, 4),
-               ("part", 5, 6), ("orders", 6, 6), ("lineitem", 7, 11)]
+               ("part", 5, 6), ("orders", 6, 6), ("lineitem", 7, 11), ("events", 8, 6), ("documents", 9, 5),
+               ("embeddings", 10, 3), ("pages", 11, 3), ("benchmark", 12, 2), ("labels", 13, 3),
+               ("conversations", 14, 4)]
 FLOW_TIME = dt.datetime(2025, 6, 30, 12, 0, 0)
 
 
@@ -828,9 +830,9 @@ FROM cal FULL JOIN merged m ON cal."Day" = CAST(strptime(m."Day", '%d-%m-%Y') AS
 def q_flow_calendar(spark, sf):
     path = fresh_path(spark, "holidays")
     merged = merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"])
-    # the holiday file is one JSON array, one object per day, in day order
-    write_json_array(merged, path, order_by=[F.to_date("Day", "dd-MM-yyyy")])
-    holidays = extract_json(spark, path, HOLIDAY_JSON_TYPES, multi_line=True)
+    # the holiday file has one object per line and day
+    write_json(in_day_order(merged), path)
+    holidays = extract_json(spark, path, HOLIDAY_JSON_TYPES, multi_line=False)
     years = table(spark, sf, "events").agg(F.min(F.year("ts")).alias("a"), F.max(F.year("ts")).alias("b")).first()
     return flows.calendar_dimension(holidays, start=f"01-01-{years['a']}", end=f"31-12-{years['b']}",
                                     expected_types=CALENDAR_TYPES)
@@ -838,7 +840,7 @@ def q_flow_calendar(spark, sf):
 
 
 @query("latest_per_key", """
-SELECT user_id, arg_max(event_id, ts) AS event_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type
+SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts, arg_max(event_type, (ts, event_id)) AS event_type
 FROM events GROUP BY user_id""")
 def q_latest_per_key(spark, sf):
     """The micro-batch reduction of the streaming upsert: latest event per user."""
@@ -906,7 +908,7 @@ def q_flow_products_csv(spark, sf):
 
 
 @query("stream_upsert", """
-SELECT user_id, arg_max(event_id, ts) AS event_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type
+SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts, arg_max(event_type, (ts, event_id)) AS event_type
 FROM events GROUP BY user_id""")
 def q_stream_upsert(spark, sf):
     """Events arrive as day files; a streaming query upserts each micro-batch
@@ -919,7 +921,137 @@ def q_stream_upsert(spark, sf):
     name = f"{fresh_database(spark)}.latest_event"
     stream = (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 8).parquet(src)
               .drop("day"))
-    q = upsert_stream(stream, name, "user_id", ["ts", "event_id"], available_now=True,
+    q = upsert_stream(stream, name, "user_id", ["ts", "event_id"], fresh_path(spark, "stream"), available_now=True,
                       buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     q.awaitTermination()
     return spark.table(name)
+
+
+# ============================================================ values and moves that are easy to lose
+@query("upsert_moved_partition", """
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus
+FROM orders""")
+def q_upsert_moved_partition(spark, sf):
+    """Orders by status: the second load moves the pending ones to another partition, which empties theirs."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    name = f"{fresh_database(spark)}.orders_by_status"
+    UP.upsert(o, name, "o_orderkey", partition_by=["o_orderstatus"])
+    UP.upsert(o.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("F")), name, "o_orderkey")
+    return spark.table(name)
+
+
+@query("csv_quoted", """
+SELECT c_custkey, 'say "' || c_name || '"; ' || c_mktsegment AS note, ' NA ' AS spaced,
+       '1234567890123456789' || CAST(c_custkey AS VARCHAR) AS code FROM customer""")
+def q_csv_quoted(spark, sf):
+    """Doubled quotes, delimiters inside quotes, text like a token but for its spaces, codes beyond 64 bits."""
+    path = fresh_path(spark, "csv")
+    c = table(spark, sf, "customer")
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(';"say ""'), "c_name", F.lit('""; '), "c_mktsegment",
+                    F.lit('"; NA ;1234567890123456789'), F.col("c_custkey").cast("string"))
+    rows = c.select(line.alias("value"))
+    # part files are read one by one, each with the header as its first line
+    head = spark.createDataFrame([("c_custkey;note;spaced;code",)], "value string")
+    head.unionByName(rows).coalesce(1).write.text(path)
+    return extract_csv(spark, path, ";")
+
+
+@query("csv_declared_numeric_tokens", """
+SELECT c_custkey, CASE WHEN c_nationkey <> 3 THEN c_nationkey END AS c_nationkey,
+       CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer""")
+def q_csv_declared_numeric_tokens(spark, sf):
+    """Missing-value tokens in columns declared as numbers."""
+    path = fresh_path(spark, "csv")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    write_csv(c.select("c_custkey", F.when(F.col("c_nationkey") == 3, "NA").otherwise(
+        F.col("c_nationkey").cast("string")).alias("c_nationkey"),
+        F.when(F.col("c_acctbal") < 0, "NaN").otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal")), path)
+    return extract_csv(spark, path, ";", schema=c.schema)
+
+
+@query("conform_big_int", """
+SELECT 9007199254740993 + o_orderkey AS as_text, 9007199254740993 + o_orderkey AS as_decimal,
+       CAST(o_custkey AS BIGINT) AS with_point FROM orders""")
+def q_conform_big_int(spark, sf):
+    """Whole numbers beyond a double's 53 bits keep their value."""
+    big = F.lit(9007199254740993) + F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(big.cast("string").alias("as_text"), big.cast("decimal(20,0)").alias("as_decimal"),
+                                          F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("with_point"))
+    return Q.conform_types(o, {"as_text": "int", "as_decimal": "int", "with_point": "int"})
+
+
+@query("fill_nulls_mixed_list", """
+SELECT c_custkey, CASE WHEN c_nationkey = 5 THEN 0 ELSE c_nationkey END AS c_nationkey,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS c_mktsegment,
+       coalesce(CASE WHEN c_acctbal >= 0 THEN c_acctbal > 5000 END, false) AS rich FROM customer""")
+def q_fill_nulls_mixed_list(spark, sf):
+    """One list for columns of all types, with a null in it."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", F.when(
+        F.col("c_acctbal") >= 0, F.col("c_acctbal") > 5000).alias("rich"))
+    for name in ("c_nationkey", "c_mktsegment", "rich"):
+        c = C.fill_nulls(c, name, [None, 5, "BUILDING"])
+    return c
+
+
+@query("null_report_nan", """
+SELECT 'c_acctbal' AS column, count(*) AS nulls FROM customer WHERE c_acctbal < 0 HAVING count(*) > 0""")
+def q_null_report_nan(spark, sf):
+    """NaN counts as missing."""
+    return Q.null_report(table(spark, sf, "customer").select("c_custkey", F.when(
+        F.col("c_acctbal") >= 0, F.col("c_acctbal")).otherwise(F.lit(float("nan"))).alias("c_acctbal")))
+
+
+# ============================================================ flows end to end
+def _loads(spark, frame: DataFrame, key: str, first: F.Column, change: str, table_id: int, **layout) -> DataFrame:
+    """Two loads of a flow's frame: the rows of ``first`` with ``change`` blanked, then the whole frame.
+
+    Returns the control rows: what the two loads did, and the summary's rows and columns.
+    """
+    db = fresh_database(spark)
+    names = dict(summary_table=f"{db}.summary_tables", loads_table=f"{db}.summary_loads", as_of=AS_OF)
+    kind = frame.schema[change].dataType
+    early = frame.where(first).withColumn(change, F.when(F.length(key) % 2 == 0, F.col(change)).otherwise(
+        F.lit(None).cast(kind)))
+    for batch in (early, frame):
+        flows.load(batch, f"{db}.loaded", table_id, key, **names, **layout)
+    summary = spark.table(f"{db}.summary_tables").select("table_id", "rows", "columns")
+    return spark.table(f"{db}.summary_loads").join(summary, "table_id")
+
+
+def _loads_sql(frame_sql: str, key: str, first: str, change: str, table_id: int, columns: int) -> str:
+    blanked = f'length("{key}") % 2 = 1 AND "{change}" IS NOT NULL'
+    return f"""
+WITH f AS ({frame_sql}), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE {first}) AS early,
+  count(*) FILTER (WHERE ({first}) AND {blanked}) AS changed FROM f)
+SELECT '{AS_OF:%Y%m%d}-1' AS load_id, CAST({table_id} AS INTEGER) AS table_id, early AS rows_inserted,
+       CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_ignored, DATE '{AS_OF.isoformat()}' AS updated_at,
+       n AS rows, CAST({columns} AS INTEGER) AS columns FROM n
+UNION ALL SELECT '{AS_OF:%Y%m%d}-2', {table_id}, n - early, changed, early - changed, DATE '{AS_OF.isoformat()}', n, {columns} FROM n"""
+
+
+@query("flow_outlets_loads", _loads_sql(ORACLE_OUTLETS, "Affiliated_Code", "\"Location\" <> 'AUTOMOBILE'", "Affiliated_Name",
+                                        1, 10))
+def q_flow_outlets_loads(spark, sf):
+    return _loads(spark, outlets_flow(spark, sf), "Affiliated_Code", F.col("Location") != "AUTOMOBILE", "Affiliated_Name",
+                  1, buckets=4)
+
+
+@query("flow_products_loads", _loads_sql(ORACLE_PRODUCTS, "Product_Code", '"SIZE" > 10', "Format", 2, 4))
+def q_flow_products_loads(spark, sf):
+    return _loads(spark, q_flow_products(spark, sf), "Product_Code", F.col("SIZE") > 10, "Format", 2)
+
+
+@query("flow_sales_loads", _loads_sql(FACT_SQL.format(
+    ts="o_orderdate", order="o_orderkey", key="sales_ID", day="Sales_DAY", cols="o_orderkey, o_custkey, o_totalprice",
+    src="orders"), "sales_ID", "o_totalprice > 50000", "o_custkey", 3, 5))
+def q_flow_sales_loads(spark, sf):
+    return _loads(spark, q_flow_sales(spark, sf), "sales_ID", F.col("o_totalprice") > 50000, "o_custkey", 3)
+
+
+@query("flow_calendar_loads", _loads_sql(ORACLE["flow_calendar"].replace("AS TIMESTAMP) AS \"Day\"", "AS TIMESTAMP) AS \"Day\", "
+                                         "strftime(coalesce(cal.\"Day\", strptime(m.\"Day\", '%d-%m-%Y')), '%Y%m%d') AS \"Key\""),
+                                         "Key", '"Month" > 3', "Week_day_name", 6, 11))
+def q_flow_calendar_loads(spark, sf):
+    frame = q_flow_calendar(spark, sf)
+    frame = frame.select(F.date_format("Day", "yyyyMMdd").alias("Key"), *frame.columns)
+    return _loads(spark, frame, "Key", F.col("Month") > 3, "Week_day_name", 6)

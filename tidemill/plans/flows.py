@@ -13,9 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.errors import KeyFormatError
-from tidemill.functions.ordinal import MAX_HOT, hot_threshold
-from tidemill.operators.columns import (KEY_PATTERN, category_codes_many, date_flags, parse_date,
+from tidemill.errors import DuplicateKeyError, KeyFormatError
+from tidemill.operators.columns import (KEY_PATTERN, category_codes, category_codes_many, date_flags, parse_date,
                                         raise_date_violations, rename_columns, surrogate_key,
                                         unique_suffix)
 from tidemill.operators.quality import conform_types, duplicate_report, null_report
@@ -27,11 +26,21 @@ from tidemill.sources.calendar import create_calendar
 log = logging.getLogger(__name__)
 
 
-def _report(df: DataFrame, what: str, checks: bool) -> None:
-    """Optional warnings (the original checks only warn): bounded samples only."""
+def _warn_nulls(df: DataFrame, checks: bool) -> None:
+    """Warn of every column with nulls: one aggregate, one line for each column."""
     if checks:
-        for r in df.limit(20).collect():
-            log.warning("%s: %s", what, r.asDict())
+        for r in null_report(df).collect():
+            log.warning("nulls: %s", r.asDict())
+
+
+def _require_unique(df: DataFrame, key: str, checks: bool, sample: int = 20) -> None:
+    """Duplicate keys stop the flow: exact counts from one aggregate, some keys in the message."""
+    if checks:
+        copies = duplicate_report(df, key)
+        found = copies.agg(F.count(F.lit(1)).alias("keys"), F.sum("copies").alias("rows")).first()
+        if found["keys"]:
+            some = [r["value"] for r in copies.limit(sample).collect()]
+            raise DuplicateKeyError(2, f"{found['keys']} values of '{key}' are on {found['rows']} rows, e.g. {some}")
 
 
 def outlets_dimension(outlets: DataFrame, postcodes: DataFrame, *, rename: Mapping[str, str],
@@ -39,31 +48,35 @@ def outlets_dimension(outlets: DataFrame, postcodes: DataFrame, *, rename: Mappi
                       outlet_order: Sequence[str | Column], postcode_order: Sequence[str | Column],
                       location_col: str, size_col: str, size_codes: Mapping[str, int],
                       key: str, expected_types: Mapping[str, str] | None = None,
-                      checks: bool = False, postcode_broadcast_rows: int = 1_000_000) -> DataFrame:
+                      checks: bool = True, location_codes: DataFrame | None = None) -> DataFrame:
     """rename → auto codes → fixed codes → postcodes FIRST per key → LEFT join
-    → (null / duplicate reports) → conform types.
+    → null report, unique keys → conform types.
 
     The postcodes are aggregated to one row per key, so the LEFT join keeps
     the outlet rows one to one; the category codes are therefore computed on
     the outlets alone, and their data checks scan only the outlet source.
+    ``location_codes`` (``value, code``; see ``category_mapping``) keeps the codes of an
+    earlier load, whatever the row order of this one.
     """
     df = rename_columns(outlets, rename)
-    # both category columns from one aggregate job over the outlets
-    df = category_codes_many(df, {location_col: None, size_col: size_codes}, order_by=outlet_order)
+    if location_codes is None:
+        # both category columns from one aggregate job over the outlets
+        df = category_codes_many(df, {location_col: None, size_col: size_codes}, order_by=outlet_order)
+    else:
+        df = category_codes(df, location_col, mapping=location_codes)
+        df = category_codes(df, size_col, cat_map=size_codes)
     pc = group_by(postcodes, postcode_key, postcode_aggs, order_by=postcode_order)
-    # one row per postcode after the FIRST aggregate: broadcast it when a
-    # bounded count proves it small, else a shuffle join
-    df = join_tables(postcode_key, "LEFT", df, pc, broadcast_right_rows=postcode_broadcast_rows)
-    _report(null_report(df), "nulls", checks)
-    _report(duplicate_report(df, key), "duplicate keys", checks)
+    df = join_tables(postcode_key, "LEFT", df, pc)
+    _warn_nulls(df, checks)
+    _require_unique(df, key, checks)
     return conform_types(df, expected_types) if expected_types else df
 
 
 def products_dimension(products: DataFrame, *, key: str, order_by: Sequence[str | Column],
                        expected_types: Mapping[str, str] | None = None,
-                       checks: bool = False) -> DataFrame:
+                       checks: bool = True) -> DataFrame:
     """(null report) → de-duplicate the key by suffix only if it has duplicates → conform."""
-    _report(null_report(products), "nulls", checks)
+    _warn_nulls(products, checks)
     df = products
     if duplicate_report(products, key).limit(1).count():
         df = unique_suffix(df, key, order_by)
@@ -71,44 +84,33 @@ def products_dimension(products: DataFrame, *, key: str, order_by: Sequence[str
 
 
 def daily_facts(facts: DataFrame, *, day_col: str, key: str, order_by: Sequence[str | Column],
-                date_format: str = "YYYYMMDD", checks: bool = False) -> DataFrame:
-    """(null report) → surrogate key from the day + occurrence → parse the day
-    → (duplicate report). Output: range partitions in day order, rows sorted by
+                date_format: str = "YYYYMMDD", checks: bool = True) -> DataFrame:
+    """null report → surrogate key from the day + occurrence → parse the day.
+    The key is unique as dates have one length; the load checks it. Output: range partitions in day order, rows sorted by
     (day, order) inside each — the layout a date-pruned fact table wants.
 
     The day column is both the key source and the date, so one aggregate over
-    its distinct values checks key validity (code 3), date validity (3, 4, 9,
-    in that order) and finds hot days — one scan of the facts instead of three.
-    The key is numbered on rows range-partitioned by day, so one shuffle serves
-    both the numbering and the day-ordered layout.
+    its distinct values checks key validity (code 3) and date validity (3, 4, 9,
+    in that order), with exact counts. The numbering leaves the rows in day order,
+    however many rows a day has.
     """
-    _report(null_report(facts), "nulls", checks)
+    _warn_nulls(facts, checks)
     day_txt = F.col(day_col).cast("string")
     per_day = facts.groupBy(day_txt.alias("v")).agg(F.count(F.lit(1)).alias("rows"))
-    limit = hot_threshold(facts.sparkSession)
     v = F.col("v")
-    flagged = per_day.select(
-        "v", "rows", (F.col("rows") > limit).alias("hot"),
-        (v.isNull() | ~v.rlike(KEY_PATTERN)).alias("bad_key"),
-        *[f.alias(n) for f, n in zip(date_flags(F.trim(v), date_format),
-                                     ("bad_length", "non_digit", "unparseable"))])
-    found = flagged.where("hot OR bad_key OR bad_length OR non_digit OR unparseable") \
-        .limit(MAX_HOT + 1).collect()
-    bad = [r for r in found if r["bad_key"]]
-    if bad:
-        raise KeyFormatError(3, f"surrogate_key: invalid value in '{day_col}': '{bad[0]['v']}'")
-    summary = {}
-    for n in ("bad_length", "non_digit", "unparseable"):
-        hits = [r for r in found if r[n]]
-        summary[n] = sum(r["rows"] for r in hits)
-        summary[n + "_sample"] = hits[0]["v"] if hits else None
-    raise_date_violations(summary, day_col, date_format)
-    hot = [(r["v"],) for r in found if r["hot"]]
-    df = surrogate_key(facts, day_col, order_by, name=key, cluster=True, validate=False, hot_values=hot)
+    kinds = {"bad_key": v.isNull() | ~v.rlike(KEY_PATTERN),
+             **dict(zip(("bad_length", "non_digit", "unparseable"), date_flags(F.trim(v), date_format)))}
+    found = per_day.agg(
+        *[F.coalesce(F.sum(F.when(f, F.col("rows"))), F.lit(0)).alias(n) for n, f in kinds.items()],
+        *[F.min(F.when(f, F.coalesce(v, F.lit("<null>")))).alias(f"{n}_sample") for n, f in kinds.items()]).first()
+    if found["bad_key"]:
+        raise KeyFormatError(3, f"surrogate_key: {found['bad_key']} invalid values in '{day_col}', "
+                                f"e.g. '{found['bad_key_sample']}'")
+    raise_date_violations(found, day_col, date_format)
+    df = surrogate_key(facts, day_col, order_by, name=key, validate=False)
     # the numbering window already sorted each partition by (day text, order),
     # and fixed-width day text sorts like the date: no second sort is needed
     df = parse_date(df, day_col, date_format, on_error="null")
-    _report(duplicate_report(df, key), "duplicate keys", checks)
     return df
 
 

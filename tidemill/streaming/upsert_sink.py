@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.session import fresh_path
 from tidemill.sinks.upsert import UpsertReport, upsert
 
 
@@ -30,16 +29,16 @@ def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str | Column]) ->
 
 
 def upsert_stream(stream: DataFrame, table: str, key: str, order_by: Sequence[str | Column],
-                  checkpoint_location: str | None = None, partition_by: list[str] | None = None,
+                  checkpoint_location: str, partition_by: list[str] | None = None,
                   on_report: Callable[[int, UpsertReport], None] | None = None,
                   available_now: bool = False, buckets: int | None = None) -> StreamingQuery:
     """Start a streaming query that upserts every micro-batch into ``table``.
 
+    ``checkpoint_location`` must be the same at every start: it holds what has been read.
     ``buckets`` buckets the table by key when the first batch creates it, so
     every later batch shuffles only its own rows.
     """
     spark = stream.sparkSession
-    location = checkpoint_location or fresh_path(spark, f"stream-{table.replace('.', '_')}")
 
     def apply(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
@@ -56,7 +55,7 @@ def upsert_stream(stream: DataFrame, table: str, key: str, order_by: Sequence[st
         if on_report:
             on_report(epoch, rep)
 
-    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", location)
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
