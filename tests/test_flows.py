@@ -32,19 +32,26 @@ def test_daily_facts_checks_in_original_order(spark):
     assert e.value.code == 9
 
 
-def test_daily_facts_hot_day_path(spark):
-    days = [20150101] * 300 + [20150102 + (i % 5) for i in range(50)]
-    df = _facts(spark, days)
-    spark.conf.set("tidemill.hotKeyRows", "100")
-    try:
-        out = flows.daily_facts(df, day_col="day", key="k", order_by=["id"])
-        got = {(r["id"], r["k"]) for r in out.collect()}
-    finally:
-        spark.conf.unset("tidemill.hotKeyRows")
+def test_daily_facts_hot_days_are_numbered_and_in_day_order(spark):
+    days = [20150101] * 300 + [20150102 + (i % 5) for i in range(50)] + [20150103] * 400
+    df = _facts(spark, days).repartition(5)
+    out = flows.daily_facts(df, day_col="day", key="k", order_by=["id"])
+    rows = out.withColumn("p", F.spark_partition_id()).select("p", "k", "day", "id").collect()
     from pyspark.sql import Window
     ref = df.withColumn("n", F.row_number().over(Window.partitionBy("day").orderBy("id")) - 1)
-    exp = {(r["id"], f"{r['day']}{r['n']}") for r in ref.collect()}
-    assert got == exp
+    assert {(r["id"], r["k"]) for r in rows} == {(r["id"], f"{r['day']}{r['n']}") for r in ref.collect()}
+    by_part = {}
+    for r in rows:
+        by_part.setdefault(r["p"], []).append((r["day"], r["id"]))
+    in_order = [x for _, part in sorted(by_part.items()) for x in part]
+    assert in_order == sorted(in_order)
+
+
+def test_daily_facts_counts_every_violation(spark):
+    days = [20150101 + i % 28 for i in range(400)] * 2 + [20150230] * 3
+    with pytest.raises(DateFormatError) as e:
+        flows.daily_facts(_facts(spark, days), day_col="day", key="k", order_by=["id"])
+    assert e.value.code == 9 and "3 values" in str(e.value)
 
 
 def test_load_records_metadata(spark, db):
@@ -137,3 +144,19 @@ def test_outlets_flow_fixture_cases(spark):
     with pytest.raises(CategoryError) as e:                                           # eighth size missing
         flows.outlets_dimension(outlets.where("Tam_m2 <> 'N.D.'"), postcodes, **kwargs)
     assert e.value.code == 4
+
+
+def test_outlets_flow_stops_on_duplicates_and_keeps_stored_codes(spark):
+    from tidemill.errors import DuplicateKeyError
+    from tidemill.operators.columns import category_mapping
+    outlets = spark.createDataFrame([(i, f"A{i}", 1, "xyz"[i % 3], "s") for i in range(6)],
+                                    "ord int, code string, cp long, loc string, size string")
+    postcodes = spark.createDataFrame([(0, 1, "p")], "ord int, cp long, name string")
+    kwargs = dict(rename={"code": "Code"}, postcode_key="cp", postcode_aggs={"name": "FIRST"}, outlet_order=["ord"],
+                  postcode_order=["ord"], location_col="loc", size_col="size", size_codes={"s": 1}, key="Code")
+    with pytest.raises(DuplicateKeyError):
+        flows.outlets_dimension(outlets.union(outlets), postcodes, **kwargs)
+    codes = category_mapping(outlets, "loc", ["ord"])
+    turned = outlets.withColumn("ord", -F.col("ord"))
+    got = flows.outlets_dimension(turned, postcodes, location_codes=codes, **kwargs).collect()
+    assert {(r["loc"], r["loc_num"]) for r in got} == {("x", 1), ("y", 2), ("z", 3)}

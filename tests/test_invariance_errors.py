@@ -103,11 +103,3 @@ def test_dimension_join_is_broadcast(spark):
     import __spark_entry__ as E
     plan = E.entry(spark)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-
-
-def test_broadcast_only_when_proven_small(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in R.broadcast_if_small(small, 10)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in R.broadcast_if_small(big, 10)._jdf.queryExecution().analyzed().toString().lower()
