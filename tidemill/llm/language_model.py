@@ -39,7 +39,7 @@ CONTEXTS, HEAVY, ROUNDS, BURN_IN, SWEEPS = 64, 20_000, 3, 1, 2
 #: Strength of both levels; their discounts are estimated from the counts of counts.
 STRENGTH = 1.0
 SINGLE = 64
-SLICE_BYTES, SUMS = 16 << 20, 500_000
+SLICE_BYTES = 16 << 20
 #: The end of a text, as a word that no text holds.
 END = b"\n"
 #: splitmix64's constants.
@@ -317,18 +317,6 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     weights, unknown = model.weights, model.unknown
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def summed():
-            row, *values = (np.concatenate(x) for x in zip(*held))
-            row, of = np.unique(row, return_inverse=True)
-            return row, *(np.bincount(of, v) for v in values)
-
-        def rows():
-            row, known, base, total = summed()
-            return pa.RecordBatch.from_arrays([pa.array(row), pa.array(known.astype(np.int64)), pa.array(base),
-                                               pa.array(total)], ["row", "n_known", "base_score", "score"])
-
         for batch in batches:
             occ = batch.column("occ")
             ends = np.frombuffer(occ.buffers()[1], np.int32)[occ.offset:occ.offset + len(occ) + 1].astype(np.int64) // 4
@@ -348,14 +336,9 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
             place = np.searchsorted(key, wanted)
             own = np.where(key[place] == wanted, direct[place], 0)
             p = own + (parent[word] * weights[:, context].T).mean(axis=1)
-            held.append((row, (c > 0)[word].astype(np.float64), _base(c, n_train, size)[word], np.log10(p)))
-            if sum(len(x[0]) for x in held) > 2 * SUMS:
-                held[:] = [summed()]
-                if len(held[0][0]) > SUMS:
-                    yield rows()
-                    held.clear()
-        if held:
-            yield rows()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row), pa.array((c > 0)[word].astype(np.int64)), pa.array(_base(c, n_train, size)[word]),
+                 pa.array(np.log10(p))], ["row", "n_known", "base_score", "score"])
 
     tail = both.where("h is not null").select("row", "h", "occ").join(model.words, "h", "left").select(
         "row", "occ", "c", "ctx", "direct", "parent")
