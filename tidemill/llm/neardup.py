@@ -1,19 +1,22 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
-1. Every text's set of 4-word shingles is hashed once; its ``k`` smallest values are the
+1. Every text's set of word shingles is hashed once; its ``k`` smallest values are the
    sketch. Equal sets are one class from here on (copies never meet in pairs).
 2. Inverted lists of the retained values generate overlaps. Two sets of similarity 0.8 share
-   at least ``least`` of their retained values (see ``_least``), so of each sketch, ordered by
+   at least ``shared`` of their retained values (see ``_least``), so of each sketch, ordered by
    how many classes hold a value, only the first ``size - least + 1`` values need a list.
    The most common values fall away; no list is cut.
-3. First every list links its members to its smallest member: rows grow with the lists, not
-   with their squares. Then, in lists whose members aren't all connected, those outside the
-   list's largest component meet all members of other components, under the length bound and
-   the union-sketch estimate as conditions of the join. Pairs that are already connected need
-   no test, as only components are asked for; all others of a list are tested.
-4. Candidates that pass the estimate are confirmed by the exact similarity of their whole
-   sets of shingles (as word sequences, not hashes).
-5. Components by repeated least-label steps with pointer jumping, each written to the shared
+3. Every list links its members to one head, twice with other heads: rows grow with the lists,
+   not with their squares.
+4. Members of lists that are still in several parts are compared on their whole sets: each
+   set's rarest fifth (which two similar sets can't both miss) goes to lists again, and members
+   of different parts meet if a shared value's places in both sets, and the common values
+   among the ``FRONT`` rarest, leave room for the similarity: first with one head of each list,
+   then all pairs of the parts that are left. Pairs in one part need no test, as only components are asked for; no other
+   pair is left out.
+5. Pairs that pass the length bound and the union-sketch estimate are confirmed by the exact
+   similarity of their whole sets of shingles (as word sequences, not hashes).
+6. Components by repeated least-label steps with pointer jumping, each written to the shared
    folder; nothing is collected but a count.
 """
 
@@ -28,13 +31,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, free_name, slices, split_words
+from tidemill.llm.words import col, free_name, ship, slices, split_words
 from tidemill.session import stage
 
 #: Values of a sketch, and how many of them two sets of the least similarity share at least.
 #: With 32 values and similarity 0.8, fewer than 12 are shared with a chance of 2 in 10^8.
 SKETCH, SHARED = 32, 12
 
+#: So many of a set's rarest values go along with it to bound what two sets can share.
+FRONT = 64
+
 #: Odd multipliers of the shingle hash (splitmix64's constants).
 MIX = [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93]
 
@@ -167,6 +173,31 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = new.select("node", "component")
 
 
+def _hashed(docs: DataFrame, size: int) -> DataFrame:
+    """Add ``set``: the sorted distinct shingle hashes of ``text``."""
+    @F.arrow_udf("array<long>")
+    def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            done = []
+            for part in slices(batch):
+                value, at = shingle_hashes(part, size)
+                done.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.view(np.int64))))
+            yield pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int64()))
+
+    return docs.withColumn("set", hashed(F.col("text")))
+
+
+def _split(met: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``value, node, part`` of the lists whose members the links leave in several parts."""
+    if links is None:
+        return met.withColumn("part", F.col("node"))
+    rows = met.join(components(links), "node", "left").select(
+        "value", "node", F.coalesce("component", "node").alias("part"))
+    rows = stage(rows, "near-parts")
+    several = rows.groupBy("value").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return rows.join(several.select("value"), "value")
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80,
                     k: int = SKETCH, shared: int = SHARED) -> DataFrame:
     """``id, n_shingles, component_id, kept, text_key, chosen`` for each row of ``docs``.
@@ -179,6 +210,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     table gives no rows. ``text_key`` is ``xxhash64`` of the text, and ``chosen`` marks one id
     and text of each component, also where ids are null or shared by different texts.
     """
+    ship(docs.sparkSession)
     source = docs.select(col(id).alias("id"), col(text).cast("string").alias("text")).withColumn(
         "text_key", F.xxhash64("text"))
     rows = stage(_sketched(source, "text", size, k, "s").select(
@@ -200,8 +232,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     needed = ranked.join(classes.select("node", F.size("sketch").alias("size")), "node").where(
         F.col("place") <= F.col("n_common") - _least(F.col("size"), percent, shared) + 1)
     lists = stage(needed.select("value", "node"), "near-lists")
-    heads = lists.groupBy("value").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("held")).where("held > 1")
-    met = stage(lists.join(heads.select("value", "a"), "value"), "near-met")
+    several = lists.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("value")
+    met = stage(lists.join(several, "value"), "near-met")
 
     # the texts of all classes that share a list with another
     wanted = met.select("node").distinct().join(classes.select(
@@ -212,29 +244,79 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
             "count > 1").limit(1).count():
         texts = stage(texts.dropDuplicates(["node"]), "near-texts")
 
-    # each class with the head that it shares most lists with
-    star = met.where("a <> node").groupBy(F.col("node").alias("b"), "a").agg(F.count(F.lit(1)).alias("lists"))
-    star = star.groupBy("b").agg(F.max_by("a", F.struct("lists", "a")).alias("a"))
     sides = [around.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
              for x in "ab"]
-    near = star.join(sides[1], "b").join(sides[0], "a").where(_alike(percent, k, shared)).select("a", "b")
-    first = stage(_confirmed(near, texts, size, percent), "near-links")
-    found = components(first)
 
-    # what the heads have left unconnected
-    members = met.join(found, "node", "left").select("value", "node", F.coalesce("component", "node").alias("part"))
-    parts = members.groupBy("value", "part").agg(F.count(F.lit(1)).alias("held"))
+    def links_of(pairs: DataFrame) -> DataFrame:
+        near = pairs.join(sides[1], "b").join(sides[0], "a").where(_alike(percent, k, shared)).select("a", "b")
+        return stage(_confirmed(near, texts, size, percent), "near-links")
+
+    # each class with that head, of those of its lists, that it shares most of them with
+    weight = met.groupBy("node").agg(F.count(F.lit(1)).alias("n_lists"))
+    links = None
+    for choice in (F.struct("n_lists", -F.col("node")), -F.col("node")):
+        members = _split(met, links).join(weight, "node")
+        heads = members.groupBy("value").agg(F.max_by(F.struct("node", "part"), choice).alias("head"))
+        star = members.join(heads, "value").where("part <> head.part").groupBy(
+            F.col("node").alias("b"), F.col("head.node").alias("a")).agg(F.count(F.lit(1)).alias("lists"))
+        star = star.groupBy("b").agg(F.max_by("a", F.struct("lists", "a")).alias("a"))
+        found = links_of(star)
+        links = found if links is None else stage(links.unionByName(found), "near-links")
+
+    # whole sets of what the heads have left in several parts
+    left = stage(_split(met, links).select("node", "part").distinct(), "near-left")
+    whole = _hashed(texts.join(left, "node"), size).select("node", "part", F.size("set").alias("n"),
+                                                          F.explode("set").alias("value"))
+    whole = stage(whole, "near-sets")
+    held = whole.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    by_node = Window.partitionBy("node")
+    ranked = whole.join(held, "value").select("*", F.row_number().over(by_node.orderBy("held", "value")).alias("nth"),
+                                              F.count(F.lit(1)).over(by_node).alias("n_common"))
+    # the values that no other set holds come first: places are from 0 in the whole set
+    place = F.col("n") - F.col("n_common") + F.col("nth") - 1
+    needed = F.col("n") - F.ceil(F.col("n") * percent / 100)  # the last place of the prefix
+    front = F.least(F.lit(FRONT), needed + 1).alias("front")
+    prefix = ranked.select("value", "held", "node", "part", "n", place.alias("place"), front).where(F.col("place") <= needed)
+    ahead = F.col("place") < F.col("front")
+    in_front = F.array_sort(F.collect_list(F.when(ahead, F.struct("held", "value"))).over(by_node))
+    prefix = prefix.withColumn("in_front", in_front).withColumn("last", F.try_element_at("in_front", F.lit(-1)))
+    prefix = prefix.withColumn("rare", F.col("in_front.value")).drop("held", "in_front")
+    prefix = stage(prefix, "near-prefix")
+
+    def sides_of(rows: DataFrame) -> list[DataFrame]:
+        return [rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab"]
+
+    total = F.col("n_a") + F.col("n_b")
+    room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    both = F.array_intersect("rare_a", "rare_b")  # rarest first
+    # what the two share up to the earlier end of their fronts is in both fronts
+    earlier = F.col("last_a").isNull() | F.coalesce(F.col("last_a") <= F.col("last_b"), F.lit(False))
+    beyond = F.when(earlier, F.col("n_a") - F.col("front_a")).otherwise(F.col("n_b") - F.col("front_b"))
+    meet = ((F.col("value_a") == F.col("value_b")) & (F.col("part_a") != F.col("part_b"))
+            & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+            & ((100 + percent) * room >= percent * total)
+            & ((100 + percent) * (F.size(both) + beyond) >= percent * total))
+
+    # every such list first links its members to a head of its own, picked by hash
+    one, two = sides_of(prefix)
+    heads = two.groupBy("value_b").agg(F.min_by(F.struct(*two.columns), F.xxhash64("value_b", "node_b")).alias("head"))
+    found = links_of(one.join(heads.select("head.*"), meet).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
+    links = stage(links.unionByName(found), "near-links")
+    prefix = prefix.drop("part").join(components(links).withColumnRenamed("component", "part"), "node", "left")
+    prefix = stage(prefix.withColumn("part", F.coalesce("part", "node")), "near-prefix")
+
+    # then all pairs of different parts; each has a member outside the list's largest part
+    parts = prefix.groupBy("value", "part").agg(F.count(F.lit(1)).alias("held"))
     split = parts.groupBy("value").agg(F.max_by("part", F.struct("held", "part")).alias("largest"),
                                        F.count(F.lit(1)).alias("n_parts")).where("n_parts > 1")
-    left, right = (members.select(F.col("value").alias(f"value_{x}"), F.col("node").alias(x),
-                                  F.col("part").alias(f"part_{x}"))
-                   .join(split.select(F.col("value").alias(f"value_{x}"), F.col("largest").alias(f"largest_{x}")),
-                         f"value_{x}").join(side, x) for x, side in zip("ab", sides))
-    rest = left.where("part_a <> largest_a").join(
-        right, (F.col("value_a") == F.col("value_b")) & (F.col("part_a") != F.col("part_b"))
-        & ((F.col("a") < F.col("b")) | (F.col("part_b") == F.col("largest_b"))) & _alike(percent, k, shared))
-    rest = stage(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-rest")
-    links = first.unionByName(_confirmed(rest, texts, size, percent))
+    one, two = sides_of(prefix.join(split.select("value", "largest"), "value"))
+    pairs = one.where("part_a <> largest_a").join(
+        two, meet & ((F.col("node_a") < F.col("node_b")) | (F.col("part_b") == F.col("largest_b")))
+        & F.coalesce(F.try_element_at(both, F.lit(1)) == F.col("value_a"), F.lit(True)))  # where they meet first
+    pairs = stage(pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+                  .distinct(), "near-rest")
+    links = links.unionByName(links_of(pairs))
 
     labels = classes.join(components(links), "node", "left").select(
         "fingerprint", "one", F.coalesce("component", "node").alias("component"))
