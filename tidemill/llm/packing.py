@@ -20,24 +20,32 @@ every round's gaps are a table in the shared folder, which a lost executor can't
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, slices
+from tidemill.llm.words import col, ship, slices, split_words
 from tidemill.session import fresh_path, stage
 
 PIECES = "array<struct<piece: int, start: long, length: long, ids_crc32: long>>"
 
-#: The ids of so many words, of so many bytes at most, are remembered; new words are encoded so many at a time.
-MEMO_WORDS, MEMO_BYTES, ENCODE_WORDS = 400_000, 40, 2_000
+#: The ids of so many words, of so many characters at most, are remembered; new words are encoded so many at a time.
+MEMO_WORDS, MEMO_CHARS, ENCODE_WORDS = 400_000, 40, 2_000
 
-_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+#: Lower-case letters that normalisation leaves alone, so that a run of them is one word to the tokenizer.
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 class WordIds:
@@ -45,51 +53,69 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[bytes, bytes] = {}
+        self.memo: dict[str, bytes] = {}
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.level = {c: level.pre_tokenize_str(chr(c))[0][0] for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100))}
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _parts(self, word: bytes) -> list[bytes]:
+    def _parts(self, word: str) -> list[str]:
         """The word in lower case and its closing punctuation, which the tokenizer always cuts off a letter or digit."""
-        if b"<" not in word:
-            low = word.lower()
+        if "<" not in word:
+            low = word.translate(_LOWER)
             body = low.rstrip(_PUNCTUATION)
-            last = body.decode()[-1:]
+            last = body[-1:]
             if body and (last.isascii() and last.isalnum() or "\u00c0" <= last <= "\u00ff" and last.isalpha()):
                 return [body, low[len(body):]] if len(body) < len(low) else [body]
         return [word]
 
-    def _learn(self, new: list[bytes], memo: dict[bytes, bytes]) -> None:
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of new words; those of letters only go straight to the tokenizer's model."""
+        memo, own, other = self.memo, {}, []
         parts = {w: self._parts(w) for w in new}
-        unknown = list({p for own in parts.values() for p in own if p not in memo})
-        for i in range(0, len(unknown), ENCODE_WORDS):
-            own = unknown[i:i + ENCODE_WORDS]
-            memo.update(zip(own, self._encode(own)))
-        for w, own in parts.items():
-            memo[w] = b"".join([memo[p] for p in own])
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each whole text."""
-        words = [None if any(s in t for s in self.special) else t.encode().split() for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo, long = self.memo, {}
-        new = {w for ws in words if ws for w in set(ws).difference(memo)}
-        self._learn([w for w in new if len(w) <= MEMO_BYTES], memo)
-        self._learn([w for w in new if len(w) > MEMO_BYTES], long)
-        for text, ws in zip(texts, words):
-            if ws is None:  # strings of special tokens: the library's own handling of the whole text
-                yield self._encode([text.encode()])[0]
-            elif long:
-                yield b"".join([memo[w] if w in memo else long[w] for w in ws])
+        for p in {p for x in parts.values() for p in x}:
+            if p in memo:
+                own[p] = memo[p]
+            elif _LETTERS.fullmatch(p):
+                ids = [t.id for t in self.model.tokenize(p if p.isascii() else p.translate(self.level))]
+                own[p] = struct.pack(f"<{len(ids)}I", *ids)
             else:
-                yield b"".join([memo[w] for w in ws])
+                other.append(p)
+        for i in range(0, len(other), ENCODE_WORDS):
+            part = other[i:i + ENCODE_WORDS]
+            own.update(zip(part, self._encode(part)))
+        made = {w: own[x[0]] if len(x) == 1 else own[x[0]] + own[x[1]] for w, x in parts.items()}
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+        memo.update((w, ids) for x in (own, made) for w, ids in x.items() if len(w) <= MEMO_CHARS)
+        return made
+
+    def ids(self, texts: pa.Array) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each whole text of a slice without nulls."""
+        whole = np.zeros(len(texts), dtype=bool)
+        for s in self.special:  # the library's own handling of texts that hold their strings
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        codes, offsets, distinct = split_words(texts)
+        words = distinct.to_pylist()
+        get = self.memo.get
+        found = [get(w) for w in words]
+        made = self._learn([w for w, ids in zip(words, found) if ids is None])
+        found = [made[w] if ids is None else ids for w, ids in zip(words, found)]
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first, flat = np.concatenate(([0], np.cumsum(n)))[:-1], np.frombuffer(b"".join(found), "<u4")
+        each = n[codes]
+        at = np.concatenate(([0], np.cumsum(each)))
+        all_ids = flat[np.repeat(first[codes] - at[:-1], each) + np.arange(at[-1])]
+        ends = at[offsets]
+        for i in range(len(texts)):
+            yield self._encode([texts[i].as_py()])[0] if whole[i] else all_ids[ends[i]:ends[i + 1]].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -104,6 +130,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, separator: int
     Only texts of more than ``capacity`` ids have several pieces, all full but the last. A
     null or empty text is one piece with the separator alone.
     """
+    ship(docs.sparkSession)
     end, step = np.array([separator], dtype="<u4").tobytes(), 4 * capacity
 
     @F.arrow_udf(PIECES)
@@ -112,7 +139,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, separator: int
         for batch in batches:
             at, piece, start, length, crc = [0], [], [], [], []
             for part in slices(batch):
-                for ids in ids_of.ids(part.to_pylist()):
+                for ids in ids_of.ids(part):
                     ids += end
                     for k, i in enumerate(range(0, len(ids), step)):
                         own = ids[i:i + step]
