@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, slices, split_words
+from tidemill.llm.words import col, ship, slices, split_words
 from tidemill.session import stage
 
 #: Context classes; words that may be broadcast; rounds of sampling, of which the first isn't averaged; sweeps a round.
@@ -229,6 +229,7 @@ def _base(c: np.ndarray, n: int, size: int) -> np.ndarray:
 
 def fit(training: DataFrame, text: str = "text") -> Model:
     """Seat the training texts' tokens; see the module's text. A null text counts as empty."""
+    ship(training.sparkSession)
     words = stage(counts(training, text), "lm-words")
     cell = F.explode(F.arrays_zip("ctx", "n")).alias("x")
     customers = np.zeros(CONTEXTS)

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, free_name, per_text, slices, split_words
+from tidemill.llm.words import col, free_name, per_text, ship, slices, split_words
 
 #: Production limits: repeats of at least MIN_REPEAT words count; they may cover MAX_COVERED
 #: of the words, and the longest may hold MAX_LONGEST of them.
@@ -140,6 +140,8 @@ def repetition(docs: DataFrame, text: str = "text", into: str = "repetition", mi
     measured by itself, so repeated rows get equal results; an empty table stays empty. Other
     columns are untouched (``into`` replaces a column of that name).
     """
+    ship(docs.sparkSession)
+
     @F.arrow_udf(SCHEMA)
     def rules(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

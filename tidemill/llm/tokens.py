@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, slices
+from tidemill.llm.words import col, ship, slices
 
 SCHEMA = "n_bytes long, n_tokens long, over_limit boolean"
 
@@ -155,6 +155,8 @@ def token_counts(docs: DataFrame, model: str, text: str = "text", into: str = "t
     empty: no bytes, no tokens. Repeated rows get equal counts; an empty table stays empty;
     other columns are untouched (``into`` replaces a column of that name).
     """
+    ship(docs.sparkSession)
+
     @F.arrow_udf(SCHEMA)
     def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merges = _merges(model)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col
+from tidemill.llm.words import col, ship
 
 RECORD = ("record_type string, record_id string, refers_to string, target_uri string, source_digest string,"
           " block_digest string, content_type string, content_length long, block string, record string")
@@ -93,6 +93,7 @@ def derivatives(responses: DataFrame, id: str = "page_id", uri: str = "url", bod
     Null ids, targets and bodies count as empty texts, a null date leaves its header out. Equal
     responses get equal identifiers, as repeated rows do. An empty table gives no rows.
     """
+    ship(responses.sparkSession)
     kind = pa.struct([pa.field(n, pa.int64() if n == "content_length" else pa.string())
                       for n in (f.split()[0] for f in RECORD.split(","))])
 

@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once for each Spark application."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if getattr(context, "tidemill_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidemill-package-"), "tidemill_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context.tidemill_shipped = True
+
+
 def col(name: str) -> Column:
     """The column of exactly this name (dots and spaces included)."""
     return F.col("`" + name.replace("`", "``") + "`")
