@@ -198,6 +198,17 @@ def test_disclosing_terms_are_masked(spark):
     assert privacy.sanitised(df).columns == df.columns
 
 
+def test_entity_of_one_document_has_disclosing_terms(spark):
+    import corpus_pipeline
+
+    docs = [(0, "ask Marisol via bob@x.com about plain things")]
+    docs += [(i, "ask about plain things via mail") for i in range(1, 1200)]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in docs], "doc_id long, text string, n_chars long")
+    out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.privacy(spark, df, SF).collect()}
+    assert out[0] == (t := "ask [TERM] via [EMAIL] about plain things", len(t))
+    assert out[7] == (docs[7][1], len(docs[7][1]))
+
+
 def test_no_python_on_the_native_paths(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for df in (privacy.op4_information_sanitising(spark, SF), decontaminate.op8_prefix_filtered_windows(spark, SF),

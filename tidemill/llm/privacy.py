@@ -11,10 +11,11 @@ information content:
     PMI(entity; term) / IC(entity) = log2(N * n(e, t) / (n(e) * n(t))) / log2(N / n(e))
 
 with ``N`` documents, ``n(e)`` holding the entity, ``n(t)`` holding the term anywhere, and
-``n(e, t)`` holding the term near the entity; all are counted over the whole corpus. A single
-document can't tell a disclosing term from a rare one, so at least ``MIN_JOINT`` documents must
-show the two together. Terms from ``GENERALISE`` on are replaced by a general label, from
-``REMOVE`` on they are removed.
+``n(e, t)`` holding the term near the entity; all are counted over the whole corpus. Every entity's
+terms are scored. A pair that fewer than ``MIN_JOINT`` documents show is weak evidence, so its
+``n(t)`` is taken as one more (add-one smoothing): a term of a single document reaches a share of
+1 - 1 / IC(entity). Terms from ``GENERALISE`` on are replaced by a general label, from ``REMOVE``
+on they are removed.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.words import col, free_name
 from tidemill.session import stage
 
-#: Least share of an entity's information at which a term is generalised, and removed; least common documents.
+#: Least share of an entity's information at which a term is generalised, and removed; common documents that need no smoothing.
 GENERALISE, REMOVE, MIN_JOINT = 0.9, 0.97, 2
 
 #: Characters on either side of an entity that are near it.
@@ -122,6 +123,13 @@ def _terms(context: Column, start: Column) -> Column:
                                                     (at(i) + F.length(t)).alias("stop")))
 
 
+def _share(n: Column, n_e: Column, n_t: Column, n_et: Column, min_joint: int) -> Column:
+    """PMI / information content; null for an entity that all documents hold. It grows with ``n_et``."""
+    information = F.log2(n / n_e)
+    smoothed = n_t + F.when(n_et < min_joint, 1).otherwise(0)
+    return F.when(information > 0, F.log2(n * n_et / (n_e * smoothed)) / information)
+
+
 def disclosing_terms(matches: DataFrame, docs: DataFrame, text: str, generalise: float = GENERALISE,
                      min_joint: int = MIN_JOINT) -> DataFrame:
     """``row, id, text_key, start, stop, share`` of the terms that disclose an entity near them.
@@ -132,14 +140,14 @@ def disclosing_terms(matches: DataFrame, docs: DataFrame, text: str, generalise:
         _digits(F.col("value")))
     entities = matches.where("passed").withColumn("entity", F.concat_ws(":", F.col("kind").cast("string"), value))
     known = entities.select("entity", "row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    known = stage(known.where(F.col("n_e") >= min_joint), "pii-entities")
-    near = entities.join(known.select("entity"), "entity").select(
+    known = stage(known, "pii-entities")
+    near = entities.select(
         "row", "id", "text_key", "entity", F.explode(F.concat(
             _terms(F.col("before"), F.col("start") - F.length("before")), _terms(F.col("after"), F.col("stop")))).alias("t"))
     near = stage(near.select("row", "id", "text_key", "entity", "t.*"), "pii-near")
     joint = near.select("entity", "term", "row").distinct().groupBy("entity", "term").agg(
         F.count(F.lit(1)).alias("n_et"))
-    joint = stage(joint.where(F.col("n_et") >= min_joint), "pii-joint")
+    joint = stage(joint, "pii-joint")
 
     wanted = stage(joint.select("term").distinct(), "pii-terms")
     size = wanted.agg(F.sum(F.octet_length("term") + 32)).first()[0] or 0
@@ -148,10 +156,8 @@ def disclosing_terms(matches: DataFrame, docs: DataFrame, text: str, generalise:
         F.lower(col(text).cast("string")), F.lit(WHOLE_TERM), F.lit(0)))).alias("term"))
     held = held.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = F.lit(matches.select("row").distinct().count() if size else 0)
-    information = F.log2(n / F.col("n_e"))
-    mutual = F.log2(n * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_et")))
     share = joint.join(held, "term").join(known, "entity").select(
-        "entity", "term", F.when(information > 0, mutual / information).alias("share"))
+        "entity", "term", _share(n, F.col("n_e"), F.greatest("n_t", "n_et"), F.col("n_et"), min_joint).alias("share"))
     found = near.join(share.where(F.col("share") >= generalise), ["entity", "term"])
     return found.groupBy("row", "id", "text_key", "start", "stop").agg(F.max("share").alias("share"))
 
