@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -199,8 +200,6 @@ def test_disclosing_terms_are_masked(spark):
 
 
 def test_entity_of_one_document_has_disclosing_terms(spark):
-    import corpus_pipeline
-
     docs = [(0, "ask Marisol via bob@x.com about plain things")]
     docs += [(i, "ask about plain things via mail") for i in range(1, 1200)]
     df = spark.createDataFrame([(i, t, len(t)) for i, t in docs], "doc_id long, text string, n_chars long")
@@ -209,6 +208,37 @@ def test_entity_of_one_document_has_disclosing_terms(spark):
     assert out[7] == (docs[7][1], len(docs[7][1]))
 
 
+def test_disclosing_terms_of_whole_texts(spark):
+    """Against counts of whole texts; terms stand far from the entity, first, last, and only as copies elsewhere."""
+    rng = random.Random(8)
+    far = "plain words here " * 20
+    texts = ["Marisol bob@x.com", f"bob@x.com {far}Marisol", f"Zürich, {far}😀 eve@y.org and marisol! {far}Zürich",
+             f"eve@y.org zürich {far}", "Zürich: nobody here"] + [f"ada{i}@z.de sign{i} {far}Sign{i}" for i in range(5)]
+    common = ["plain", "words", "here", *(f"topic{c}" for c in "abcdefgh"), "abcd", "efgh", "ijkl"]
+    texts += [" ".join(rng.choice(common) for _ in range(rng.randrange(30))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    term = re.compile(r"(?<!\S)[^\W\d_]{4,}(?=[,;:.!?]?(?:\s|$))")
+    own = {i: {m[0].lower() for m in term.finditer(t)} for i, t in enumerate(texts)}
+    entities = {i: {t[a:b].lower() for a, k, b in base_spans(t) if k == 0} for i, t in enumerate(texts)}
+    n_t, n_e = Counter(t for x in own.values() for t in x), Counter(e for x in entities.values() for e in x)
+    n_et = Counter((e, t) for i in own for e in entities[i] for t in own[i])
+
+    def share(e, t):
+        n = len(texts)
+        return math.log2(n * n_et[e, t] / (n_e[e] * (n_t[t] + (n_et[e, t] < 2)))) / math.log2(n / n_e[e])
+
+    expected = {}
+    for i, t in enumerate(texts):
+        for m in term.finditer(t):
+            best = max((share(e, m[0].lower()) for e in entities[i]), default=0)
+            if best >= 0.9:
+                expected[i, m.start(), m.end()] = round(best, 6)
+    assert len(expected) >= 5
+    got = {(r["doc_id"], s["start"], s["stop"]): round(s["share"], 6)
+           for r in privacy.personal_data(df).collect() for s in r["spans"] if s["kind"] == 4}
+    assert got == expected
+
+
 def test_no_python_on_the_native_paths(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for df in (privacy.op4_information_sanitising(spark, SF), decontaminate.op8_prefix_filtered_windows(spark, SF),

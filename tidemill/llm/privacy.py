@@ -4,15 +4,15 @@ Base: spans of e-mail addresses, IP addresses, card and phone numbers. ``split``
 between a pattern's matches and ``regexp_extract_all`` the matches, so that running sums of
 their lengths are the spans.
 
-Information-theoretic sanitisation: each value found is a protected entity. A term near it
-discloses it as far as their pointwise mutual information approaches the entity's own
+Information-theoretic sanitisation: each value found is a protected entity. A term of a document
+that holds it discloses it as far as their pointwise mutual information approaches the entity's own
 information content:
 
     PMI(entity; term) / IC(entity) = log2(N * n(e, t) / (n(e) * n(t))) / log2(N / n(e))
 
-with ``N`` documents, ``n(e)`` holding the entity, ``n(t)`` holding the term anywhere, and
-``n(e, t)`` holding the term near the entity; all are counted over the whole corpus. Every entity's
-terms are scored. A pair that fewer than ``MIN_JOINT`` documents show is weak evidence, so its
+with ``N`` documents, ``n(e)`` holding the entity, ``n(t)`` holding the term, and ``n(e, t)``
+holding both; all are counted over the whole texts of the whole corpus. Every entity's terms are
+scored, and a disclosing one is found wherever it stands in the documents that hold the entity. A pair that fewer than ``MIN_JOINT`` documents show is weak evidence, so its
 ``n(t)`` is taken as one more (add-one smoothing): a term of a single document reaches a share of
 1 - 1 / IC(entity). Terms from ``GENERALISE`` on are replaced by a general label, from ``REMOVE``
 on they are removed.
@@ -29,12 +29,6 @@ from tidemill.session import stage
 #: Least share of an entity's information at which a term is generalised, and removed; common documents that need no smoothing.
 GENERALISE, REMOVE, MIN_JOINT = 0.9, 0.97, 2
 
-#: Characters on either side of an entity that are near it.
-NEAR = 80
-
-#: Terms whose total size is under this are broadcast; more are joined by a shuffle.
-BROADCAST_BYTES = 8 << 20
-
 KINDS = ["email", "ip", "card", "phone", "term"]
 
 #: The contract's patterns. Possessive quantifiers and look-behinds keep their matches but avoid
@@ -47,8 +41,7 @@ PATTERNS = {
 }
 
 #: A term: letters between white space, with one closing mark at most. It can't overlap a base span.
-TERM = r"(?<=\s)\p{L}{4,}+(?=[,;:.!?]?\s)"
-WHOLE_TERM = r"(?<!\S)\p{L}{4,}+(?=[,;:.!?]?(?:\s|$))"
+TERM = r"(?<!\S)\p{L}{4,}+(?=[,;:.!?]?(?:\s|$))"
 
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
@@ -81,7 +74,8 @@ def _passes(kind: Column, value: Column) -> Column:
 def base_matches(docs: DataFrame, id: str, text: str) -> DataFrame:
     """A row for each match of each pattern, and one with a null ``kind`` for a document without any.
 
-    ``row`` (a number of the document), ``id, text_key, kind, start, stop, value, passed, before, after``.
+    ``row`` (a number of the document), ``id, text_key, kind, start, stop, value, passed, text``; a document
+    with a match that passes has its ``text`` in one of its rows.
     """
     source = docs.select(F.monotonically_increasing_id().alias("row"), col(id).alias("id"),
                          F.coalesce(col(text).cast("string"), F.lit("")).alias("text"),
@@ -92,35 +86,40 @@ def base_matches(docs: DataFrame, id: str, text: str) -> DataFrame:
         F.when(sign.get(k, F.lit(True)), _array(p, F.col("text"), gaps=False)).otherwise(
             F.array().cast("array<string>")).alias(f"m_{k}")
         for k, p in PATTERNS.items()])
-    found = found.select("row", "id", "text_key", *[f"m_{k}" for k in PATTERNS], *[
+    found = found.select("row", "id", "text_key", "text", *[f"m_{k}" for k in PATTERNS], *[
         F.when(F.size(f"m_{k}") > 0, _array(p, F.col("text"), gaps=True)).alias(f"g_{k}") for k, p in PATTERNS.items()])
 
     def entries(number: int, kind: str) -> Column:
         m, g = F.col(f"m_{kind}"), F.col(f"g_{kind}")
         return F.transform(m, lambda v, i: F.struct(
             F.lit(number).alias("kind"), i.alias("i"), F.length(g[i]).alias("gap"), v.alias("value"),
-            F.right(g[i], F.lit(NEAR + 1)).alias("before"), F.left(g[i + 1], F.lit(NEAR + 1)).alias("after")))
+            _passes(F.lit(number), v).alias("passed")))
 
-    rows = found.select("row", "id", "text_key", *[entries(n, k).alias(f"e_{k}") for n, k in enumerate(PATTERNS)])
-    rows = rows.select("row", "id", "text_key", F.explode_outer(F.concat(*[f"e_{k}" for k in PATTERNS])).alias("m"))
-    rows = rows.select("row", "id", "text_key", "m.*").repartition("row")
+    rows = found.select("row", "id", "text_key", "text", F.concat(*[entries(n, k) for n, k in enumerate(PATTERNS)]).alias("e"))
+    rows = rows.select("row", "id", "text_key", F.when(F.exists("e", lambda m: m["passed"]), F.col("text")).alias("text"),
+                       F.posexplode_outer("e").alias("place", "m"))
+    rows = rows.select("row", "id", "text_key", F.when(F.col("place") == 0, F.col("text")).alias("text"), "m.*"
+                       ).repartition("row")
     so_far = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     length = F.length("value")
     start = F.sum("gap").over(so_far) + F.sum(length).over(so_far) - length
     return rows.select("row", "id", "text_key", "kind", start.alias("start"), (start + length).alias("stop"), "value",
-                       F.coalesce(_passes(F.col("kind"), F.col("value")) & F.col("kind").isNotNull(), F.lit(False))
-                       .alias("passed"), "before", "after")
-
-
-def _terms(context: Column, start: Column) -> Column:
-    """``term, start, stop`` of the terms of a short context that begins at ``start``."""
-    terms, gaps = _array(TERM, context, gaps=False), _array(TERM, context, gaps=True)
-    def at(i):
-        ahead = F.transform(F.slice(gaps, 1, i + 1), lambda g: F.length(g))
-        own = F.transform(F.slice(terms, 1, i), lambda t: F.length(t))
-        return start + F.aggregate(F.concat(ahead, own), F.lit(0), lambda a, x: a + x)
-    return F.transform(terms, lambda t, i: F.struct(F.lower(t).alias("term"), at(i).alias("start"),
-                                                    (at(i) + F.length(t)).alias("stop")))
+                       F.coalesce("passed", F.lit(False)).alias("passed"), "text")
+
+
+def _terms(matches: DataFrame) -> DataFrame:
+    """``row, id, text_key, term, start, stop`` of all terms of the documents that hold an entity."""
+    texts = matches.where("text is not null").select("row", "id", "text_key", "text").repartition("row")
+    found = texts.select("row", "id", "text_key", _array(TERM, F.col("text"), gaps=False).alias("terms"),
+                         _array(TERM, F.col("text"), gaps=True).alias("gaps"))
+    rows = found.select("row", "id", "text_key", F.explode(F.transform("terms", lambda t, i: F.struct(
+        i.alias("i"), F.length(F.col("gaps")[i]).alias("gap"), t.alias("value")))).alias("t"))
+    rows = rows.select("row", "id", "text_key", "t.*")
+    so_far = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    length = F.length("value")
+    start = F.sum("gap").over(so_far) + F.sum(length).over(so_far) - length
+    return rows.select("row", "id", "text_key", F.lower("value").alias("term"), start.alias("start"),
+                       (start + length).alias("stop"))
 
 
 def _share(n: Column, n_e: Column, n_t: Column, n_et: Column, min_joint: int) -> Column:
@@ -132,34 +131,38 @@ def _share(n: Column, n_e: Column, n_t: Column, n_et: Column, min_joint: int) ->
 
 def disclosing_terms(matches: DataFrame, docs: DataFrame, text: str, generalise: float = GENERALISE,
                      min_joint: int = MIN_JOINT) -> DataFrame:
-    """``row, id, text_key, start, stop, share`` of the terms that disclose an entity near them.
+    """``row, id, text_key, start, stop, share`` of the terms that disclose an entity of their document.
 
     ``matches``: what :func:`base_matches` gives, stored; ``docs``: the same documents.
     """
     value = F.when(F.col("kind") == 0, F.lower("value")).when(F.col("kind") == 1, F.col("value")).otherwise(
         _digits(F.col("value")))
-    entities = matches.where("passed").withColumn("entity", F.concat_ws(":", F.col("kind").cast("string"), value))
-    known = entities.select("entity", "row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    known = stage(known, "pii-entities")
-    near = entities.select(
-        "row", "id", "text_key", "entity", F.explode(F.concat(
-            _terms(F.col("before"), F.col("start") - F.length("before")), _terms(F.col("after"), F.col("stop")))).alias("t"))
-    near = stage(near.select("row", "id", "text_key", "entity", "t.*"), "pii-near")
-    joint = near.select("entity", "term", "row").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_et"))
+    entities = matches.where("passed").select(
+        "row", F.concat_ws(":", F.col("kind").cast("string"), value).alias("entity")).distinct()
+    known = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    entities = stage(entities.join(known, "entity"), "pii-entities")
+    terms = stage(_terms(matches), "pii-terms")
+    n = matches.select("row").distinct().count()
+    most = entities.agg(F.max("n_e")).first()[0] or 1
+
+    # no share reaches ``generalise`` for a term that more documents hold than this
+    limit = most * (max(n, 1) / most) ** (1 - generalise) * (1 + 1e-9)
+    held = docs.select(F.explode(F.array_distinct(F.transform(
+        _array(TERM, col(text).cast("string"), gaps=False), F.lower))).alias("term"))
+    held = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t") <= limit)
+    held = stage(held, "pii-held")  # so that Spark can split the join's common terms
+
+    def share(n_et: Column) -> Column:
+        return _share(F.lit(n), F.col("n_e"), F.col("n_t"), n_et, min_joint)
+
+    cells = terms.select("row", "term").distinct().join(held, "term").join(entities, "row")
+    cells = stage(cells.where(share(F.least("n_e", "n_t")) >= generalise), "pii-cells")
+    joint = cells.groupBy("entity", "term").agg(
+        F.count(F.lit(1)).alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    joint = joint.select("entity", "term", share(F.col("n_et")).alias("share")).where(F.col("share") >= generalise)
     joint = stage(joint, "pii-joint")
-
-    wanted = stage(joint.select("term").distinct(), "pii-terms")
-    size = wanted.agg(F.sum(F.octet_length("term") + 32)).first()[0] or 0
-    wanted = F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted
-    held = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(col(text).cast("string")), F.lit(WHOLE_TERM), F.lit(0)))).alias("term"))
-    held = held.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = F.lit(matches.select("row").distinct().count() if size else 0)
-    share = joint.join(held, "term").join(known, "entity").select(
-        "entity", "term", _share(n, F.col("n_e"), F.greatest("n_t", "n_et"), F.col("n_et"), min_joint).alias("share"))
-    found = near.join(share.where(F.col("share") >= generalise), ["entity", "term"])
-    return found.groupBy("row", "id", "text_key", "start", "stop").agg(F.max("share").alias("share"))
+    found = cells.join(joint, ["entity", "term"]).groupBy("row", "term").agg(F.max("share").alias("share"))
+    return terms.join(found, ["row", "term"]).select("row", "id", "text_key", "start", "stop", "share")
 
 
 def personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text", generalise: float = GENERALISE,
