@@ -183,6 +183,24 @@ def test_language_model_beats_the_base(spark):
     assert r["s"] > r["b"]
 
 
+def test_language_model_contexts_are_whole_words(spark):
+    """Words of equal endings are contexts of their own, and there are as many contexts as words."""
+    texts = ["pling dog", "tling cat"] * 30 + [f"w{i}ing z{i}" for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm.fit(df)
+    assert model.contexts.count() == 405
+    total = Counter()
+    weight = {r["ctx"]: r["weight"] for r in model.contexts.collect()}
+    parents = [np.array(r["parent"]) for r in model.vocabulary.collect()] + [model.unknown]
+    for r in model.probabilities().join(model.vocabulary.select("h", "parent"), "h").collect():
+        total[r["ctx"]] += r["p"] - np.mean(np.array(r["parent"]) * weight[r["ctx"]])
+    for k, w in weight.items():
+        assert abs(total[k] + np.mean(sum(parents) * np.array(w)) - 1) < 1e-6
+    probe = spark.createDataFrame([(0, "pling dog"), (1, "tling dog")], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in lm.score(probe, model).collect()}
+    assert score[0] > score[1] + 1
+
+
 def test_heavy_and_rare_words_get_the_same_scores(docs, monkeypatch):
     usual = sorted((r["n_tokens"], r["n_known"], round(r["score"], 4)) for r in lm.corpus_scores(docs).collect())
     monkeypatch.setattr(lm, "HEAVY", 0)

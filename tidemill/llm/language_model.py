@@ -2,22 +2,23 @@
 
 Two levels share one vocabulary: a parent restaurant over words, whose base is uniform over the
 vocabulary and one unknown word, and a restaurant for each context, whose base is the parent.
-A context is the class of the word before (its last two bytes, hashed to ``CONTEXTS - 1``
-classes; the start of a text is a class of its own). Every table of a context restaurant is a
+A context is the word before, or the start of a text. Every table of a context restaurant is a
 customer of the parent.
 
-* Counting: (word, context) counts are added up before and in the shuffle; words go by 64-bit
-  hashes. The table of words grows with the corpus and stays distributed.
-* Gibbs sampling: a word's cells lie in one row. A sweep takes the customers of each cell out
-  and seats them again by the restaurant's predictive odds, given all the others; the tables are
-  then seated in the parent. Sweeps run in parallel over words with the restaurants' totals
-  (``CONTEXTS`` numbers) of the round before; each round is a table in the shared folder.
+* Counting: (word, context) cells are added up before and in the shuffle; words go by 64-bit
+  hashes, the start by the hash of the end. Cells, words and contexts are three tables that grow
+  with the corpus and stay distributed.
+* Gibbs sampling: a sweep joins each cell with its word's and its context's numbers, takes its
+  customers out and seats them again by the restaurant's predictive odds, given all the others.
+  The tables are then added up by context and by word, and seated in the parent. Cells sweep in
+  parallel, with the numbers of the sweep before; each sweep is a table in the shared folder.
   A cell's first ``SINGLE`` customers sit down one by one, later ones in blocks of a sixteenth
-  of those seated. A word seen once has one possible seating and needs none of this.
-* Predictive probabilities are averaged over the sampled rounds.
-* Scoring: at most ``HEAVY`` words can each hold one in ``HEAVY`` tokens; only these are
-  broadcast. All others are joined by a shuffle, one row for each slice of documents and word, so
-  that no word gathers more rows than there are slices.
+  of those seated. A cell of one customer has one possible seating and needs none of this.
+* Predictive probabilities are averaged over the last sweeps of the sampled rounds.
+* Scoring: tokens are joined with the cells' probabilities by word and context, one row for each
+  slice of documents and cell. Only tokens of unseen cells need their word and context.
+* At most ``HEAVY`` words (and contexts) can each hold one in ``HEAVY`` tokens; their numbers
+  are broadcast, so that no common word gathers rows in one task.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.words import col, ship, slices, split_words
 from tidemill.session import stage
 
-#: Context classes; words that may be broadcast; rounds of sampling, of which the first isn't averaged; sweeps a round.
+#: Contexts shown by ``Model.words``; words that may be broadcast; rounds of sampling, of which the first isn't averaged; sweeps a round.
 CONTEXTS, HEAVY, ROUNDS, BURN_IN, SWEEPS = 64, 20_000, 3, 1, 2
 #: Strength of both levels; their discounts are estimated from the counts of counts.
 STRENGTH = 1.0
@@ -91,115 +92,90 @@ class Texts:
         inner = np.ones(len(self.token), dtype=bool)
         inner[last] = False
         self.token[inner] = codes
-        tail = [w[-2:] for w in words]
-        suffix = {s: 1 + xxhash.xxh32_intdigest(s) % (CONTEXTS - 1) for s in set(tail)}
-        classes = np.fromiter((suffix[s] for s in tail), np.int64, len(words))
-        self.context = np.zeros(len(self.token), dtype=np.int64)
-        self.context[1:] = classes[self.token[:-1]]
-        self.context[last[:-1] + 1] = 0
+        self.context = np.full(len(self.token), end)
+        self.context[1:] = self.token[:-1]
+
+    def cells(self) -> np.ndarray:
+        """A number for each token's (word, context)."""
+        return self.token * len(self.hashes) + self.context
+
+    def named(self, cells: np.ndarray) -> list[pa.Array]:
+        """Hashes of the words and the contexts of numbered cells."""
+        return [pa.array(self.hashes[cells // len(self.hashes)]), pa.array(self.hashes[cells % len(self.hashes)])]
 
 
 def counts(training: DataFrame, text: str) -> DataFrame:
-    """``h, c, ctx, n``: each distinct token's count, and its counts by context class."""
+    """``h, ctx, n``: how often each word follows each context."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(0), SLICE_BYTES):
                 t = Texts(part)
-                key, n = np.unique(t.token * CONTEXTS + t.context, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(t.hashes[key // CONTEXTS]), pa.array(key % CONTEXTS, pa.int32()), pa.array(n)],
-                    ["h", "ctx", "n"])
+                key, n = np.unique(t.cells(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([*t.named(key), pa.array(n)], ["h", "ctx", "n"])
 
-    cells = training.select(col(text).cast("string").alias("text")).mapInArrow(count, "h long, ctx int, n long")
-    cells = cells.groupBy("h", "ctx").agg(F.sum("n").alias("n"))
-    return cells.groupBy("h").agg(F.sum("n").alias("c"), F.array_sort(F.collect_list(F.struct("ctx", "n"))).alias("x")
-                                  ).select("h", "c", "x.ctx", "x.n")
+    cells = training.select(col(text).cast("string").alias("text")).mapInArrow(count, "h long, ctx long, n long")
+    return cells.groupBy("h", "ctx").agg(F.sum("n").alias("n"))
 
 
 class Totals:
-    """What all restaurants know of each other: ``CONTEXTS`` numbers and a few more."""
+    """What all restaurants know of each other: a few numbers."""
 
-    def __init__(self, size: int, n: int, customers: np.ndarray, tables: np.ndarray, words: float,
-                 discount: float, discount_1: float):
-        self.base, self.n, self.size = 1 / (size + 1), n, size
-        self.customers, self.tables, self.words = customers, tables, words
+    def __init__(self, size: int, tables: float, words: float, discount: float, discount_1: float):
+        self.base, self.tables, self.words = 1 / (size + 1), tables, words
         self.discount, self.discount_1 = discount, discount_1
 
-    def parent(self, c1, t1):
-        """The parent's probability of words with ``c1`` customers at ``t1`` tables."""
+    def parent(self, c1, t1, greatest=np.maximum):
+        """The parent's probability of words with ``c1`` customers at ``t1`` tables (numbers or columns)."""
         fresh = (STRENGTH + self.discount_1 * self.words) * self.base
-        return (np.maximum(c1 - self.discount_1 * t1, 0) + fresh) / (STRENGTH + self.tables.sum())
-
-    def direct(self, ctx, n, t):
-        """What a cell's own customers give it."""
-        return (n - self.discount * t) / (STRENGTH + self.customers[ctx])
-
-    @property
-    def weight(self) -> np.ndarray:
-        """The parent's weight in each context."""
-        return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
+        return (greatest(c1 - self.discount_1 * t1, 0) + fresh) / (STRENGTH + self.tables)
 
 
-def _sweep(h, owner, ctx, n, t, t1, total: Totals, seed: int):
-    """One sweep over the cells of a batch of words; the new ``t`` and ``t1``."""
-    c1 = np.bincount(owner, t, len(h))
-    others = c1[owner] - t
-    odds = total.parent(others, np.minimum(t1[owner], others))
-    strength = STRENGTH + total.discount * (total.tables[ctx] - t)
-    t = seat(n, strength * odds, total.discount * odds, total.discount,
-             lambda cells, i: _uniform(h[owner[cells]], ctx[cells], seed, i))
-    c1 = np.bincount(owner, t, len(h))
-    base = np.full(len(h), total.base)
-    t1 = seat(c1.astype(np.int64), (STRENGTH + total.discount_1 * (total.words - t1)) * base, total.discount_1 * base,
-              total.discount_1, lambda cells, i: _uniform(h[cells], CONTEXTS, seed, i))
-    return t, t1
+def _joined(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``table`` (one row for each ``key``, marked ``heavy`` or not)."""
+    heavy = F.broadcast(table.where("heavy").drop("heavy"))
+    rest = rows.join(heavy.select(key), key, "left_anti").join(table.where("not heavy").drop("heavy"), key, how)
+    return rows.join(heavy, key).unionByName(rest)
 
 
-STATE = "h long, c long, ctx array<int>, n array<long>, t array<int>, t1 int, direct array<float>, parent array<double>"
-
-
-def _round(state: DataFrame, total: Totals, number: int, first: bool) -> DataFrame:
-    """The state after a round of sweeps; ``direct`` and ``parent`` gain this round's sample if it counts."""
+def _sweep(state: DataFrame, words: DataFrame, contexts: DataFrame, total: Totals, seed: int) -> DataFrame:
+    """The cells of ``state`` seated again, given all the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = {c: batch.column(c) for c in ("ctx", "n", "t", "direct", "parent") if c in batch.schema.names}
-            at = lists["ctx"].offsets.to_numpy().astype(np.int64)
-            flat = {c: v.flatten().to_numpy(zero_copy_only=False) for c, v in lists.items()}
-            h, owner = batch.column("h").to_numpy(), np.repeat(np.arange(len(at) - 1), np.diff(at))
-            ctx, n = flat["ctx"].astype(np.int64), flat["n"]
-            t = np.ones(len(n)) if first else flat["t"].astype(np.float64)
-            t1 = np.ones(len(h)) if first else batch.column("t1").to_numpy().astype(np.float64)
-            for i in range(SWEEPS):
-                t, t1 = _sweep(h, owner, ctx, n, t, t1, total, number * SWEEPS + i)
-            parent = total.parent(np.bincount(owner, t, len(h)), t1)[:, None]
-            direct = total.direct(ctx, n, t) / (ROUNDS - BURN_IN) if number >= BURN_IN else np.zeros(len(n))
-            if not first:
-                direct = direct + flat["direct"]
-                parent = np.concatenate((flat["parent"].reshape(len(h), -1), parent), axis=1)
-            if number < BURN_IN:
-                parent = parent[:, :0]
-            cells = pa.array(at - at[0], pa.int32())
-            ends = pa.array(np.arange(len(h) + 1) * parent.shape[1], pa.int32())
-
-            def listed(values, kind, offsets=cells):
-                return pa.ListArray.from_arrays(offsets, pa.array(values).cast(kind))
-
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("h"), batch.column("c"), listed(ctx, pa.int32()), listed(n, pa.int64()),
-                 listed(t, pa.int32()), pa.array(t1).cast(pa.int32()), listed(direct, pa.float32()),
-                 listed(parent.ravel(), pa.float64(), ends)],
-                ["h", "c", "ctx", "n", "t", "t1", "direct", "parent"])
+            h, ctx, n, t, tables, c1, t1 = (batch.column(c).to_numpy(zero_copy_only=False)
+                                            for c in ("h", "ctx", "n", "t", "tables", "c1", "t1"))
+            others = (c1 - t).astype(np.float64)
+            odds = total.parent(others, np.minimum(t1, others))
+            strength = STRENGTH + total.discount * (tables - t)
+            t = seat(n, strength * odds, total.discount * odds, total.discount,
+                     lambda cells, i: _uniform(h[cells], ctx[cells], seed, i))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("h", "ctx", "n")), pa.array(t).cast(pa.int64()),
+                                              batch.column("ts")], ["h", "ctx", "n", "t", "ts"])
+
+    joined = _joined(state, contexts.select("ctx", "heavy", "tables"), "ctx")
+    joined = _joined(joined, words.select("h", "heavy", "c1", "t1"), "h")
+    return joined.mapInArrow(run, "h long, ctx long, n long, t long, ts array<long>")
+
+
+def _parents(words: DataFrame, state: DataFrame, total: Totals, seed: int) -> DataFrame:
+    """``words`` with their new customers ``c1`` of the parent, seated at ``t1`` tables."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, c1, t1 = (batch.column(c).to_numpy() for c in ("h", "c1", "t1"))
+            odds = (STRENGTH + total.discount_1 * (total.words - t1)) * total.base
+            t1 = seat(c1, odds, np.full(len(h), total.discount_1 * total.base), total.discount_1,
+                      lambda cells, i: _uniform(h[cells], 1, seed, i))
+            yield batch.set_column(batch.schema.names.index("t1"), "t1", pa.array(t1).cast(pa.int64()))
 
-    return state.mapInArrow(run, STATE)
+    more = state.groupBy("h").agg(F.sum("t").alias("more"))
+    now = words.join(more, "h", "left").withColumn("c1", F.col("lone") + F.coalesce("more", F.lit(0))).select(*words.columns)
+    return now.mapInArrow(run, words.schema)
 
 
-def _by_context(state: DataFrame, tables: Column) -> tuple[np.ndarray, float]:
-    """Tables by context and the parent's tables: at most ``CONTEXTS`` rows come back."""
-    rows = state.select("t1", F.explode(F.arrays_zip("ctx", tables.alias("t"))).alias("x"))
-    by = np.zeros(CONTEXTS)
-    for r in rows.groupBy("x.ctx").agg(F.sum("x.t").alias("t")).collect():
-        by[r["ctx"]] = r["t"]
-    return by, float(state.agg(F.sum("t1")).first()[0] or 0)
+def _tables(contexts: DataFrame, state: DataFrame) -> DataFrame:
+    """``contexts`` with their new ``tables``."""
+    more = state.groupBy("ctx").agg(F.sum("t").alias("more"))
+    return contexts.join(more, "ctx", "left").withColumn(
+        "tables", F.col("lone") + F.coalesce("more", F.lit(0))).select(*contexts.columns)
 
 
 def _discount(one: int, two: int) -> float:
@@ -208,18 +184,50 @@ def _discount(one: int, two: int) -> float:
 
 
 class Model:
-    """A fitted model: ``words`` (distributed; ``h, c, ctx, direct, parent``) and what is broadcast."""
+    """A fitted model, distributed: ``cells`` (``h, ctx, n, ts``), ``vocabulary`` (``h, c, heavy, parent``) and
+    ``contexts`` (``ctx, customers, heavy, weight``); ``ts``, ``parent`` and ``weight`` have a value for each sample.
+    """
 
-    def __init__(self, words: DataFrame, totals: list[Totals], heavy: dict[int, tuple], n: int, size: int):
-        self.words, self.n, self.size = words, n, size
-        self.heavy = {h: i for i, h in enumerate(heavy)}
-        self.weights = np.array([t.weight for t in totals])
+    def __init__(self, cells: DataFrame, vocabulary: DataFrame, contexts: DataFrame, totals: list[Totals], n: int, size: int):
+        self.cells, self.vocabulary, self.contexts, self.n, self.size = cells, vocabulary, contexts, n, size
+        self.discount = totals[0].discount
         self.unknown = np.array([float(t.parent(0, 0)) for t in totals])
-        self.heavy_c = np.array([c for c, *_ in heavy.values()], dtype=np.float64)
-        self.heavy_p = np.zeros((len(heavy), CONTEXTS))
-        for i, (_, ctx, direct, parent) in enumerate(heavy.values()):
-            self.heavy_p[i] = np.array(parent) @ self.weights / len(totals)
-            self.heavy_p[i, ctx] += direct
+
+    def direct(self) -> Column:
+        """What a cell's own customers give it, on average over the samples."""
+        seats = F.aggregate("ts", F.lit(0).cast("long"), lambda a, x: a + x) / F.size("ts")
+        return (F.col("n") - self.discount * seats) / (STRENGTH + F.col("customers"))
+
+    def mixed(self, parent: Column, weight: Column) -> Column:
+        """What the parent gives a cell, on average over the samples."""
+        return F.aggregate(F.zip_with(parent, weight, lambda p, w: p * w), F.lit(0.0), lambda a, x: a + x) / len(self.unknown)
+
+    def probabilities(self) -> DataFrame:
+        """``h, ctx, c, p`` of all cells."""
+        cells = _joined(_joined(self.cells, self.contexts, "ctx"), self.vocabulary, "h")
+        return cells.select("h", "ctx", "c", (self.direct() + self.mixed(F.col("parent"), F.col("weight"))).alias("p"))
+
+    def _shown(self) -> list:
+        return self.contexts.orderBy(F.desc("customers"), "ctx").limit(CONTEXTS).collect()
+
+    @property
+    def weights(self) -> np.ndarray:
+        """The parent's weight by sample and context, for the ``CONTEXTS`` most frequent contexts."""
+        weights = np.zeros((len(self.unknown), CONTEXTS))
+        for i, r in enumerate(self._shown()):
+            weights[:, i] = r["weight"]
+        return weights
+
+    @property
+    def words(self) -> DataFrame:
+        """``h, c, parent, ctx, direct`` of each word; ``ctx``: numbers of the ``CONTEXTS`` most frequent contexts."""
+        number = self.vocabulary.sparkSession.createDataFrame(
+            [(r["ctx"], i, r["customers"]) for i, r in enumerate(self._shown())], "ctx long, number int, customers long")
+        cells = self.cells.join(F.broadcast(number), "ctx").groupBy("h").agg(
+            F.array_sort(F.collect_list(F.struct("number", self.direct().alias("direct")))).alias("x"))
+        return self.vocabulary.join(cells, "h", "left").select(
+            "h", "c", "parent", F.coalesce("x.number", F.array().cast("array<int>")).alias("ctx"),
+            F.coalesce("x.direct", F.array().cast("array<double>")).alias("direct"))
 
 
 def _base(c: np.ndarray, n: int, size: int) -> np.ndarray:
@@ -230,124 +238,100 @@ def _base(c: np.ndarray, n: int, size: int) -> np.ndarray:
 def fit(training: DataFrame, text: str = "text") -> Model:
     """Seat the training texts' tokens; see the module's text. A null text counts as empty."""
     ship(training.sparkSession)
-    words = stage(counts(training, text), "lm-words")
-    cell = F.explode(F.arrays_zip("ctx", "n")).alias("x")
-    customers = np.zeros(CONTEXTS)
-    cells = np.zeros(CONTEXTS)
-    ones = twos = 0
-    for r in words.select(cell).groupBy("x.ctx").agg(
-            F.sum("x.n").alias("n"), F.count(F.lit(1)).alias("cells"), F.count_if(F.col("x.n") == 1).alias("ones"),
-            F.count_if(F.col("x.n") == 2).alias("twos")).collect():
-        customers[r["ctx"]], cells[r["ctx"]] = r["n"], r["cells"]
-        ones, twos = ones + r["ones"], twos + r["twos"]
-    whole = words.agg(F.count(F.lit(1)).alias("size"), F.sum("c").alias("n"), F.count_if(F.size("ctx") == 1).alias("one"),
-                      F.count_if(F.size("ctx") == 2).alias("two")).first()
-    size, n = whole["size"], whole["n"] or 0
-    discounts = _discount(ones, twos), _discount(whole["one"], whole["two"])
-    once = words.where("c = 1")
-    alone, n_alone = np.zeros(CONTEXTS), 0
-    for r in once.groupBy(F.col("ctx")[0].alias("ctx")).count().collect():
-        alone[r["ctx"]] = r["count"]
-        n_alone += r["count"]
-
-    total, totals, state = Totals(size, n, customers, cells, float(size), *discounts), [], words.where("c > 1")
-    for number in range(ROUNDS):
-        state = stage(_round(state, total, number, number == 0), "lm-round")
-        if number >= BURN_IN:
-            totals.append(total)
-        tables, parents = _by_context(state, F.col("t"))
-        total = Totals(size, n, customers, tables + alone, parents + n_alone, *discounts)
-
-    seen = F.create_map(*[x for k in range(CONTEXTS) for x in (F.lit(k), F.lit(float(
-        np.mean([t.direct(np.array([k]), 1, 1)[0] for t in totals]))))])
-    lone = F.array(*[F.lit(float(t.parent(1, 1))) for t in totals])
-    fields = ["h", "c", "ctx", "direct", "parent"]
-    model = state.select(*fields).unionByName(once.select(
-        "h", "c", "ctx", F.array(F.element_at(seen, F.col("ctx")[0]).cast("float")).alias("direct"), lone.alias("parent")))
-    heavy = {r["h"]: (r["c"], r["ctx"], r["direct"], r["parent"])
-             for r in state.select(*fields).where(F.col("c") * HEAVY >= n).collect()} if n else {}
-    return Model(model, totals, heavy, n, size)
+    cells = stage(counts(training, text), "lm-cells")
+    n = cells.agg(F.sum("n")).first()[0] or 0
+    lone = F.count_if(F.col("n") == 1).alias("lone")
+    number, none = F.count(F.lit(1)), F.array().cast("array<long>")
+    words = stage(cells.groupBy("h").agg(F.sum("n").alias("c"), lone, number.alias("c1")).select(
+        "h", "c", "lone", (F.col("c") * HEAVY >= n).alias("heavy"), "c1", F.lit(1).cast("long").alias("t1"),
+        none.alias("c1s"), none.alias("t1s")), "lm-vocabulary")
+    contexts = stage(cells.groupBy("ctx").agg(F.sum("n").alias("customers"), lone, number.alias("tables")).select(
+        "ctx", "customers", "lone", (F.col("customers") * HEAVY >= n).alias("heavy"), "tables", none.alias("tabs")),
+        "lm-contexts")
+    found = cells.agg(number.alias("cells"), lone, F.count_if(F.col("n") == 2).alias("twos")).first()
+    whole = words.agg(number.alias("size"), F.count_if(F.col("c1") == 1).alias("one"),
+                      F.count_if(F.col("c1") == 2).alias("two")).first()
+    size = whole["size"]
+    discounts = _discount(found["lone"], found["twos"]), _discount(whole["one"], whole["two"])
+
+    total, totals = Totals(size, float(found["cells"]), float(size), *discounts), []
+    state = cells.where("n > 1").select("h", "ctx", "n", F.lit(1).cast("long").alias("t"), none.alias("ts"))
+    for sweep in range(ROUNDS * SWEEPS):
+        sample = sweep >= BURN_IN * SWEEPS and sweep % SWEEPS == SWEEPS - 1
+
+        def kept(df: DataFrame, **lists: str) -> DataFrame:
+            return df.withColumns({k: F.concat(k, F.array(v)) for k, v in lists.items()}) if sample else df  # noqa: B023
+
+        state = stage(kept(_sweep(state, words, contexts, total, sweep), ts="t"), "lm-sweep")
+        contexts = stage(kept(_tables(contexts, state), tabs="tables"), "lm-contexts")
+        words = stage(kept(_parents(words, state, total, sweep), c1s="c1", t1s="t1"), "lm-vocabulary")
+        now = words.agg(F.sum("c1").alias("tables"), F.sum("t1").alias("words")).first()
+        total = Totals(size, float(now["tables"] or 0), float(now["words"] or 0), *discounts)
+        totals += [total] * sample
+
+    once = F.array_repeat(F.lit(1).cast("long"), len(totals))
+    seated = cells.where("n = 1").select("h", "ctx", "n", once.alias("ts")).unionByName(state.drop("t"))
+    parent = F.array(*[t.parent(F.col("c1s")[i], F.col("t1s")[i], lambda x, y: F.greatest(x, F.lit(float(y))))
+                       for i, t in enumerate(totals)])
+    weight = F.transform("tabs", lambda t: (STRENGTH + discounts[0] * t) / (STRENGTH + F.col("customers")))
+    vocabulary = stage(words.select("h", "c", "heavy", parent.alias("parent")), "lm-parents")
+    contexts = stage(contexts.select("ctx", "customers", "heavy", weight.alias("weight")), "lm-weights")
+    return Model(seated, vocabulary, contexts, totals, n, size)
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_tokens, n_known, base_score, score`` for each row of ``docs``."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((model.heavy, model.heavy_c, model.heavy_p))
     n_train, size = model.n, model.size
-    heavy_logs = _base(model.heavy_c, n_train, size)
     kind = docs.select(col(id).alias("id")).schema[0].dataType.simpleString()
-    names = ["row", "id", "n_tokens", "n_known", "base_score", "score", "h", "occ"]
+    names = ["row", "id", "n_tokens", "h", "ctx", "occ"]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, _, heavy_p = sent.value
-        with np.errstate(divide="ignore"):
-            heavy_score = np.log10(heavy_p)
         for batch in batches:
             at = 0
             for part in slices(batch.column("text"), SLICE_BYTES):
                 t, n = Texts(part), len(part)
                 row, ids = batch.column("row").slice(at, n), batch.column("id").slice(at, n)
                 at += n
-                known = np.fromiter((heavy.get(h, -1) for h in t.hashes.tolist()), np.int64, len(t.hashes))[t.token]
-                on = known >= 0
-                owner, known = t.text[on], known[on]
-                yield pa.RecordBatch.from_arrays(
-                    [row, ids, pa.array(t.n_tokens), pa.array(np.bincount(owner, minlength=n)),
-                     pa.array(np.bincount(owner, heavy_logs[known] if len(known) else None, n).astype(np.float64)),
-                     pa.array(np.bincount(owner, heavy_score[known, t.context[on]] if len(known) else None, n)
-                              .astype(np.float64)),
-                     pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names)
-                rest = np.flatnonzero(~on)
-                rest = rest[np.argsort(t.token[rest], kind="stable")]
-                token = t.token[rest]
-                first = np.flatnonzero(np.concatenate((token[:1] >= 0, token[1:] != token[:-1])))
-                if len(first):
-                    packed = (t.text[rest] * CONTEXTS + t.context[rest]).astype("<u4")
-                    ends = np.append(first, len(rest)).astype(np.int32) * 4
-                    occ = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
-                    m = len(first)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(m, row[0].as_py())), pa.nulls(m, ids.type), *[
-                            pa.nulls(m, k) for k in (pa.int64(), pa.int64(), pa.float64(), pa.float64())],
-                         pa.array(t.hashes[token[first]]), occ], names)
+                yield pa.RecordBatch.from_arrays([row, ids, pa.array(t.n_tokens), pa.nulls(n, pa.int64()),
+                                                  pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names)
+                cell = t.cells()
+                order = np.argsort(cell, kind="stable")
+                cell = cell[order]
+                first = np.flatnonzero(np.concatenate((cell[:1] >= 0, cell[1:] != cell[:-1])))
+                ends = np.append(first, len(cell)).astype(np.int32) * 4
+                m, packed = len(first), t.text[order].astype("<u4")
+                occ = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(ends), pa.py_buffer(packed)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, row[0].as_py())), pa.nulls(m, ids.type),
+                                                  pa.nulls(m, pa.int64()), *t.named(cell[first]), occ], names)
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), col(id).alias("id"),
                          col(text).cast("string").alias("text"))
-    both = stage(source.mapInArrow(split, f"row long, id {kind}, n_tokens long, n_known long, base_score double,"
-                                          f" score double, h long, occ binary"), "lm-tokens")
-    weights, unknown = model.weights, model.unknown
+    both = stage(source.mapInArrow(split, f"row long, id {kind}, n_tokens long, h long, ctx long, occ binary"), "lm-tokens")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             occ = batch.column("occ")
             ends = np.frombuffer(occ.buffers()[1], np.int32)[occ.offset:occ.offset + len(occ) + 1].astype(np.int64) // 4
-            packed = np.frombuffer(occ.buffers()[2], "<u4")[ends[0]:ends[-1]].astype(np.int64)
+            texts = np.frombuffer(occ.buffers()[2], "<u4")[ends[0]:ends[-1]].astype(np.int64)
             word = np.repeat(np.arange(len(occ)), np.diff(ends))
-            context = packed % CONTEXTS
-            row = batch.column("row").to_numpy()[word] + packed // CONTEXTS
-            c = pc.fill_null(batch.column("c"), 0).to_numpy(zero_copy_only=False)
-            parent = np.tile(unknown, (len(c), 1))
-            parent[c > 0] = batch.column("parent").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(unknown))
-            ctx = batch.column("ctx")
-            key = np.repeat(np.arange(len(c)), pc.fill_null(pc.list_value_length(ctx), 0).to_numpy(
-                zero_copy_only=False)) * CONTEXTS + ctx.flatten().to_numpy(zero_copy_only=False)
-            direct = np.append(batch.column("direct").flatten().to_numpy(zero_copy_only=False).astype(np.float64), 0)
-            key = np.append(key, np.int64(len(c)) * CONTEXTS)
-            wanted = word * CONTEXTS + context
-            place = np.searchsorted(key, wanted)
-            own = np.where(key[place] == wanted, direct[place], 0)
-            p = own + (parent[word] * weights[:, context].T).mean(axis=1)
+            c, p = (pc.fill_null(batch.column(k), 0).to_numpy(zero_copy_only=False) for k in ("c", "p"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row), pa.array((c > 0)[word].astype(np.int64)), pa.array(_base(c, n_train, size)[word]),
-                 pa.array(np.log10(p))], ["row", "n_known", "base_score", "score"])
-
-    tail = both.where("h is not null").select("row", "h", "occ").join(model.words, "h", "left").select(
-        "row", "occ", "c", "ctx", "direct", "parent")
-    sums = tail.mapInArrow(add, "row long, n_known long, base_score double, score double")
-    parts = both.where("h is null").select("row", "id", "n_tokens", "n_known", "base_score", "score")
-    sums = sums.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("n_known", "base_score", "score")])
-    plus = [(F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).alias(c) for c in ("n_known", "base_score", "score")]
-    return parts.join(sums, "row", "left").select(F.col("id").alias(id), "n_tokens", *plus)
+                [pa.array(batch.column("row").to_numpy()[word] + texts), pa.array((c > 0)[word].astype(np.int64)),
+                 pa.array(_base(c, n_train, size)[word]), pa.array(np.log10(p)[word])],
+                ["row", "n_known", "base_score", "score"])
+
+    tokens = both.where("h is not null").select("row", "h", "ctx", "occ")
+    tokens = stage(tokens.join(model.probabilities(), ["h", "ctx"], "left"), "lm-cells-found")
+    unseen = _joined(tokens.where("p is null").drop("c", "p"), model.vocabulary, "h", "left")
+    unseen = _joined(unseen, model.contexts.drop("customers"), "ctx", "left")
+    parent = F.coalesce("parent", F.array(*[F.lit(float(u)) for u in model.unknown]))
+    weight = F.coalesce("weight", F.array(*[F.lit(1.0)] * len(model.unknown)))  # a new context's restaurant is empty
+    unseen = unseen.select("row", "occ", "c", model.mixed(parent, weight).alias("p"))
+    every = tokens.where("p is not null").select("row", "occ", "c", "p").unionByName(unseen)
+    sums = every.mapInArrow(add, "row long, n_known long, base_score double, score double").groupBy("row").agg(
+        *[F.sum(c).alias(c) for c in ("n_known", "base_score", "score")])
+    parts = both.where("h is null").select("row", "id", "n_tokens")
+    return parts.join(sums, "row").select(F.col("id").alias(id), "n_tokens", "n_known", "base_score", "score")
 
 
 def held_out(id: Column) -> Column:
