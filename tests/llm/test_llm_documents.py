@@ -146,6 +146,16 @@ def test_repetition_verdict(spark):
     assert repetition.clean(df).columns == df.columns
 
 
+def test_pasted_paragraph_is_rejected(spark):
+    """One paragraph twice (40 % covered) fails these limits but not the base rule."""
+    fresh = [f"x{i}" for i in range(120)]
+    pasted, short = ([f"w{i}" for i in range(n)] for n in (40, 20))
+    texts = [pasted + fresh + pasted, short + fresh + short]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = {r["doc_id"]: r["q"] for r in repetition.repetition(df, into="q").collect()}
+    assert not out[0]["base_failed"] and not out[0]["kept"] and out[1]["kept"]
+
+
 def test_language_model(docs):
     rows = {}
     for r in docs.select("doc_id", "text").collect():
