@@ -309,6 +309,29 @@ def test_warc_derivatives(spark, tmp_path):
     assert n == 2 * len(rows)
 
 
+def test_warc_source_headers_are_kept(spark):
+    given = {"WARC-IP-Address": "10.0.0.1", "warc-type": "response", "Content-Length": "7", "X-Odd\r\nA": "b\r\nc",
+             "WARC-Payload-Digest": "sha1:HEAD", "WARC-Record-ID": "<urn:uuid:head>", "WARC-Date": "2020-01-01T00:00:00Z"}
+    rows = [(1, "http://a/", "<p>x", "<urn:uuid:own>", "sha1:OWN", "2021-02-03T04:05:06Z", given),
+            (2, "http://a/", "<p>x", None, None, None, given), (3, "http://a/", "<p>x", None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, own string, sum string, at string,"
+                                     " head map<string,string>")
+    out = warc.derivatives(df, date="at", record_id="own", payload_digest="sum", headers="head").collect()
+    for r in out:
+        lines = r["record"].split("\r\n\r\n", 1)[0].split("\r\n")[1:]
+        head = {k.lower(): v for k, v in (x.split(": ", 1) for x in lines)}
+        assert len(head) == len(lines) and head["warc-type"] == r["record_type"]
+        assert int(head["content-length"]) == r["content_length"] == len(r["block"].encode())
+        assert (head["warc-refers-to"], head["warc-source-payload-digest"]) == (r["refers_to"], r["source_digest"])
+        if r["page_id"] < 3:
+            assert (r["refers_to"], r["source_digest"], head["warc-date"]) == (
+                ("<urn:uuid:own>", "sha1:OWN", "2021-02-03T04:05:06Z") if r["page_id"] == 1 else
+                ("<urn:uuid:head>", "sha1:HEAD", "2020-01-01T00:00:00Z"))
+            assert head["warc-ip-address"] == "10.0.0.1" and head["x-odd a"] == "b c"
+    assert len(out) == 6
+    assert "record" in warc.op5_warc_derivatives(spark, SF).columns
+
+
 def test_temporal_lists(spark):
     rng = random.Random(8)
     hosts = ["a.com", "x.a.com", "y.x.a.com", "b.org", "ba.com"]

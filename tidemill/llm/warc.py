@@ -1,7 +1,7 @@
 """WARC derivatives: a metadata and a plain-text conversion record for every response.
 
-Both name the response they come from (``WARC-Refers-To``), keep its target, date and digest
-and have digests of their own blocks. Records are rows; ``write_records`` stores them as WARC
+Both name the response they come from (``WARC-Refers-To``), keep its target, date, digest and
+other headers, and have digests of their own blocks. Records are rows; ``write_records`` stores them as WARC
 files by Spark's own writer. Each response is handled by itself: no shuffle.
 """
 
@@ -36,6 +36,11 @@ _LANGUAGE = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 _LINK = re.compile(r"<a\b[^<>]*?\bhref\s*=", re.I)
 
 
+#: Headers that describe the source's own block, not the records made from it.
+OF_THE_SOURCE = {"warc-payload-digest", "warc-identified-payload-type", "warc-truncated", "warc-segment-number",
+                 "warc-segment-origin-id", "warc-segment-total-length"}
+
+
 def digest(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
 
@@ -59,11 +64,14 @@ def _one_line(value: str) -> str:
     return " ".join(value.split())
 
 
-def derive(own: str | None, uri: str | None, date: str | None, page: str | None) -> list[dict]:
-    """The two records of one response."""
-    uri, page = _one_line(uri or ""), page or ""
-    source = digest(page.encode())
-    refers = response_id(uri, own or "", source)
+def derive(own: str | None, uri: str | None, date: str | None, page: str | None, record_id: str | None = None,
+           payload_digest: str | None = None, headers: list[tuple[str, str | None]] | None = None) -> list[dict]:
+    """The two records of one response; what isn't given is taken from its headers, or else made from the others."""
+    given = {_one_line(k).lower(): _one_line(v) for k, v in headers or [] if v}
+    uri, page = _one_line(uri or given.get("warc-target-uri", "")), page or ""
+    date = _one_line(date or given.get("warc-date", ""))
+    source = _one_line(payload_digest or given.get("warc-payload-digest", "")) or digest(page.encode())
+    refers = _one_line(record_id or given.get("warc-record-id", "")) or response_id(uri, own or "", source)
     title, language = _TITLE.search(page), _LANGUAGE.search(page)
     text = plain_text(page)
     fields = {"title": _one_line(html.unescape(title[1])) if title else "", "language": language[1] if language else "",
@@ -81,16 +89,23 @@ def derive(own: str | None, uri: str | None, date: str | None, page: str | None)
                 "WARC-Target-URI": uri, "WARC-Refers-To-Target-URI": uri, "WARC-Source-Payload-Digest": source,
                 "WARC-Block-Digest": record["block_digest"], "Content-Type": content_type,
                 "Content-Length": str(len(data))}
+        set_here = {k.lower() for k in head} | OF_THE_SOURCE
+        head |= {_one_line(k): _one_line(v) for k, v in headers or [] if v and _one_line(k).lower() not in set_here}
         record["record"] = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items() if v) + "\r\n" + block
         out.append(record)
     return out
 
 
 def derivatives(responses: DataFrame, id: str = "page_id", uri: str = "url", body: str = "html",
-                date: str | None = None) -> DataFrame:
+                date: str | None = None, record_id: str | None = None, payload_digest: str | None = None,
+                headers: str | None = None) -> DataFrame:
     """``id`` and the fields of ``RECORD``: two rows for each response, its metadata and its conversion.
 
-    Null ids, targets and bodies count as empty texts, a null date leaves its header out. Equal
+    ``date``, ``record_id``, ``payload_digest`` and ``headers`` (a map of names to values) name columns of what the
+    response's own record says. Both records keep it, but for headers that describe the response's own block.
+
+    Null ids, targets and bodies count as empty texts, a null date leaves its header out. Where no record id or
+    payload digest is given, they are made from the response's id, target and body. Equal
     responses get equal identifiers, as repeated rows do. An empty table gives no rows.
     """
     ship(responses.sparkSession)
@@ -102,8 +117,10 @@ def derivatives(responses: DataFrame, id: str = "page_id", uri: str = "url", bod
         for columns in batches:
             yield pa.array([derive(*row) for row in zip(*(c.to_pylist() for c in columns))], pa.list_(kind))
 
-    fields = [F.col(f"`{id}`"), F.col(f"`{uri}`"), F.col(f"`{date}`") if date else F.lit(None), F.col(f"`{body}`")]
-    made = responses.select(col(id).alias("id_"), records(*[f.cast("string") for f in fields]).alias("made"))
+    fields = [col(c).cast("string") if c else F.lit(None).cast("string")
+              for c in (id, uri, date, body, record_id, payload_digest)]
+    fields.append((col(headers) if headers else F.lit(None)).cast("map<string,string>"))
+    made = responses.select(col(id).alias("id_"), records(*fields).alias("made"))
     return made.select(F.col("id_").alias(id), F.inline("made"))
 
 
@@ -113,4 +130,4 @@ def write_records(records: DataFrame, path: str) -> None:
 
 
 def op5_warc_derivatives(spark, sf_dir: str) -> DataFrame:
-    return derivatives(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")).drop("record")
+    return derivatives(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
