@@ -34,6 +34,19 @@ def con():
     return c
 
 
+def test_quoted_csv_is_written_in_parallel(spark, con, tmp_path, monkeypatch):
+    """A part file for each partition, each with its own header; all are read."""
+    whole = catalogue.table
+    monkeypatch.setattr(catalogue, "table", lambda *a: whole(*a).repartition(3))
+    monkeypatch.setattr(catalogue, "fresh_path", lambda *a: str(tmp_path / "csv"))
+    df = catalogue.QUERIES["csv_quoted"](spark, SF)
+    parts = list((tmp_path / "csv").glob("part-*"))
+    assert len(parts) == 3
+    assert all(p.read_text().startswith("c_custkey;note;spaced;code\n") for p in parts)
+    found = con.execute(catalogue.ORACLE["csv_quoted"])
+    assert _rows(df.columns, df.collect()) == _rows([d[0] for d in found.description], found.fetchall())
+
+
 def test_every_query_has_an_oracle():
     from tidemill.plans.catalogue import ORACLE, QUERIES
     assert set(QUERIES) == set(ORACLE)

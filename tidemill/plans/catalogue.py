@@ -947,12 +947,12 @@ def q_csv_quoted(spark, sf):
     """Doubled quotes, delimiters inside quotes, text like a token but for its spaces, codes beyond 64 bits."""
     path = fresh_path(spark, "csv")
     c = table(spark, sf, "customer")
-    line = F.concat(F.col("c_custkey").cast("string"), F.lit(';"say ""'), "c_name", F.lit('""; '), "c_mktsegment",
-                    F.lit('"; NA ;1234567890123456789'), F.col("c_custkey").cast("string"))
-    rows = c.select(line.alias("value"))
-    # part files are read one by one, each with the header as its first line
-    head = spark.createDataFrame([("c_custkey;note;spaced;code",)], "value string")
-    head.unionByName(rows).coalesce(1).write.text(path)
+    key = F.col("c_custkey").cast("string")
+    rows = c.select("c_custkey", F.concat(F.lit('say "'), "c_name", F.lit('"; '), "c_mktsegment").alias("note"),
+                    F.lit(" NA ").alias("spaced"), F.concat(F.lit("1234567890123456789"), key).alias("code"))
+    # each part file has the header as its first line
+    rows.write.option("header", True).option("sep", ";").option("quote", '"').option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return extract_csv(spark, path, ";")
 
 
