@@ -211,6 +211,20 @@ def test_language_model_contexts_are_whole_words(spark):
     assert score[0] > score[1] + 1
 
 
+def test_blocks_spread_as_single_customers_do(monkeypatch):
+    n, h = np.full(4000, 600), np.arange(4000)
+
+    def seated(seed):
+        return lm.seat(n, np.full(4000, 20.0), np.zeros(4000), 0.0, lambda cells, i, *j: lm._uniform(
+            h[cells, None] if j else h[cells], seed, i, *j))
+
+    blocks = seated(1)
+    monkeypatch.setattr(lm, "SINGLE", 1000)
+    single = seated(2)
+    assert abs(blocks.mean() / single.mean() - 1) < 0.03
+    assert abs(blocks.std() / single.std() - 1) < 0.1
+
+
 def test_heavy_and_rare_words_get_the_same_scores(docs, monkeypatch):
     usual = sorted((r["n_tokens"], r["n_known"], round(r["score"], 4)) for r in lm.corpus_scores(docs).collect())
     monkeypatch.setattr(lm, "HEAVY", 0)

@@ -13,7 +13,7 @@ customer of the parent.
   The tables are then added up by context and by word, and seated in the parent. Cells sweep in
   parallel, with the numbers of the sweep before; each sweep is a table in the shared folder.
   A cell's first ``SINGLE`` customers sit down one by one, later ones in blocks of a sixteenth
-  of those seated. A cell of one customer has one possible seating and needs none of this.
+  of those seated: a block's new tables are drawn from a binomial, customer by customer. A cell of one customer has one possible seating and needs none of this.
 * Predictive probabilities are averaged over the last sweeps of the sampled rounds.
 * Scoring: tokens are joined with the cells' probabilities by word and context, one row for each
   slice of documents and cell. Only tokens of unseen cells need their word and context.
@@ -40,6 +40,8 @@ CONTEXTS, HEAVY, ROUNDS, BURN_IN, SWEEPS = 64, 20_000, 3, 1, 2
 #: Strength of both levels; their discounts are estimated from the counts of counts.
 STRENGTH = 1.0
 SINGLE = 64
+#: Numbers drawn at once.
+DRAWS = 1 << 20
 SLICE_BYTES = 16 << 20
 #: The end of a text, as a word that no text holds.
 END = b"\n"
@@ -62,17 +64,23 @@ def _uniform(h: np.ndarray, *salt) -> np.ndarray:
 def seat(n: np.ndarray, odds: np.ndarray, gain: np.ndarray, discount: float, draw) -> np.ndarray:
     """Tables of cells with ``n`` customers; a new table has weight ``odds + gain * tables``.
 
-    ``draw(cells, i)``: a number in [0, 1) for each of these cells, with ``i`` customers seated.
+    ``draw(cells, i, j)``: numbers in [0, 1) for each of these cells (rows), with ``i`` customers seated, and
+    each customer ``j`` of the next block (columns).
     """
     tables = np.minimum(n, 1).astype(np.float64)
     cells, i = np.flatnonzero(n > 1), 1
     while len(cells):
-        block = 1 if i < SINGLE else i // 16
-        block = np.minimum(block, n[cells] - i)
+        size = 1 if i < SINGLE else i // 16
+        block = np.minimum(size, n[cells] - i)
         new = odds[cells] + gain[cells] * tables[cells]
         p = new / (new + i - discount * tables[cells])
-        tables[cells] += np.minimum(np.floor(block * p + draw(cells, i)), block)
-        i += 1 if i < SINGLE else i // 16
+        for first in range(0, size, DRAWS):
+            j = np.arange(first, min(size, first + DRAWS))
+            step = max(1, DRAWS // len(j))
+            for own in (slice(a, a + step) for a in range(0, len(cells), step)):
+                fresh = (draw(cells[own], i, j) < p[own, None]) & (j < block[own, None])
+                tables[cells[own]] += fresh.sum(axis=1)
+        i += size
         cells = cells[n[cells] > i]
     return tables
 
@@ -147,7 +155,7 @@ def _sweep(state: DataFrame, words: DataFrame, contexts: DataFrame, total: Total
             odds = total.parent(others, np.minimum(t1, others))
             strength = STRENGTH + total.discount * (tables - t)
             t = seat(n, strength * odds, total.discount * odds, total.discount,
-                     lambda cells, i: _uniform(h[cells], ctx[cells], seed, i))
+                     lambda cells, i, j: _uniform(h[cells, None], ctx[cells, None], seed, i, j))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("h", "ctx", "n")), pa.array(t).cast(pa.int64()),
                                               batch.column("ts")], ["h", "ctx", "n", "t", "ts"])
 
@@ -163,7 +171,7 @@ def _parents(words: DataFrame, state: DataFrame, total: Totals, seed: int) -> Da
             h, c1, t1 = (batch.column(c).to_numpy() for c in ("h", "c1", "t1"))
             odds = (STRENGTH + total.discount_1 * (total.words - t1)) * total.base
             t1 = seat(c1, odds, np.full(len(h), total.discount_1 * total.base), total.discount_1,
-                      lambda cells, i: _uniform(h[cells], 1, seed, i))
+                      lambda cells, i, j: _uniform(h[cells, None], 1, seed, i, j))
             yield batch.set_column(batch.schema.names.index("t1"), "t1", pa.array(t1).cast(pa.int64()))
 
     more = state.groupBy("h").agg(F.sum("t").alias("more"))
