@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemill.llm.chat import OP1_SQL, op1_snapshot_collapse
 from tidemill.llm.decontaminate import op8_prefix_filtered_windows
+from tidemill.llm.infill import OP13_SQL, op13_chunk_infill
 from tidemill.llm.language_model import op7_pitman_yor_scores
 from tidemill.llm.neardup import op9_bottom_k_neardup
 from tidemill.llm.packing import op3_bulk_best_fit
@@ -16,7 +17,7 @@ from tidemill.llm.warc import op5_warc_derivatives
 QUERIES = {f.__name__: f for f in (
     op1_snapshot_collapse, op2_heap_merge_counts, op3_bulk_best_fit, op4_information_sanitising, op5_warc_derivatives,
     op6_temporal_lists, op7_pitman_yor_scores, op8_prefix_filtered_windows, op9_bottom_k_neardup,
-    op10_suffix_repetition)}
+    op10_suffix_repetition, op13_chunk_infill)}
 
 #: Windows of 13 words of both tables, joined as they are.
 OP8_SQL = r"""
@@ -55,4 +56,4 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 """
 
 ORACLE = {"op1_snapshot_collapse": OP1_SQL, "op6_temporal_lists": OP6_SQL, "op8_prefix_filtered_windows": OP8_SQL,
-          "op9_bottom_k_neardup": OP9_SQL}
+          "op9_bottom_k_neardup": OP9_SQL, "op13_chunk_infill": OP13_SQL}
