@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import infill
+from tidemill.llm import infill, turn_trie
 
 
 def sha(text):
@@ -87,3 +87,87 @@ def test_equal_passages_fall_into_equal_chunks():
     cut = [infill.chunk_ends(d, np.array([0, len(d)])) for d in data]
     found = [{bytes(d[i:j]) for i, j in zip(e[:-1], e[1:])} for d, e in zip(data, cut)]
     assert len(found[0]) > 20 and len(found[0] & found[1] & found[2]) > 0.9 * len(found[0])
+
+
+# tries of conversations
+
+def trie(conversations):
+    """The rows of prefix_trie, without last turns, from {conv_id: [(role, text), ...]}."""
+    nodes = {}
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    children, leaves, saved = ({k: 0 for k in nodes} for _ in range(3))
+    for k in nodes:
+        if k:
+            children[k[:-1]] += 1
+    for k, members in nodes.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not children[k]
+            saved[k[:d]] += (len(members) - 1) * len(k[-1][1].encode()) if k else 0
+    return sorted((min(m), len(k), min(nodes[k[:-1]]) if k else None, len(m), children[k], leaves[k], saved[k],
+                   sha(",".join(str(c) for c in sorted(m) if conversations[c] == list(k)))) for k, m in nodes.items())
+
+
+def logged(turns):
+    """{conv_id: [(role, text), ...]} of (conv_id, turn, role, text) with different turns."""
+    out = {}
+    for c, _, role, text in sorted((r for r in turns if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        out.setdefault(c, []).append((role or "", text or ""))
+    return out
+
+
+def rebuilt(own):
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = own.get(c - c % 5, [])[:h] + turns[h:]
+    return out
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def found(df):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in df.collect()), key=lambda r: (r[0], r[1], r[7]))
+
+
+@pytest.fixture(scope="module")
+def turns(spark):
+    rng = random.Random(6)
+    rows = []
+    for c in rng.sample(range(5000), 400):
+        n = rng.choice([1, 2, 3, 5, 8, 20, 45])
+        rows += [(c, t or None, rng.choice(["user", "", None]), rng.choice(["", None, "é", "hello there"]) if t > 1 else "hi")
+                 for t in range(n)]
+    rows += [(10_000 + c, t, "user", f"the same {t}") for c in range(300) for t in range(4)]  # copies
+    rows += [(20_000, t, "user", "the same 0" if t == 0 else "x" * 3000) for t in range(700)]  # long
+    rows += [(None, 1, "user", "lost")]
+    rng.shuffle(rows)
+    return rows, spark.createDataFrame([(*r, "a", b"b", 1) for r in rows], "conv_id long, turn long, role string, text string,"
+                                       " turns string, ids binary, block int").repartition(3)
+
+
+@pytest.mark.parametrize("block", [3, 900])
+def test_trie_is_the_same_over_any_blocks(turns, block):
+    rows, df = turns
+    own = logged(rows)
+    got = found(turn_trie.prefix_trie(turn_trie.sequences(df), block=block))
+    assert got == sorted(trie(own), key=lambda r: (r[0], r[1], r[7]))
+
+
+def test_rebuilt_conversations(turns, spark, tmp_path):
+    rows, df = turns
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = found(turn_trie.op11_turn_id_trie(spark, str(tmp_path)))
+    assert got == sorted(trie(rebuilt(logged(rows))), key=lambda r: (r[0], r[1], r[7]))
+
+
+def test_trie_of_repeated_and_of_no_turns(spark, turns):
+    none = turn_trie.prefix_trie(turn_trie.sequences(turns[1].limit(0)))
+    assert none.count() == 0 and none.columns == [*COLUMNS, "last_turn"]
+    twice = spark.createDataFrame([(1, 2, "a", "b")] * 2 + [(1, 1, "a", "z"), (1, None, "b", "q")], "conv_id int, turn int, role string, text string")
+    got = found(turn_trie.prefix_trie(turn_trie.sequences(twice)))
+    assert got == trie({1: [("b", "q"), ("a", "z"), ("a", "b"), ("a", "b")]})
+    bare = spark.createDataFrame([(7, None), (3, [])], "conv_id long, turns array<struct<id: string, size: long>>")
+    assert found(turn_trie.prefix_trie(bare)) == [(3, 0, None, 2, 0, 1, 0, sha("3,7"))]
