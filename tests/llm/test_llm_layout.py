@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import infill, turn_trie
+from tidemill.llm import infill, rotation_codes, turn_trie
 
 
 def sha(text):
@@ -171,3 +171,76 @@ def test_trie_of_repeated_and_of_no_turns(spark, turns):
     assert got == trie({1: [("b", "q"), ("a", "z"), ("a", "b"), ("a", "b")]})
     bare = spark.createDataFrame([(7, None), (3, [])], "conv_id long, turns array<struct<id: string, size: long>>")
     assert found(turn_trie.prefix_trie(bare)) == [(3, 0, None, 2, 0, 1, 0, sha("3,7"))]
+
+
+# links of vectors
+
+def links_of(rows, similarity=0.95):
+    """(id, links, smallest id reachable) of each row; nulls last."""
+    def good(v):
+        return v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    vectors = [np.array(v, dtype=np.float64) if good(v) else None for _, v in rows]
+    part, n = list(range(len(rows))), [0] * len(rows)
+    for i, x in enumerate(vectors):
+        for j in range(i):
+            y = vectors[j]
+            if x is not None and y is not None and len(x) == len(y):
+                x_, y_ = x / np.abs(x).max(), y / np.abs(y).max()
+                if x_ @ y_ / (np.linalg.norm(x_) * np.linalg.norm(y_)) >= similarity:
+                    n[i], n[j] = n[i] + 1, n[j] + 1
+                    low, high = sorted((part[i], part[j]))
+                    part = [low if p == high else p for p in part]
+    least = {}
+    for (k, _), p in zip(rows, part):
+        least[p] = min(least.get(p, (True, 0)), (k is None, k or 0))
+    return [(k, m, None if least[p][0] else least[p][1]) for (k, _), m, p in zip(rows, n, part)]
+
+
+def ordered(rows):
+    return sorted(rows, key=repr)
+
+
+@pytest.mark.parametrize("block", [7, 4096])
+def test_links_of_odd_vectors(spark, block):
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal((12, 24))
+    vectors = [list(map(float, centre[i % 12] * rng.choice([0.5, 1, 1e200]) + rng.standard_normal(24) * 0.05 * (i % 12 < 9)))
+               for i in range(90)]
+    vectors = [v if max(map(abs, v)) < 1e100 else [x * 1.0 for x in v] for v in vectors]
+    vectors += [vectors[0]] * 25 + [None, [], [0.0] * 24, [None] + [1.0] * 23, [float("nan")] * 24, [float("inf")] * 24]
+    vectors += [[-0.0, 1.0], [0.0, 2.0], [1.0], [3.0], [-2.0], [1e-300, 1e-300, 0.0], [1.0, 1.0, 0.0]]
+    rows = [(None if i in (3, 100, 117) else i // 2 if i < 6 else 900 - i, v) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, n int, vector string").repartition(3)
+    out = rotation_codes.near_vectors(df, block=block).collect()
+    assert ordered((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == ordered(links_of(rows))
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out)
+    assert rotation_codes.near_vectors(df.limit(0)).count() == 0
+
+
+def test_recall_of_links_near_the_threshold(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((700, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    away = rng.standard_normal((700, 32))
+    away -= (away * x).sum(axis=1)[:, None] * x
+    away /= np.linalg.norm(away, axis=1)[:, None]
+    cosine = rng.uniform(0.949, 0.953, 700)[:, None]
+    both = np.concatenate([x, cosine * x + np.sqrt(1 - cosine ** 2) * away])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r["n_links"] for r in rotation_codes.near_vectors(df).collect()}
+    true = (both @ both.T >= 0.95).sum(axis=1) - 1
+    assert all(found[i] <= true[i] for i in found)
+    assert sum(found.values()) >= 0.99 * true.sum() > 700
+
+
+def test_estimates_are_unbiased_and_bounded():
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((4000, 64))
+    x[1::2] = x[::2] + 0.3 * rng.standard_normal((2000, 64))
+    words, factors, _ = rotation_codes.Codes(x, 24, 13).signs()
+    table = rotation_codes.Bucketed(x, words, factors, 24, 13)
+    a, b = np.arange(0, 4000, 2), np.arange(1, 4000, 2)
+    true = (table.codes.unit[a] * table.codes.unit[b]).sum(axis=1)
+    assert table.may_reach(a, b, 0.95)[true >= 0.95].all() and (true >= 0.95).sum() > 500
+    assert not table.may_reach(a, np.roll(b, 1), 0.95).any()

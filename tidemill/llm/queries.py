@@ -10,6 +10,7 @@ from tidemill.llm.neardup import op9_bottom_k_neardup
 from tidemill.llm.packing import op3_bulk_best_fit
 from tidemill.llm.privacy import op4_information_sanitising
 from tidemill.llm.repetition import op10_suffix_repetition
+from tidemill.llm.rotation_codes import OP12_SQL, op12_rotation_codes
 from tidemill.llm.tokens import op2_heap_merge_counts
 from tidemill.llm.turn_trie import OP11_SQL, op11_turn_id_trie
 from tidemill.llm.url_lists import OP6_SQL, op6_temporal_lists
@@ -18,7 +19,8 @@ from tidemill.llm.warc import op5_warc_derivatives
 QUERIES = {f.__name__: f for f in (
     op1_snapshot_collapse, op2_heap_merge_counts, op3_bulk_best_fit, op4_information_sanitising, op5_warc_derivatives,
     op6_temporal_lists, op7_pitman_yor_scores, op8_prefix_filtered_windows, op9_bottom_k_neardup,
-    op10_suffix_repetition, op11_turn_id_trie, op13_chunk_infill)}
+    op10_suffix_repetition, op11_turn_id_trie, op12_rotation_codes,
+    op13_chunk_infill)}
 
 #: Windows of 13 words of both tables, joined as they are.
 OP8_SQL = r"""
@@ -57,4 +59,5 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 """
 
 ORACLE = {"op1_snapshot_collapse": OP1_SQL, "op6_temporal_lists": OP6_SQL, "op8_prefix_filtered_windows": OP8_SQL,
-          "op9_bottom_k_neardup": OP9_SQL, "op11_turn_id_trie": OP11_SQL, "op13_chunk_infill": OP13_SQL}
+          "op9_bottom_k_neardup": OP9_SQL, "op11_turn_id_trie": OP11_SQL,
+          "op12_rotation_codes": OP12_SQL, "op13_chunk_infill": OP13_SQL}
