@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.errors import DuplicateKeyError, SchemaError, SourceError, TableError, ViewError
 from tidemill.operators import quality as Q
@@ -259,3 +260,51 @@ def test_replace_partitioned_table(spark, db):
     TB.create_table(spark.createDataFrame([(1, "m1"), (2, "m2")], "k long, m string"), name, partition_by=["m"])
     out = TB.replace_table(spark.table(name).where("m = 'm2'").selectExpr("k + 10 AS k", "m"), name)
     assert {tuple(r) for r in out.collect()} == {(12, "m2")}
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_ragged_csv_rows(spark, tmp_path, multi_line):
+    def read(text, **kw):
+        path = tmp_path / f"{abs(hash((text, multi_line)))}.csv"
+        path.write_text(text)
+        return [tuple(r) for r in extract_csv(spark, str(path), multi_line=multi_line, **kw).collect()]
+
+    assert read("a;b;c\n1;2;3\n4;5\n") == [(1, 2, 3), (4, 5, None)]
+    assert read('a;b;c\n1;x\n3;"4;;;""5";5\n') == [(1, "x", None), (3, '4;;;"5', 5)]
+    assert read("a;b\n1;2\n3\n", schema="a int, b string") == [(1, "2"), (3, None)]
+    for text, wide, unclosed in [("a;b\n4;5;6\n", 1, 0), ("a;b\n1;2\n3;4;\n", 1, 0), ("a;b\n1;2;3;4\n5;6;;7\n", 2, 0),
+                                 ('a;b\n1;2\n3;"x\n', 0, 1), ('a;b\n1;"x;2\n3;4\n', 0, 1)]:
+        for kw in ({}, {"schema": "a string, b string"}):
+            with pytest.raises(SourceError) as e:
+                read(text, **kw)
+            assert e.value.code == 2
+            assert f"{wide} rows have too many fields and {unclosed} an open quote" in e.value.message
+
+
+def test_loose_html_tables(spark):
+    from tidemill.sources.html import table_cells
+    pages = {
+        '<table class=country-table><tbody><tr><td>1<td>2<td>3<td>4<tr><td>5<td>6</table><tr><td>no': [list("1234"), list("56")],
+        '<TABLE CLASS="x country-table"><TR><TD>1<TD>a<table><tr><td>in<td>ner</table>b<td>3</tr><tr><td>4</table>':
+            [["1", "ainnerb", "3"], ["4"]],
+        '<table class="country-table"><tr><td>&eacute;&amp;&#243;&bogus; &#xF3;&lt;x<!-- <td>no --></td><th>h</th><td>2</td>':
+            [["é&ó&bogus; ó<x", "2"]],
+        '<table class="country-table"><tbody><tr><td>1</tbody><tbody><tr><td>2</tbody></table>': [["1"]],
+        '<table class="country-table"><thead><tr><td>0</thead><tbody><tr><td>1</td><td><table><tbody><tr><td>q</td></tr></tbody>'
+        '</table></td><td>3</td></tr></tbody></table>': [["1", "q", "3"]],
+        '<table class="other"><tr><td>1</table>': None, "": None, '<table class="country-table">': [],
+    }
+    df = spark.createDataFrame([(p,) for p in pages] + [(None,)], "html string")
+    got = {r["html"]: r["c"] for r in df.select("html", table_cells(F.col("html")).alias("c")).collect()}
+    assert got == {**pages, None: None}
+
+
+def test_pages_are_parsed_once_and_numbers_cast_once(spark):
+    from tidemill.operators.quality import conform_types
+    from tidemill.sources.html import holiday_rows
+    pages = spark.createDataFrame([("r", 2015, "")], "region string, year int, html string")
+    plan = holiday_rows(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("country-table") == 1
+    text = spark.createDataFrame([("1", "2")], "a string, b string")
+    plan = conform_types(text, {"a": "int", "b": "float"}, strict=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(a") == 2 and plan.count("try_cast(b") == 1

@@ -7,13 +7,14 @@ the work. Here one plan serves all sizes:
 1. Rows are range-partitioned on ``(k, o)``: the bounds are sampled on the full
    sort key, so a hot key spans many partitions. They are stored once with
    ``checkpoint()``, because range bounds are sampled anew each time a plan runs.
-2. Rows are numbered inside each partition's piece of a key.
-3. Only a partition's first key can have begun in an earlier one, so one offset
-   for each partition (the rows of that key before it) is all that is added; this
-   table has one row per partition and is broadcast.
+2. Partitions are sorted before they are stored, so a row's place in its partition is known.
+3. One aggregate gives the first place and the size of each partition's piece of a key, and a running sum over
+   a key's pieces (one for each partition it spans) how many rows come before. A join adds that to the places.
 
-The second exchange is by the partitions' numbers, so the output keeps the order of
-step 1: contiguous ranges of ``(k, o)``, sorted inside each partition.
+The stored rows aren't shuffled again where the table of pieces is small enough to broadcast, as Spark
+finds at run time (a few keys, whatever their size): they then keep contiguous ranges of ``(k, o)``, sorted
+inside each partition. With very many keys it is joined by key and partition, and no key gathers more
+than a partition's rows.
 """
 
 from __future__ import annotations
@@ -25,24 +26,19 @@ from pyspark.sql import functions as F
 
 from tidemill.session import work_dir
 
-_PID, _KEY = "_tm_pid", "_tm_key"
+_PID, _KEY, _PLACE, _PIECE = "_tm_pid", "_tm_key", "_tm_place", "_tm_piece"
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(f"`{c}`") if isinstance(c, str) else c for c in cols]
 
 
-def _rows_before(ranged: DataFrame) -> DataFrame:
-    """``(pid, first, before)``: each partition's first key and that key's rows in earlier partitions."""
-    ends = ranged.groupBy(_PID).agg(F.min(_KEY).alias("first"), F.max(_KEY).alias("last"))
-    tails = (ranged.join(F.broadcast(ends), _PID).where(F.col(_KEY).eqNullSafe(F.col("last")))
-             .groupBy(_PID).agg(F.min("first").alias("first"), F.min("last").alias("last"),
-                                F.count(F.lit(1)).alias("n")))
-    run = F.sum("n").over(Window.partitionBy("last").orderBy(_PID))
-    ahead = F.lag(F.struct("last", run.alias("run"))).over(Window.orderBy(_PID))  # one row per partition
-    tails = tails.withColumn("ahead", ahead)
-    carried = F.when(F.col("ahead.last").eqNullSafe(F.col("first")), F.col("ahead.run")).otherwise(F.lit(0))
-    return tails.select(_PID, "first", carried.alias("before"))
+def _pieces(ranged: DataFrame) -> DataFrame:
+    """``(pid, key, ahead)``: for each partition's piece of a key, what its rows' places in the partition are to be raised by."""
+    pieces = ranged.groupBy(_PID, _KEY).agg(F.min(_PLACE).alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(_KEY).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    return pieces.select(_PID, _KEY, (before - F.col("first") + 1).alias("ahead"))
 
 
 def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Sequence[str | Column],
@@ -51,18 +47,19 @@ def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Seque
 
     ``order_by`` must be a total order within each group (add a unique
     tie-break). Null ``by`` values form one group of their own. With ``by``
-    empty, ``name`` is the global position. Rows come out in ranges of
-    ``(by, order_by)``, sorted inside each partition.
+    empty, ``name`` is the global position. Unless there are very many groups, rows come out in
+    ranges of ``(by, order_by)``, sorted inside each partition.
     """
     work_dir(df.sparkSession)  # make sure a shared checkpoint folder is set
     keys, order = _as_cols(by), _as_cols(order_by)
     keyed = df.withColumn(_KEY, F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
     width = [partitions] if partitions else []
-    ranged = (keyed.repartitionByRange(*width, F.col(_KEY), *order)
-              .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))
-    piece = Window.partitionBy(_PID, _KEY).orderBy(*order)
-    local = ranged.repartitionByRange(*width, F.col(_PID)).withColumn(name, F.row_number().over(piece))
-    out = local.join(F.broadcast(_rows_before(ranged)), _PID)
-    earlier = F.when(F.col(_KEY).eqNullSafe(F.col("first")), F.col("before")).otherwise(F.lit(0))
+    # the id holds the partition's number above bit 33, and below it the row's place
+    ranged = (keyed.repartitionByRange(*width, F.col(_KEY), *order).sortWithinPartitions(_KEY, *order)
+              .withColumn(_PLACE, F.monotonically_increasing_id()).checkpoint(eager=True))
+    ranged = ranged.withColumn(_PID, F.shiftright(_PLACE, 33)).withColumn(
+        _PLACE, F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)))
+    pieces = _pieces(ranged).withColumnRenamed(_KEY, _PIECE)
+    out = ranged.join(pieces, [F.col(_KEY).eqNullSafe(F.col(_PIECE)), ranged[_PID] == pieces[_PID]])
     return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name],
-                      (F.col(name) + earlier).cast("long").alias(name))
+                      (F.col(_PLACE) + F.col("ahead")).cast("long").alias(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -22,23 +23,48 @@ def digits_only(c: Column) -> Column:
 
 def strip_tags(c: Column) -> Column:
     """Drop markup, decode all entities, trim (like ``get_text(strip=True)``)."""
-    out = decode_entities(F.regexp_replace(c, r"<[^>]*>", ""))
-    return F.trim(F.regexp_replace(out, r"[\s\u00a0]+", " "))
+    plain = F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, r"<[^>]*>", "")).otherwise(c)
+    return bound(plain, lambda t: squeezed(decode_entities(t)))
+
+
+def squeezed(c: Column) -> Column:
+    """White space as single spaces, none at the ends."""
+    return F.trim(F.regexp_replace(c, r"[\s\u00a0]{2,}|[^\S ]|\u00a0", " "))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _entity_names() -> Column:
+    """Texts by name, by the name's first letter: the values of a literal map are searched one by one."""
+    by_letter: dict[str, list[str]] = {}
+    for name, text in sorted(html5.items()):
+        if name.endswith(";"):
+            by_letter.setdefault(name[0], []).extend((name[:-1], text))
+    return F.create_map(*[x for letter, pairs in by_letter.items()
+                          for x in (F.lit(letter), F.create_map(*[F.lit(p) for p in pairs]))])
 
 
 def decode_entities(c: Column) -> Column:
-    """Replace named (``&eacute;``) and numeric (``&#243;``, ``&#xF3;``) entities; unknown ones stay."""
-    names = F.create_map(*[F.lit(x) for name, text in sorted(html5.items()) if name.endswith(";")
-                           for x in (name[:-1], text)])
+    """Replace named (``&eacute;``) and numeric (``&#243;``, ``&#xF3;``) entities; unknown ones stay.
+
+    Text without ``&`` is left as it is; names are looked up only where one stands.
+    """
+    def text_of(name: Column) -> Column:
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(
+            F.substr(name, F.lit(2))).cast("int")
+        numeric = bound(number, lambda n: F.when(
+            n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
+            F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+        named = F.element_at(F.element_at(_entity_names(), F.left(name, F.lit(1))), name)
+        return F.when(name.startswith("#"), numeric).otherwise(named)
 
     def decoded(part: Column) -> Column:
         name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        code = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(
-            name.startswith("#"), F.substr(name, F.lit(2))).cast("int")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        text = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).when(
-            code.isNull() & (name != ""), F.element_at(names, name))
-        return F.coalesce(F.concat(text, F.substr(part, F.length(name) + 2)), F.concat(F.lit("&"), part))
+        found = bound(name, lambda n: F.when(n != "", F.concat(text_of(n), F.substr(part, F.length(n) + 2))))
+        return F.coalesce(found, F.concat(F.lit("&"), part))
 
     parts = F.transform(F.split(c, "&"), lambda part, i: F.when(i == 0, part).otherwise(decoded(part)))
     return F.when(F.contains(c, F.lit("&")), F.array_join(parts, "")).otherwise(c)

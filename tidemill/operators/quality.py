@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.errors import InputError, SchemaError
+from tidemill.functions.text import bound
 from tidemill.operators._checks import INTEGRAL, NUMERIC, is_missing, require_columns, require_frame
 
 # Accepted type names and the Spark type each one means.
@@ -53,6 +54,19 @@ def _no_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+#: Text that is read as a whole number, as any number; a cast of other text is an exception inside Spark, and slow.
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$|^\s*[+-]?inf(inity)?\s*$"
+
+
+def _number(text: Column) -> Column:
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
+def _no_nan_once(c: Column) -> Column:
+    return bound(c, _no_nan)
+
+
 def _convert(df: DataFrame, col: str, target: T.DataType):
     """How to convert ``col``: ``(pre, final, bad)``.
 
@@ -60,7 +74,7 @@ def _convert(df: DataFrame, col: str, target: T.DataType):
     ``final(h)`` and ``bad(h)`` build the converted value and the "cannot
     convert" flag from that helper (``h`` is the column itself when there is
     no helper). Parsing text once matters: an expression repeated inside
-    conditional branches is evaluated again for every reference.
+    conditional branches is evaluated again for every reference, so values are bound as lambda arguments.
     """
     src = df.schema[col].dataType
     c = _col(col)
@@ -75,25 +89,30 @@ def _convert(df: DataFrame, col: str, target: T.DataType):
         if isinstance(src, NUMERIC) or isinstance(src, T.StringType):
             # whole numbers are read as such, so that 64 bits survive; only values with a point or an
             # exponent go through double, and NaN is missing, as in pandas
+            def rounded(number: Column) -> Column:
+                fits = (number == F.floor(number)) & (F.abs(number) < 2.0 ** 63)
+                return F.struct(F.when(fits, number.try_cast("long")).alias("value"), number.isNotNull().alias("given"))
+
+            def read(whole: Column) -> Column:
+                given = F.struct(whole.alias("value"), F.lit(True).alias("given"))
+                if isinstance(src, T.DecimalType):
+                    return F.when(whole.isNotNull(), given).otherwise(
+                        F.struct(whole.alias("value"), c.isNotNull().alias("given")))
+                return F.when(whole.isNotNull(), given).otherwise(bound(_number(c), rounded))
+
             if isinstance(src, T.StringType):
-                whole, number = c.try_cast("long"), _no_nan(c.try_cast("double"))
+                pre = bound(F.when(c.rlike(_WHOLE), c.try_cast("long")), read)
             elif isinstance(src, T.DecimalType):
-                whole, number = F.when(c == F.floor(c), c.try_cast("long")), c.cast("double")
+                pre = bound(F.when(c == F.floor(c), c.try_cast("long")), read)
             else:
-                number = _no_nan(c.cast("double"))
-                whole = F.lit(None).cast("long")
-            fits = (number == F.floor(number)) & (F.abs(number) < 2.0 ** 63)
-            if isinstance(src, T.DecimalType):
-                fits = F.lit(False)
-            pre = F.struct(F.coalesce(whole, F.when(fits, number.try_cast("long"))).alias("value"),
-                           number.isNotNull().alias("given"))
+                pre = bound(_no_nan_once(c.cast("double")), rounded)
             # a fractional number doesn't turn into an integer, nor does one beyond 64 bits
             return pre, lambda h: h["value"], lambda h: h["given"] & h["value"].isNull()
     if isinstance(target, T.DoubleType):
         if isinstance(src, NUMERIC):
             return None, lambda h: _no_nan(h.cast("double")), None
         if isinstance(src, T.StringType):
-            return None, lambda h: _no_nan(h.try_cast("double")), None
+            return None, _number, None
     if isinstance(target, T.BooleanType):
         if isinstance(src, NUMERIC):
             return None, lambda h: F.when(h.isNotNull(), h != 0), lambda h: h.isNotNull() & ~h.isin(0, 1)

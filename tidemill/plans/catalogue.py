@@ -20,7 +20,7 @@ from tidemill.operators import relational as R
 from tidemill.operators import sort as S
 from tidemill.operators.holidays import in_day_order, merge_holidays
 from tidemill.plans import flows
-from tidemill.session import fresh_path, work_dir
+from tidemill.session import fresh_path, spread, work_dir
 from tidemill.sinks import summary as SM
 from tidemill.sinks import tables as TB
 from tidemill.sinks import upsert as UP
@@ -108,6 +108,22 @@ def q_json_digits_date(spark, sf):
     return extract_json(spark, path, {"o_orderkey": "int", "day": "date"}, multi_line=False)
 
 
+@query("csv_ragged_rows", """
+SELECT c_custkey, c_name, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS c_acctbal,
+       CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN c_mktsegment END AS c_mktsegment
+FROM customer""")
+def q_csv_ragged_rows(spark, sf):
+    """Rows that end early: two segments' customers lack one or two of the four fields; names are quoted and hold the delimiter."""
+    path = fresh_path(spark, "csv")
+    c = table(spark, sf, "customer")
+    row = F.concat_ws(";", "c_custkey", F.concat(F.lit('"'), "c_name", F.lit('"')),
+                      F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_acctbal")),
+                      F.when(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.col("c_mktsegment")))
+    (c.select(row.alias("c_custkey;c_name;c_acctbal;c_mktsegment")).write.option("header", True)
+     .option("sep", "\u0001").option("quote", "").csv(path))
+    return extract_csv(spark, path, ";")
+
+
 @query("csv_declared_schema", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, nullif(c_mktsegment, 'HOUSEHOLD') AS c_mktsegment
 FROM customer""")
@@ -141,7 +157,7 @@ def _order_pages(spark, sf) -> DataFrame:
     the priority (urgent = public, high = regional, else an observance, which
     is dropped) and finished orders carry a fifth comment cell.
     """
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"))
     htype = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Public Holiday"))
              .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Regional Holiday"))
              .otherwise(F.lit("Observance")))
@@ -171,6 +187,30 @@ def q_html_holiday_rows(spark, sf):
     return holiday_rows(_order_pages(spark, sf)).withColumn("row_pos", F.col("row_pos").cast("int"))
 
 
+@query("html_loose_rows", """
+SELECT strftime(o_orderdate, '%d-%m-%Y') AS "Day",
+       'Order ' || CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderstatus = 'F' THEN ' (' || o_clerk || ' 1)' ELSE '' END AS "Name",
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'Nacional' ELSE 'Regional' END AS "Type",
+       CAST(o_custkey AS VARCHAR) AS "Region", CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE '' END AS "Comments",
+       1 AS row_pos
+FROM (SELECT *, 'c' || o_orderpriority AS o_clerk FROM orders) WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""")
+def q_html_loose_rows(spark, sf):
+    """Pages without end tags of cells and rows, with a table inside a cell, a comment and a second table."""
+    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"))
+    kind = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Public Holiday"))
+            .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Regional Holiday")).otherwise(F.lit("Observance")))
+    inner = F.when(F.col("o_orderstatus") == "F", F.concat(
+        F.lit("<table><tbody><tr><td> (c"), F.col("o_orderpriority"), F.lit("<td> 1)</table>")))
+    html = F.concat(
+        F.lit("<TABLE class='wide country-table'><thead><tr><th>Day<th>Date<tbody><!-- <tr><td>1<td>2<td>3<td>4 -->"
+              "<tr><td>x<td>y<td>z\n<TR class=row><TD>Day<TD>"), F.date_format("o_orderdate", "MMM dd"),
+        F.lit("<td>Order "), F.col("o_orderkey").cast("string"), F.coalesce(inner, F.lit("")),
+        F.lit("<td><b>"), kind, F.lit("</b>"), F.when(F.col("o_orderstatus") == "O", F.lit("<td>open")).otherwise(F.lit("")),
+        F.lit("</tbody><tfoot><tr><td>1<td>2<td>3<td>Public Holiday</table><table><tr><td>1<td>2<td>3<td>Public Holiday"))
+    pages = o.select(F.col("o_custkey").cast("string").alias("region"), F.year("o_orderdate").alias("year"), html.alias("html"))
+    return holiday_rows(pages).withColumn("row_pos", F.col("row_pos").cast("int"))
+
+
 def _date_range(df: DataFrame, col: str) -> tuple[str, str]:
     r = df.agg(F.min(col).alias("a"), F.max(col).alias("b")).first()
     return r["a"].strftime("%d-%m-%Y"), r["b"].strftime("%d-%m-%Y")

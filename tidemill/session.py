@@ -79,6 +79,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(scan):
+    """A table scan over all cores: one with fewer splits than cores is dealt out, any other stays as it is, unshuffled.
+
+    For work that is heavy for its bytes, such as parsing pages. Only for plain scans: the splits of
+    a plan with shuffles are known when it has run.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def stage(df, label: str = "stage"):
     """Write ``df`` once as Parquet under the shared work folder and read it back.
 
