@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, free_name, ship, slices, split_words
+from tidemill.llm.words import col, free_name, given_back, ship, slices, split_words
 from tidemill.session import stage
 
 #: Values of a sketch, and how many of them two sets of the least similarity share at least.
@@ -102,7 +102,7 @@ def _shingles(text: str | None, size: int) -> set:
 def _sketched(docs: DataFrame, text: str, size: int, k: int, into: str) -> DataFrame:
     @F.arrow_udf(SCHEMA)
     def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in given_back(batches):
             done = [sketches(part, size, k) for part in slices(batch)]
             yield pa.concat_arrays(done or [sketches(pc.fill_null(batch, ""), size, k)])
 

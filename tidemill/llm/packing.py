@@ -20,11 +20,10 @@ every round's gaps are a table in the shared folder, which a lost executor can't
 from __future__ import annotations
 
 import os
-import re
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,24 +31,31 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, ship, slices, split_words
+from tidemill.llm.words import col, given_back, ship, slices, split_words
 from tidemill.session import fresh_path, stage
 
 PIECES = "array<struct<piece: int, start: long, length: long, ids_crc32: long>>"
 
-#: The ids of so many words, of so many characters at most, are remembered; new words are encoded so many at a time.
-MEMO_WORDS, MEMO_CHARS, ENCODE_WORDS = 400_000, 40, 2_000
+#: Bytes of words and ids that are remembered while a task runs, and what one costs besides; the most characters of one;
+#: new words encoded by the library at once.
+MEMO_BYTES, ENTRY_BYTES, MEMO_CHARS, ENCODE_WORDS = 24 << 20, 200, 40, 2_000
 
 _PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
+#: A letter or digit, from which the tokenizer always cuts off closing punctuation; and lower-case letters that
+#: normalisation leaves alone, so that a run of them is one word to the tokenizer.
+_ENDS_PLAIN = "[a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]$"
+_LETTERS = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
 
-#: Lower-case letters that normalisation leaves alone, so that a run of them is one word to the tokenizer.
-_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+def _expanded(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``first[0], first[0] + 1, ...``: ``n[0]`` numbers, then as many from ``first[1]`` on as ``n[1]`` says, and so on."""
+    at = np.cumsum(n) - n
+    return np.repeat(first - at, n) + np.arange(int(n.sum()))
 
 
 class WordIds:
-    """Ids of texts from a tokenizer that never joins across ASCII white space, remembered by word."""
+    """Ids of texts from a tokenizer that never joins across ASCII white space; made for the distinct words of a slice."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,67 +64,94 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.level = {c: level.pre_tokenize_str(chr(c))[0][0] for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100))}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _parts(self, word: str) -> list[str]:
-        """The word in lower case and its closing punctuation, which the tokenizer always cuts off a letter or digit."""
-        if "<" not in word:
-            low = word.translate(_LOWER)
-            body = low.rstrip(_PUNCTUATION)
-            last = body[-1:]
-            if body and (last.isascii() and last.isalnum() or "\u00c0" <= last <= "\u00ff" and last.isalpha()):
-                return [body, low[len(body):]] if len(body) < len(low) else [body]
-        return [word]
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of new words; those of letters only go straight to the tokenizer's model."""
-        memo, own, other = self.memo, {}, []
-        parts = {w: self._parts(w) for w in new}
-        for p in {p for x in parts.values() for p in x}:
-            if p in memo:
-                own[p] = memo[p]
-            elif _LETTERS.fullmatch(p):
-                ids = [t.id for t in self.model.tokenize(p if p.isascii() else p.translate(self.level))]
-                own[p] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                other.append(p)
-        for i in range(0, len(other), ENCODE_WORDS):
-            part = other[i:i + ENCODE_WORDS]
-            own.update(zip(part, self._encode(part)))
-        made = {w: own[x[0]] if len(x) == 1 else own[x[0]] + own[x[1]] for w, x in parts.items()}
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        memo.update((w, ids) for x in (own, made) for w, ids in x.items() if len(w) <= MEMO_CHARS)
-        return made
-
-    def ids(self, texts: pa.Array) -> Iterator[bytes]:
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _units(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """What the tokenizer takes apart at most, and which two of them each word is: it without its closing
+        punctuation in lower case, and the punctuation (none for other words, which are taken as they are)."""
+        low = pc.ascii_lower(words)
+        body = pc.ascii_rtrim(low, characters=_PUNCTUATION)
+        cut = pc.and_(pc.match_substring_regex(body, _ENDS_PLAIN), pc.invert(pc.match_substring(words, "<")))
+        body = pc.if_else(cut, body, words)
+        tail = _after(pc.if_else(cut, low, ""), pc.if_else(cut, pc.binary_length(body), 0))
+        both = pa.concat_arrays([body, tail]).dictionary_encode()
+        codes = both.indices.to_numpy()
+        return both.dictionary, codes[:len(words)], codes[len(words):]
+
+    def _ids(self, units: pa.Array, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all units, and the number of each one's; those of letters only go straight to the tokenizer's model."""
+        names, plain = units.to_pylist(), pc.match_substring_regex(units, _LETTERS).to_pylist()
+        get, tokenize, level = memo.found.get, self.model.tokenize, self.level
+        ids = [get(p) for p in names]
+        other = []
+        for i, known in enumerate(ids):
+            if known is None:
+                p = names[i]
+                if plain[i]:
+                    ids[i] = made = [t.id for t in tokenize(p if p.isascii() else p.translate(level))]
+                    if memo.left > 0:
+                        memo.keep(p, made)
+                else:
+                    other.append(i)
+        for j in range(0, len(other), ENCODE_WORDS):
+            part = other[j:j + ENCODE_WORDS]
+            for i, made in zip(part, self._encode([names[i] for i in part])):
+                ids[i] = made
+                if memo.left > 0:
+                    memo.keep(names[i], made)
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), "<u4", int(n.sum())), n
+
+    def ids(self, texts: pa.Array, memo: Memo) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each whole text of a slice without nulls."""
         whole = np.zeros(len(texts), dtype=bool)
         for s in self.special:  # the library's own handling of texts that hold their strings
             whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
         codes, offsets, distinct = split_words(texts)
-        words = distinct.to_pylist()
-        get = self.memo.get
-        found = [get(w) for w in words]
-        made = self._learn([w for w, ids in zip(words, found) if ids is None])
-        found = [made[w] if ids is None else ids for w, ids in zip(words, found)]
-        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        first, flat = np.concatenate(([0], np.cumsum(n)))[:-1], np.frombuffer(b"".join(found), "<u4")
-        each = n[codes]
-        at = np.concatenate(([0], np.cumsum(each)))
-        all_ids = flat[np.repeat(first[codes] - at[:-1], each) + np.arange(at[-1])]
-        ends = at[offsets]
+        units, body, tail = self._units(distinct)
+        flat, n = self._ids(units, memo)
+        first = np.cumsum(n) - n
+        two = np.stack([body, tail], axis=1).ravel()  # every word's ids in one place
+        flat, n = flat[_expanded(first[two], n[two])], n[body] + n[tail]
+        first = np.cumsum(n) - n
+        all_ids = flat[_expanded(first[codes], n[codes])]
+        ends = np.concatenate(([0], np.cumsum(n[codes])))[offsets]
         for i in range(len(texts)):
-            yield self._encode([texts[i].as_py()])[0] if whole[i] else all_ids[ends[i]:ends[i + 1]].tobytes()
+            if whole[i]:
+                yield np.array(self._encode([texts[i].as_py()])[0], dtype="<u4").tobytes()
+            else:
+                yield all_ids[ends[i]:ends[i + 1]].tobytes()
+
+
+class Memo:
+    """Ids by word, up to a number of bytes: the words met first, the most frequent among them. It changes no result."""
+
+    def __init__(self, size: int = MEMO_BYTES):
+        self.found: dict[str, list[int]] = {}
+        self.left = size
+
+    def keep(self, word: str, ids: list[int]) -> None:
+        if len(word) <= MEMO_CHARS:
+            self.found[word] = ids
+            self.left -= ENTRY_BYTES + 4 * len(word) + 40 * len(ids)
+
+
+def _after(texts: pa.Array, n: pa.Array) -> pa.Array:
+    """Each text without its first ``n`` bytes, which end a character."""
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    n = n.to_numpy(zero_copy_only=False)
+    size = np.diff(at) - np.minimum(n, np.diff(at))
+    data = texts.buffers()[2]
+    kept = np.frombuffer(data, np.uint8)[_expanded(at[1:] - size, size)] if data else np.zeros(0, np.uint8)
+    ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(kept)])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
@@ -135,11 +168,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, separator: int
 
     @F.arrow_udf(PIECES)
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ids_of = _word_ids(tokenizer)
-        for batch in batches:
+        ids_of, memo = _word_ids(tokenizer), Memo()
+        for batch in given_back(batches):
             at, piece, start, length, crc = [0], [], [], [], []
             for part in slices(batch):
-                for ids in ids_of.ids(part):
+                for ids in ids_of.ids(part, memo):
                     ids += end
                     for k, i in enumerate(range(0, len(ids), step)):
                         own = ids[i:i + step]

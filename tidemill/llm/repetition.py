@@ -20,13 +20,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, free_name, per_text, ship, slices, split_words
+from tidemill.llm.words import col, free_name, given_back, per_text, ship, slices, split_words
 
 #: Production limits: repeats of at least MIN_REPEAT words count; they may cover MAX_COVERED
 #: of the words, and the longest may hold MAX_LONGEST of them. Both lie above what clean documents reach
 #: (sf0.1: at most 0.25 covered) and below the base rule, which fails from 0.5 covered on.
 MIN_REPEAT, MAX_COVERED, MAX_LONGEST = 10, 0.3, 0.15
 
+#: Text bytes that are sorted together; every doubling keeps an array of their words.
+SLICE_BYTES = 2 << 20
+
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, covered_words long,"
           " longest_repeat long, spans array<struct<start: long, stop: long>>, base_failed boolean, kept boolean")
 
@@ -145,8 +148,8 @@ def repetition(docs: DataFrame, text: str = "text", into: str = "repetition", mi
 
     @F.arrow_udf(SCHEMA)
     def rules(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            done = [measure(part, min_repeat, max_covered, max_longest) for part in slices(batch)]
+        for batch in given_back(batches):
+            done = [measure(part, min_repeat, max_covered, max_longest) for part in slices(batch, SLICE_BYTES)]
             yield pa.concat_arrays(done or [measure(pc.fill_null(batch, ""), min_repeat, max_covered, max_longest)])
 
     return docs.withColumn(into, rules(col(text).cast("string")))
