@@ -21,6 +21,7 @@ from tidemill.operators import sort as S
 from tidemill.operators.holidays import in_day_order, merge_holidays
 from tidemill.plans import flows
 from tidemill.session import fresh_path, spread, work_dir
+from tidemill.sinks import keyed as KT
 from tidemill.sinks import summary as SM
 from tidemill.sinks import tables as TB
 from tidemill.sinks import upsert as UP
@@ -641,6 +642,32 @@ def q_new_keys(spark, sf):
     return plan.where(F.col(UP.CHANGE) == "inserted").select("c_custkey")
 
 
+@query("upsert_keyed", ORACLE["upsert_rows"])
+def q_upsert_keyed(spark, sf):
+    """A keyed table: the second load compares digests and rewrites the buckets that change."""
+    target, source = _upsert_sides(spark, sf)
+    name = f"{fresh_database(spark)}.customer"
+    UP.upsert(target, name, "c_custkey", key_buckets=8)
+    UP.upsert(source, name, "c_custkey")
+    return KT.read(spark, name)
+
+
+@query("upsert_keyed_report", ORACLE["upsert_report"])
+def q_upsert_keyed_report(spark, sf):
+    target, source = _upsert_sides(spark, sf)
+    name = f"{fresh_database(spark)}.customer"
+    UP.upsert(target, name, "c_custkey", key_buckets=8)
+    report = UP.upsert(source, name, "c_custkey")
+    return spark.createDataFrame([report.as_row()[1:]], "inserted long, updated long, ignored long, retained long")
+
+
+@query("changed_keys_digest", ORACLE["changed_keys"])
+def q_changed_keys_digest(spark, sf):
+    """Changed rows from keys and digests alone."""
+    target, source = (KT.prepared(x, "c_custkey", 8) for x in _upsert_sides(spark, sf))
+    return KT.changes(target, source, "c_custkey").where(F.col(KT.CHANGE) == "updated").select("c_custkey")
+
+
 @query("upsert_dup_keys", """
 SELECT l_orderkey, count(*) AS copies FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1""")
 def q_upsert_dup_keys(spark, sf):
@@ -1042,24 +1069,27 @@ def q_null_report_nan(spark, sf):
 
 
 # ============================================================ flows end to end
-def _loads(spark, frame: DataFrame, key: str, first: F.Column, change: str, table_id: int, **layout) -> DataFrame:
-    """Two loads of a flow's frame: the rows of ``first`` with ``change`` blanked, then the whole frame.
+def _loads(spark, frame: DataFrame, key: str, first: F.Column, change: str, table_id: int, blank: F.Column | None = None,
+           **layout) -> DataFrame:
+    """Two loads of a flow's frame: the rows of ``first`` with ``change`` blanked where ``blank`` says (keys of odd length), then the whole frame.
 
     Returns the control rows: what the two loads did, and the summary's rows and columns.
     """
     db = fresh_database(spark)
     names = dict(summary_table=f"{db}.summary_tables", loads_table=f"{db}.summary_loads", as_of=AS_OF)
     kind = frame.schema[change].dataType
-    early = frame.where(first).withColumn(change, F.when(F.length(key) % 2 == 0, F.col(change)).otherwise(
-        F.lit(None).cast(kind)))
+    blank = F.length(key) % 2 == 1 if blank is None else blank
+    early = frame.where(first).withColumn(change, F.when(blank, F.lit(None).cast(kind)).otherwise(F.col(change)))
     for batch in (early, frame):
         flows.load(batch, f"{db}.loaded", table_id, key, **names, **layout)
     summary = spark.table(f"{db}.summary_tables").select("table_id", "rows", "columns")
     return spark.table(f"{db}.summary_loads").join(summary, "table_id")
 
 
-def _loads_sql(frame_sql: str, key: str, first: str, change: str, table_id: int, columns: int) -> str:
-    blanked = f'length("{key}") % 2 = 1 AND "{change}" IS NOT NULL'
+def _loads_sql(frame_sql: str, key: str, first: str, change: str, table_id: int, columns: int,
+               blank: str | None = None) -> str:
+    blank = blank or f'length("{key}") % 2 = 1'
+    blanked = f'{blank} AND "{change}" IS NOT NULL'
     return f"""
 WITH f AS ({frame_sql}), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE {first}) AS early,
   count(*) FILTER (WHERE ({first}) AND {blanked}) AS changed FROM f)
@@ -1088,10 +1118,21 @@ def q_flow_sales_loads(spark, sf):
     return _loads(spark, q_flow_sales(spark, sf), "sales_ID", F.col("o_totalprice") > 50000, "o_custkey", 3)
 
 
+@query("flow_deliveries_loads", _loads_sql(ORACLE["flow_deliveries"], "delivery_ID", "l_quantity > 10", "l_suppkey", 4,
+                                           2 + len(_LI_ORDER)))
+def q_flow_deliveries_loads(spark, sf):
+    return _loads(spark, q_flow_deliveries(spark, sf), "delivery_ID", F.col("l_quantity") > 10, "l_suppkey", 4, key_buckets=8)
+
+
+@query("flow_out_of_stock_loads", _loads_sql(ORACLE["flow_out_of_stock"], "oos_ID", "event_type <> 'error'", "user_id", 5, 5))
+def q_flow_out_of_stock_loads(spark, sf):
+    return _loads(spark, q_flow_out_of_stock(spark, sf), "oos_ID", F.col("event_type") != "error", "user_id", 5)
+
+
 @query("flow_calendar_loads", _loads_sql(ORACLE["flow_calendar"].replace("AS TIMESTAMP) AS \"Day\"", "AS TIMESTAMP) AS \"Day\", "
                                          "strftime(coalesce(cal.\"Day\", strptime(m.\"Day\", '%d-%m-%Y')), '%Y%m%d') AS \"Key\""),
-                                         "Key", '"Month" > 3', "Week_day_name", 6, 11))
+                                         "Key", '"Month" > 3', "Week_day_name", 6, 11, '"Month" % 2 = 0'))
 def q_flow_calendar_loads(spark, sf):
     frame = q_flow_calendar(spark, sf)
     frame = frame.select(F.date_format("Day", "yyyyMMdd").alias("Key"), *frame.columns)
-    return _loads(spark, frame, "Key", F.col("Month") > 3, "Week_day_name", 6)
+    return _loads(spark, frame, "Key", F.col("Month") > 3, "Week_day_name", 6, F.col("Month") % 2 == 0)

@@ -127,14 +127,15 @@ def calendar_dimension(holidays: DataFrame, *, start: str, end: str, day_col: st
 
 def load(df: DataFrame, table: str, table_id: int, key: str, *, summary_table: str,
          loads_table: str, as_of: dt.date, partition_by: list[str] | None = None,
-         buckets: int | None = None) -> UpsertReport:
+         buckets: int | None = None, key_buckets: int | None = None) -> UpsertReport:
     """Upsert into ``table`` and record the load in both control tables.
 
     Facts: ``partition_by`` the day, so a load rewrites only its days.
     Dimensions: ``buckets`` on the first load buckets the table by key, so
-    later loads shuffle only the incoming rows.
+    later loads shuffle only the incoming rows; ``key_buckets`` makes a keyed table, whose later
+    loads rewrite only the buckets that change.
     """
-    report = upsert(df, table, key, partition_by=partition_by, buckets=buckets)
+    report = upsert(df, table, key, partition_by=partition_by, buckets=buckets, key_buckets=key_buckets)
     spark = df.sparkSession
     record_table_summary(spark, summary_table, table_id, table, as_of)
     record_load(spark, loads_table, table_id, report, as_of)

@@ -97,6 +97,17 @@ def stage(df, label: str = "stage"):
     the later jobs scan columns with pruning and pushdown. The staged copy also
     cuts the lineage, so a lost executor never re-parses the source.
     """
+    return staged(df, label)[0]
+
+
+def staged(df, label: str = "stage"):
+    """:func:`stage`, and the folder, for :func:`discard` when no plan reads it any more."""
     path = fresh_path(df.sparkSession, label)
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder under :func:`work_dir`, or a table's own, on the file system it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

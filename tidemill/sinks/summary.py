@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.errors import InputError
+from tidemill.sinks import keyed
 from tidemill.sinks.tables import check_name, replace_table, table_exists, version_path
 from tidemill.sinks.upsert import UpsertReport
 
@@ -39,7 +40,7 @@ def table_stats(spark: SparkSession, table: str) -> tuple[int, int]:
     """(rows, columns) of a table; (0, 0) when it does not exist."""
     if not table_exists(spark, table):
         return 0, 0
-    t = spark.table(table)
+    t = keyed.read(spark, table)  # without the columns of a keyed table's layout
     return t.count(), len(t.columns)
 
 

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.errors import InputError, SchemaError, TableError
+from tidemill.session import discard, staged
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -139,20 +141,18 @@ def drop_old_versions(spark: SparkSession, table: str) -> list[str]:
     return old
 
 
-def overwrite_partitions(rows: DataFrame, table: str, mode: str) -> None:
-    """Overwrite partitions of ``table`` (``static``: all, ``dynamic``: those in ``rows``).
+def overwrite_partitions(rows: Callable[[SparkSession], DataFrame], spark: SparkSession, table: str, mode: str) -> None:
+    """Overwrite partitions of ``table`` (``static``: all, ``dynamic``: those in the rows) with ``rows(session)``.
 
     The mode is set in a session of this write alone, so loads in one session don't disturb each
-    other. ``rows`` must be stored outside the table.
+    other. Only a dynamic overwrite may read the table itself: new files lie apart until all tasks are done, then the
+    partitions are swapped.
     """
-    path = version_path(rows.sparkSession, f"{table}__stage")
-    rows.write.mode("error").parquet(path)
-    own = rows.sparkSession.newSession()
+    own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    columns = own.table(table).columns
-    own.read.schema(rows.schema).parquet(path).hint("rebalance", *partition_columns(own, table)).select(
-        *[F.col(f"`{c}`") for c in columns]).write.insertInto(table, overwrite=True)
-    rows.sparkSession.sql(f"REFRESH TABLE {table}")
+    rows(own).hint("rebalance", *partition_columns(own, table)).select(
+        *[F.col(f"`{c}`") for c in own.table(table).columns]).write.insertInto(table, overwrite=True)
+    spark.sql(f"REFRESH TABLE {table}")
 
 
 def create_table(df: DataFrame, table: str, partition_by: list[str] | None = None,
@@ -186,7 +186,9 @@ def replace_table(df: DataFrame, table: str) -> DataFrame:
         raise TableError(2, f"replace_table: columns {df.columns} differ from {target.columns}")
     typed = align(df, target, "replace_table")
     if partition_columns(spark, table):
-        overwrite_partitions(typed, table, "static")
+        stored, path = staged(typed, "replace")
+        overwrite_partitions(lambda own: own.read.schema(stored.schema).parquet(path), spark, table, "static")
+        discard(spark, path)
     else:
         switch_location(spark, table, write_version(typed, table, bucket_spec(spark, table)))
     return spark.table(table)

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from tidemill.errors import DuplicateKeyError, InputError, SchemaError
 from tidemill.operators._checks import ref, require_columns
-from tidemill.session import stage
+from tidemill.session import discard, staged
+from tidemill.sinks import keyed
 from tidemill.sinks.tables import (align, bucket_spec, check_name, overwrite_partitions, partition_columns, save_as,
                                    switch_location, table_exists, write_version)
 
@@ -106,25 +107,32 @@ def _observed(plan: DataFrame, name: str):
 
 
 def upsert(df: DataFrame, table: str, key: str | None = None,
-           partition_by: list[str] | None = None, buckets: int | None = None) -> UpsertReport:
+           partition_by: list[str] | None = None, buckets: int | None = None, key_buckets: int | None = None) -> UpsertReport:
     """Insert new keys, replace changed rows, keep the rest; report the counts.
 
     ``key`` defaults to the first column. Creates the table on first load;
     ``buckets`` (first load only) buckets it by the key, so later loads shuffle
     only the incoming rows. ``partition_by`` rewrites only the partitions the
-    source touches.
+    source touches. ``key_buckets`` (first load only) makes it a keyed table (:mod:`tidemill.sinks.keyed`): later loads
+    read the key and the digest of rows in their own buckets, and rewrite only buckets that change.
     """
     spark = df.sparkSession
     check_name(table)
     key = key or df.columns[0]
     require_columns(df, [key], "upsert")
-    if buckets and partition_by:
-        raise InputError(1, "upsert: choose buckets or partition_by, not both")
+    if sum(x is not None for x in (buckets, partition_by, key_buckets)) > 1:
+        raise InputError(1, "upsert: choose one of buckets, partition_by and key_buckets")
     rows, null_key = check_source(df, key)
+    if key_buckets is not None and not table_exists(spark, table):
+        keyed.create(df, table, key, key_buckets)
+        return UpsertReport(table, rows, 0, 0, 0)
     if not table_exists(spark, table):
         obs = Observation(f"first_{table}")
         save_as(df.observe(obs, F.count(F.lit(1)).alias("n")), table, partition_by, (buckets, [key]) if buckets else None)
         return UpsertReport(table, int(obs.get["n"]), 0, 0, 0)
+    if keyed.layout(spark, table):
+        counts = keyed.merge(df, table, key, rows)
+        return UpsertReport(table, *[counts[c] for c in CLASSES])
     target = spark.table(table)
     # an existing table's own layout decides how it is rewritten
     parts = partition_columns(spark, table)
@@ -180,16 +188,18 @@ def _upsert_partitions(spark: SparkSession, source: DataFrame, target: DataFrame
     keys = source.select(ref(key))
     now = target.select(*[ref(p) for p in parts], ref(key))
     now = now.join(keys, _same(now, keys, [key]), "left_semi").select(*[ref(p) for p in parts]).distinct()
-    touched = stage(source.select(*[ref(p) for p in parts]).union(now).distinct(), "touched")
+    touched, touched_at = staged(source.select(*[ref(p) for p in parts]).union(now).distinct(), "touched")
     old = _touched_partitions(target, touched, parts)
     plan, obs = _observed(merge_plan(old, source, key, null_key), f"upsert_{table}")
-    merged = stage(plan.drop(CHANGE), "merged")
+    merged, merged_at = staged(plan.drop(CHANGE), "merged")
     report = _report(table, obs.get, rows)
-    overwrite_partitions(merged, table, "dynamic")
+    overwrite_partitions(lambda own: own.read.schema(merged.schema).parquet(merged_at), spark, table, "dynamic")
     kept = merged.select(*[ref(p) for p in parts]).distinct()
     for gone in touched.join(kept, _same(touched, kept, parts), "left_anti").collect():
         spec = ", ".join(f"`{p}` = {_literal(gone[p])}" for p in parts)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    for place in (touched_at, merged_at):
+        discard(spark, place)
     return report
 
 
