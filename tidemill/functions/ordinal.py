@@ -11,8 +11,8 @@ the work. Here one plan serves all sizes:
 3. One aggregate gives the first place and the size of each partition's piece of a key, and a running sum over
    a key's pieces (one for each partition it spans) how many rows come before. A join adds that to the places.
 
-The stored rows aren't shuffled again where the table of pieces is small enough to broadcast, as Spark
-finds at run time (a few keys, whatever their size): they then keep contiguous ranges of ``(k, o)``, sorted
+The stored rows aren't shuffled again where the table of pieces, which is stored too, is under Spark's limit
+for broadcasts (a few keys, whatever their size): they then keep contiguous ranges of ``(k, o)``, sorted
 inside each partition. With very many keys it is joined by key and partition, and no key gathers more
 than a partition's rows.
 """
@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.session import work_dir
+from tidemill.session import stage, work_dir
 
 _PID, _KEY, _PLACE, _PIECE = "_tm_pid", "_tm_key", "_tm_place", "_tm_piece"
 
@@ -59,7 +59,7 @@ def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Seque
               .withColumn(_PLACE, F.monotonically_increasing_id()).checkpoint(eager=True))
     ranged = ranged.withColumn(_PID, F.shiftright(_PLACE, 33)).withColumn(
         _PLACE, F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)))
-    pieces = _pieces(ranged).withColumnRenamed(_KEY, _PIECE)
+    pieces = stage(_pieces(ranged).withColumnRenamed(_KEY, _PIECE), "pieces")  # stored, so that its size is known
     out = ranged.join(pieces, [F.col(_KEY).eqNullSafe(F.col(_PIECE)), ranged[_PID] == pieces[_PID]])
     return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name],
                       (F.col(_PLACE) + F.col("ahead")).cast("long").alias(name))
