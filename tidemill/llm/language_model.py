@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.words import col, ship, slices, split_words
-from tidemill.session import stage
+from tidemill.session import discard, stage, staged
 
 #: Contexts shown by ``Model.words``; words that may be broadcast; rounds of sampling, of which the first isn't averaged; sweeps a round.
 CONTEXTS, HEAVY, ROUNDS, BURN_IN, SWEEPS = 64, 20_000, 3, 1, 2
@@ -264,15 +264,20 @@ def fit(training: DataFrame, text: str = "text") -> Model:
 
     total, totals = Totals(size, float(found["cells"]), float(size), *discounts), []
     state = cells.where("n > 1").select("h", "ctx", "n", F.lit(1).cast("long").alias("t"), none.alias("ts"))
+    spark, places = training.sparkSession, []
     for sweep in range(ROUNDS * SWEEPS):
         sample = sweep >= BURN_IN * SWEEPS and sweep % SWEEPS == SWEEPS - 1
 
         def kept(df: DataFrame, **lists: str) -> DataFrame:
             return df.withColumns({k: F.concat(k, F.array(v)) for k, v in lists.items()}) if sample else df  # noqa: B023
 
-        state = stage(kept(_sweep(state, words, contexts, total, sweep), ts="t"), "lm-sweep")
-        contexts = stage(kept(_tables(contexts, state), tabs="tables"), "lm-contexts")
-        words = stage(kept(_parents(words, state, total, sweep), c1s="c1", t1s="t1"), "lm-vocabulary")
+        before = places
+        state, at_state = staged(kept(_sweep(state, words, contexts, total, sweep), ts="t"), "lm-sweep")
+        contexts, at_contexts = staged(kept(_tables(contexts, state), tabs="tables"), "lm-contexts")
+        words, at_words = staged(kept(_parents(words, state, total, sweep), c1s="c1", t1s="t1"), "lm-vocabulary")
+        places = [at_state, at_contexts, at_words]
+        for place in before:  # no table reads the sweep before any more
+            discard(spark, place)
         now = words.agg(F.sum("c1").alias("tables"), F.sum("t1").alias("words")).first()
         total = Totals(size, float(now["tables"] or 0), float(now["words"] or 0), *discounts)
         totals += [total] * sample
@@ -284,6 +289,8 @@ def fit(training: DataFrame, text: str = "text") -> Model:
     weight = F.transform("tabs", lambda t: (STRENGTH + discounts[0] * t) / (STRENGTH + F.col("customers")))
     vocabulary = stage(words.select("h", "c", "heavy", parent.alias("parent")), "lm-parents")
     contexts = stage(contexts.select("ctx", "customers", "heavy", weight.alias("weight")), "lm-weights")
+    for place in places[1:]:  # the last cells are read by the model
+        discard(spark, place)
     return Model(seated, vocabulary, contexts, totals, n, size)
 
 
