@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.text import LIST_SEPARATOR
 from tidemill.operators import columns as C
+from tidemill.operators import hot_keys as HK
 from tidemill.operators import quality as Q
 from tidemill.operators import relational as R
 from tidemill.operators import sort as S
@@ -454,6 +455,51 @@ def q_join_full(spark, sf):
     return R.join_tables("nationkey", "FULL", *_join_sides(spark, sf))
 
 
+def _unknown_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Orders by customer, where finished orders (about half) lost theirs, and customers with one more row for unknown ones.
+
+    So one null key holds about half of the orders and has one partner; many customers have no order left.
+    """
+    left = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")).alias("custkey"), "o_orderkey", "o_totalprice")
+    right = table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_nationkey")
+    unknown = right.agg(F.max("c_name")).select(F.lit(None).cast("long").alias("custkey"), F.lit("unknown").alias("c_name"),
+                                                F.lit(None).cast(right.schema["c_nationkey"].dataType).alias("c_nationkey"))
+    return left, right.unionByName(unknown)
+
+
+UNKNOWN_SQL = """
+WITH l AS (SELECT CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS custkey, o_orderkey, o_totalprice FROM orders),
+r AS (SELECT c_custkey AS custkey, c_name, c_nationkey FROM customer UNION ALL SELECT NULL, 'unknown', NULL)"""
+
+
+@query("join_full_hot", UNKNOWN_SQL + """
+SELECT coalesce(l.custkey, r.custkey) AS custkey, o_orderkey, o_totalprice, c_name, c_nationkey
+FROM l FULL JOIN r ON l.custkey IS NOT DISTINCT FROM r.custkey""")
+def q_join_full_hot(spark, sf):
+    return R.join_tables("custkey", "FULL", *_unknown_sides(spark, sf), hot_rows=500)
+
+
+@query("join_full_hot_lonely", UNKNOWN_SQL + """
+SELECT coalesce(l.custkey, r.custkey) AS custkey, o_orderkey, o_totalprice, c_name, c_nationkey
+FROM l FULL JOIN (SELECT * FROM r WHERE custkey IS NOT NULL) r ON l.custkey = r.custkey""")
+def q_join_full_hot_lonely(spark, sf):
+    """The hot key has no partner."""
+    left, right = _unknown_sides(spark, sf)
+    return R.join_tables("custkey", "FULL", left, right.where("custkey is not null"), hot_rows=500)
+
+
+@query("join_hot_keys", UNKNOWN_SQL + """,
+k AS (SELECT custkey, 1 AS a, 0 AS b FROM l UNION ALL SELECT custkey, 0, 1 FROM r),
+c AS (SELECT custkey, CAST(sum(a) AS BIGINT) AS n_left, CAST(sum(b) AS BIGINT) AS n_right FROM k GROUP BY custkey),
+t AS (SELECT greatest(500, CAST(sum(n_left + n_right) AS BIGINT) // 1000) AS least FROM c)
+SELECT custkey AS key, n_left, n_right, n_left * n_right AS pairs,
+       CAST(ceil(greatest(n_left, n_right) / least) AS INTEGER) AS salts FROM c, t WHERE n_left + n_right > least""")
+def q_join_hot_keys(spark, sf):
+    """What a FULL join makes of its hot keys, known before it runs."""
+    return HK.hot_keys("custkey", *_unknown_sides(spark, sf), hot_rows=500)
+
+
 # ============================================================ aggregation
 @query("group_by_all", """
 WITH o AS (SELECT o_custkey, o_totalprice, o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS o_year,
