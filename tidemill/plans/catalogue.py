@@ -22,6 +22,7 @@ from tidemill.operators import sort as S
 from tidemill.operators.holidays import in_day_order, merge_holidays
 from tidemill.plans import flows
 from tidemill.session import fresh_path, spread, work_dir
+from tidemill.sinks import dictionary as DC
 from tidemill.sinks import keyed as KT
 from tidemill.sinks import summary as SM
 from tidemill.sinks import tables as TB
@@ -265,6 +266,27 @@ def q_category_mapping(spark, sf):
     return C.category_mapping(table(spark, sf, "part"), "p_type", ["p_partkey"])
 
 
+@query("cat_to_num_grows", """
+WITH f AS (SELECT p_type, min(p_partkey) AS k FROM part GROUP BY p_type),
+r AS (SELECT p_type, CAST(row_number() OVER (ORDER BY p_type <= 'M', k) AS BIGINT) AS code FROM f)
+SELECT p.p_partkey, p.p_type, r.code AS p_type_num FROM part p JOIN r USING (p_type)""")
+def q_cat_to_num_grows(spark, sf):
+    """Two loads with one dictionary: the first brings the types beyond M, the second all of them."""
+    p = table(spark, sf, "part").select("p_partkey", "p_type")
+    codes = f"{fresh_database(spark)}.part_types"
+    DC.grow(p.where(F.col("p_type") > "M"), "p_type", codes, ["p_partkey"])
+    return DC.coded(p, "p_type", codes, ["p_partkey"])
+
+
+@query("cat_unknown_values", """
+SELECT p_type AS value, count(*) AS rows FROM part WHERE p_type <= 'M' GROUP BY p_type""")
+def q_cat_unknown_values(spark, sf):
+    """What a dictionary of an earlier load lacks."""
+    p = table(spark, sf, "part").select("p_partkey", "p_type")
+    codes = DC.grow(p.where(F.col("p_type") > "M"), "p_type", f"{fresh_database(spark)}.part_types", ["p_partkey"])
+    return DC.unknown_values(p, "p_type", codes)
+
+
 PRIORITY_CODES = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "5-LOW": 5}
 
 
