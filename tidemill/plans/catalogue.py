@@ -21,6 +21,8 @@ from tidemill.operators import relational as R
 from tidemill.operators import sort as S
 from tidemill.operators.holidays import in_day_order, merge_holidays
 from tidemill.plans import flows
+from tidemill.plans import runner as RN
+from tidemill.plans import settings as ST
 from tidemill.session import fresh_path, spread, work_dir
 from tidemill.sinks import dictionary as DC
 from tidemill.sinks import keyed as KT
@@ -858,7 +860,7 @@ OUTLET_TYPES = {"Affiliated_Code": "str", "Affiliated_Name": "str", "Location":
                 "provinciaid": "int", "provincia": "str"}
 
 
-def outlets_flow(spark, sf) -> DataFrame:
+def _outlet_sources(spark, sf) -> tuple[DataFrame, DataFrame]:
     c = table(spark, sf, "customer")
     band = (F.when(F.col("c_acctbal") < 0, F.lit("<0")).when(F.col("c_acctbal") < 5000, F.lit("0-5000"))
             .otherwise(F.lit(">5000")))
@@ -870,6 +872,11 @@ def outlets_flow(spark, sf) -> DataFrame:
                          F.when(F.col("s_acctbal") >= 0, F.col("s_name")).alias("poblacion"),
                          F.col("s_suppkey").alias("provinciaid"),
                          F.concat(F.lit("P"), F.col("s_nationkey").cast("string")).alias("provincia"))
+    return outlets, postcodes
+
+
+def outlets_flow(spark, sf) -> DataFrame:
+    outlets, postcodes = _outlet_sources(spark, sf)
     return flows.outlets_dimension(
         outlets, postcodes, rename={"Affiliated_NAME": "Affiliated_Name", "POSTALCODE": "cp"},
         postcode_key="cp", postcode_aggs={"poblacion": "FIRST", "provinciaid": "FIRST", "provincia": "FIRST"},
@@ -907,11 +914,14 @@ SELECT CASE WHEN row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1
 FROM part"""
 
 
+def _product_source(spark, sf) -> DataFrame:
+    return table(spark, sf, "part").select(F.col("p_name").alias("Product_Code"), F.col("p_size").alias("SIZE"),
+                                           F.col("p_brand").alias("Format"), "p_partkey")
+
+
 @query("flow_products", ORACLE_PRODUCTS)
 def q_flow_products(spark, sf):
-    p = table(spark, sf, "part").select(F.col("p_name").alias("Product_Code"), F.col("p_size").alias("SIZE"),
-                                        F.col("p_brand").alias("Format"), "p_partkey")
-    return flows.products_dimension(p, key="Product_Code", order_by=["p_partkey"],
+    return flows.products_dimension(_product_source(spark, sf), key="Product_Code", order_by=["p_partkey"],
                                     expected_types={"Product_Code": "str", "SIZE": "int", "Format": "str",
                                                     "p_partkey": "int"})
 
@@ -963,14 +973,20 @@ SELECT CAST(coalesce(cal."Day", strptime(m."Day", '%d-%m-%Y')) AS TIMESTAMP) AS
        m."Name", m."Type", m."Region", m."Comments"
 FROM cal FULL JOIN merged m ON cal."Day" = CAST(strptime(m."Day", '%d-%m-%Y') AS DATE)""")
 def q_flow_calendar(spark, sf):
+    start, end = _event_years(spark, sf)
+    return flows.calendar_dimension(_holiday_source(spark, sf), start=start, end=end, expected_types=CALENDAR_TYPES)
+
+
+def _holiday_source(spark, sf) -> DataFrame:
+    """The holiday file, which has one object per line and day."""
     path = fresh_path(spark, "holidays")
-    merged = merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"])
-    # the holiday file has one object per line and day
-    write_json(in_day_order(merged), path)
-    holidays = extract_json(spark, path, HOLIDAY_JSON_TYPES, multi_line=False)
+    write_json(in_day_order(merge_holidays(_holiday_entries(spark, sf), order_by=["ts", "event_id"])), path)
+    return extract_json(spark, path, HOLIDAY_JSON_TYPES, multi_line=False)
+
+
+def _event_years(spark, sf) -> tuple[str, str]:
     years = table(spark, sf, "events").agg(F.min(F.year("ts")).alias("a"), F.max(F.year("ts")).alias("b")).first()
-    return flows.calendar_dimension(holidays, start=f"01-01-{years['a']}", end=f"31-12-{years['b']}",
-                                    expected_types=CALENDAR_TYPES)
+    return f"01-01-{years['a']}", f"31-12-{years['b']}"
 
 
 
@@ -1204,3 +1220,40 @@ def q_flow_calendar_loads(spark, sf):
     frame = q_flow_calendar(spark, sf)
     frame = frame.select(F.date_format("Day", "yyyyMMdd").alias("Key"), *frame.columns)
     return _loads(spark, frame, "Key", F.col("Month") > 3, "Week_day_name", 6, F.col("Month") % 2 == 0)
+
+
+# ============================================================ all flows from settings
+_RUN_ORACLES = [(1, ORACLE_OUTLETS, 10), (2, ORACLE_PRODUCTS, 4), (3, ORACLE["flow_sales"], 5),
+                (4, ORACLE["flow_deliveries"], 2 + len(_LI_ORDER)), (5, ORACLE["flow_out_of_stock"], 5), (6, ORACLE["flow_calendar"], 10)]
+
+
+@query("flow_run_settings", " UNION ALL ".join(f"""
+SELECT '{AS_OF:%Y%m%d}-{i}' AS load_id, CAST({i} AS INTEGER) AS table_id, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+       CAST(0 AS BIGINT) AS rows_ignored, DATE '{AS_OF.isoformat()}' AS updated_at, count(*) AS rows, CAST({n} AS INTEGER) AS columns
+FROM ({sql}) AS f""" for i, sql, n in _RUN_ORACLES))
+def q_flow_run_settings(spark, sf):
+    """The whole run of six flows from settings, begun twice under one id: the second time finds all flows finished."""
+    db = fresh_database(spark)
+    start, end = _event_years(spark, sf)
+    settings = {
+        "outlets": ST.OutletSettings(
+            rename={"Affiliated_NAME": "Affiliated_Name", "POSTALCODE": "cp"}, size_codes=SIZE_CODES, expected_types=OUTLET_TYPES,
+            postcode_aggs={"poblacion": "FIRST", "provinciaid": "FIRST", "provincia": "FIRST"},
+            order_by=["Affiliated_Code"], postcode_order=["provinciaid"]),
+        "products": ST.ProductSettings(order_by=["p_partkey"], expected_types={"Product_Code": "str", "SIZE": "int",
+                                                                               "Format": "str", "p_partkey": "int"}),
+        "sales": ST.FactSettings("sales_day", 3, "sales_ID", "Sales_DAY", order_by=["o_orderkey"]),
+        "deliveries": ST.FactSettings("delivery_day", 4, "delivery_ID", "Delivery_DAY", order_by=_LI_ORDER),
+        "out_of_stock": ST.FactSettings("oos_day", 5, "oos_ID", "OoS_DAY", order_by=["event_id"]),
+        "calendar": ST.CalendarSettings(start=start, end=end, expected_types=CALENDAR_TYPES)}
+    orders = table(spark, sf, "orders").select(ymd("o_orderdate").cast("long").alias("Sales_DAY"), "o_orderkey", "o_custkey", "o_totalprice")
+    lines = table(spark, sf, "lineitem").select(ymd("l_shipdate").cast("long").alias("Delivery_DAY"), *_LI_ORDER)
+    events = table(spark, sf, "events").select(ymd("ts").cast("long").alias("OoS_DAY"), "event_id", "user_id", "event_type")
+    outlets, postcodes = _outlet_sources(spark, sf)
+    sources = {"outlets": {"outlets": outlets, "postcodes": postcodes}, "products": {"products": _product_source(spark, sf)},
+               "sales": {"facts": orders}, "deliveries": {"facts": lines}, "out_of_stock": {"facts": events},
+               "calendar": {"holidays": lambda: _holiday_source(spark, sf)}}
+    for _ in range(2):
+        RN.run_all(spark, settings, sources, database=db, as_of=AS_OF, run_id=db, layouts={"deliveries": {"key_buckets": 8}})
+    summary = spark.table(f"{db}.summary_tables").select("table_id", "rows", "columns")
+    return spark.table(f"{db}.summary_loads").join(summary, "table_id")

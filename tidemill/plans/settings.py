@@ -18,6 +18,11 @@ class OutletSettings:
     size_col: str = "Tam_m2"
     size_codes: dict = field(default_factory=dict)
     expected_types: dict = field(default_factory=dict)
+    source_path: str = ""       # CSV files, for runs that get no frames
+    postcode_path: str = ""
+    delimiter: str = ";"
+    order_by: list = field(default_factory=list)        # row order; empty: that of the files
+    postcode_order: list = field(default_factory=list)
 
 
 @dataclass(frozen=True)
@@ -26,6 +31,9 @@ class ProductSettings:
     table_id: int = 2
     key: str = "Product_Code"
     expected_types: dict = field(default_factory=dict)
+    source_path: str = ""
+    delimiter: str = ";"
+    order_by: list = field(default_factory=list)
 
 
 @dataclass(frozen=True)
@@ -35,6 +43,9 @@ class FactSettings:
     key: str            # new surrogate key column, e.g. sales_ID
     day_col: str        # YYYYMMDD day column, e.g. Sales_DAY
     date_format: str = "YYYYMMDD"
+    source_path: str = ""
+    delimiter: str = ";"
+    order_by: list = field(default_factory=list)
 
 
 @dataclass(frozen=True)

@@ -111,3 +111,15 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder under :func:`work_dir`, or a table's own, on the file system it is on."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` came to its end."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def run_root(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which a later session finds again (:func:`work_dir` is a session's own in it);
+    where it is unset, :func:`work_dir`."""
+    return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or work_dir(spark)).rstrip("/")
