@@ -35,6 +35,7 @@ from tidemill.sources.calendar import create_calendar
 from tidemill.sources.csv import extract_csv, with_row_order, write_csv
 from tidemill.sources.html import holiday_rows
 from tidemill.sources.json import extract_json
+from tidemill.sources.json_variant import extract_json_variant
 from tidemill.streaming import latest_per_key, upsert_stream
 
 QUERIES: dict = {}
@@ -104,6 +105,28 @@ def q_json_list_join(spark, sf):
     return extract_json(spark, path, {"user_id": "int", "types": "str"}, multi_line=False)
 
 
+@query("json_variant_flatten", f"""
+SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'O{LIST_SEPARATOR}open' END AS "info.status",
+       CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS "info.price.total",
+       CASE WHEN o_orderstatus = 'O' THEN 'EUR' END AS "info.price.currency",
+       CASE WHEN o_orderstatus = 'P' THEN true END AS pending FROM orders""")
+def q_json_variant_flatten(spark, sf):
+    """Records of three nested shapes: a field that is text, a list or null, an object that some lack, numbers as text."""
+    path = fresh_path(spark, "json")
+    o, key, total = table(spark, sf, "orders"), F.col("o_orderkey"), F.col("o_totalprice")
+    done = F.struct(key.alias("id"), F.struct(F.lit("F").alias("status"), F.struct(total.alias("total")).alias("price")).alias("info"))
+    price = F.struct(total.cast("string").alias("total"), F.lit("EUR").alias("currency"))
+    open_ = F.struct(key.cast("string").alias("id"), F.struct(
+        F.array(F.lit("O"), F.lit("open")).alias("status"), price.alias("price")).alias("info"))
+    pending = F.struct(key.alias("id"), F.struct(F.lit(None).cast("string").alias("status")).alias("info"), F.lit(True).alias("pending"))
+    keep = {"ignoreNullFields": "false"}
+    status = F.col("o_orderstatus")
+    o.select(F.when(status == "F", F.to_json(done, keep)).when(status == "O", F.to_json(open_, keep)).otherwise(
+        F.to_json(pending, keep)).alias("value")).write.text(path)
+    return extract_json_variant(spark, path, {"id": "int", "info.status": "str", "info.price.total": "float",
+                                              "info.price.currency": "str", "pending": "bool"})
+
+
 @query("json_digits_date", """
 SELECT o_orderkey, strftime(o_orderdate, '%d%m%Y') AS day FROM orders""")
 def q_json_digits_date(spark, sf):
