@@ -1,19 +1,20 @@
 """Load metadata: per-table summaries and a per-load log.
 
-Each control table is small (one row per table, one per load) and is updated
-through the same versioned rewrite as data tables.
+Each control table is small (one row per table, one per load). Several loads may record themselves
+at once (:mod:`tidemill.sinks.claims`): none loses another's row, and no two get one load id.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.errors import InputError
-from tidemill.sinks import keyed
-from tidemill.sinks.tables import check_name, replace_table, table_exists, version_path
+from tidemill.sinks import claims, keyed
+from tidemill.sinks.tables import check_name, table_exists, version_path
 from tidemill.sinks.upsert import UpsertReport
 
 SUMMARY_TABLES = ("table_id int, table_name string, rows long, columns int, last_updated date")
@@ -24,16 +25,25 @@ TABLES_SUMMARY = ("table_id int, table_name string, rows long, flow_name string,
 
 def _ensure(spark: SparkSession, table: str, schema: str) -> DataFrame:
     if not table_exists(spark, table):
-        spark.createDataFrame([], schema).write.format("parquet") \
-            .option("path", version_path(spark, table)).saveAsTable(table)
+        try:
+            spark.createDataFrame([], schema).write.format("parquet") \
+                .option("path", version_path(spark, table)).saveAsTable(table)
+        except AnalysisException:
+            if not table_exists(spark, table):  # else another load was faster
+                raise
+    spark.sql(f"REFRESH TABLE {table}")
     return spark.table(table)
 
 
 def _replace_by(spark: SparkSession, table: str, schema: str, key: str, new_rows: DataFrame) -> DataFrame:
     """Delete rows whose ``key`` is in ``new_rows``, then add ``new_rows``."""
-    current = _ensure(spark, table, schema)
-    kept = current.join(new_rows.select(key), current[key].eqNullSafe(new_rows[key]), "left_anti")
-    return replace_table(kept.unionByName(new_rows.select(*current.columns)), table)
+    _ensure(spark, table, schema)
+
+    def replaced(current: DataFrame) -> DataFrame:
+        kept = current.join(new_rows.select(key), current[key].eqNullSafe(new_rows[key]), "left_anti")
+        return kept.unionByName(new_rows.select(*current.columns))
+
+    return claims.replace_rows(spark, table, replaced)
 
 
 def table_stats(spark: SparkSession, table: str) -> tuple[int, int]:
@@ -68,14 +78,15 @@ def next_load_id(loads: DataFrame, as_of: dt.date) -> DataFrame:
 
 def record_load(spark: SparkSession, control: str, table_id: int, report: UpsertReport,
                 as_of: dt.date) -> DataFrame:
-    """Append one ``summary_loads`` row for an upsert report."""
+    """Append one ``summary_loads`` row for an upsert report, under a load id that no other load has."""
     if not isinstance(table_id, int) or isinstance(table_id, bool):
         raise InputError(1, "record_load: table_id must be an integer")
     current = _ensure(spark, control, SUMMARY_LOADS)
-    load_id = next_load_id(current, as_of).first()["load_id"]
+    day, n = next_load_id(current, as_of).first()["load_id"].split("-")
+    load_id = claims.claimed_id(spark, control, f"{day}-", int(n))
     new = spark.createDataFrame([(load_id, table_id, report.inserted, report.updated,
                                   report.ignored, as_of)], SUMMARY_LOADS)
-    new.write.insertInto(control)
+    claims.append_rows(new, control)
     return spark.table(control)
 
 

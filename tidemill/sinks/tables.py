@@ -44,6 +44,16 @@ def _versions(spark: SparkSession, table: str) -> str:
     return f"{place.rstrip('/')}/{name}.versions"
 
 
+def versions_of(spark: SparkSession, table: str) -> str:
+    """The folder of a table's versions."""
+    return _versions(spark, table)
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """The folder that the table points at now."""
+    return {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {check_name(table)}").collect()}["Location"]
+
+
 def version_path(spark: SparkSession, table: str) -> str:
     return f"{_versions(spark, table)}/v-{uuid.uuid4().hex[:12]}"
 
@@ -130,7 +140,7 @@ def write_version(df: DataFrame, table: str, buckets: tuple[int, list[str]] | No
 
 def drop_old_versions(spark: SparkSession, table: str) -> list[str]:
     """Delete the version folders that ``table`` doesn't point at; return them. No reader may use them any more."""
-    current = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {check_name(table)}").collect()}["Location"]
+    current = location(spark, table)
     folder = spark._jvm.org.apache.hadoop.fs.Path(_versions(spark, table))
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     old = []
