@@ -11,9 +11,10 @@
 4. Members of lists that are still in several parts are compared on their whole sets: each
    set's rarest fifth (which two similar sets can't both miss) goes to lists again, and members
    of different parts meet if a shared value's places in both sets, and the common values
-   among the ``FRONT`` rarest, leave room for the similarity: first with one head of each list,
-   then all pairs of the parts that are left. Pairs in one part need no test, as only components are asked for; no other
-   pair is left out.
+   among the rarest, leave room for the similarity: first with one head of each list, then all
+   pairs of the parts that are left. There the bound is exact for sets of up to ``SHARP`` values, so
+   that only pairs that are links get written. Pairs in one part need no test, as only components
+   are asked for; no other pair is left out.
 5. Pairs that pass the length bound and the union-sketch estimate are confirmed by the exact
    similarity of their whole sets of shingles (as word sequences, not hashes).
 6. Components by repeated least-label steps with pointer jumping, each written to the shared
@@ -38,8 +39,9 @@ from tidemill.session import stage
 #: With 32 values and similarity 0.8, fewer than 12 are shared with a chance of 2 in 10^8.
 SKETCH, SHARED = 32, 12
 
-#: So many of a set's rarest values go along with it to bound what two sets can share.
-FRONT = 64
+#: So many of a set's rarest values go along with it to bound what two sets can share: with one head of each
+#: list, and with all pairs of parts. Sets of up to ``SHARP`` values go along whole, so that the bound is exact.
+FRONT, SHARP = 64, 512
 
 #: Odd multipliers of the shingle hash (splitmix64's constants).
 MIX = [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93]
@@ -198,6 +200,11 @@ def _split(met: DataFrame, links: DataFrame | None) -> DataFrame:
     return rows.join(several.select("value"), "value")
 
 
+def _up_to(places):
+    """Those of ``most``, a set's common values from the place ``alone`` on, that stand in its first ``places``."""
+    return F.slice("most", F.lit(1), F.greatest(F.lit(0), places - F.col("alone")).cast("int"))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80,
                     k: int = SKETCH, shared: int = SHARED) -> DataFrame:
     """``id, n_shingles, component_id, kept, text_key, chosen`` for each row of ``docs``.
@@ -269,19 +276,23 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
                                                           F.explode("set").alias("value"))
     whole = stage(whole, "near-sets")
     held = whole.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    by_node = Window.partitionBy("node")
-    ranked = whole.join(held, "value").select("*", F.row_number().over(by_node.orderBy("held", "value")).alias("nth"),
-                                              F.count(F.lit(1)).over(by_node).alias("n_common"))
-    # the values that no other set holds come first: places are from 0 in the whole set
-    place = F.col("n") - F.col("n_common") + F.col("nth") - 1
-    needed = F.col("n") - F.ceil(F.col("n") * percent / 100)  # the last place of the prefix
-    front = F.least(F.lit(FRONT), needed + 1).alias("front")
-    prefix = ranked.select("value", "held", "node", "part", "n", place.alias("place"), front).where(F.col("place") <= needed)
-    ahead = F.col("place") < F.col("front")
-    in_front = F.array_sort(F.collect_list(F.when(ahead, F.struct("held", "value"))).over(by_node))
-    prefix = prefix.withColumn("in_front", in_front).withColumn("last", F.try_element_at("in_front", F.lit(-1)))
-    prefix = prefix.withColumn("rare", F.col("in_front.value")).drop("held", "in_front")
-    prefix = stage(prefix, "near-prefix")
+    # the values that no other set holds come first, in places from 0 to ``alone``, then the others, rarest first
+    fronts = whole.join(held, "value").groupBy("node", "part", "n").agg(
+        F.array_sort(F.collect_list(F.struct("held", "value"))).alias("most"))
+    needed = (F.col("n") - F.ceil(F.col("n") * percent / 100)).cast("int")  # the last place of the prefix
+    fronts = fronts.withColumn("alone", F.col("n") - F.size("most"))
+    fronts = stage(fronts.withColumn("most", _up_to(F.greatest(needed + 1, F.lit(SHARP)))), "near-fronts")
+
+    def front(places: int) -> list:
+        size = F.least(F.lit(places), F.col("n"))
+        rarest = _up_to(size)
+        return [size.alias("front"), rarest.getField("value").alias("rare"),
+                F.try_element_at(rarest, F.lit(-1)).alias("last")]
+
+    prefix = fronts.select("node", "part", "n", "alone", *front(FRONT),
+                           F.posexplode(_up_to(needed + 1)).alias("nth", "common"))
+    prefix = stage(prefix.withColumn("value", F.col("common.value")).withColumn(
+        "place", F.col("alone") + F.col("nth")).drop("alone", "nth", "common"), "near-prefix")
 
     def sides_of(rows: DataFrame) -> list[DataFrame]:
         return [rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab"]
@@ -306,11 +317,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     prefix = prefix.drop("part").join(components(links).withColumnRenamed("component", "part"), "node", "left")
     prefix = stage(prefix.withColumn("part", F.coalesce("part", "node")), "near-prefix")
 
-    # then all pairs of different parts; each has a member outside the list's largest part
+    # then all pairs of different parts; each has a member outside the list's largest part. They are made with
+    # so much of both sets that those of up to SHARP values are decided before a pair is written
     parts = prefix.groupBy("value", "part").agg(F.count(F.lit(1)).alias("held"))
     split = parts.groupBy("value").agg(F.max_by("part", F.struct("held", "part")).alias("largest"),
                                        F.count(F.lit(1)).alias("n_parts")).where("n_parts > 1")
-    one, two = sides_of(prefix.join(split.select("value", "largest"), "value"))
+    open_lists = prefix.drop("front", "rare", "last").join(split.select("value", "largest"), "value")
+    one, two = sides_of(open_lists.join(fronts.select("node", *front(SHARP)), "node"))
     pairs = one.where("part_a <> largest_a").join(
         two, meet & ((F.col("node_a") < F.col("node_b")) | (F.col("part_b") == F.col("largest_b")))
         & F.coalesce(F.try_element_at(both, F.lit(1)) == F.col("value_a"), F.lit(True)))  # where they meet first
