@@ -79,6 +79,27 @@ def test_near_duplicates(spark, seed):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter({c for _, _, c in linked(rows)})
 
 
+def test_near_duplicates_of_long_texts(spark, monkeypatch):
+    """Sets below, at and above the size up to which they go along whole, edited to around the limit."""
+    monkeypatch.setattr(neardup, "FRONT", 16)
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(6))
+    texts = []
+    for n in (neardup.SHARP - 20, neardup.SHARP + 3, 2 * neardup.SHARP + 100):
+        base = [word() for _ in range(n)]
+        for _ in range(12):
+            copy = list(base)
+            for at in rng.sample(range(n), n * rng.choice([1, 2, 3, 4]) // 100):
+                copy[at] = word()
+            texts.append(" ".join(copy))
+    texts += [" ".join(word() for _ in range(20_000))] * 2
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = neardup.near_duplicates(df).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == linked(rows)
+    assert 3 < len({r["component_id"] for r in out}) < len(rows) - 1
+
+
 def test_near_duplicates_without_ids_and_rows(spark):
     rows = [(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (None, "x"), (None, "x"), (None, "y"), (1, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
