@@ -69,6 +69,31 @@ def test_the_target_gives_key_and_digest_alone(spark, db):
     assert "ReadSchema: struct<id:bigint,_tm_digest:binary>" in read
 
 
+def test_digests_are_made_after_the_shuffles(spark, db):
+    """A digest doesn't compress: no shuffle of a load carries whole rows with it, and a merge deals its rows once."""
+    t = f"{db}.lean"
+    UP.upsert(frame(spark, [(i, f"n{i}", 0.5) for i in range(50)] + [(None, "z", -0.0)]), t, "id", key_buckets=4)
+    assert {r[0] for r in spark.table(t).select(F.length(keyed.DIGEST)).collect()} == {keyed.KEPT_BYTES}
+    load = keyed.prepared(frame(spark, [(1, "new", 0.5), (None, "z", 0.0), (99, "in", 1.0)]), "id", 4).drop(keyed.DIGEST)
+    merged = keyed._merged(spark.table(t), load, "id", 3)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    dealt = plan[plan.index("Exchange"):]
+    assert plan.count("Exchange") == 1 and "to_json" not in dealt and keyed.DIGEST not in dealt
+    got = {r["id"]: (r["name"], str(r["v"])) for r in merged.collect()}
+    assert len(got) == 52 and got[1] == ("new", "0.5") and got[99] == ("in", "1.0") and got[None] == ("z", "-0.0")
+    digests = merged.select("id", F.col(keyed.DIGEST).alias("d")).join(
+        keyed.prepared(merged.drop(keyed.DIGEST, keyed.BUCKET), "id", 4), "id").where(F.col("d") != F.col(keyed.DIGEST))
+    assert digests.count() == 0
+
+
+def test_tables_with_whole_digests_are_understood(spark, db):
+    rows = [(i, "a", 1.0) for i in range(5)]
+    target = keyed.prepared(frame(spark, rows), "id", 2)
+    whole = target.withColumn(keyed.DIGEST, keyed.row_digest(target.drop(keyed.DIGEST, keyed.BUCKET)))
+    found = keyed.changes(whole, keyed.prepared(frame(spark, rows[:3] + [(4, "b", 1.0), (9, "a", 1.0)]), "id", 2), "id")
+    assert {r["id"]: r["change"] for r in found.collect()} == {0: "ignored", 1: "ignored", 2: "ignored", 4: "updated", 9: "inserted"}
+
+
 def test_digests_tell_rows_apart(spark):
     rows = [(None, "a", 1.0), (1, None, 1.0), (1, "a", None), (1, "a", 1.0), (1, "a", float("nan")), (1, "", 1.0), (11, "", 1.0), (1, "1", 1.0)]
     digests = [r[0] for r in frame(spark, rows).select(keyed.row_digest(frame(spark, rows))).collect()]

@@ -104,8 +104,8 @@ def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None
 
 
 def save_as(df: DataFrame, table: str, partition_by: list[str] | None = None,
-            buckets: tuple[int, list[str]] | None = None) -> str:
-    """Write ``df`` as a new table in a version folder; return the folder.
+            buckets: tuple[int, list[str]] | None = None, last: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """Write ``df`` as a new table in a version folder; return the folder. ``last`` adds columns to rows that are dealt out.
 
     About one file for each partition or bucket: the ``rebalance`` hint lets AQE split a hot
     partition over several tasks; buckets are dealt out by their own hash.
@@ -115,6 +115,8 @@ def save_as(df: DataFrame, table: str, partition_by: list[str] | None = None,
         df = df.hint("rebalance", *partition_by)
     elif buckets:
         df = df.repartition(buckets[0], *[F.col(f"`{c}`") for c in buckets[1]])
+    if last:
+        df = last(df)
     writer = df.write.format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -151,17 +153,18 @@ def drop_old_versions(spark: SparkSession, table: str) -> list[str]:
     return old
 
 
-def overwrite_partitions(rows: Callable[[SparkSession], DataFrame], spark: SparkSession, table: str, mode: str) -> None:
+def overwrite_partitions(rows: Callable[[SparkSession], DataFrame], spark: SparkSession, table: str, mode: str,
+                         dealt: bool = False) -> None:
     """Overwrite partitions of ``table`` (``static``: all, ``dynamic``: those in the rows) with ``rows(session)``.
 
-    The mode is set in a session of this write alone, so loads in one session don't disturb each
+    ``dealt``: the rows already lie in ranges of the partition columns. The mode is set in a session of this write alone, so loads in one session don't disturb each
     other. Only a dynamic overwrite may read the table itself: new files lie apart until all tasks are done, then the
     partitions are swapped.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    rows(own).hint("rebalance", *partition_columns(own, table)).select(
-        *[F.col(f"`{c}`") for c in own.table(table).columns]).write.insertInto(table, overwrite=True)
+    df = rows(own) if dealt else rows(own).hint("rebalance", *partition_columns(own, table))
+    df.select(*[F.col(f"`{c}`") for c in own.table(table).columns]).write.insertInto(table, overwrite=True)
     spark.sql(f"REFRESH TABLE {table}")
 
 
