@@ -145,3 +145,16 @@ def test_category_codes_many_matches_one_by_one(spark):
     with pytest.raises(CategoryError) as e:
         C.category_codes_many(o, {"o_orderstatus": {"F": 1, "O": 2}}, order_by=["o_orderkey"])
     assert e.value.code == 4
+
+
+def test_numbering_stores_each_column_once(spark, monkeypatch):
+    """Rows are ranged and stored by their own columns: the struct that groups them is made again from these."""
+    from tidemill.functions.ordinal import occurrence_number
+
+    stored, kind = [], type(spark.range(1))
+    whole = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda df, *a, **k: stored.append(df.columns) or whole(df, *a, **k))
+    df = spark.createDataFrame([("a", 2), (None, 1), ("a", 1), (None, 3)], "k string, n long")
+    assert {tuple(r) for r in occurrence_number(df, ["k"], ["n"], "at").collect()} == {("a", 1, 1), ("a", 2, 2), (None, 1, 1), (None, 3, 2)}
+    assert [c for c in stored[0] if c != "_tm_place"] == ["k", "n"]
+    assert {tuple(r) for r in occurrence_number(df, [], ["n", "k"], "at").select("n", "at").collect()} == {(1, 1), (1, 2), (2, 3), (3, 4)}

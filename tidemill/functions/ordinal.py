@@ -52,12 +52,14 @@ def occurrence_number(df: DataFrame, by: Sequence[str | Column], order_by: Seque
     """
     work_dir(df.sparkSession)  # make sure a shared checkpoint folder is set
     keys, order = _as_cols(by), _as_cols(order_by)
-    keyed = df.withColumn(_KEY, F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     width = [partitions] if partitions else []
     # the id holds the partition's number above bit 33, and below it the row's place
-    ranged = (keyed.repartitionByRange(*width, F.col(_KEY), *order).sortWithinPartitions(_KEY, *order)
+    # sorted by the keys themselves, which have a sort prefix, unlike a struct of them; the struct is made again, not stored
+    sort = [*keys, *order] or [F.lit(0)]
+    ranged = (df.repartitionByRange(*width, *sort).sortWithinPartitions(*sort)
               .withColumn(_PLACE, F.monotonically_increasing_id()).checkpoint(eager=True))
-    ranged = ranged.withColumn(_PID, F.shiftright(_PLACE, 33)).withColumn(
+    ranged = ranged.withColumn(_KEY, key).withColumn(_PID, F.shiftright(_PLACE, 33)).withColumn(
         _PLACE, F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)))
     pieces = stage(_pieces(ranged).withColumnRenamed(_KEY, _PIECE), "pieces")  # stored, so that its size is known
     out = ranged.join(pieces, [F.col(_KEY).eqNullSafe(F.col(_PIECE)), ranged[_PID] == pieces[_PID]])
