@@ -96,6 +96,36 @@ def test_packing_is_tight(spark, lengths):
     assert check_places(rows, 100) <= least + 1
 
 
+def test_words_are_encoded_many_at_once():
+    """Words of letters go to the library in joint texts, and the memo stays within its bytes without changing an id."""
+    import pyarrow as pa
+
+    words = ["a", "xyz", "\u00e9t\u00e9", "stra\u00dfe", "\u00ff" * 30, "q" * 3000, "hello"] + [f"w{chr(97 + i % 26)}{'ab' * (i % 7)}" for i in range(1500)]
+    words = list(dict.fromkeys(words))
+    ids_of = packing.WordIds(WORDS)
+    calls = []
+    letters = ids_of.letters
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            calls.append(len(texts))
+            return letters.encode_batch_fast(texts, **kw)
+
+    ids_of.letters = Counted()
+    flat, n = ids_of._joined(pa.array(words))
+    want = ids_of._each(pa.array(words))
+    assert flat.tolist() == want[0].tolist() and n.tolist() == want[1].tolist()
+    assert sum(calls) == -(-len(words) // packing.TEXT_WORDS)
+    texts = pa.array(["Hello, xyz! it's 20 \u00e9t\u00e9", "", "xyz xyz stra\u00dfe <|endoftext|> a", " ".join(words), "\u00c9T\u00c9 e\u0301 x\u00b2"])
+    found = [list(ids_of.ids(texts, memo)) for memo in (packing.Memo(), packing.Memo(0), packing.Memo(100)) for _ in range(2)]
+    assert all(f == found[0] for f in found)
+    library = ids_of.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
+    assert [np.frombuffer(b, "<u4").tolist() for b in found[0]] == [e.ids for e in library]
+    memo = packing.Memo(100)
+    list(ids_of.ids(texts, memo))
+    assert 0 <= memo.left < 100 and len(memo.words) == len(memo.n) == len(memo.first) < 5
+
+
 def test_packing_rejects_lengths_over_capacity(spark):
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, 101)], "key long, length long"), "key", "length", 100)

@@ -36,9 +36,9 @@ from tidemill.session import fresh_path, stage
 
 PIECES = "array<struct<piece: int, start: long, length: long, ids_crc32: long>>"
 
-#: Bytes of words and ids that are remembered while a task runs, and what one costs besides; the most characters of one;
-#: new words encoded by the library at once.
-MEMO_BYTES, ENTRY_BYTES, MEMO_CHARS, ENCODE_WORDS = 24 << 20, 200, 40, 2_000
+#: Bytes of words and ids that are remembered while a task runs, and what one costs besides; new words encoded by the
+#: library at once; words in one text for it.
+MEMO_BYTES, ENTRY_BYTES, ENCODE_WORDS, TEXT_WORDS = 12 << 20, 24, 16_000, 500
 
 _PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -64,8 +64,14 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.level = {c: level.pre_tokenize_str(chr(c))[0][0] for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100))}
+        # the same model for words of letters alone, which normalisation leaves as they are
+        self.letters = Tokenizer(self.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        end, vocab = self.model.end_of_word_suffix, self.tokenizer.get_vocab()
+        #: Whether an id is the last of a word.
+        self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.last[[i for token, i in vocab.items() if end and token.endswith(end)]] = True
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -82,30 +88,49 @@ class WordIds:
         codes = both.indices.to_numpy()
         return both.dictionary, codes[:len(words)], codes[len(words):]
 
-    def _ids(self, units: pa.Array, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of all units, and the number of each one's; those of letters only go straight to the tokenizer's model."""
-        names, plain = units.to_pylist(), pc.match_substring_regex(units, _LETTERS).to_pylist()
-        get, tokenize, level = memo.found.get, self.model.tokenize, self.level
-        ids = [get(p) for p in names]
-        other = []
-        for i, known in enumerate(ids):
-            if known is None:
-                p = names[i]
-                if plain[i]:
-                    ids[i] = made = [t.id for t in tokenize(p if p.isascii() else p.translate(level))]
-                    if memo.left > 0:
-                        memo.keep(p, made)
-                else:
-                    other.append(i)
-        for j in range(0, len(other), ENCODE_WORDS):
-            part = other[j:j + ENCODE_WORDS]
-            for i, made in zip(part, self._encode([names[i] for i in part])):
-                ids[i] = made
-                if memo.left > 0:
-                    memo.keep(names[i], made)
+    def _each(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of units, in their order, and the number of each one's, by one call for each unit."""
+        ids = [x for i in range(0, len(units), ENCODE_WORDS) for x in self._encode(units[i:i + ENCODE_WORDS].to_pylist())]
         n = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), "<u4", int(n.sum())), n
 
+    def _joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`_each` of words of letters, many of them in one text: a word's last id shows where it ends."""
+        flat = [np.zeros(0, "<u4")]
+        for i in range(0, len(words), ENCODE_WORDS):
+            part = words[i:i + ENCODE_WORDS]
+            ends = pa.array([*range(0, len(part), TEXT_WORDS), len(part)], pa.int32())
+            texts = pc.binary_join(pa.ListArray.from_arrays(ends, part), " ").to_pylist()
+            flat += [np.array(e.ids, "<u4") for e in self.letters.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(flat)
+        ends = np.flatnonzero(self.last[flat]) + 1
+        if len(ends) != len(words):  # a model that doesn't mark the ends of words
+            return self._each(words)
+        return flat, np.diff(ends, prepend=0)
+
+    def _ids(self, units: pa.Array, memo: Memo) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and the first and the number of each unit's in them; those of letters only go straight to the tokenizer's model."""
+        first, n = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        at = pc.index_in(units, value_set=memo.words)
+        met = at.is_valid().to_numpy(zero_copy_only=False)
+        known = at.drop_null().to_numpy()
+        first[met], n[met] = memo.first[known], memo.n[known]
+        flat = [memo.flat]
+        before, new = len(memo.flat), []
+        unmet = np.flatnonzero(~met)
+        rest = units.take(pa.array(unmet))
+        plain = pc.match_substring_regex(rest, _LETTERS)
+        for kind, make in ((plain, self._joined), (pc.invert(plain), self._each)):
+            where, words = unmet[kind.to_numpy(zero_copy_only=False)], rest.filter(kind)
+            made, sizes = make(words)
+            first[where], n[where] = before + np.cumsum(sizes) - sizes, sizes
+            before += len(made)
+            flat.append(made)
+            new.append((words, made, sizes))
+        for words, made, sizes in new:
+            memo.keep(words, made, sizes)
+        return np.concatenate(flat), first, n
+
     def ids(self, texts: pa.Array, memo: Memo) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each whole text of a slice without nulls."""
         whole = np.zeros(len(texts), dtype=bool)
@@ -113,8 +138,7 @@ class WordIds:
             whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
         codes, offsets, distinct = split_words(texts)
         units, body, tail = self._units(distinct)
-        flat, n = self._ids(units, memo)
-        first = np.cumsum(n) - n
+        flat, first, n = self._ids(units, memo)
         two = np.stack([body, tail], axis=1).ravel()  # every word's ids in one place
         flat, n = flat[_expanded(first[two], n[two])], n[body] + n[tail]
         first = np.cumsum(n) - n
@@ -128,16 +152,24 @@ class WordIds:
 
 
 class Memo:
-    """Ids by word, up to a number of bytes: the words met first, the most frequent among them. It changes no result."""
+    """Ids of words, up to a number of bytes: the words met first, the most frequent among them. It changes no result."""
 
     def __init__(self, size: int = MEMO_BYTES):
-        self.found: dict[str, list[int]] = {}
+        self.words, self.flat = pa.array([], pa.string()), np.zeros(0, "<u4")
+        self.first, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.left = size
 
-    def keep(self, word: str, ids: list[int]) -> None:
-        if len(word) <= MEMO_CHARS:
-            self.found[word] = ids
-            self.left -= ENTRY_BYTES + 4 * len(word) + 40 * len(ids)
+    def keep(self, words: pa.Array, flat: np.ndarray, n: np.ndarray) -> None:
+        """Remember new words with ``n`` ids each, which ``flat`` holds one after the other: as many as there is room for."""
+        cost = np.cumsum(ENTRY_BYTES + pc.binary_length(words).to_numpy(zero_copy_only=False) + 4 * n)
+        k = int(np.searchsorted(cost, self.left, "right"))
+        if k:
+            self.left -= int(cost[k - 1])
+            n = n[:k]
+            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(n) - n])
+            self.flat = np.concatenate([self.flat, flat[:int(n.sum())]])
+            self.n = np.concatenate([self.n, n])
+            self.words = pa.concat_arrays([self.words, words.slice(0, k)])
 
 
 def _after(texts: pa.Array, n: pa.Array) -> pa.Array:
