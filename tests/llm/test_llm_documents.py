@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import language_model as lm
 from tidemill.llm import packing, repetition, tokens
+from tidemill.session import work_dir
 
 PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
 WORDS = str(public_tokenizers.path("word_bpe_49k.json"))
@@ -259,3 +261,49 @@ def test_heavy_and_rare_words_get_the_same_scores(docs, monkeypatch):
     usual = sorted((r["n_tokens"], r["n_known"], round(r["score"], 4)) for r in lm.corpus_scores(docs).collect())
     monkeypatch.setattr(lm, "HEAVY", 0)
     assert sorted((r["n_tokens"], r["n_known"], round(r["score"], 4)) for r in lm.corpus_scores(docs).collect()) == usual
+
+
+def stored(spark, texts):
+    """Bytes that scoring these texts leaves in the shared folder."""
+    def size():
+        folder = work_dir(spark).removeprefix("file:")
+        return sum(f.stat().st_size for f in Path(folder).glob("lm-*/*"))
+
+    df, before = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), size()
+    assert lm.corpus_scores(df).count() == len(texts)
+    return size() - before
+
+
+def test_language_model_stores_less_than_its_texts(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"word{int(2 ** (rng.random() * 14))}" for _ in range(300)) for _ in range(400)]
+    assert stored(spark, texts) < sum(map(len, texts))
+
+
+def test_scores_do_not_depend_on_slices_and_buckets(docs, monkeypatch):
+    def scores():
+        return sorted((r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6))
+                      for r in lm.corpus_scores(docs).collect())
+
+    usual = scores()
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 100)
+    monkeypatch.setattr(lm, "SLICE_BYTES", 2000)
+    assert scores() == usual
+
+
+def test_cells_are_added_and_found():
+    rng = np.random.default_rng(2)
+    parts, count = [], Counter()
+    for _ in range(3):
+        contexts, words = (rng.choice(np.arange(-50, 50), 20, replace=False) for _ in range(2))
+        x, k = np.divmod(np.sort(rng.choice(400, 90, replace=False)), 20)
+        parts.append(lm.Cells.read(lm.Cells(contexts, words, x, k, rng.integers(1, 500, 90)).row()))
+        count.update(dict(zip(zip(contexts[x].tolist(), words[k].tolist()), parts[-1].n.tolist())))
+    whole = lm.Cells.added(parts)
+    keys = list(zip(whole.contexts[whole.x].tolist(), whole.words[whole.k].tolist()))
+    assert keys == sorted(count) and dict(zip(keys, whole.n.tolist())) == count
+    some = lm.Cells.added(parts[:1])
+    for of, asked in ((whole, some), (some, whole)):
+        at = of.find(asked)
+        have = {c: i for i, c in enumerate(zip(of.contexts[of.x].tolist(), of.words[of.k].tolist()))}
+        assert at.tolist() == [have.get(c, -1) for c in zip(asked.contexts[asked.x].tolist(), asked.words[asked.k].tolist())]

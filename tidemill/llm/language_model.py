@@ -5,25 +5,27 @@ vocabulary and one unknown word, and a restaurant for each context, whose base i
 A context is the word before, or the start of a text. Every table of a context restaurant is a
 customer of the parent.
 
-* Counting: (word, context) cells are added up before and in the shuffle; words go by 64-bit
-  hashes, the start by the hash of the end. Cells, words and contexts are three tables that grow
-  with the corpus and stay distributed.
-* Gibbs sampling: a sweep joins each cell with its word's and its context's numbers, takes its
-  customers out and seats them again by the restaurant's predictive odds, given all the others.
-  The tables are then added up by context and by word, and seated in the parent. Cells sweep in
-  parallel, with the numbers of the sweep before; each sweep is a table in the shared folder.
+* Slices: texts are split once, into stored slices of ``SLICE_BYTES``: the slice's words as 64-bit
+  hashes, and its tokens as places among them, compressed. The start of a text is the word that ends one.
+* Counting: each slice sends its (word, context) cells to buckets, in which they are added up. A
+  bucket holds whole contexts; the cells of the most frequent contexts are dealt over all buckets.
+  Cells travel and are stored in rows of compressed arrays, one for each slice and bucket.
+* Gibbs sampling: a sweep gives each bucket its words' numbers, takes each cell's customers out and
+  seats them again by the restaurant's predictive odds, given all the others. The tables are then
+  added up by context in the bucket and by word among the buckets, and seated in the parent. Buckets
+  sweep in parallel, with the numbers of the sweep before; each sweep is a table in the shared folder.
   A cell's first ``SINGLE`` customers sit down one by one, later ones in blocks of a sixteenth
   of those seated: a block's new tables are drawn from a binomial, customer by customer. A cell of one customer has one possible seating and needs none of this.
 * Predictive probabilities are averaged over the last sweeps of the sampled rounds.
-* Scoring: tokens are joined with the cells' probabilities by word and context, one row for each
-  slice of documents and cell. Only tokens of unseen cells need their word and context.
-* At most ``HEAVY`` words (and contexts) can each hold one in ``HEAVY`` tokens; their numbers
-  are broadcast, so that no common word gathers rows in one task.
+* Scoring: each slice asks the buckets for its cells, and the vocabulary for its words. What comes
+  back is joined with the slice, which adds up its texts.
+* A word has at most one row for each slice or bucket in any shuffle, so that no common word gathers rows in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +34,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.words import col, ship, slices, split_words
+from tidemill.llm.words import col, given_back, ship, slices, split_words
 from tidemill.session import discard, stage, staged
 
-#: Contexts shown by ``Model.words``; words that may be broadcast; rounds of sampling, of which the first isn't averaged; sweeps a round.
+#: Contexts shown by ``Model.words``; most contexts that are dealt over all buckets; rounds of sampling, of which the first isn't averaged; sweeps a round.
 CONTEXTS, HEAVY, ROUNDS, BURN_IN, SWEEPS = 64, 20_000, 3, 1, 2
 #: Strength of both levels; their discounts are estimated from the counts of counts.
 STRENGTH = 1.0
@@ -43,6 +45,8 @@ SINGLE = 64
 #: Numbers drawn at once.
 DRAWS = 1 << 20
 SLICE_BYTES = 16 << 20
+#: Training tokens of a bucket, at most, where there are more than two buckets for each shuffle partition.
+BUCKET_TOKENS = 4 << 20
 #: The end of a text, as a word that no text holds.
 END = b"\n"
 #: splitmix64's constants.
@@ -54,10 +58,13 @@ def _uniform(h: np.ndarray, *salt) -> np.ndarray:
     x = h.astype(np.uint64)
     with np.errstate(over="ignore"):
         for s in salt:
-            x = (x + np.asarray(s).astype(np.uint64) + np.uint64(1)) * np.uint64(MIX[0])
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX[1])
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX[2])
-            x = x ^ (x >> np.uint64(31))
+            x = x + (np.asarray(s).astype(np.uint64) + np.uint64(1))
+            x *= np.uint64(MIX[0])
+            x ^= x >> np.uint64(30)
+            x *= np.uint64(MIX[1])
+            x ^= x >> np.uint64(27)
+            x *= np.uint64(MIX[2])
+            x ^= x >> np.uint64(31)
     return (x >> np.uint64(11)) / float(1 << 53)
 
 
@@ -85,44 +92,200 @@ def seat(n: np.ndarray, odds: np.ndarray, gain: np.ndarray, discount: float, dra
     return tables
 
 
-class Texts:
-    """Tokens of a slice of texts: for every text its words, then the end."""
-
-    def __init__(self, texts: pa.Array):
-        codes, offsets, distinct = split_words(pc.ascii_lower(texts))
-        words = distinct.cast(pa.binary()).to_pylist() + [END]
-        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
-        self.n_tokens = np.diff(offsets) + 1
-        n, end = len(self.n_tokens), len(words) - 1
-        self.token = np.full(len(codes) + n, end)
-        self.text = np.repeat(np.arange(n), self.n_tokens)
-        last = np.cumsum(self.n_tokens) - 1
-        inner = np.ones(len(self.token), dtype=bool)
-        inner[last] = False
-        self.token[inner] = codes
-        self.context = np.full(len(self.token), end)
-        self.context[1:] = self.token[:-1]
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, in as few planes of bytes as they need, compressed."""
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
+    planes = np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(len(numbers), 8)[:, :width].T
+    return bytes([width]) + zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    flat = np.frombuffer(zlib.decompress(packed[1:]), np.uint8)
+    out = np.zeros((len(flat) // packed[0], 8), np.uint8)
+    out[:, :packed[0]] = flat.reshape(packed[0], len(out)).T
+    return out.view("<i8").ravel().astype(np.int64, copy=False)
+
+
+def _hashes(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.int64)
+
+
+def _sums(places: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """Sums of whole numbers by place."""
+    return np.bincount(places, of, size).astype(np.int64)
+
+
+#: Columns of packed cells.
+CELLS = "contexts binary, per binary, words binary, k binary, n binary"
+
+
+class Cells:
+    """Cells of a slice or bucket, those of a context one after the other: places ``x`` and ``k`` among the hashes of
+    their ``contexts`` and ``words``, and their customers ``n``."""
+
+    def __init__(self, contexts: np.ndarray, words: np.ndarray, x: np.ndarray, k: np.ndarray, n: np.ndarray):
+        self.contexts, self.words, self.x, self.k, self.n = contexts, words, x, k, n
+
+    @classmethod
+    def read(cls, row: dict) -> Cells:
+        per = _unpacked(row["per"])
+        return cls(_hashes(row["contexts"]), _hashes(row["words"]), np.repeat(np.arange(len(per)), per),
+                   _unpacked(row["k"]), _unpacked(row["n"]))
+
+    def row(self) -> dict:
+        return {"contexts": self.contexts.tobytes(), "per": _packed(np.bincount(self.x, minlength=len(self.contexts))),
+                "words": self.words.tobytes(), "k": _packed(self.k), "n": _packed(self.n)}
+
+    def where(self, keep: np.ndarray) -> Cells:
+        """Some of the cells, with their words and contexts only."""
+        x, (ks, k) = self.x[keep], np.unique(self.k[keep], return_inverse=True)
+        first = np.diff(x, prepend=-1) > 0
+        return Cells(self.contexts[x[first]], self.words[ks], np.cumsum(first) - 1, k, self.n[keep])
+
+    @classmethod
+    def added(cls, parts: list[Cells]) -> Cells:
+        """The cells of all ``parts``, each once, by the order of their hashes."""
+        def place(name: str, at: str) -> tuple[np.ndarray, np.ndarray]:
+            every = [getattr(p, name) for p in parts]
+            found, places = np.unique(np.concatenate(every), return_inverse=True)
+            start = np.cumsum([0, *map(len, every)])
+            return found, np.concatenate([places[s + getattr(p, at)] for s, p in zip(start, parts, strict=False)])
+
+        (contexts, x), (words, k) = place("contexts", "x"), place("words", "k")
+        cell, places = np.unique(x * len(words) + k, return_inverse=True)
+        return cls(contexts, words, *np.divmod(cell, max(1, len(words))),
+                   _sums(places, np.concatenate([p.n for p in parts]), len(cell)))
+
+    def find(self, other: Cells) -> np.ndarray:
+        """The place of each of ``other``'s cells among these, which are in the order of :meth:`added`; -1: not there."""
+        if not len(self.x):
+            return np.full(len(other.x), -1)
+
+        def place(found: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(found, wanted), len(found) - 1)
+            return np.where(found[at] == wanted, at, -1)
+
+        x, k = place(self.contexts, other.contexts)[other.x], place(self.words, other.words)[other.k]
+        return place(self.x * len(self.words) + self.k, np.where((x < 0) | (k < 0), -1, x * len(self.words) + k))
+
+
+class Slice:
+    """A stored slice of texts: ``token`` and ``context`` are places among the hashes of its ``words``, most frequent first."""
+
+    def __init__(self, row: dict):
+        self.words, self.n_tokens = _hashes(row["words"]), _unpacked(row["lengths"])
+        self.token, self.train = _unpacked(row["codes"]), _unpacked(row["train"]).astype(bool)
+        self.context = np.roll(self.token, 1)  # the last token is an end
 
     def cells(self) -> np.ndarray:
         """A number for each token's (word, context)."""
-        return self.token * len(self.hashes) + self.context
+        return self.context * len(self.words) + self.token
+
+    def dealt(self, cell: np.ndarray, spread: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Each bucket that some of these cells belong to, and the places of these."""
+        x, k = np.divmod(cell, len(self.words))
+        bucket = (_uniform(self.words, 0) * buckets).astype(np.int32)[x]
+        wide = np.isin(self.words, spread)[x]
+        bucket[wide] = (_uniform(self.words[x[wide]], self.words[k[wide]]) * buckets).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        found, first = np.unique(bucket[order], return_index=True)
+        yield from zip(found.tolist(), np.split(order, first[1:]), strict=False)
+
+    def sent(self, cell: np.ndarray, n: np.ndarray) -> Cells:
+        """Numbered cells, ascending, as others read them."""
+        x, k = np.divmod(cell, len(self.words))
+        return Cells(self.words, self.words, x, k, n).where(slice(None))
+
+
+def _rows(table: pa.Table | pa.RecordBatch) -> Iterator[dict]:
+    for i in range(table.num_rows):
+        yield {c: table.column(c)[i].as_py() for c in table.schema.names}
 
-    def named(self, cells: np.ndarray) -> list[pa.Array]:
-        """Hashes of the words and the contexts of numbered cells."""
-        return [pa.array(self.hashes[cells // len(self.hashes)]), pa.array(self.hashes[cells % len(self.hashes)])]
 
+def _table(rows: list[dict], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=schema)
 
-def counts(training: DataFrame, text: str) -> DataFrame:
-    """``h, ctx, n``: how often each word follows each context."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def split(docs: DataFrame, id: Column, text: Column, train: Column) -> tuple[DataFrame, str]:
+    """The stored slices of ``docs``, and their folder; a null text counts as empty."""
+    ship(docs.sparkSession)
+    source = docs.select(F.monotonically_increasing_id().alias("slice"), id.alias("id"), text.cast("string").alias("text"),
+                         train.alias("train"))
+    kind = source.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for part in slices(batch.column("text"), SLICE_BYTES):
+                n = len(part)
+                first, ids, train = (batch.column(c).slice(at, n) for c in ("slice", "id", "train"))
+                at, train = at + n, train.to_numpy(zero_copy_only=False).astype(bool)
+                codes, offsets, distinct = split_words(pc.ascii_lower(part))
+                words = distinct.cast(pa.binary()).to_pylist() + [END]
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+                n_tokens = np.diff(offsets) + 1
+                token = np.full(len(codes) + n, len(words) - 1)
+                inner = np.ones(len(token), dtype=bool)
+                inner[np.cumsum(n_tokens) - 1] = False
+                token[inner] = codes
+                hashes, places = np.unique(hashes, return_inverse=True)
+                token = places[token]
+                often = np.argsort(-np.bincount(token, minlength=len(hashes)), kind="stable")
+                rank = np.empty(len(often), np.int64)
+                rank[often] = np.arange(len(often))
+                token = rank[token]
+                own = np.bincount(token[np.repeat(train, n_tokens)], minlength=len(hashes))
+                yield pa.RecordBatch.from_arrays(
+                    [first[:1], pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids),
+                     *(pa.array([b], pa.binary()) for b in (hashes[often].tobytes(), _packed(own), _packed(n_tokens),
+                                                            _packed(token), _packed(train)))],
+                    ["slice", "ids", "words", "own", "lengths", "codes", "train"])
+
+    return staged(source.mapInArrow(lambda batches: given_back(run(batches)), f"slice long, ids array<{kind}>, words binary, own binary, lengths binary, "
+                                         "codes binary, train binary"), "lm-slices")
+
+
+def _sent(texts: DataFrame, spread: np.ndarray, buckets: int, training: bool) -> DataFrame:
+    """The cells of the slices (of their training texts, with their customers), a row for each slice and bucket."""
+    names = ["bucket", "slice", "contexts", "per", "words", "k", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(0), SLICE_BYTES):
-                t = Texts(part)
-                key, n = np.unique(t.cells(), return_counts=True)
-                yield pa.RecordBatch.from_arrays([*t.named(key), pa.array(n)], ["h", "ctx", "n"])
+            for row in _rows(batch):
+                s = Slice(row)
+                cell = s.cells()
+                cell, n = np.unique(cell[np.repeat(s.train, s.n_tokens)] if training else cell, return_counts=True)
+                for bucket, places in s.dealt(cell, spread, buckets):
+                    out = s.sent(cell[places], n[places] if training else np.zeros_like(places)).row()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([bucket], pa.int32()), pa.array([row["slice"]], pa.int64()),
+                         *(pa.array([out[c]], pa.binary()) for c in names[2:])], names)
 
-    cells = training.select(col(text).cast("string").alias("text")).mapInArrow(count, "h long, ctx long, n long")
-    return cells.groupBy("h", "ctx").agg(F.sum("n").alias("n"))
+    return texts.select("slice", "words", "lengths", "codes", "train").mapInArrow(
+        lambda batches: given_back(run(batches)), f"bucket int, slice long, {CELLS}")
+
+
+def _light(make: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``make`` for a group, after which memory that the worker no longer uses goes back to the system."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return next(iter(list(given_back(make(*tables) for tables in [(left, right)]))))
+
+    return run
+
+
+def _columns(df: DataFrame, make: Callable[[dict], tuple], schema: str) -> DataFrame:
+    """Rows of whole numbers that ``make`` gives, as arrays, for each row of ``df``."""
+    types = [f.dataType.simpleString() for f in df.sparkSession.createDataFrame([], schema).schema]
+    names = [c.split()[0] for c in schema.split(", ")]
+    arrow = {"int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                out = make(row)
+                yield pa.RecordBatch.from_arrays([pa.array(v, arrow[t]) for v, t in zip(out, types, strict=True)], names)
+
+    return df.mapInArrow(lambda batches: given_back(run(batches)), schema)
 
 
 class Totals:
@@ -138,30 +301,71 @@ class Totals:
         return (greatest(c1 - self.discount_1 * t1, 0) + fresh) / (STRENGTH + self.tables)
 
 
-def _joined(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """``rows`` with the columns of ``table`` (one row for each ``key``, marked ``heavy`` or not)."""
-    heavy = F.broadcast(table.where("heavy").drop("heavy"))
-    rest = rows.join(heavy.select(key), key, "left_anti").join(table.where("not heavy").drop("heavy"), key, how)
-    return rows.join(heavy, key).unionByName(rest)
+#: Columns of a sweep: a row of packed cells for each bucket.
+STATE = f"bucket int, {CELLS}, lone binary, t binary, ts binary"
+PACKED = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("contexts", "per", "words", "k", "n", "lone", "t", "ts"))])
 
 
-def _sweep(state: DataFrame, words: DataFrame, contexts: DataFrame, total: Totals, seed: int) -> DataFrame:
-    """The cells of ``state`` seated again, given all the others."""
+def _start(cells: DataFrame) -> DataFrame:
+    """The cells of several customers, each at one table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, ctx, n, t, tables, c1, t1 = (batch.column(c).to_numpy(zero_copy_only=False)
-                                            for c in ("h", "ctx", "n", "t", "tables", "c1", "t1"))
-            others = (c1 - t).astype(np.float64)
-            odds = total.parent(others, np.minimum(t1, others))
-            strength = STRENGTH + total.discount * (tables - t)
-            t = seat(n, strength * odds, total.discount * odds, total.discount,
-                     lambda cells, i, j: _uniform(h[cells, None], ctx[cells, None], seed, i, j))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("h", "ctx", "n")), pa.array(t).cast(pa.int64()),
-                                              batch.column("ts")], ["h", "ctx", "n", "t", "ts"])
-
-    joined = _joined(state, contexts.select("ctx", "heavy", "tables"), "ctx")
-    joined = _joined(joined, words.select("h", "heavy", "c1", "t1"), "h")
-    return joined.mapInArrow(run, "h long, ctx long, n long, t long, ts array<long>")
+            for row in _rows(batch):
+                c = Cells.read(row)
+                some = c.where(c.n > 1)
+                lone = np.bincount(c.x[c.n == 1], minlength=len(c.contexts))[np.isin(c.contexts, some.contexts)]
+                out = some.row() | {"bucket": row["bucket"], "lone": _packed(lone), "t": _packed(np.ones(len(some.x), np.int64))}
+                yield from _table([out], PACKED).to_batches()
+
+    return cells.mapInArrow(run, STATE)
+
+
+def _buckets(state: DataFrame) -> DataFrame:
+    """``h, buckets``: the buckets with cells of several customers of each word."""
+    def own(row: dict) -> tuple:
+        h = _hashes(row["words"])
+        return h, np.full(len(h), row["bucket"], np.int32)
+
+    return _columns(state.select("bucket", "words"), own, "h long, bucket int").groupBy("h").agg(
+        F.collect_list("bucket").alias("buckets"))
+
+
+def _dealt_tables(state: DataFrame, spread: np.ndarray) -> np.ndarray:
+    """Tables of the dealt contexts at cells of several customers."""
+    def own(row: dict) -> tuple:
+        contexts = _hashes(row["contexts"])
+        wide = np.isin(contexts, spread)
+        x = np.repeat(np.arange(len(contexts)), _unpacked(row["per"]))
+        return contexts[wide], _sums(x, _unpacked(row["t"]), len(contexts))[wide]
+
+    sums = _columns(state.select("contexts", "per", "t"), own, "h long, t long").groupBy("h").agg(F.sum("t").alias("t"))
+    found = {r["h"]: r["t"] for r in sums.collect()} if len(spread) else {}
+    return np.array([found.get(h, 0) for h in spread.tolist()], np.int64)
+
+
+def _sweep(state: DataFrame, words: DataFrame, spread: np.ndarray, tables: np.ndarray, total: Totals, seed: int,
+           sample: bool) -> DataFrame:
+    """The cells of ``state`` seated again, given all the others; ``tables``: of the dealt contexts."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return PACKED.empty_table()
+        row = next(_rows(left))
+        cells, lone, t = Cells.read(row), _unpacked(row["lone"]), _unpacked(row["t"])
+        order = np.argsort(right.column("word").to_numpy())
+        c1, t1 = (right.column(c).to_numpy()[order][cells.k] for c in ("c1", "t1"))
+        at = lone + _sums(cells.x, t, len(lone))
+        wide = np.isin(cells.contexts, spread)
+        at[wide] = tables[np.searchsorted(spread, cells.contexts[wide])]
+        h, ctx, others = cells.words[cells.k], cells.contexts[cells.x], (c1 - t).astype(np.float64)
+        odds = total.parent(others, np.minimum(t1, others))
+        strength = STRENGTH + total.discount * (at[cells.x] - t)
+        t = seat(cells.n, strength * odds, total.discount * odds, total.discount,
+                 lambda places, i, j: _uniform(h[places, None], ctx[places, None], seed, i, j)).astype(np.int64)
+        ts = np.concatenate((_unpacked(row["ts"]) if row["ts"] else t[:0], t)) if sample else None
+        return _table([row | {"t": _packed(t), "ts": row["ts"] if ts is None else _packed(ts)}], PACKED)
+
+    known = words.select(F.explode("buckets").alias("to"), F.col("h").alias("word"), "c1", "t1")
+    return state.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(_light(run), STATE)
 
 
 def _parents(words: DataFrame, state: DataFrame, total: Totals, seed: int) -> DataFrame:
@@ -174,16 +378,13 @@ def _parents(words: DataFrame, state: DataFrame, total: Totals, seed: int) -> Da
                       lambda cells, i, j: _uniform(h[cells, None], 1, seed, i, j))
             yield batch.set_column(batch.schema.names.index("t1"), "t1", pa.array(t1).cast(pa.int64()))
 
-    more = state.groupBy("h").agg(F.sum("t").alias("more"))
-    now = words.join(more, "h", "left").withColumn("c1", F.col("lone") + F.coalesce("more", F.lit(0))).select(*words.columns)
-    return now.mapInArrow(run, words.schema)
-
+    def own(row: dict) -> tuple:
+        h = _hashes(row["words"])
+        return h, _sums(_unpacked(row["k"]), _unpacked(row["t"]), len(h))
 
-def _tables(contexts: DataFrame, state: DataFrame) -> DataFrame:
-    """``contexts`` with their new ``tables``."""
-    more = state.groupBy("ctx").agg(F.sum("t").alias("more"))
-    return contexts.join(more, "ctx", "left").withColumn(
-        "tables", F.col("lone") + F.coalesce("more", F.lit(0))).select(*contexts.columns)
+    more = _columns(state.select("words", "k", "t"), own, "h long, t long").groupBy("h").agg(F.sum("t").alias("more"))
+    now = words.join(more.hint("shuffle_hash"), "h", "left").withColumn("c1", F.col("lone") + F.coalesce("more", F.lit(0))).select(*words.columns)
+    return now.mapInArrow(run, words.schema)
 
 
 def _discount(one: int, two: int) -> float:
@@ -192,19 +393,51 @@ def _discount(one: int, two: int) -> float:
 
 
 class Model:
-    """A fitted model, distributed: ``cells`` (``h, ctx, n, ts``), ``vocabulary`` (``h, c, heavy, parent``) and
-    ``contexts`` (``ctx, customers, heavy, weight``); ``ts``, ``parent`` and ``weight`` have a value for each sample.
+    """A fitted model, distributed: packed ``buckets`` of cells, the ``seated`` cells of several customers, and ``vocabulary``
+    (``h, c, parent, weight``): words, which are also the contexts; ``parent`` and ``weight`` have a value for each sample.
     """
 
-    def __init__(self, cells: DataFrame, vocabulary: DataFrame, contexts: DataFrame, totals: list[Totals], n: int, size: int):
-        self.cells, self.vocabulary, self.contexts, self.n, self.size = cells, vocabulary, contexts, n, size
-        self.discount = totals[0].discount
+    def __init__(self, buckets: DataFrame, seated: DataFrame, vocabulary: DataFrame, totals: list[Totals], n: int, size: int,
+                 spread: np.ndarray, number: int, places: list[str]):
+        self.buckets, self.seated, self.vocabulary, self.totals, self.n, self.size = buckets, seated, vocabulary, totals, n, size
+        self.spread, self.number, self.places, self.discount = spread, number, places, totals[0].discount
         self.unknown = np.array([float(t.parent(0, 0)) for t in totals])
 
+    @property
+    def contexts(self) -> DataFrame:
+        """``ctx, customers, weight``."""
+        return self.vocabulary.select(F.col("h").alias("ctx"), F.col("c").alias("customers"), "weight")
+
+    @property
+    def by_bucket(self) -> DataFrame:
+        """Two rows a bucket: its cells, and the tables of those of several customers, one sample after the other."""
+        return self.buckets.withColumn("ts", F.lit(None).cast("binary")).unionByName(
+            self.seated.select("bucket", "ts"), allowMissingColumns=True)
+
+    def read(self, table: pa.Table) -> tuple[Cells, np.ndarray]:
+        """A bucket's cells, and their tables, added up over the samples."""
+        rows = list(_rows(table))
+        cells = Cells.added([Cells.read(r) for r in rows if r["n"] is not None])
+        seats = np.full(len(cells.n), len(self.unknown))
+        for r in rows:
+            if r["ts"] is not None:
+                seats[cells.n > 1] = _unpacked(r["ts"]).reshape(len(self.unknown), -1).sum(axis=0)
+        return cells, seats
+
+    @property
+    def cells(self) -> DataFrame:
+        """``h, ctx, n, seats``: ``seats`` is the sum of the cell's tables over the samples."""
+        read = _plain(self).read
+
+        def run(table: pa.Table) -> pa.Table:
+            cells, seats = read(table)
+            return pa.table({"h": cells.words[cells.k], "ctx": cells.contexts[cells.x], "n": cells.n, "seats": seats})
+
+        return self.by_bucket.groupBy("bucket").applyInArrow(run, "h long, ctx long, n long, seats long")
+
     def direct(self) -> Column:
         """What a cell's own customers give it, on average over the samples."""
-        seats = F.aggregate("ts", F.lit(0).cast("long"), lambda a, x: a + x) / F.size("ts")
-        return (F.col("n") - self.discount * seats) / (STRENGTH + F.col("customers"))
+        return (F.col("n") - self.discount * F.col("seats") / len(self.unknown)) / (STRENGTH + F.col("customers"))
 
     def mixed(self, parent: Column, weight: Column) -> Column:
         """What the parent gives a cell, on average over the samples."""
@@ -212,7 +445,7 @@ class Model:
 
     def probabilities(self) -> DataFrame:
         """``h, ctx, c, p`` of all cells."""
-        cells = _joined(_joined(self.cells, self.contexts, "ctx"), self.vocabulary, "h")
+        cells = self.cells.join(self.contexts, "ctx").join(self.vocabulary.drop("weight"), "h")
         return cells.select("h", "ctx", "c", (self.direct() + self.mixed(F.col("parent"), F.col("weight"))).alias("p"))
 
     def _shown(self) -> list:
@@ -238,115 +471,187 @@ class Model:
             F.coalesce("x.direct", F.array().cast("array<double>")).alias("direct"))
 
 
+def _plain(model: Model) -> Model:
+    """The model's numbers without its tables, for tasks."""
+    return Model(None, None, None, model.totals, model.n, model.size, model.spread, model.number, [])
+
+
 def _base(c: np.ndarray, n: int, size: int) -> np.ndarray:
     """The base score of tokens with these counts, among ``n`` of ``size`` kinds."""
     return np.log10((c + 0.1) / (n + 0.1 * (size + 1)))
 
 
+def _weight(tables, customers, discount: float):
+    """What a context with so many tables and customers leaves to the parent (numbers or columns)."""
+    return (STRENGTH + discount * tables) / (STRENGTH + customers)
+
+
 def fit(training: DataFrame, text: str = "text") -> Model:
     """Seat the training texts' tokens; see the module's text. A null text counts as empty."""
-    ship(training.sparkSession)
-    cells = stage(counts(training, text), "lm-cells")
-    n = cells.agg(F.sum("n")).first()[0] or 0
-    lone = F.count_if(F.col("n") == 1).alias("lone")
-    number, none = F.count(F.lit(1)), F.array().cast("array<long>")
-    words = stage(cells.groupBy("h").agg(F.sum("n").alias("c"), lone, number.alias("c1")).select(
-        "h", "c", "lone", (F.col("c") * HEAVY >= n).alias("heavy"), "c1", F.lit(1).cast("long").alias("t1"),
-        none.alias("c1s"), none.alias("t1s")), "lm-vocabulary")
-    contexts = stage(cells.groupBy("ctx").agg(F.sum("n").alias("customers"), lone, number.alias("tables")).select(
-        "ctx", "customers", "lone", (F.col("customers") * HEAVY >= n).alias("heavy"), "tables", none.alias("tabs")),
-        "lm-contexts")
-    found = cells.agg(number.alias("cells"), lone, F.count_if(F.col("n") == 2).alias("twos")).first()
-    whole = words.agg(number.alias("size"), F.count_if(F.col("c1") == 1).alias("one"),
-                      F.count_if(F.col("c1") == 2).alias("two")).first()
-    size = whole["size"]
-    discounts = _discount(found["lone"], found["twos"]), _discount(whole["one"], whole["two"])
-
-    total, totals = Totals(size, float(found["cells"]), float(size), *discounts), []
-    state = cells.where("n > 1").select("h", "ctx", "n", F.lit(1).cast("long").alias("t"), none.alias("ts"))
-    spark, places = training.sparkSession, []
+    texts, place = split(training, F.lit(None).cast("int"), col(text), F.lit(True))
+    model = fit_slices(texts)
+    discard(training.sparkSession, place)
+    return model
+
+
+def fit_slices(texts: DataFrame) -> Model:
+    """:func:`fit`, on the training texts of stored slices."""
+    spark = texts.sparkSession
+
+    def own(row: dict) -> tuple:
+        n = _unpacked(row["own"])
+        return _hashes(row["words"])[n > 0], n[n > 0]
+
+    counts, at_counts = staged(_columns(texts.select("words", "own"), own, "h long, c long").groupBy("h").agg(
+        F.sum("c").alias("c")), "lm-counts")
+    n = counts.agg(F.sum("c")).first()[0] or 0
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // BUCKET_TOKENS))
+    spread = np.array(sorted(r["h"] for r in counts.where(F.col("c") * min(HEAVY, 8 * buckets) >= n).collect()), np.int64)
+
+    def add(table: pa.Table) -> pa.Table:
+        row = Cells.added([Cells.read(r) for r in _rows(table)]).row() | {"bucket": table.column("bucket")[0].as_py()}
+        return _table([row], pa.schema([f for f in PACKED if f.name in row]))
+
+    cells, at_cells = staged(_sent(texts, spread, buckets, True).drop("slice").groupBy("bucket").applyInArrow(
+        add, f"bucket int, {CELLS}"), "lm-cells")
+
+    def known(row: dict) -> tuple:
+        c = Cells.read(row)
+        of_words = [np.bincount(c.k[keep], minlength=len(c.words)) for keep in (c.n > 0, c.n == 1)]
+        lone = np.bincount(c.x[c.n == 1], minlength=len(c.contexts))
+        zeros, none = np.zeros(len(c.words), np.int64), np.zeros(len(lone), np.int64)
+        return (np.concatenate((c.words, c.contexts)), *(np.concatenate((w, none)) for w in of_words),
+                np.concatenate((zeros, lone)))
+
+    numbers = ("c1", "lone", "alone")
+    whole = _columns(cells, known, "h long, c1 long, lone long, alone long").groupBy("h").agg(
+        *[F.sum(c).alias(c) for c in numbers])
+    every, at_every = staged(counts.join(whole, "h"), "lm-numbers")
+    discard(spark, at_counts)
+    number = F.count(F.lit(1))
+    found = every.agg(number.alias("size"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers],
+                      F.count_if(F.col("c1") == 1).alias("one"), F.count_if(F.col("c1") == 2).alias("two"),
+                      F.count_if(F.col("c") == 1).alias("single")).first()
+    twos = _columns(cells.select("n"), lambda row: ([int((_unpacked(row["n"]) == 2).sum())],), "twos long").agg(F.sum("twos"))
+    size, single = found["size"], found["single"]  # a word seen once has one customer of the parent, at one table
+    discounts = _discount(found["lone"], twos.first()[0] or 0), _discount(found["one"], found["two"])
+    alone = {r["h"]: r["alone"] for r in every.where(F.col("h").isin(spread.tolist())).collect()}
+    alone = np.array([alone[h] for h in spread.tolist()], np.int64)
+
+    total, totals = Totals(size, float(found["c1"]), float(size), *discounts), []
+    none = F.array().cast("array<long>")
+    state, at_state = staged(_start(cells), "lm-sweep")
+    words, at_words = staged(every.where("c > 1").join(_buckets(state), "h", "left").select(
+        "h", "lone", "c1", F.lit(1).cast("long").alias("t1"), none.alias("c1s"), none.alias("t1s"),
+        F.coalesce("buckets", F.array().cast("array<int>")).alias("buckets")), "lm-words")
     for sweep in range(ROUNDS * SWEEPS):
         sample = sweep >= BURN_IN * SWEEPS and sweep % SWEEPS == SWEEPS - 1
-
-        def kept(df: DataFrame, **lists: str) -> DataFrame:
-            return df.withColumns({k: F.concat(k, F.array(v)) for k, v in lists.items()}) if sample else df  # noqa: B023
-
-        before = places
-        state, at_state = staged(kept(_sweep(state, words, contexts, total, sweep), ts="t"), "lm-sweep")
-        contexts, at_contexts = staged(kept(_tables(contexts, state), tabs="tables"), "lm-contexts")
-        words, at_words = staged(kept(_parents(words, state, total, sweep), c1s="c1", t1s="t1"), "lm-vocabulary")
-        places = [at_state, at_contexts, at_words]
+        tables = alone + _dealt_tables(state, spread)
+        before = at_state, at_words
+        state, at_state = staged(_sweep(state, words, spread, tables, total, sweep, sample), "lm-sweep")
+        words = _parents(words, state, total, sweep)
+        if sample:
+            words = words.withColumns({k: F.concat(k, F.array(v)) for k, v in (("c1s", "c1"), ("t1s", "t1"))})
+        words, at_words = staged(words, "lm-words")
         for place in before:  # no table reads the sweep before any more
             discard(spark, place)
         now = words.agg(F.sum("c1").alias("tables"), F.sum("t1").alias("words")).first()
-        total = Totals(size, float(now["tables"] or 0), float(now["words"] or 0), *discounts)
+        total = Totals(size, float((now["tables"] or 0) + single), float((now["words"] or 0) + single), *discounts)
         totals += [total] * sample
 
+    def tables_of(row: dict) -> tuple:
+        c = Cells.read(row)
+        ts = _unpacked(row["ts"]).reshape(len(totals), -1)
+        return (c.contexts, *(_sums(c.x, t, len(c.contexts)) for t in ts))
+
+    tabs = [f"tables_{i}" for i in range(len(totals))]
+    more = _columns(state, tables_of, ", ".join(f"{c} long" for c in ("h", *tabs))).groupBy("h").agg(
+        *[F.sum(c).alias(c) for c in tabs])
     once = F.array_repeat(F.lit(1).cast("long"), len(totals))
-    seated = cells.where("n = 1").select("h", "ctx", "n", once.alias("ts")).unionByName(state.drop("t"))
+    rows = every.join(words.select("h", "c1s", "t1s"), "h", "left").join(more, "h", "left").withColumns(
+        {"c1s": F.coalesce("c1s", once), "t1s": F.coalesce("t1s", once)})
     parent = F.array(*[t.parent(F.col("c1s")[i], F.col("t1s")[i], lambda x, y: F.greatest(x, F.lit(float(y))))
                        for i, t in enumerate(totals)])
-    weight = F.transform("tabs", lambda t: (STRENGTH + discounts[0] * t) / (STRENGTH + F.col("customers")))
-    vocabulary = stage(words.select("h", "c", "heavy", parent.alias("parent")), "lm-parents")
-    contexts = stage(contexts.select("ctx", "customers", "heavy", weight.alias("weight")), "lm-weights")
-    for place in places[1:]:  # the last cells are read by the model
+    weight = F.array(*[_weight(F.col("alone") + F.coalesce(t, F.lit(0)), F.col("c"), discounts[0]) for t in tabs])
+    vocabulary = stage(rows.select("h", "c", parent.alias("parent"), weight.alias("weight")), "lm-vocabulary")
+    seated, at_seated = staged(state.select("bucket", "ts"), "lm-seated")
+    for place in (at_every, at_words, at_state):
         discard(spark, place)
-    return Model(seated, vocabulary, contexts, totals, n, size)
+    return Model(cells, seated, vocabulary, totals, n, size, spread, buckets, [at_cells, at_seated])
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_tokens, n_known, base_score, score`` for each row of ``docs``."""
-    n_train, size = model.n, model.size
-    kind = docs.select(col(id).alias("id")).schema[0].dataType.simpleString()
-    names = ["row", "id", "n_tokens", "h", "ctx", "occ"]
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            for part in slices(batch.column("text"), SLICE_BYTES):
-                t, n = Texts(part), len(part)
-                row, ids = batch.column("row").slice(at, n), batch.column("id").slice(at, n)
-                at += n
-                yield pa.RecordBatch.from_arrays([row, ids, pa.array(t.n_tokens), pa.nulls(n, pa.int64()),
-                                                  pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names)
-                cell = t.cells()
-                order = np.argsort(cell, kind="stable")
-                cell = cell[order]
-                first = np.flatnonzero(np.concatenate((cell[:1] >= 0, cell[1:] != cell[:-1])))
-                ends = np.append(first, len(cell)).astype(np.int32) * 4
-                m, packed = len(first), t.text[order].astype("<u4")
-                occ = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(ends), pa.py_buffer(packed)])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, row[0].as_py())), pa.nulls(m, ids.type),
-                                                  pa.nulls(m, pa.int64()), *t.named(cell[first]), occ], names)
-
-    source = docs.select(F.monotonically_increasing_id().alias("row"), col(id).alias("id"),
-                         col(text).cast("string").alias("text"))
-    both = stage(source.mapInArrow(split, f"row long, id {kind}, n_tokens long, h long, ctx long, occ binary"), "lm-tokens")
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            occ = batch.column("occ")
-            ends = np.frombuffer(occ.buffers()[1], np.int32)[occ.offset:occ.offset + len(occ) + 1].astype(np.int64) // 4
-            texts = np.frombuffer(occ.buffers()[2], "<u4")[ends[0]:ends[-1]].astype(np.int64)
-            word = np.repeat(np.arange(len(occ)), np.diff(ends))
-            c, p = (pc.fill_null(batch.column(k), 0).to_numpy(zero_copy_only=False) for k in ("c", "p"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(batch.column("row").to_numpy()[word] + texts), pa.array((c > 0)[word].astype(np.int64)),
-                 pa.array(_base(c, n_train, size)[word]), pa.array(np.log10(p)[word])],
-                ["row", "n_known", "base_score", "score"])
-
-    tokens = both.where("h is not null").select("row", "h", "ctx", "occ")
-    tokens = stage(tokens.join(model.probabilities(), ["h", "ctx"], "left"), "lm-cells-found")
-    unseen = _joined(tokens.where("p is null").drop("c", "p"), model.vocabulary, "h", "left")
-    unseen = _joined(unseen, model.contexts.drop("customers"), "ctx", "left")
-    parent = F.coalesce("parent", F.array(*[F.lit(float(u)) for u in model.unknown]))
-    weight = F.coalesce("weight", F.array(*[F.lit(1.0)] * len(model.unknown)))  # a new context's restaurant is empty
-    unseen = unseen.select("row", "occ", "c", model.mixed(parent, weight).alias("p"))
-    every = tokens.where("p is not null").select("row", "occ", "c", "p").unionByName(unseen)
-    sums = every.mapInArrow(add, "row long, n_known long, base_score double, score double").groupBy("row").agg(
-        *[F.sum(c).alias(c) for c in ("n_known", "base_score", "score")])
-    parts = both.where("h is null").select("row", "id", "n_tokens")
-    return parts.join(sums, "row").select(F.col("id").alias(id), "n_tokens", "n_known", "base_score", "score")
+    texts, _ = split(docs, col(id), col(text), F.lit(False))
+    return score_slices(texts, model, id)
+
+
+def score_slices(texts: DataFrame, model: Model, id: str) -> DataFrame:
+    """:func:`score`, for stored slices."""
+    plain, samples = _plain(model), len(model.unknown)
+    answers = pa.schema([("slice", pa.int64()), ("bucket", pa.int32()), ("n", pa.binary()), ("seats", pa.binary())])
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return answers.empty_table()
+        cells, seats = plain.read(right) if right.num_rows else (None, None)
+        rows = []
+        for r in _rows(left):
+            asked = Cells.read(r)
+            at = cells.find(asked) if cells else np.full(len(asked.x), -1)
+            n, own = ((np.where(at < 0, 0, v[at]) for v in (cells.n, seats)) if cells and len(cells.n)
+                      else (np.zeros(len(at), np.int64),) * 2)
+            rows.append({"slice": r["slice"], "bucket": r["bucket"], "n": _packed(n), "seats": _packed(own)})
+        return _table(rows, answers)
+
+    asked = _sent(texts, model.spread, model.number, False).groupBy("bucket")
+    found = stage(asked.cogroup(model.by_bucket.groupBy("bucket")).applyInArrow(
+        _light(answer), "slice long, bucket int, n binary, seats binary"), "lm-found")
+
+    def wanted(row: dict) -> tuple:
+        h = _hashes(row["words"])
+        return np.full(len(h), row["slice"]), h, _unpacked(row["own"]) > 0
+
+    # a training word without numbers was seen once, by the slice itself
+    words = _columns(texts.select("slice", "words", "own"), wanted, "slice long, h long, trained boolean").join(
+        model.vocabulary, "h").where("c > 1 or not trained").select(
+        "slice", "h", "c", *[F.col(v)[i].alias(f"{v}_{i}") for v in ("parent", "weight") for i in range(samples)])
+    replies = found.unionByName(words, allowMissingColumns=True).groupBy("slice")
+    kind = texts.schema["ids"].dataType.elementType.simpleString()
+    names = ["id", "n_tokens", "n_known", "base_score", "score"]
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = next(_rows(left.drop_columns(["ids"])))
+        s, own = Slice(row), _unpacked(row["own"]) > 0
+        told = right.filter(pc.is_valid(right.column("h")))
+        order = np.argsort(s.words)
+        at = order[np.searchsorted(s.words, told.column("h").to_numpy(), sorter=order)]
+        c = own.astype(np.int64)
+        c[at] = told.column("c").to_numpy()
+        text, size, cell = np.repeat(np.arange(len(s.n_tokens)), s.n_tokens), len(s.n_tokens), s.cells()
+        s.token = s.context = None  # at most a few arrays of all tokens at a time
+        order = np.argsort(cell)
+        text, cell = text[order], cell[order]
+        first = np.diff(cell, prepend=-1) > 0
+        cell, places, order = cell[first], np.cumsum(first) - 1, None
+        n, seats = np.zeros(len(cell), np.int64), np.zeros(len(cell), np.int64)
+        x, k = np.divmod(cell, len(s.words))
+        dealt = dict(s.dealt(cell, plain.spread, plain.number))
+        for r in _rows(right.filter(pc.is_valid(right.column("n"))).select(["bucket", "n", "seats"])):
+            n[dealt[r["bucket"]]], seats[dealt[r["bucket"]]] = _unpacked(r["n"]), _unpacked(r["seats"])
+        p = (n - plain.discount * seats / samples) / (STRENGTH + c[x])
+        for i, t in enumerate(plain.totals):
+            parent = np.where(own, t.parent(1.0, 1.0), plain.unknown[i])
+            weight = np.where(own, _weight(1, 1, plain.discount), 1.0)  # a new context's restaurant is empty
+            parent[at], weight[at] = (told.column(f"{v}_{i}").to_numpy() for v in ("parent", "weight"))
+            p += parent[k] * weight[x] / samples
+        ids = pc.list_flatten(left.column("ids").combine_chunks())
+        sums = (np.bincount(text, v[places], size) for v in (c[k] > 0, _base(c, plain.n, plain.size)[k], np.log10(p)))
+        return pa.table([ids, pa.array(s.n_tokens), pa.array(next(sums).astype(np.int64)), *map(pa.array, sums)], names)
+
+    out = texts.groupBy("slice").cogroup(replies).applyInArrow(
+        _light(add), f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    return out.withColumnRenamed("id", id)
 
 
 def held_out(id: Column) -> Column:
@@ -360,9 +665,11 @@ def corpus_scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     Null and empty texts have the end as their one token. Repeated rows are tokens of their own
     and get equal scores; an empty table gives no rows. Scores are log10 probabilities.
     """
-    source = docs.select(col(id).alias("id"), col(text).alias("text"))
-    model = fit(source.where(~held_out(F.col("id"))), "text")
-    out = score(source, model, "id", "text")
+    texts, _ = split(docs, col(id), col(text), ~held_out(col(id)))
+    model = fit_slices(texts)
+    out = score_slices(texts, model, "id")
+    for place in model.places:
+        discard(docs.sparkSession, place)
     return out.select(F.col("id").alias(id), held_out(F.col("id")).alias("held_out"), "n_tokens", "n_known",
                       F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
