@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -307,3 +308,34 @@ def test_cells_are_added_and_found():
         at = of.find(asked)
         have = {c: i for i, c in enumerate(zip(of.contexts[of.x].tolist(), of.words[of.k].tolist()))}
         assert at.tolist() == [have.get(c, -1) for c in zip(asked.contexts[asked.x].tolist(), asked.words[asked.k].tolist())]
+
+
+def test_language_model_frees_its_steps(spark):
+    """Of all its tables and shuffles, only the scores stay on disk."""
+    def left():
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        shuffles = [f for d in env.blockManager().diskBlockManager().localDirs() for f in Path(d.getPath()).glob("*/shuffle_*.data")]
+        return set(shuffles), set(Path(work_dir(spark).removeprefix("file:")).glob("lm-*"))
+
+    df = spark.createDataFrame([(i, f"the w{i % 90} of w{i % 70}") for i in range(300)], "doc_id long, text string")
+    shuffles, tables = left()
+    out = lm.corpus_scores(df)
+    assert [f.name[:10] for f in left()[1] - tables] == ["lm-scores-"]
+    until = time.time() + 20
+    while left()[0] - shuffles and time.time() < until:
+        time.sleep(0.2)
+    assert not left()[0] - shuffles
+    assert out.count() == 300
+
+
+def test_dealt_tables_travel_in_few_rows(spark, monkeypatch):
+    rng, rows, want = np.random.default_rng(4), [], Counter()
+    for bucket in range(5):
+        contexts, t = np.sort(rng.choice(np.arange(-500, 500), 400, replace=False)), rng.integers(1, 9, 400)
+        want.update(dict(zip(contexts.tolist(), t.tolist())))
+        rows.append((contexts.tobytes(), lm._packed(np.ones(400, np.int64)), lm._packed(t)))
+    state = spark.createDataFrame(rows, "contexts binary, per binary, t binary")
+    spread, made, told = np.arange(-500, 500, 3), [], lm._told
+    monkeypatch.setattr(lm, "_told", lambda *args: made.append(told(*args)) or made[-1])
+    assert lm._dealt_tables(state, spread).tolist() == [want[h] for h in spread.tolist()]
+    assert made[0].count() == 5 * -(-len(spread) // lm.DEALT)

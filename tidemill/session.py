@@ -8,6 +8,7 @@ runs, tests) does :func:`work_dir` create a fresh folder and register it.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import threading
@@ -107,6 +108,18 @@ def staged(df, label: str = "stage"):
     return df.sparkSession.read.parquet(path), path
 
 
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Within this, a query's shuffle files are freed when it ends; else they stay until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder under :func:`work_dir`, or a table's own, on the file system it is on."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
